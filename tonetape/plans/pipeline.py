@@ -1,0 +1,118 @@
+"""The whole study: filings and bars to features, features to fitted and scored models."""
+
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
+
+from tonetape.functions.labels import encode_label
+from tonetape.operators import models as m
+from tonetape.operators.evaluate import (
+    classification_report,
+    compare,
+    confusion_matrix,
+    predictions,
+)
+from tonetape.operators.events import build_features
+from tonetape.operators.prep import (
+    assign_folds,
+    complete_rows,
+    feature_columns,
+    fold_number,
+    one_hot,
+    share_number,
+    smallest_class,
+    standardize,
+    stratified_split,
+)
+from tonetape.operators.report import stack_predictions
+from tonetape.operators.sentiment import keyword_sentiment
+from tonetape.session import materialised
+
+
+def study_features(filings, bars, companies, *, lexicon=None, dates=None, moves=None) -> DataFrame:
+    """Lexicon tone and price action joined into one labelled row per filing."""
+    tone = keyword_sentiment(filings, companies, **(lexicon or {}), **(dates or {}))
+    return build_features(tone, bars, **(moves or {}))
+
+
+@dataclass
+class Prepared:
+    train: DataFrame
+    test: DataFrame
+    names: list[str]
+    scaler: PipelineModel
+    folds: int
+    train_rows: int
+
+
+def prepare(
+    features: DataFrame,
+    key: Sequence[str] = ("filing_id",),
+    label: str = "target",
+    share: float = 0.3,
+    seed: int = m.SEED,
+    group_cols: Sequence[str] | None = None,
+    dedupe: bool = False,
+) -> Prepared:
+    """Complete rows, one-hot classes, split, scale, deal into folds.
+
+    The narrow prepared table is written out once, since every later fit reads it.
+    """
+    wide = one_hot(complete_rows(features), "sentiment")
+    names = feature_columns(wide, dedupe)
+    kept = list(dict.fromkeys([*key, label, *(group_cols or []), *names]))
+    wide = materialised(wide.select(*kept).withColumn("label", encode_label(label)))
+    share = share_number(smallest_class(wide, label), share)
+    split = materialised(stratified_split(wide, label, key, share, seed, group_cols))
+    train, test = split.where("part = 'train'"), split.where("part = 'test'")
+    folds = fold_number(smallest_class(train, label))
+    train = assign_folds(train, label, key, folds, seed)
+    train, test, scaler = standardize(train, test, names)
+    columns = [*key, label, "label", "features"]
+    train = materialised(train.select(*columns, "fold"))
+    test = materialised(test.select(*columns))
+    return Prepared(train, test, names, scaler, folds, train.count())
+
+
+@dataclass
+class Outcome:
+    models: dict = field(default_factory=dict)
+    predictions: dict = field(default_factory=dict)
+    reports: dict = field(default_factory=dict)
+    confusions: dict = field(default_factory=dict)
+    comparison: DataFrame | None = None
+
+
+def default_models(rows: int, inputs: int) -> dict:
+    """Display name -> (estimator, grid) for the four classical models and the network."""
+    return {
+        "Logistic Regression": (m.logistic(rows), m.logistic_axes(rows)),
+        "Random Forest": (m.random_forest(), m.FOREST_GRID),
+        "AdaBoost": (m.adaboost(), m.ADABOOST_GRID),
+        "XGBoost": (m.boosted_trees(), m.GBT_GRID),
+        "FFNN": (m.network(inputs), None),
+    }
+
+
+def run_classification(
+    ready: Prepared, models: dict | None = None, key: Sequence[str] = ("filing_id",), label: str = "target"
+) -> Outcome:
+    """Fit and score the models and the random baseline on one prepared split."""
+    out = Outcome()
+    chosen = models or default_models(ready.train_rows, len(ready.names))
+    guess = m.random_baseline(ready.test.withColumnRenamed(label, "true"), key)
+    out.predictions["Random Baseline"] = guess.select(*key, "true", "pred")
+    for name, (estimator, axes) in chosen.items():
+        if axes is None:
+            fitted = estimator.fit(ready.train)
+        else:
+            fitted = m.grid_search(estimator, axes, ready.train, "fold", ready.folds).bestModel
+        out.models[name] = fitted
+        out.predictions[name] = predictions(fitted.transform(ready.test), key, label)
+    for name, table in out.predictions.items():
+        out.reports[name] = classification_report(table)
+        out.confusions[name] = confusion_matrix(table)
+    out.comparison = compare(stack_predictions(out.predictions))
+    return out
