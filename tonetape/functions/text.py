@@ -29,7 +29,7 @@ def _col(c):
     return F.col(c) if isinstance(c, str) else c
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """body(value) with the value worked out once, also inside a lambda."""
     return F.get(F.transform(F.array(value), body), 0)
 
@@ -66,7 +66,7 @@ def filing_date(text, lines: int = 30) -> Column:
     carries eight digits.
     """
     head = F.slice(F.split(_col(text), "\n", lines + 1), 1, lines)
-    return _let(F.transform(head, strip), _first_date)
+    return let(F.transform(head, strip), _first_date)
 
 
 def _first_date(head: Column) -> Column:
@@ -161,7 +161,7 @@ def sampled_text(text, key, rate: float = 0.1, seed: int = 42, sep: str = BLANK_
         joined = F.array_join(F.transform(picked, lambda x: x["p"]), "\n\n")
         return F.when(F.size(parts) == 0, text).otherwise(joined)
 
-    return _let(paragraphs(text, sep), draw)
+    return let(paragraphs(text, sep), draw)
 
 
 def words_of(text) -> Column:
@@ -198,7 +198,7 @@ def chunk_words(text, max_cost: int = 1000) -> Column:
         starts = F.aggregate(
             words, fresh, step, lambda acc: F.array_append(acc["starts"], acc["i"] + 1)
         )
-        return _let(
+        return let(
             starts,
             lambda at: F.transform(
                 F.slice(at, F.lit(1), F.size(at) - 1),
@@ -207,7 +207,7 @@ def chunk_words(text, max_cost: int = 1000) -> Column:
         )
 
     return F.when(strip(text) == "", F.array().cast("array<string>")).otherwise(
-        _let(words_of(text), pack)
+        let(words_of(text), pack)
     )
 
 
@@ -241,8 +241,8 @@ def lexicon_label(piece, positive=POSITIVE_WORDS, negative=NEGATIVE_WORDS) -> Co
             sentiment_category(score).alias("label"), F.abs(score).alias("score")
         )
 
-    return _let(
-        _let(
+    return let(
+        let(
             F.lower(_col(piece)),
             lambda low: sentiment_score(_hits(low, positive), _hits(low, negative)),
         ),
@@ -268,10 +268,10 @@ def pooled_score(scored) -> Column:
 
     def pool(items):
         total = F.aggregate(items, F.lit(0.0), lambda a, x: a + x["score"])
-        top = F.array_max(_let(F.transform(items, lambda x: x["sentiment"]), ranked))
+        top = F.array_max(let(F.transform(items, lambda x: x["sentiment"]), ranked))
         return F.struct(
             F.coalesce(F.try_divide(total, F.size(items)), F.lit(0.0)).alias("score"),
             F.coalesce(top["sentiment"], F.lit("neutral")).alias("sentiment"),
         )
 
-    return _let(_col(scored), pool)
+    return let(_col(scored), pool)

@@ -4,10 +4,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonetape.functions.labels import label_move
-from tonetape.operators.asof import asof_forward
 from tonetape.operators.ordered import DAY, SLICE_DAYS, first_on_or_after, over_series
 
 
+# Years taken for real.
+FIRST_YEAR, LAST_YEAR = 1900, 2100
+
+
 def flag_after(
     bars: DataFrame, events: DataFrame, n: int = 6, column: str = "post_earnings", width: int = SLICE_DAYS
 ) -> DataFrame:
@@ -41,7 +44,7 @@ def flag_after(
 
 
 def valid_quarter(year, quarter) -> Column:
-    return F.col(year).between(1900, 2100) & F.col(quarter).between(1, 4)
+    return F.col(year).between(FIRST_YEAR, LAST_YEAR) & F.col(quarter).between(1, 4)
 
 
 def quarter_anchor(year: str, quarter: str, day: int = 15) -> Column:
@@ -102,25 +105,58 @@ def pre_window(indicators: DataFrame, days: int = 7, width: int = SLICE_DAYS) ->
     )
 
 
-def event_windows(bars: DataFrame, pre_days: int = 7, post_days: int = 5, width: int = SLICE_DAYS) -> DataFrame:
-    """One row per bar that can serve as an event day, with its windows.
+def quarter_number(year: str, quarter: str) -> Column:
+    """Quarters counted through, so that the anchors of neighbours differ by one."""
+    return F.col(year) * 4 + F.col(quarter) - 1
+
+
+def anchors_passed(date: Column, day: int = 15) -> Column:
+    """Quarter number of the last anchor on or before a date."""
+    months = F.year(date) * 12 + F.month(date) - 1 - F.when(F.dayofmonth(date) < day, 1).otherwise(0)
+    return F.floor((months - 1) / 3).cast("int")
 
-    Indicators and both windows share one pass over the sliced series: the
-    frames reach back `pre_days` rows and the indicator rows before those.
+
+def event_windows(
+    bars: DataFrame, pre_days: int = 7, post_days: int = 5, width: int = SLICE_DAYS
+) -> DataFrame:
+    """One row per (ticker, quarter) with an event day and a bar after it.
+
+    Anchors are a fixed calendar, so the first bar on or after an anchor is the
+    bar whose predecessor lies before it: the as-of search needs a lag and no
+    join.  A series' first bar answers for every anchor before it.  Indicators,
+    both windows and the lag share one pass over the sliced series.
     """
     from tonetape.operators.series import FILLED, RSI_ROWS, indicator_steps
 
+    passed = over_series(
+        bars.select("ticker", "d", "close", "volume"),
+        lambda w: [
+            *indicator_steps(w),
+            *post_steps(w, post_days),
+            *pre_steps(w, pre_days),
+            {"_prev": F.lag(DAY, 1).over(w)},
+        ],
+        before=pre_days + RSI_ROWS + 1,
+        after=1,
+        fill=FILLED,
+        width=width,
+    ).where("has_post")
+    first = F.coalesce(
+        anchors_passed(F.date_from_unix_date("_prev")) + 1, F.lit(FIRST_YEAR * 4)
+    )
+    last = anchors_passed(F.col("d"))
     return (
-        over_series(
-            bars.select("ticker", "d", "close", "volume"),
-            lambda w: [*indicator_steps(w), *post_steps(w, post_days), *pre_steps(w, pre_days)],
-            before=pre_days + RSI_ROWS + 1,
-            after=1,
-            fill=FILLED,
-            width=width,
+        passed.withColumns({"_first": first, "_last": last})
+        .where("_first <= _last")
+        .select(
+            "ticker",
+            F.col("d").alias("report_date"),
+            "return_1d",
+            "pre_return",
+            "pre_volume_change",
+            "pre_rsi",
+            F.explode(F.sequence("_first", "_last")).alias("quarter_number"),
         )
-        .where("has_post")
-        .select("ticker", "d", "return_1d", "pre_return", "pre_volume_change", "pre_rsi")
     )
 
 
@@ -145,28 +181,17 @@ def build_features(
 ) -> DataFrame:
     """One labelled row per filing whose quarter has an event day with a return.
 
-    The as-of search sees one row per (ticker, quarter) however many filings
-    share it.
+    Filings are read once, and meet one row per (ticker, quarter) in an equi-join
+    that adaptive execution broadcasts while the events' measured size allows; past
+    that it splits the partition of a quarter that holds too many filings.
     """
-    dated = sentiment.withColumn("_anchor", quarter_anchor("year", "quarter")).where(
-        F.col("_anchor").isNotNull()
+    dated = sentiment.where(valid_quarter("year", "quarter")).withColumn(
+        "quarter_number", quarter_number("year", "quarter")
     )
-    days = event_windows(bars, pre_days, post_days, width)
-    # the event day is the first bar at all; whether it has a return is asked after
-    first_bar = bars.select("ticker", F.col("d").alias("report_date"))
-    events = (
-        asof_forward(
-            dated.select("ticker", "_anchor").distinct(),
-            first_bar,
-            ["ticker"],
-            "_anchor",
-            "report_date",
-            width=width,
-        )
-        .join(days.withColumnRenamed("d", "report_date"), ["ticker", "report_date"])
-        .withColumn("target", label_move("return_1d", up, down))
+    events = event_windows(bars, pre_days, post_days, width).withColumn(
+        "target", label_move("return_1d", up, down)
     )
-    return dated.join(labelled(events), ["ticker", "_anchor"]).select(
+    return dated.join(labelled(events), ["ticker", "quarter_number"]).select(
         "ticker",
         "company",
         "year",

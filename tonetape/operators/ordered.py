@@ -84,9 +84,9 @@ def _borrowed(rows: DataFrame, key: str, names, before: int, after: int, fill) -
         ahead = F.flatten(F.collect_list("_head").over(across.rowsBetween(1, after)))
         ends = ends.withColumn("_ahead", ahead)
         parts.append(F.slice("_ahead", 1, after))
-    return ends.select(key, SLICE, F.explode(F.concat(*parts)).alias("_row")).select(
-        key, SLICE, "_row.*"
-    )
+    borrowed = ends.select(key, SLICE, F.explode(F.concat(*parts)).alias("_row"))
+    # laid out like `rows`, so that their union needs no further exchange
+    return borrowed.select(key, SLICE, "_row.*").repartition(key, SLICE)
 
 
 def over_series(
@@ -109,7 +109,9 @@ def over_series(
     (as `filled(name)`), `before` / `after` how many rows back and ahead their
     frames reach in all.
     """
-    rows = with_slices(df, date, width).repartition(key, SLICE)
+    # the date itself travels as its day number; with no columns but `needs` both
+    # uses of `rows` then read the same exchange, and `df` is worked out once
+    rows = with_slices(df, date, width).drop(date).repartition(key, SLICE)
     w = Window.partitionBy(key, SLICE).orderBy(DAY)
     names = [n for n in needs if n not in (key, date)]
     out = rows.withColumn(_EXTRA, F.lit(False))
@@ -118,8 +120,7 @@ def over_series(
     if before or after or fill:
         extra = _borrowed(rows, key, names, max(before, 1 if fill else 0), after, fill)
         out = out.unionByName(
-            extra.withColumn(_EXTRA, F.lit(True)).withColumn(date, F.date_from_unix_date(DAY)),
-            allowMissingColumns=True,
+            extra.withColumn(_EXTRA, F.lit(True)), allowMissingColumns=True
         )
     to_here = w.rowsBetween(Window.unboundedPreceding, 0)
     if fill:
@@ -131,7 +132,9 @@ def over_series(
         )
     for step in steps(w):
         out = out.withColumns(step)
-    return out.where(~F.col(_EXTRA)).drop(DAY, SLICE, _EXTRA, *[filled(n) for n in fill])
+    out = out.where(~F.col(_EXTRA)).withColumn(date, F.date_from_unix_date(DAY))
+    made = [c for c in out.columns if c not in {*df.columns, DAY, SLICE, _EXTRA, *map(filled, fill)}]
+    return out.select(*df.columns, *made)
 
 
 def first_on_or_after(
@@ -156,9 +159,11 @@ def first_on_or_after(
         "match", F.min("mark").over(newest.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     ).where(F.col("mark").isNull())
     later = Window.partitionBy(*by).orderBy(F.col(SLICE).desc())
+    # asks for `at` as well, so that it shares the exchange of the other branch
+    least = F.min(F.when(F.col("mark").isNotNull(), F.struct("mark", "at")))["mark"]
     ahead = (
         both.groupBy(*by, SLICE)
-        .agg(F.min("mark").alias("first"))
+        .agg(least.alias("first"))
         .withColumn("next", F.min("first").over(later.rowsBetween(Window.unboundedPreceding, -1)))
         .select(*by, SLICE, "next")
     )

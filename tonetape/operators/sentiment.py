@@ -10,6 +10,7 @@ from tonetape.functions.text import (
     filing_date,
     header_date,
     in_month_range,
+    let,
     lexicon_hits,
     lexicon_label,
     pieces,
@@ -30,10 +31,14 @@ def companies_dim(spark, pairs=None) -> DataFrame:
 
 
 def dated_filings(filings: DataFrame, found: Column, start: str, end: str) -> DataFrame:
-    """Filings whose month lies in range, with year and quarter."""
+    """Filings whose month lies in range, with year and quarter.
+
+    The date is bound once for the filter, which the optimizer would otherwise
+    copy into every comparison.
+    """
     return (
-        filings.withColumn("_ym", found)
-        .where(in_month_range(F.col("_ym.year"), F.col("_ym.month"), start, end))
+        filings.where(let(found, lambda m: in_month_range(m["year"], m["month"], start, end)))
+        .withColumn("_ym", found)
         .withColumn("year", F.col("_ym.year"))
         .withColumn("quarter", quarter_of(F.col("_ym.month")))
         .drop("_ym")

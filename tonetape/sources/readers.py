@@ -142,11 +142,10 @@ def read_results(spark: SparkSession, root: str, kind: str) -> DataFrame:
     files = (
         spark.read.schema(_RESULT_ROWS[kind])
         .option("header", True)
-        .option("pathGlobFilter", pattern)
-        .csv(root)
+        .csv(f"{root}/{pattern}")
         .withColumn("path", F.col(_PATH))
     )
-    base = F.regexp_extract("path", r"([^/]+)\.csv$", 1)
+    base = F.regexp_extract("path", r"([^/]+)\.csv(/[^/]*)?$", 1)
     if kind == "comparison":
         return files
     if kind == "coefficients":

@@ -1 +1,671 @@
-QUERIES, ORACLES = {}, {}
+"""Queries of the classification side: preparation, models, metrics, reports, checks."""
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tonetape.functions.labels import class_name, decode_label, encode_label
+from tonetape.operators import checks as ck
+from tonetape.operators import evaluate as el
+from tonetape.operators import models as m
+from tonetape.operators import prep as pp
+from tonetape.operators import report as rp
+from tonetape.plans.pipeline import prepare, run_classification
+from tonetape.session import materialised
+from tonetape.sources import readers, writers
+from workload import views as v
+from workload.sql import define, sql
+from workload.study import fresh, r6
+
+QUERIES: dict = {}
+ORACLES: dict = {}
+KEY = ["filing_id"]
+
+
+def query(name: str, needs: tuple = (), oracle: str | None = None):
+    def register(fn):
+        QUERIES[name] = fn
+        if oracle is not None:
+            ORACLES[name] = sql(needs, oracle)
+        return fn
+
+    return register
+
+
+def _complete(spark, sf_dir) -> DataFrame:
+    """Complete feature rows, written once: the steps below read them several times."""
+    return materialised(pp.complete_rows(v.features(spark, sf_dir)))
+
+
+# ---- preparation -----------------------------------------------------------------
+
+
+@query(
+    "prp1_complete_rows",
+    ("complete",),
+    """SELECT filing_id, report_date, target, round(pre_return, 6) AS pre_return,
+    round(pre_volume_change, 6) AS pre_volume_change, round(pre_rsi, 6) AS pre_rsi FROM complete""",
+)
+def _(spark, sf_dir):
+    return r6(
+        pp.complete_rows(v.features(spark, sf_dir)).select(
+            "filing_id", "report_date", "target", "pre_return", "pre_volume_change", "pre_rsi"
+        )
+    )
+
+
+@query(
+    "prp2_one_hot",
+    ("complete",),
+    """SELECT filing_id, (sentiment = 'negative')::int::double AS sentiment_negative,
+    (sentiment = 'neutral')::int::double AS sentiment_neutral,
+    (sentiment = 'positive')::int::double AS sentiment_positive FROM complete""",
+)
+def _(spark, sf_dir):
+    return pp.one_hot(_complete(spark, sf_dir).select("filing_id", "sentiment"), "sentiment")
+
+
+NAMES = [
+    "sentiment_score", "pre_return", "pre_volume_change", "pre_rsi",
+    "sentiment_score", "sentiment_negative", "sentiment_neutral", "sentiment_positive",
+]
+define(
+    "hot",
+    ("complete",),
+    """SELECT *, (sentiment = 'negative')::int::double AS sentiment_negative,
+    (sentiment = 'neutral')::int::double AS sentiment_neutral,
+    (sentiment = 'positive')::int::double AS sentiment_positive FROM complete""",
+)
+
+
+@query(
+    "prp3_feature_columns",
+    ("hot",),
+    "SELECT filing_id, " + ", ".join(f"round({n}, 6) AS f{i}" for i, n in enumerate(NAMES)) + " FROM hot",
+)
+def _(spark, sf_dir):
+    """Feature values by position; the score stands in two places."""
+    wide = pp.one_hot(_complete(spark, sf_dir), "sentiment")
+    names = pp.feature_columns(wide)
+    return r6(wide.select("filing_id", *[F.col(n).alias(f"f{i}") for i, n in enumerate(names)]))
+
+
+@query(
+    "prp4_class_counts",
+    ("complete",),
+    "SELECT target, count(*)::bigint AS n FROM complete GROUP BY 1",
+)
+def _(spark, sf_dir):
+    return pp.class_counts(pp.complete_rows(v.features(spark, sf_dir)))
+
+
+@query(
+    "prp5_holdout_share",
+    ("complete",),
+    """SELECT CASE WHEN min(n) < 10 THEN 0.5::double ELSE 0.3::double END AS share
+    FROM (SELECT target, count(*) AS n FROM complete GROUP BY 1)""",
+)
+def _(spark, sf_dir):
+    return pp.holdout_share(pp.class_counts(pp.complete_rows(v.features(spark, sf_dir))))
+
+
+def ranked_sql(source: str, label: str, key: str, seed: int = 42) -> str:
+    return f"""SELECT *, row_number() OVER (PARTITION BY {label}
+    ORDER BY md5('{seed}:' || {key}), {key}) AS rk FROM {source}"""
+
+
+def split_sql(source: str, label: str, key: str, share: str = "0.3::double") -> str:
+    """Rows of `source` with `part`; class quotas by largest remainder."""
+    return f"""SELECT r.*, CASE WHEN r.rk <= q.quota THEN 'train' ELSE 'test' END AS part
+    FROM ({ranked_sql(source, label, key)}) r JOIN (
+      SELECT {label}, floor(exact) + (row_number() OVER (
+        ORDER BY round(exact - floor(exact), 9) DESC, {label})
+        <= train - sum(floor(exact)) OVER ())::int AS quota
+      FROM (SELECT {label}, n, train, n * train / total AS exact FROM (
+        SELECT {label}, n, sum(n) OVER ()::double AS total,
+        sum(n) OVER () - ceil(sum(n) OVER () * {share}) AS train
+        FROM (SELECT {label}, count(*) AS n FROM {source} GROUP BY 1)))) q
+    ON r.{label} = q.{label}"""
+
+
+define("split", ("hot",), split_sql("hot", "target", "filing_id"))
+
+
+@query("prp6_stratified_split", ("split",), "SELECT filing_id, target, part FROM split")
+def _(spark, sf_dir):
+    rows = _complete(spark, sf_dir).select("filing_id", "target")
+    return pp.stratified_split(rows, "target", KEY)
+
+
+define("keyed", ("complete",), "SELECT DISTINCT target, ticker || ':' || report_date AS day FROM complete")
+define("split_days", ("keyed",), split_sql("keyed", "target", "day"))
+
+
+@query(
+    "prp6_grouped_split",
+    ("complete", "split_days"),
+    """SELECT c.filing_id, c.target, s.part FROM complete c JOIN split_days s
+    ON c.target = s.target AND c.ticker || ':' || c.report_date = s.day""",
+)
+def _(spark, sf_dir):
+    """Whole events are drawn, so no event has rows on both sides."""
+    rows = _complete(spark, sf_dir).select("filing_id", "target", "ticker", "report_date")
+    cut = pp.stratified_split(rows, "target", KEY, group_cols=["ticker", "report_date"])
+    return cut.select("filing_id", "target", "part")
+
+
+def _split(spark, sf_dir):
+    wide = pp.one_hot(_complete(spark, sf_dir), "sentiment")
+    rows = pp.stratified_split(wide, "target", KEY)
+    return rows.where("part = 'train'"), rows.where("part = 'test'")
+
+
+@query(
+    "prp7_standardize",
+    ("split",),
+    "SELECT filing_id, part, "
+    + ", ".join(
+        f"round(({n} - (SELECT avg({n}) FROM split WHERE part = 'train')) / "
+        f"(SELECT stddev_pop({n}) FROM split WHERE part = 'train'), 6) AS {n}"
+        for n in NAMES[:4]
+    )
+    + " FROM split",
+)
+def _(spark, sf_dir):
+    train, test = _split(spark, sf_dir)
+    train, test, _ = pp.standardize(train, test, NAMES[:4])
+    x = vector_to_array("features")
+    return r6(
+        train.unionByName(test).select(
+            "filing_id", "part", *[x[i].alias(n) for i, n in enumerate(NAMES[:4])]
+        )
+    )
+
+
+@query(
+    "prp8_fold_count",
+    ("complete",),
+    """SELECT greatest(2, least(5, min(n) // 2))::int AS folds
+    FROM (SELECT target, count(*) AS n FROM complete GROUP BY 1)""",
+)
+def _(spark, sf_dir):
+    return pp.fold_count(pp.class_counts(pp.complete_rows(v.features(spark, sf_dir))))
+
+
+@query(
+    "prp9_assign_folds",
+    ("complete",),
+    f"""SELECT r.filing_id, r.target, ((r.rk - 1 + o.off) % 5)::int AS fold
+    FROM ({ranked_sql('complete', 'target', 'filing_id')}) r JOIN (
+      SELECT target, sum(n) OVER (ORDER BY target) - n AS off
+      FROM (SELECT target, count(*) AS n FROM complete GROUP BY 1)) o USING (target)""",
+)
+def _(spark, sf_dir):
+    rows = _complete(spark, sf_dir).select("filing_id", "target")
+    return pp.assign_folds(rows, "target", KEY, 5)
+
+
+@query(
+    "prp10_label_codes",
+    ("preds",),
+    """SELECT doc_id, "true" AS label, ("true" + 1)::double AS code, "true"::int AS back FROM preds""",
+)
+def _(spark, sf_dir):
+    rows = v.preds(spark, sf_dir).withColumn("code", encode_label("true"))
+    return rows.select(
+        "doc_id", F.col("true").alias("label"), "code", decode_label("code").alias("back")
+    )
+
+
+# ---- metrics ---------------------------------------------------------------------
+
+
+def _stacked(spark, sf_dir):
+    return rp.stack_predictions(
+        {"pick_42": v.preds(spark, sf_dir), "pick_7": v.preds(spark, sf_dir, 7)}
+    )
+
+
+@query("mdl1_random_baseline", ("preds",), 'SELECT doc_id, "true", pred FROM preds')
+def _(spark, sf_dir):
+    return v.preds(spark, sf_dir)
+
+
+@query(
+    "evl1_accuracy",
+    ("preds",),
+    'SELECT round(avg(("true" = pred)::int), 6) AS accuracy FROM preds',
+)
+def _(spark, sf_dir):
+    return r6(el.accuracy(v.preds(spark, sf_dir)))
+
+
+define(
+    "per_class",
+    ("preds",),
+    """SELECT c, p, r, coalesce(2 * p * r / nullif(p + r, 0), 0) AS f, support FROM (
+    SELECT c, coalesce(sum(("true" = c AND pred = c)::int) / nullif(sum((pred = c)::int), 0), 0) AS p,
+    coalesce(sum(("true" = c AND pred = c)::int) / nullif(sum(("true" = c)::int), 0), 0) AS r,
+    sum(("true" = c)::int)::bigint AS support FROM preds,
+    (SELECT DISTINCT "true" AS c FROM preds UNION SELECT DISTINCT pred FROM preds) GROUP BY c)""",
+)
+
+
+@query(
+    "evl2_classification_report",
+    ("per_class",),
+    """SELECT c::varchar AS label, round(p, 6) AS precision, round(r, 6) AS recall,
+    round(f, 6) AS f1, support FROM per_class
+    UNION ALL SELECT 'accuracy', NULL, NULL, (SELECT round(avg(("true" = pred)::int), 6) FROM preds),
+    sum(support)::bigint FROM per_class
+    UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6),
+    sum(support)::bigint FROM per_class
+    UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6),
+    round(sum(r * support) / sum(support), 6), round(sum(f * support) / sum(support), 6),
+    sum(support)::bigint FROM per_class""",
+)
+def _(spark, sf_dir):
+    return r6(el.classification_report(v.preds(spark, sf_dir)))
+
+
+CONFUSION_SQL = """SELECT 'True_' || n AS label,
+(SELECT count(*) FROM preds WHERE "true" = c AND pred = -1)::bigint AS "Pred_Down",
+(SELECT count(*) FROM preds WHERE "true" = c AND pred = 0)::bigint AS "Pred_Stable",
+(SELECT count(*) FROM preds WHERE "true" = c AND pred = 1)::bigint AS "Pred_Up"
+FROM (VALUES (-1, 'Down'), (0, 'Stable'), (1, 'Up')) x(c, n)"""
+define("confusion", ("preds",), CONFUSION_SQL)
+
+
+@query("evl3_confusion_matrix", ("confusion",), "SELECT * FROM confusion")
+def _(spark, sf_dir):
+    return el.confusion_matrix(v.preds(spark, sf_dir))
+
+
+@query(
+    "evl4_predictions",
+    ("preds",),
+    'SELECT doc_id, "true", pred FROM preds',
+)
+def _(spark, sf_dir):
+    """Predicted codes turned back into classes."""
+    coded = v.preds(spark, sf_dir).select(
+        "doc_id", F.col("true").alias("target"), encode_label("pred").alias("prediction")
+    )
+    return el.predictions(coded, ["doc_id"])
+
+
+COMPARE_SQL = 'SELECT model, round(avg(("true" = pred)::int), 6) AS accuracy FROM stacked GROUP BY 1'
+
+
+@query("evl8_compare", ("stacked",), COMPARE_SQL)
+def _(spark, sf_dir):
+    return r6(el.compare(_stacked(spark, sf_dir)))
+
+
+@query(
+    "evl9_best_model",
+    ("stacked",),
+    f"SELECT * FROM ({COMPARE_SQL}) WHERE accuracy = (SELECT max(accuracy) FROM ({COMPARE_SQL}))",
+)
+def _(spark, sf_dir):
+    return r6(el.best_model(el.compare(_stacked(spark, sf_dir)))).select("model", "accuracy")
+
+
+# ---- report tables ---------------------------------------------------------------
+
+
+@query("rpt1_stack_predictions", ("stacked",), 'SELECT doc_id, "true", pred, model FROM stacked')
+def _(spark, sf_dir):
+    return _stacked(spark, sf_dir)
+
+
+BY_CLASS_SQL = """SELECT "true",
+round(avg(CASE WHEN model = 'pick_42' THEN ("true" = pred)::int END), 6) AS pick_42,
+round(avg(CASE WHEN model = 'pick_7' THEN ("true" = pred)::int END), 6) AS pick_7
+FROM stacked GROUP BY 1"""
+
+
+@query("rpt2_accuracy_by_class", ("stacked",), BY_CLASS_SQL)
+def _(spark, sf_dir):
+    return r6(rp.accuracy_by_class(_stacked(spark, sf_dir)))
+
+
+@query(
+    "rpt3_class_name",
+    (),
+    """SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'Down' WHEN doc_id % 4 = 1 THEN 'Stable'
+    WHEN doc_id % 4 = 2 THEN 'Up' ELSE '2' END AS name FROM documents""",
+)
+def _(spark, sf_dir):
+    code = (F.col("doc_id") % 4 - 1).cast("int")
+    return v.table(spark, sf_dir, "documents").select("doc_id", class_name(code).alias("name"))
+
+
+@query(
+    "rpt4_accuracy_vs_baseline",
+    ("stacked",),
+    f"""SELECT CASE "true" WHEN -1 THEN 'Down' WHEN 0 THEN 'Stable' ELSE 'Up' END AS class, model,
+    round(accuracy, 6) AS accuracy FROM (
+    SELECT "true", unnest(['pick_42', 'pick_7', 'Random Baseline (Expected)']) AS model,
+    unnest([pick_42, pick_7, 1.0::double / 3]) AS accuracy FROM ({BY_CLASS_SQL}))""",
+)
+def _(spark, sf_dir):
+    return r6(rp.accuracy_vs_baseline(rp.accuracy_by_class(_stacked(spark, sf_dir))))
+
+
+define(
+    "quartiles",
+    ("tone",),
+    """SELECT ticker, quantile_cont(sentiment_score, 0.25) AS q1,
+    quantile_cont(sentiment_score, 0.5) AS q2, quantile_cont(sentiment_score, 0.75) AS q3
+    FROM tone GROUP BY 1""",
+)
+define(
+    "fenced",
+    ("tone", "quartiles"),
+    """SELECT *, sentiment_score BETWEEN q1 - 1.5::double * (q3 - q1) AND q3 + 1.5::double * (q3 - q1) AS near
+    FROM tone JOIN quartiles USING (ticker)""",
+)
+
+
+@query(
+    "rpt5_box_stats",
+    ("fenced",),
+    """SELECT ticker, round(q1, 6) AS q25, round(q2, 6) AS median, round(q3, 6) AS q75,
+    round(min(sentiment_score) FILTER (WHERE near), 6) AS whisker_low,
+    round(max(sentiment_score) FILTER (WHERE near), 6) AS whisker_high,
+    count(*)::bigint AS n, count(*) FILTER (WHERE NOT near)::bigint AS n_outliers
+    FROM fenced GROUP BY ticker, q1, q2, q3""",
+)
+def _(spark, sf_dir):
+    return r6(rp.box_stats(v.tone(spark, sf_dir), "ticker", "sentiment_score")[0])
+
+
+@query(
+    "rpt5_box_outliers",
+    ("fenced",),
+    """SELECT ticker, round(sentiment_score, 6) AS sentiment_score, count(*)::bigint AS n
+    FROM fenced WHERE NOT near GROUP BY ticker, sentiment_score""",
+)
+def _(spark, sf_dir):
+    return r6(rp.box_stats(v.tone(spark, sf_dir), "ticker", "sentiment_score")[1])
+
+
+define(
+    "weights",
+    ("tone",),
+    """SELECT ticker AS feature, target AS class, model, v FROM (
+    SELECT ticker, -1 AS target, 'negative' AS model, avg((sentiment = 'negative')::int) AS v FROM tone GROUP BY 1
+    UNION ALL SELECT ticker, 0, 'neutral', avg((sentiment = 'neutral')::int) FROM tone GROUP BY 1
+    UNION ALL SELECT ticker, 1, 'positive', avg((sentiment = 'positive')::int) FROM tone GROUP BY 1)""",
+)
+
+
+def _weights(spark, sf_dir):
+    """Share of each tone class per ticker, shaped like feature weights per class."""
+    kinds = list(enumerate(("negative", "neutral", "positive"), start=-1))
+    shares = v.tone(spark, sf_dir).groupBy(F.col("ticker").alias("feature")).agg(
+        *[F.avg((F.col("sentiment") == k).cast("double")).alias(k) for _, k in kinds]
+    )
+    one = F.array(*[F.struct(F.lit(c).alias("class"), F.lit(k).alias("model"), F.col(k).alias("v")) for c, k in kinds])
+    return shares.select("feature", F.explode(one).alias("x")).select("feature", "x.*")
+
+
+@query(
+    "rpt6_rank_coefficients",
+    ("weights",),
+    "SELECT class, feature, round(v, 6) AS coefficient FROM weights ORDER BY class, v DESC",
+)
+def _(spark, sf_dir):
+    rows = _weights(spark, sf_dir).select("class", "feature", F.col("v").alias("coefficient"))
+    return r6(rp.rank_coefficients(rows))
+
+
+@query(
+    "rpt7_rank_importances",
+    ("weights",),
+    "SELECT model, feature, round(v, 6) AS importance FROM weights ORDER BY model, v DESC",
+)
+def _(spark, sf_dir):
+    rows = _weights(spark, sf_dir).select("model", "feature", F.col("v").alias("importance"))
+    return r6(rp.rank_importances(rows))
+
+
+@query("rpt8_merge_comparisons", ("stacked",), COMPARE_SQL)
+def _(spark, sf_dir):
+    each = [el.compare(_stacked(spark, sf_dir).where(F.col("model") == n)) for n in ("pick_42", "pick_7")]
+    return r6(rp.merge_comparisons(*each))
+
+
+@query(
+    "rpt9_confusion_long",
+    ("confusion",),
+    """SELECT 'Pick 42' AS title, label, predicted, n::double AS n FROM confusion
+    UNPIVOT (n FOR predicted IN ("Pred_Down", "Pred_Stable", "Pred_Up"))""",
+)
+def _(spark, sf_dir):
+    matrix = el.confusion_matrix(v.preds(spark, sf_dir)).withColumn("model", F.lit("pick_42"))
+    return rp.confusion_long(matrix)
+
+
+# ---- checks ----------------------------------------------------------------------
+
+
+def _outside(column, low, high):
+    return f"sum(CASE WHEN {column} BETWEEN {low} AND {high} THEN 0 ELSE 1 END)"
+
+
+def checks_sql(rows: list[tuple[str, str]], source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS \"check\", ({expr})::bigint AS violations, ({expr}) = 0 AS passed FROM {source}"
+        for name, expr in rows
+    )
+
+
+@query(
+    "chk1_in_range",
+    ("features",),
+    checks_sql(
+        [
+            ("sentiment_score within [-1, 1]", _outside("sentiment_score", -1, 1)),
+            ("return_1d within [-50, 50]", _outside("return_1d", -50, 50)),
+        ],
+        "features",
+    ),
+)
+def _(spark, sf_dir):
+    rows = v.features(spark, sf_dir)
+    return ck.run_checks(
+        rows, [ck.in_range(rows, "sentiment_score", -1, 1), ck.in_range(rows, "return_1d", -50, 50)]
+    )
+
+
+@query(
+    "chk2_not_empty",
+    ("features",),
+    checks_sql(
+        [("not empty", "CASE WHEN count(*) > 0 THEN 0 ELSE 1 END"), ("columns ticker, target", "0 * count(*)")],
+        "features",
+    ),
+)
+def _(spark, sf_dir):
+    rows = v.features(spark, sf_dir)
+    return ck.run_checks(rows, [ck.not_empty(rows), ck.has_columns(rows, ["ticker", "target"])])
+
+
+@query(
+    "chk3_classes_equal",
+    ("features",),
+    checks_sql(
+        [
+            (
+                "target classes",
+                "3 - count(DISTINCT CASE WHEN target IN (-1, 0, 1) THEN target END) "
+                "+ sum(CASE WHEN target IN (-1, 0, 1) THEN 0 ELSE 1 END)",
+            )
+        ],
+        "features",
+    ),
+)
+def _(spark, sf_dir):
+    rows = v.features(spark, sf_dir)
+    return ck.run_checks(rows, [ck.classes_equal(rows, "target", [-1, 0, 1])])
+
+
+@query(
+    "chk4_indicator_columns",
+    ("indicators",),
+    """SELECT ticker, count(*)::bigint AS n, count(rsi)::bigint AS n_rsi, count(ma5)::bigint AS n_ma5,
+    count(daily_return)::bigint AS n_daily_return FROM indicators GROUP BY 1""",
+)
+def _(spark, sf_dir):
+    from workload.study import _indicators
+
+    return ck.group_sizes(_indicators(spark, sf_dir), "ticker", ["rsi", "ma5", "daily_return"])
+
+
+@query(
+    "chk5_at_least",
+    ("weights",),
+    checks_sql(
+        [
+            ("v at least 0", "sum(CASE WHEN v >= 0 THEN 0 ELSE 1 END)"),
+            ("not empty", "CASE WHEN count(*) > 0 THEN 0 ELSE 1 END"),
+        ],
+        "weights",
+    ),
+)
+def _(spark, sf_dir):
+    rows = _weights(spark, sf_dir)
+    return ck.run_checks(rows, [ck.at_least(rows, "v", 0), ck.not_empty(rows)])
+
+
+@query(
+    "chk6_square_counts",
+    ("confusion",),
+    checks_sql(
+        [
+            ("square", "abs(count(*) - 3)"),
+            (
+                "no negative cell",
+                'sum(CASE WHEN least("Pred_Down", "Pred_Stable", "Pred_Up") >= 0 THEN 0 ELSE 1 END)',
+            ),
+        ],
+        "confusion",
+    ),
+)
+def _(spark, sf_dir):
+    matrix = el.confusion_matrix(v.preds(spark, sf_dir))
+    return ck.run_checks(matrix, ck.square_counts(matrix))
+
+
+# ---- fitted models: rows only ----------------------------------------------------
+
+
+def _ready(spark, sf_dir):
+    return prepare(v.features(spark, sf_dir))
+
+
+def _scored(model, ready):
+    return el.predictions(model.transform(ready.test), KEY)
+
+
+@query("mdl2_grid_search")
+def _(spark, sf_dir):
+    ready = _ready(spark, sf_dir)
+    axes = m.logistic_axes(ready.train_rows, {"C": [0.1, 1.0]})
+    found = m.grid_search(m.logistic(ready.train_rows), axes, ready.train, "fold", ready.folds)
+    return m.search_table(spark, found)
+
+
+@query("mdl3_evl6_logistic")
+def _(spark, sf_dir):
+    ready = _ready(spark, sf_dir)
+    fitted = m.logistic(ready.train_rows).fit(ready.train)
+    return rp.rank_coefficients(m.coefficients(spark, fitted, ready.names))
+
+
+@query("mdl4_evl7_random_forest")
+def _(spark, sf_dir):
+    ready = _ready(spark, sf_dir)
+    return m.importances(spark, m.random_forest(20, 10).fit(ready.train), ready.names)
+
+
+@query("mdl5_adaboost")
+def _(spark, sf_dir):
+    ready = _ready(spark, sf_dir)
+    return _scored(m.adaboost(5).fit(ready.train), ready)
+
+
+@query("mdl6_boosted_trees")
+def _(spark, sf_dir):
+    ready = _ready(spark, sf_dir)
+    booster = m.boosted_trees(maxIter=5, maxDepth=3, stepSize=0.2)
+    return _scored(booster.fit(ready.train), ready)
+
+
+@query("mdl7_evl5_network")
+def _(spark, sf_dir):
+    ready = _ready(spark, sf_dir)
+    fitted = m.network(len(ready.names)).fit(ready.train)
+    return el.probabilities(fitted.transform(ready.test), KEY)
+
+
+@query("mdl8_training_history")
+def _(spark, sf_dir):
+    ready = _ready(spark, sf_dir)
+    return m.training_history(spark, m.network(len(ready.names)).fit(ready.train))
+
+
+@query("evl10_run_classification")
+def _(spark, sf_dir):
+    """Baseline and three models on one split, compared."""
+    ready = _ready(spark, sf_dir)
+    chosen = {
+        "Logistic Regression": (m.logistic(ready.train_rows), None),
+        "Random Forest": (m.random_forest(20, 10), None),
+        "FFNN": (m.network(len(ready.names), epochs=20), None),
+    }
+    return run_classification(ready, chosen).comparison
+
+
+@query("snk6_chk7_model_round_trip")
+def _(spark, sf_dir):
+    """Scaler and model saved, loaded, and applied again: predictions that differ."""
+    ready = _ready(spark, sf_dir)
+    fitted = m.random_forest(5, 5).fit(ready.train)
+    path = fresh(spark, "model")
+    writers.save_model(fitted, f"{path}/forest")
+    writers.save_model(ready.scaler, f"{path}/scaler")
+    again = type(fitted).load(f"{path}/forest")
+    PipelineModel.load(f"{path}/scaler")
+    old = _scored(fitted, ready)
+    new = _scored(again, ready).withColumnRenamed("pred", "again")
+    return old.join(new, [*KEY, "true"]).select(
+        "filing_id", "pred", "again", (F.col("pred") == F.col("again")).alias("same")
+    )
+
+
+@query("src7_snk4_result_files", ("confusion",), """SELECT 'pick_42' AS model, label, "Pred_Down"::double AS "Pred_Down",
+"Pred_Stable"::double AS "Pred_Stable", "Pred_Up"::double AS "Pred_Up" FROM confusion""")
+def _(spark, sf_dir):
+    """Metric tables written under their model's name and read back by kind."""
+    root = fresh(spark, "results")
+    writers.write_result(el.confusion_matrix(v.preds(spark, sf_dir)), root, "Pick 42", "confusion")
+    return readers.read_results(spark, root, "confusion").drop("path")
+
+
+@query(
+    "snk5_report_file",
+    ("per_class",),
+    """SELECT c::varchar AS label, round(p, 6) AS precision, round(r, 6) AS recall,
+    round(f, 6) AS f1, support FROM per_class""",
+)
+def _(spark, sf_dir):
+    """Per-class rows of the report written as JSON and read back."""
+    path = fresh(spark, "report")
+    writers.write_report(el.classification_report(v.preds(spark, sf_dir)), path)
+    schema = "label string, precision double, recall double, f1 double, support long"
+    back = spark.read.schema(schema).json(path)
+    return r6(back.where(F.col("label").rlike(r"^-?\d+$")))

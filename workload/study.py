@@ -528,8 +528,8 @@ def pieces_sql(name: str, source: str) -> None:
     define(
         f"{name}_links",
         (f"{name}_words",),
-        f"""SELECT a.filing_id, a.i, b.i AS next FROM {name}_words a ASOF LEFT JOIN {name}_words b
-        ON a.filing_id = b.filing_id AND a.run - a.cost + 1000 < b.run""",
+        f"""SELECT filing_id, i, first_value(i) OVER (PARTITION BY filing_id ORDER BY run
+        RANGE BETWEEN 1001 - cost FOLLOWING AND UNBOUNDED FOLLOWING) AS next FROM {name}_words""",
     )
     define(
         f"{name}_starts",
