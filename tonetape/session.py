@@ -14,6 +14,8 @@ def local_session(cores: str = "*", name: str = "tonetape") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # call-site tracking costs a round trip per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
