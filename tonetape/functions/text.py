@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from tonetape.schema import NEGATIVE_WORDS, POSITIVE_WORDS
 
-# What counts as white space at the ends of a line and between words.
-_SPACE = r"(?U)[\s\x1c-\x1f]"
-_STRIP = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters that count as white space.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+SPACE_RANGES = "\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # The date patterns.
 HEADER_DATE = r": (\d{8})$"
 EIGHT_DIGITS = r"(\d{8})"
@@ -35,7 +38,7 @@ def let(value: Column, body) -> Column:
 
 
 def strip(c) -> Column:
-    return F.regexp_replace(_col(c), _STRIP, "")
+    return F.btrim(_col(c), F.lit(SPACES))
 
 
 def quarter_of(month) -> Column:
@@ -168,7 +171,7 @@ def words_of(text) -> Column:
     """Words between runs of white space."""
     body = strip(text)
     return F.when(body == "", F.array().cast("array<string>")).otherwise(
-        F.split(body, _SPACE + "+")
+        F.split(body, f"[{SPACE_RANGES}]+")
     )
 
 

@@ -9,12 +9,12 @@ from tonetape.operators.ordered import DAY, SLICE_DAYS, first_on_or_after, over_
 
 # Years taken for real.
 FIRST_YEAR, LAST_YEAR = 1900, 2100
+# Bars flagged from an event on, and the flag's name.
+FLAG_ROWS, FLAG = 6, "post_earnings"
 
 
-def flag_after(
-    bars: DataFrame, events: DataFrame, n: int = 6, column: str = "post_earnings", width: int = SLICE_DAYS
-) -> DataFrame:
-    """1 on the first bar at or after each event and the n - 1 bars after it, else 0.
+def with_starts(bars: DataFrame, events: DataFrame, width: int = SLICE_DAYS) -> DataFrame:
+    """Bars with `_start`, 1 on the first bar at or after an event, else 0.
 
     Times are compared as instants (`ts` on both sides): an announcement after
     the close lands on the next bar.
@@ -31,12 +31,23 @@ def flag_after(
         .distinct()
         .withColumn("_start", F.lit(1))
     )
-    marked = bars.join(starts, ["ticker", "ts"], "left").select(
+    return bars.join(starts, ["ticker", "ts"], "left").select(
         *bars.columns, F.coalesce("_start", F.lit(0)).alias("_start")
     )
+
+
+def flag_steps(w, n: int = FLAG_ROWS, column: str = FLAG):
+    """The flag: 1 on a start and the n - 1 bars after it."""
+    return [{column: F.max("_start").over(w.rowsBetween(-(n - 1), 0))}]
+
+
+def flag_after(
+    bars: DataFrame, events: DataFrame, n: int = FLAG_ROWS, column: str = FLAG, width: int = SLICE_DAYS
+) -> DataFrame:
+    """1 on the first bar at or after each event and the n - 1 bars after it, else 0."""
     return over_series(
-        marked,
-        lambda w: [{column: F.max("_start").over(w.rowsBetween(-(n - 1), 0))}],
+        with_starts(bars, events, width),
+        lambda w: flag_steps(w, n, column),
         needs=("_start",),
         before=n - 1,
         width=width,

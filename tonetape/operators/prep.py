@@ -135,14 +135,20 @@ def fit_scaler(train: DataFrame, names: Sequence[str], out: str = "features") ->
 
     One row of statistics reaches the driver; applying the model is a map.
     """
-    spread = train.agg(*[F.stddev_pop(c).alias(c) for c in dict.fromkeys(names)]).first()
-    factors = [1.0 / spread[c] if spread[c] else 1.0 for c in names]
+    factors = train.agg(
+        *[
+            F.when(F.min(c) < F.max(c), 1 / F.stddev_pop(c)).otherwise(1.0).alias(c)
+            for c in dict.fromkeys(names)
+        ]
+    ).first()
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=list(names), outputCol="_raw"),
             StandardScaler(inputCol="_raw", outputCol="_centred", withMean=True, withStd=False),
             ElementwiseProduct(
-                scalingVec=Vectors.dense(factors), inputCol="_centred", outputCol=out
+                scalingVec=Vectors.dense([factors[c] for c in names]),
+                inputCol="_centred",
+                outputCol=out,
             ),
         ]
     ).fit(train)

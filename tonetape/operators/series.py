@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonetape.functions.series import diff, gain_loss, pct_change, rolling_mean, rolling_std, rsi
-from tonetape.operators.events import flag_after
+from tonetape.operators.events import FLAG_ROWS, flag_steps, with_starts
 from tonetape.operators.ordered import SLICE_DAYS, filled, over_series
 
 RSI_ROWS = 14
@@ -37,15 +37,18 @@ def price_indicators(
     With an events table, `post_earnings` flags the six bars from each event on;
     without one the column is absent.
     """
+    needs, flags = ["close", "volume"], lambda w: []
     if events is not None:
-        bars = flag_after(bars, events, width=width)
+        bars, flags = with_starts(bars, events, width), flag_steps
+        needs.append("_start")
     return over_series(
         bars,
-        lambda w: indicator_steps(w, window),
-        before=max(window, 10),
+        lambda w: [*indicator_steps(w, window), *flags(w)],
+        needs=needs,
+        before=max(window, 10, FLAG_ROWS),
         fill=FILLED,
         width=width,
-    ).drop(*_HELPERS)
+    ).drop(*_HELPERS, "_start")
 
 
 def gains_and_losses(bars: DataFrame, width: int = SLICE_DAYS) -> DataFrame:

@@ -1,6 +1,7 @@
 """Session set-up and the shared folder for cut lineage."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,10 +35,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialised(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and go on from there.
+    """Write `df` to the shared folder and go on from the written table.
 
-    For tables several later jobs read: work before it runs once, and a lost
-    executor costs a re-read, not a re-run.
+    For tables several later jobs read: the work before it runs once, a lost
+    executor costs a re-read and no re-run, and later jobs read only the columns
+    they use and know the table's size.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,17 @@ from tonetape.schema import FEATURES
 _PATH = "_metadata.file_path"
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Share a scan that cannot occupy the cluster out over its cores; else leave it be.
+
+    A few small files are read by a few tasks, which then do all the work per
+    row.  Only such a scan, with fewer partitions than cores, is shuffled; a
+    large one never is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def number(c) -> Column:
     """Text to double; what is not a number, or NaN, is missing."""
     v = F.expr(f"try_cast(`{c}` as double)")

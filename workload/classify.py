@@ -167,7 +167,8 @@ def _split(spark, sf_dir):
     "SELECT filing_id, part, "
     + ", ".join(
         f"round(({n} - (SELECT avg({n}) FROM split WHERE part = 'train')) / "
-        f"(SELECT stddev_pop({n}) FROM split WHERE part = 'train'), 6) AS {n}"
+        f"(SELECT CASE WHEN min({n}) < max({n}) THEN stddev_pop({n}) ELSE 1 END "
+        f"FROM split WHERE part = 'train'), 6) AS {n}"
         for n in NAMES[:4]
     )
     + " FROM split",

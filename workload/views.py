@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tonetape.operators.models import random_baseline
 from tonetape.operators.sentiment import keyword_sentiment
 from tonetape.operators.events import build_features
+from tonetape.sources.readers import spread
 
 POSITIVE = ("ent", "er")
 NEGATIVE = ("ion", "an")
@@ -15,8 +16,15 @@ DATES = {"start": START, "end": END}
 MOVES = {"up": 25.0, "down": -25.0}
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file the first time only."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def companies(spark, sf_dir) -> DataFrame:
@@ -64,8 +72,9 @@ def bars(spark, sf_dir) -> DataFrame:
 
 def _numbered(spark, sf_dir) -> DataFrame:
     """Documents with a ticker and a date; at most five companies, safe to broadcast."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return (
-        table(spark, sf_dir, "documents")
+        spread(documents, "doc_id")
         .withColumn("idx", F.col("doc_id") % 5)
         .join(F.broadcast(companies(spark, sf_dir)), "idx")
         .withColumn("d", F.date_add(F.lit("1995-01-01").cast("date"), (F.col("doc_id") * 37 % 2400).cast("int")))
