@@ -1,6 +1,7 @@
 """Run queries next to their SQL and compare the rows."""
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -51,6 +52,10 @@ def main(sf_dir, names):
     from tonetape.session import local_session
 
     spark = local_session("8")
+    if zone := os.environ.get("COMPARE_ZONE"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    if parts := os.environ.get("COMPARE_PARTITIONS"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonetape.functions.labels import class_name, decode_label
-from tonetape.schema import CLASSES
+from tonetape.operators.prep import present_values
+from tonetape.schema import CLASS_NAMES, CLASSES
 
 
 def _hit():
@@ -94,8 +95,7 @@ def confusion_matrix(preds: DataFrame, labels: Sequence[int] | None = None) -> D
     """
     cells = class_cells(preds)
     if labels is None:
-        sides = cells.select(F.explode(F.array("true", "pred")).alias("c")).distinct()
-        labels = [r[0] for r in sides.where(F.col("c").isNotNull()).collect()]
+        labels = present_values(cells.select(F.explode(F.array("true", "pred")).alias("c")), "c")
     labels = sorted(labels)
     names = {c: _title(c) for c in labels}
     spine = preds.sparkSession.createDataFrame([(c,) for c in labels], "true int")
@@ -114,8 +114,6 @@ def confusion_matrix(preds: DataFrame, labels: Sequence[int] | None = None) -> D
 
 
 def _title(c) -> str:
-    from tonetape.schema import CLASS_NAMES
-
     return CLASS_NAMES.get(c, str(c))
 
 

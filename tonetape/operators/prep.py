@@ -18,14 +18,21 @@ def complete_rows(df: DataFrame) -> DataFrame:
     return df.na.drop("any")
 
 
+def present_values(df: DataFrame, column: str, most: int = 1000) -> list:
+    """The distinct values of a category column, sorted; more than `most` is an error."""
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values and is no category")
+    return sorted(r[0] for r in found)
+
+
 def one_hot(df: DataFrame, column: str, values: Sequence[str] | None = None) -> DataFrame:
     """One 0/1 column per category, the category column dropped.
 
-    Without `values` the categories present are looked up: a distinct over the
-    column, combined before it is fetched.
+    Without `values` the categories present are looked up.
     """
     if values is None:
-        values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect()]
+        values = present_values(df, column)
     flags = {
         f"{column}_{v}": F.when(F.col(column) == v, 1.0).otherwise(0.0) for v in sorted(values)
     }

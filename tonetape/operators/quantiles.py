@@ -28,12 +28,14 @@ def exact_quantiles(
     answer.
     """
     grid = [i / cuts for i in range(1, cuts)]
-    edges = counts.groupBy(by).agg(F.percentile_approx("value", grid, 1000).alias("_edges"))
+    edges = counts.groupBy(by).agg(
+        F.array_distinct(F.percentile_approx("value", grid, 1000)).alias("_edges")
+    )
     sliced = counts.join(edges, by).select(
         by,
         "value",
         "n",
-        F.size(F.filter(F.array_distinct("_edges"), lambda e: e < F.col("value"))).alias("_slice"),
+        F.size(F.filter("_edges", lambda e: e < F.col("value"))).alias("_slice"),
     )
     order = Window.partitionBy(by).orderBy("_slice")
     totals = (

@@ -86,43 +86,37 @@ def between_dates(df: DataFrame, column: str, start: str, end: str) -> DataFrame
     return df.where(F.col(column).between(F.lit(start).cast(kind), F.lit(end).cast(kind)))
 
 
-def read_filings(spark: SparkSession, root: str) -> DataFrame:
+def read_filings(spark: SparkSession, root: str, most_broadcast: int = 200_000) -> DataFrame:
     """One text per filing folder `<root>/<ticker>/8-K/<filing_id>/*.txt`.
 
-    Of several files the least path is taken.  The choice is made on path names
-    alone, so texts are not shuffled to make it.  Bytes that are not UTF-8 are
-    dropped and line ends become newlines.
+    Of several files the least path is taken.  That is settled on path names
+    alone: the files passed over are counted first, and where they are few, as
+    they are when a folder holds one file, they are broadcast to the scan and no
+    text is shuffled.  Past `most_broadcast` of them an ordinary join does it.
+    Bytes that are not UTF-8 are dropped and line ends become newlines.
     """
-    def scan():
-        return (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.txt")
-            .load(root)
-        )
-
     parts = r"([^/]+)/8-K/([^/]+)/[^/]+\.txt$"
-    named = scan().select(
-        F.regexp_extract("path", parts, 1).alias("ticker"),
-        F.regexp_extract("path", parts, 2).alias("filing_id"),
-        "path",
-    )
-    first = (
-        named.where(F.col("ticker") != "")
-        .groupBy("ticker", "filing_id")
-        .agg(F.min("path").alias("path"))
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.txt")
+        .load(root)
+        .withColumn("ticker", F.regexp_extract("path", parts, 1))
+        .withColumn("filing_id", F.regexp_extract("path", parts, 2))
+        .where(F.col("ticker") != "")
     )
+    folder = ["ticker", "filing_id"]
+    first = files.groupBy(*folder).agg(F.min("path").alias("first"))
+    passed = files.join(first, folder).where("path > first").select("path")
+    n = passed.count()
+    if n:
+        files = files.join(F.broadcast(passed) if n <= most_broadcast else passed, "path", "left_anti")
     raw = F.col("content").cast("string")
     decoded = F.when(F.is_valid_utf8(raw), raw).otherwise(
         F.replace(F.make_valid_utf8(raw), F.lit("\ufffd"), F.lit(""))
     )
     text = F.regexp_replace(decoded, "\r\n?", "\n")
-    return (
-        scan()
-        .select("path", "content")
-        .join(first, "path")
-        .select("ticker", "filing_id", "path", text.alias("text"))
-    )
+    return files.select("ticker", "filing_id", "path", text.alias("text"))
 
 
 def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
