@@ -231,6 +231,9 @@ def test_box_stats(spark):
     assert [got["a"]["q25"], got["a"]["median"], got["a"]["q75"]] == pytest.approx(list(q))
     assert (got["a"]["whisker_low"], got["a"]["whisker_high"], got["a"]["n_outliers"]) == (1.0, 5.0, 3)
     assert rows(outliers) == [("a", -50.0, 1), ("a", 100.0, 2)]
+    lone = spark.createDataFrame([("c", v) for v in (1.0, 1.0, 1.0, 100.0)], "k string, v double")
+    box = rp.box_stats(lone, "k", "v")[0].first()
+    assert (box["q75"], box["whisker_high"], box["n_outliers"]) == (25.75, 25.75, 1)
     assert got["b"]["n"] == 1 and got["b"]["whisker_low"] == 7.0
 
 
@@ -388,6 +391,15 @@ def test_grid_search_takes_first_of_equal_points(spark, separable):
     assert len(boosted.avgMetrics) == 2
 
 
+def test_grid_reaches_the_members_of_one_vs_rest(spark, separable):
+    found = m.grid_search(
+        m.boosted_trees(maxDepth=2), {"maxIter": [1, 2]}, separable.train, "fold", separable.folds
+    )
+    sizes = [x.getNumTrees for x in found.bestModel.models]
+    best = found.avgMetrics.index(max(found.avgMetrics)) + 1
+    assert sizes == [best] * 3
+
+
 def test_grids_have_the_searched_sizes(spark):
     assert len(m.param_grid(m.logistic(10), m.logistic_axes(10))) == 5
     assert len(m.param_grid(m.random_forest(), m.FOREST_GRID)) == 27

@@ -1,8 +1,9 @@
-"""As-of join, windows around an event, and the feature table against a row loop."""
+"""As-of join, windows around an event, and the feature table against pandas."""
 
 import datetime as dt
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from conftest import rows
@@ -96,33 +97,37 @@ def test_pre_window_bounds(spark, width):
     assert got == [(days[0], None, None), (days[1], 5.0, 50.0), (days[2], None, None)]
 
 
-def loop_features(bars, tone, up=1.0, down=-1.0):
-    """The study, one filing at a time."""
-    out = []
-    for ticker, company, year, quarter, score, kind, filing in tone:
-        part = bars[bars["ticker"] == ticker]
-        if part.empty or not (1900 <= year <= 2100 and 1 <= quarter <= 4):
-            continue
-        anchor = DAY(year, quarter * 3 - 1, 15)
-        after = part[part["d"] >= anchor]
-        if after.empty:
-            continue
-        day = after["d"].iloc[0]
-        post = part[(part["d"] >= day) & (part["d"] <= day + dt.timedelta(days=5))]
-        if len(post) < 2 or pd.isna(post["daily_return"].iloc[1]):
-            continue
-        move = post["daily_return"].iloc[1]
-        pre = part[(part["d"] >= day - dt.timedelta(days=7)) & (part["d"] < day)]
-        out.append(
-            (filing, day, move, 1 if move > up else -1 if move < down else 0,
-             pre["daily_return"].mean(), pre["volume_change"].mean(),
-             pre["rsi"].iloc[-1] if len(pre) else None)
+def plain_features(bars, tone, up=1.0, down=-1.0):
+    """The study in pandas: windows per bar by position, then a forward merge of anchors."""
+    wide = []
+    for _, part in bars.groupby("ticker"):
+        at = np.array([d.toordinal() for d in part["d"]])
+        low = np.searchsorted(at, at - 7)
+        part = part.assign(
+            day=pd.to_datetime(part["d"]),
+            return_1d=part["daily_return"].shift(-1),
+            near=np.append(np.diff(at) <= 5, False),
+            pre_return=[part["daily_return"].iloc[i:j].mean() for j, i in enumerate(low)],
+            pre_volume_change=[part["volume_change"].iloc[i:j].mean() for j, i in enumerate(low)],
+            pre_rsi=[part["rsi"].iloc[j - 1] if i < j else np.nan for j, i in enumerate(low)],
         )
-    return pd.DataFrame(out, columns=["filing_id", "report_date", "return_1d", "target", "pre_return", "pre_volume_change", "pre_rsi"])
+        wide.append(part)
+    wide = pd.concat(wide).drop(columns="ts").sort_values("day")
+    asked = pd.DataFrame(tone, columns=["ticker", "company", "year", "quarter", "score", "kind", "filing_id"])
+    asked = asked[asked["year"].between(1900, 2100) & asked["quarter"].between(1, 4)]
+    asked = asked.assign(
+        anchor=pd.to_datetime(dict(year=asked["year"], month=3 * asked["quarter"] - 1, day=15))
+    ).astype({"anchor": wide["day"].dtype})
+    out = pd.merge_asof(
+        asked.sort_values("anchor"), wide, left_on="anchor", right_on="day", by="ticker", direction="forward"
+    )
+    out = out[out["near"].eq(True) & out["return_1d"].notna()]
+    target = (out["return_1d"] > up).astype(int) - (out["return_1d"] < down).astype(int)
+    return out.assign(target=target, report_date=out["d"])
 
 
 @pytest.mark.parametrize("seed,width", [(1, 9), (2, 64), (5, 512)])
-def test_features_equal_row_loop(spark, seed, width):
+def test_features_equal_pandas(spark, seed, width):
     data = random_bars(seed, tickers=3, n=260)
     rng = random.Random(seed)
     tone = []
@@ -133,7 +138,7 @@ def test_features_equal_row_loop(spark, seed, width):
     schema = "ticker string, company string, year int, quarter int, sentiment_score double, sentiment string, filing_id string"
     got = build_features(spark.createDataFrame(tone, schema), spark.createDataFrame(data, SCHEMA), width=width)
     got = got.toPandas().sort_values("filing_id").reset_index(drop=True)
-    want = loop_features(pandas_indicators(data), tone).sort_values("filing_id").reset_index(drop=True)
+    want = plain_features(pandas_indicators(data), tone).sort_values("filing_id").reset_index(drop=True)
     assert len(want) > 20
     assert list(got["filing_id"]) == list(want["filing_id"])
     assert list(got["report_date"]) == list(want["report_date"])

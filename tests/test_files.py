@@ -126,3 +126,21 @@ def test_prefer(spark):
     assert rows(readers.prefer(a, b)) == [(1,)]
     assert rows(readers.prefer(a.limit(0), b)) == [(2,)]
     assert rows(readers.prefer(None, b)) == [(2,)]
+
+
+def test_text_is_scored_in_one_unshuffled_pass(spark, tmp_path):
+    """Neither tone job moves a text, and only the columns used are read."""
+    from tonetape.operators.sentiment import document_sentiment
+
+    path = str(tmp_path / "filings")
+    spark.createDataFrame(
+        [("AAPL", "1", "p", "x : 20210415\ngain", "unused")],
+        "ticker string, filing_id string, path string, text string, more string",
+    ).write.parquet(path)
+    filings = spark.read.parquet(path)
+    for job in (keyword_sentiment, document_sentiment):
+        out = job(filings, companies_dim(spark))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan and "SinglePartition" not in plan
+        assert "more" not in plan
+        assert out.count() == 1

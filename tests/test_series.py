@@ -97,19 +97,22 @@ SCHEMA = "ticker string, ts timestamp, d date, close double, volume double"
 
 
 def pandas_indicators(data):
-    out = []
-    for ticker, part in pd.DataFrame(data, columns=["ticker", "ts", "d", "close", "volume"]).groupby("ticker"):
-        part = part.sort_values("d").copy()
-        close, volume = part["close"].astype(float), part["volume"].astype(float)
-        part["daily_return"] = close.ffill().pct_change(fill_method=None) * 100
-        part["volume_change"] = volume.ffill().pct_change(fill_method=None) * 100
-        part["ma5"], part["ma10"] = close.rolling(5).mean(), close.rolling(10).mean()
-        delta = close.diff()
-        up = delta.where(delta > 0, 0).rolling(14).mean()
-        down = (-delta.where(delta < 0, 0)).rolling(14).mean()
-        part["rsi"] = 100 - 100 / (1 + up / down)
-        out.append(part)
-    return pd.concat(out).sort_values(["ticker", "d"]).reset_index(drop=True)
+    """The indicator columns, ticker by ticker, on padded and raw series."""
+    table = pd.DataFrame(data, columns=["ticker", "ts", "d", "close", "volume"])
+    table = table.sort_values(["ticker", "d"], ignore_index=True).astype({"close": float, "volume": float})
+    by = table["ticker"]
+
+    def mean(x, n):
+        return x.groupby(by).transform(lambda v: v.rolling(n).mean())
+
+    for source, name in (("close", "daily_return"), ("volume", "volume_change")):
+        padded = table.groupby("ticker")[source].ffill()
+        table[name] = 100 * (padded / padded.groupby(by).shift() - 1)
+    table["ma5"], table["ma10"] = mean(table["close"], 5), mean(table["close"], 10)
+    step = table.groupby("ticker")["close"].diff().fillna(0.0)
+    rise, drop = mean(step.clip(lower=0), 14), mean(-step.clip(upper=0), 14)
+    table["rsi"] = 100 * rise / (rise + drop)
+    return table
 
 
 def assert_close(got, want, names):

@@ -2,6 +2,8 @@
 
 import random
 import re
+from bisect import bisect_right
+from itertools import accumulate, pairwise
 
 import pytest
 from conftest import rows
@@ -35,19 +37,14 @@ def test_header_date(spark):
 
 
 def plain_date(text):
-    """First date in the first thirty lines, form by form."""
-    lines = [x.strip() for x in text.split("\n")[:30]]
-    for x in lines:
-        if found := re.search(r": (\d{8})$", x):
-            return int(found[1][:4]), int(found[1][4:6])
-    for i, x in enumerate(lines[:-1]):
-        if "FILING-DATE" in x or "ACCEPTANCE-DATETIME" in x:
-            if found := re.search(r"(\d{8})", lines[i + 1]):
-                return int(found[1][:4]), int(found[1][4:6])
-    for x in lines:
-        if found := re.search(r"(\d{1,2})[/-](\d{1,2})[/-](\d{4})", x):
-            return int(found[3]), int(found[1])
-    return None
+    """The rule as a search over candidate (line, pattern) pairs in order of rank."""
+    head = [x.strip() for x in text.split("\n")][:30]
+    under = [b for a, b in pairwise(head) if re.search("FILING-DATE|ACCEPTANCE-DATETIME", a)]
+    compact = [r": (\d{4})(\d\d)\d\d$", r"(\d{4})(\d\d)\d\d"]
+    ranked = [re.search(compact[0], x) for x in head] + [re.search(compact[1], x) for x in under]
+    slashed = [re.search(r"(\d{1,2})[/-]\d{1,2}[/-](\d{4})", x) for x in head]
+    found = [(int(f[1]), int(f[2])) for f in ranked if f] + [(int(f[2]), int(f[1])) for f in slashed if f]
+    return found[0] if found else None
 
 
 def test_filing_date_forms(spark):
@@ -133,16 +130,17 @@ def test_sample_sizes_and_members(spark):
 
 
 def plain_chunks(text, most=1000):
-    out, now, used = [], [], 0
-    for word in text.split():
-        cost = len(word) // 4 + 1
-        if used + cost > most:
-            out.append(" ".join(now))
-            now, used = [word], cost
-        else:
-            now.append(word)
-            used += cost
-    return [*out, " ".join(now)] if now else out
+    """Chunk ends looked up in the running cost."""
+    words = text.split()
+    run = list(accumulate(len(w) // 4 + 1 for w in words))
+    out = [""] if run and run[0] > most else []
+    at = 0
+    while at < len(words):
+        before = run[at - 1] if at else 0
+        end = max(at + 1, bisect_right(run, before + most))
+        out.append(" ".join(words[at:end]))
+        at = end
+    return out
 
 
 def test_chunks(spark):

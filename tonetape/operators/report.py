@@ -42,7 +42,8 @@ def box_stats(
 ) -> tuple[DataFrame, DataFrame]:
     """Quartiles and whiskers per group, and the values outside the whiskers.
 
-    Whiskers are the outermost values within whis * IQR of the box.  Works on
+    Whiskers are the outermost values within whis * IQR of the box, and never end
+    inside the box, whose edges may lie between two values.  Works on
     one row per distinct value; outliers come with their number of rows.
     """
     counts = value_counts(df, by, column)
@@ -54,8 +55,8 @@ def box_stats(
     )
     near = F.col("value").between(F.col("_lo"), F.col("_hi"))
     stats = fenced.groupBy(by, "q0", "q1", "q2").agg(
-        F.min(F.when(near, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(near, F.col("value"))).alias("whisker_high"),
+        F.least("q0", F.min(F.when(near, F.col("value")))).alias("whisker_low"),
+        F.greatest("q2", F.max(F.when(near, F.col("value")))).alias("whisker_high"),
         F.sum("n").alias("n"),
         F.coalesce(F.sum(F.when(~near, F.col("n"))), F.lit(0)).alias("n_outliers"),
     )

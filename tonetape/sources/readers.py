@@ -95,7 +95,8 @@ def read_filings(spark: SparkSession, root: str, most_broadcast: int = 200_000)
     text is shuffled.  Past `most_broadcast` of them an ordinary join does it.
     Bytes that are not UTF-8 are dropped and line ends become newlines.
     """
-    parts = r"([^/]+)/8-K/([^/]+)/[^/]+\.txt$"
+    # plain folders, or the name=value folders of a partitioned write
+    parts = r"([^/=]+)/(?:[^/=]+=)?8-K/(?:[^/=]+=)?([^/=]+)/[^/]+\.txt$"
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)

@@ -374,8 +374,8 @@ define(
     "rpt5_box_stats",
     ("fenced",),
     """SELECT ticker, round(q1, 6) AS q25, round(q2, 6) AS median, round(q3, 6) AS q75,
-    round(min(sentiment_score) FILTER (WHERE near), 6) AS whisker_low,
-    round(max(sentiment_score) FILTER (WHERE near), 6) AS whisker_high,
+    round(least(q1, min(sentiment_score) FILTER (WHERE near)), 6) AS whisker_low,
+    round(greatest(q3, max(sentiment_score) FILTER (WHERE near)), 6) AS whisker_high,
     count(*)::bigint AS n, count(*) FILTER (WHERE NOT near)::bigint AS n_outliers
     FROM fenced GROUP BY ticker, q1, q2, q3""",
 )

@@ -124,6 +124,21 @@ def _(spark, sf_dir):
     return readers.read_event_dates(spark, path).select("ticker", F.col("ts").cast("date").alias("d"))
 
 
+@query(
+    "src4_filing_tree",
+    ("filings",),
+    "SELECT ticker, filing_id::varchar AS filing_id, text || chr(10) AS text FROM filings",
+)
+def _(spark, sf_dir):
+    """Filings written as a tree of text files and read back; a text file ends its last line."""
+    path = fresh(spark, "tree")
+    tree = v.filings(spark, sf_dir).select(
+        "ticker", F.lit("8-K").alias("form"), "filing_id", F.col("text").alias("value")
+    )
+    tree.write.partitionBy("ticker", "form", "filing_id").text(path)
+    return readers.read_filings(spark, path).drop("path")
+
+
 FEATURES_SQL = """SELECT ticker, company, year, quarter, report_date,
 round(sentiment_score, 6) AS sentiment_score, sentiment, round(return_1d, 6) AS return_1d, target,
 round(pre_return, 6) AS pre_return, round(pre_volume_change, 6) AS pre_volume_change,
