@@ -7,7 +7,6 @@ import numpy as np
 import pytest
 from conftest import rows
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -17,7 +16,7 @@ from tonetape.operators import models as m
 from tonetape.operators import prep as pp
 from tonetape.operators import report as rp
 from tonetape.operators.quantiles import exact_quantiles, value_counts
-from tonetape.plans.pipeline import prepare, run_classification
+from tonetape.plans.study import prepare, run_classification
 from tonetape.sources import writers
 
 

@@ -2,14 +2,13 @@
 
 import datetime as dt
 
-import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tonetape.operators.evaluate import confusion_matrix
 from tonetape.operators.sentiment import keyword_sentiment, companies_dim
 from tonetape.operators.series import price_indicators
-from tonetape.plans.pipeline import study_features
+from tonetape.plans.study import study_features
 from tonetape.sources import readers, writers
 
 
@@ -144,3 +143,10 @@ def test_text_is_scored_in_one_unshuffled_pass(spark, tmp_path):
         assert "hashpartitioning" not in plan and "SinglePartition" not in plan
         assert "more" not in plan
         assert out.count() == 1
+
+
+def test_no_files_is_no_rows(spark, tmp_path):
+    assert readers.read_prices(spark, str(tmp_path)).count() == 0
+    assert readers.read_event_dates(spark, str(tmp_path / "none")).count() == 0
+    for kind in readers.RESULT_KINDS:
+        assert readers.read_results(spark, str(tmp_path), kind).count() == 0

@@ -6,12 +6,11 @@ import random
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from tonetape.operators.events import event_windows, flag_after
 from tonetape.operators.ordered import over_series
 from tonetape.operators.series import gains_and_losses, price_indicators, volatility
-from tonetape.functions.series import pct_change, rolling_mean
+from tonetape.functions.series import rolling_mean
 
 D0 = dt.date(2021, 1, 1)
 

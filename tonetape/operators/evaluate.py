@@ -30,19 +30,20 @@ def classification_report(preds: DataFrame) -> DataFrame:
     Classes are those in true or pred; a ratio with nothing below the line is 0.
     The predictions are read once, into at most classes^2 counts.
     """
-    right = F.when(F.col("true") == F.col("pred"), F.col("n"))
-    sides = class_cells(preds).select(
-        F.explode(
-            F.array(
-                F.struct(F.col("true").alias("c"), F.col("n").alias("t"), F.lit(0).cast("long").alias("p"), right.alias("r")),
-                F.struct(F.col("pred").alias("c"), F.lit(0).cast("long").alias("t"), F.col("n").alias("p"), F.lit(None).cast("long").alias("r")),
-            )
-        ).alias("x")
-    ).select("x.*")
+    right = F.when(F.col("true") == F.col("pred"), F.col("n")).otherwise(0)
+    none = F.lit(0).cast("long")
+
+    def side(c, support, said, hits):
+        return F.struct(
+            F.col(c).alias("c"), support.alias("t"), said.alias("p"), hits.cast("long").alias("r")
+        )
+
+    both = F.array(side("true", F.col("n"), none, right), side("pred", none, F.col("n"), none))
+    sides = class_cells(preds).select(F.explode(both).alias("x")).select("x.*")
     zero = F.lit(0.0)
     per_class = (
         sides.groupBy("c")
-        .agg(F.sum("t").alias("support"), F.sum("p").alias("said"), F.coalesce(F.sum("r"), F.lit(0)).alias("right"))
+        .agg(F.sum("t").alias("support"), F.sum("p").alias("said"), F.sum("r").alias("right"))
         .withColumn("precision", F.coalesce(F.try_divide("right", "said"), zero))
         .withColumn("recall", F.coalesce(F.try_divide("right", "support"), zero))
         .withColumn(
@@ -63,14 +64,14 @@ def classification_report(preds: DataFrame) -> DataFrame:
         *[F.avg(m).alias(f"macro_{m}") for m in metrics],
         *[(F.sum(F.col(m) * F.col("support")) / rows).alias(f"weighted_{m}") for m in metrics],
     )
-    none = F.lit(None).cast("double")
+    blank = F.lit(None).cast("double")
     summary = totals.select(
         F.explode(
             F.array(
                 F.struct(
                     F.lit("accuracy").alias("label"),
-                    none.alias("precision"),
-                    none.alias("recall"),
+                    blank.alias("precision"),
+                    blank.alias("recall"),
                     F.col("accuracy").alias("f1"),
                 ),
                 *[
@@ -84,7 +85,8 @@ def classification_report(preds: DataFrame) -> DataFrame:
         ).alias("x"),
         "support",
     ).select("x.*", "support")
-    return per_class.select(F.col("c").cast("string").alias("label"), *metrics, "support").unionByName(summary)
+    label = F.col("c").cast("string").alias("label")
+    return per_class.select(label, *metrics, "support").unionByName(summary)
 
 
 def confusion_matrix(preds: DataFrame, labels: Sequence[int] | None = None) -> DataFrame:
@@ -109,7 +111,10 @@ def confusion_matrix(preds: DataFrame, labels: Sequence[int] | None = None) -> D
         F.broadcast(spine)
         .join(counted, "true", "left")
         .na.fill(0)
-        .select(F.concat(F.lit("True_"), class_name("true")).alias("label"), *[f"Pred_{names[c]}" for c in labels])
+        .select(
+            F.concat(F.lit("True_"), class_name("true")).alias("label"),
+            *[f"Pred_{names[c]}" for c in labels],
+        )
     )
 
 

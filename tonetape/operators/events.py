@@ -5,12 +5,20 @@ from pyspark.sql import functions as F
 
 from tonetape.functions.labels import label_move
 from tonetape.operators.ordered import DAY, SLICE_DAYS, first_on_or_after, over_series
+from tonetape.operators.steps import (
+    FILLED,
+    FLAG,
+    FLAG_ROWS,
+    RSI_ROWS,
+    flag_steps,
+    indicator_steps,
+    post_steps,
+    pre_steps,
+)
 
 
 # Years taken for real.
 FIRST_YEAR, LAST_YEAR = 1900, 2100
-# Bars flagged from an event on, and the flag's name.
-FLAG_ROWS, FLAG = 6, "post_earnings"
 
 
 def with_starts(bars: DataFrame, events: DataFrame, width: int = SLICE_DAYS) -> DataFrame:
@@ -36,11 +44,6 @@ def with_starts(bars: DataFrame, events: DataFrame, width: int = SLICE_DAYS) ->
     )
 
 
-def flag_steps(w, n: int = FLAG_ROWS, column: str = FLAG):
-    """The flag: 1 on a start and the n - 1 bars after it."""
-    return [{column: F.max("_start").over(w.rowsBetween(-(n - 1), 0))}]
-
-
 def flag_after(
     bars: DataFrame, events: DataFrame, n: int = FLAG_ROWS, column: str = FLAG, width: int = SLICE_DAYS
 ) -> DataFrame:
@@ -66,30 +69,6 @@ def quarter_anchor(year: str, quarter: str, day: int = 15) -> Column:
     )
 
 
-def post_steps(w, days: int = 5):
-    """`has_post`: a second bar within `days` calendar days; `return_1d`: its return."""
-    return [
-        {
-            "has_post": F.coalesce(F.lead(DAY, 1).over(w) <= F.col(DAY) + days, F.lit(False)),
-            "return_1d": F.when(
-                F.lead(DAY, 1).over(w) <= F.col(DAY) + days, F.lead("daily_return", 1).over(w)
-            ),
-        }
-    ]
-
-
-def pre_steps(w, days: int = 7):
-    """Means and last RSI over the bars of the `days` calendar days before each bar."""
-    span = w.rangeBetween(-days, -1)
-    return [
-        {
-            "pre_return": F.avg("daily_return").over(span),
-            "pre_volume_change": F.avg("volume_change").over(span),
-            "pre_rsi": F.last("rsi").over(span),
-        }
-    ]
-
-
 def post_return(indicators: DataFrame, days: int = 5, width: int = SLICE_DAYS) -> DataFrame:
     """Return of the bar after each bar, kept where it lies within `days` days."""
     return (
@@ -137,8 +116,6 @@ def event_windows(
     join.  A series' first bar answers for every anchor before it.  Indicators,
     both windows and the lag share one pass over the sliced series.
     """
-    from tonetape.operators.series import FILLED, RSI_ROWS, indicator_steps
-
     passed = over_series(
         bars.select("ticker", "d", "close", "volume"),
         lambda w: [

@@ -83,7 +83,16 @@ class StumpBoost(
     every = 10
 
     @keyword_only
-    def __init__(self, *, featuresCol="features", labelCol="label", predictionCol="prediction", maxIter=50, stepSize=1.0, seed=SEED):
+    def __init__(
+        self,
+        *,
+        featuresCol="features",
+        labelCol="label",
+        predictionCol="prediction",
+        maxIter=50,
+        stepSize=1.0,
+        seed=SEED,
+    ):
         super().__init__()
         self._setDefault(maxIter=50, stepSize=1.0, seed=SEED)
         self._set(**self._input_kwargs)
@@ -148,7 +157,12 @@ def _read_stump(model) -> list[float]:
 class StumpBoostModel(Model, _Stumps, DefaultParamsReadable, DefaultParamsWritable):
     """Weighted vote of stumps, one expression over the feature vector."""
 
-    stumps = Param(Params._dummy(), "stumps", "feature, threshold, left, right, weight of each", TypeConverters.toList)
+    stumps = Param(
+        Params._dummy(),
+        "stumps",
+        "feature, threshold, left, right, weight of each",
+        TypeConverters.toList,
+    )
     classes = Param(Params._dummy(), "classes", "number of classes", TypeConverters.toInt)
 
     @keyword_only

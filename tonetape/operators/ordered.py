@@ -36,13 +36,14 @@ def _borrowed(rows: DataFrame, key: str, names, before: int, after: int, fill) -
     `before` rows.
     """
     w = Window.partitionBy(key, SLICE).orderBy(DAY)
+    to_here = w.rowsBetween(Window.unboundedPreceding, 0)
     item = [F.col(DAY), *[F.col(n) for n in names]]
-    item += [F.last(n, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(filled(n)) for n in fill]
+    item += [F.last(n, ignorenulls=True).over(to_here).alias(filled(n)) for n in fill]
     edges = rows.select(
         key,
         SLICE,
-        F.lead(DAY, before).over(w).isNull().alias("_is_tail") if before else F.lit(False).alias("_is_tail"),
-        F.lag(DAY, after).over(w).isNull().alias("_is_head") if after else F.lit(False).alias("_is_head"),
+        (F.lead(DAY, before).over(w).isNull() if before else F.lit(False)).alias("_is_tail"),
+        (F.lag(DAY, after).over(w).isNull() if after else F.lit(False)).alias("_is_head"),
         F.struct(*item).alias("_row"),
     )
     ends = edges.groupBy(key, SLICE).agg(
@@ -146,7 +147,8 @@ def first_on_or_after(
     distinct rows first; slices look up what follows them in one row per slice.
     """
     by = list(by)
-    asked = wanted.select(*by, "at").distinct().withColumn("mark", F.lit(None).cast(marks.schema["at"].dataType))
+    unmarked = F.lit(None).cast(marks.schema["at"].dataType)
+    asked = wanted.select(*by, "at").distinct().withColumn("mark", unmarked)
     found = marks.select(*by, "at").distinct().withColumn("mark", F.col("at"))
     both = (
         asked.unionByName(found)
@@ -156,7 +158,8 @@ def first_on_or_after(
     # newest first, so a running minimum gives the nearest mark at or after each row
     newest = Window.partitionBy(*by, SLICE).orderBy(F.col("at").desc())
     inside = both.withColumn(
-        "match", F.min("mark").over(newest.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        "match",
+        F.min("mark").over(newest.rangeBetween(Window.unboundedPreceding, Window.currentRow)),
     ).where(F.col("mark").isNull())
     later = Window.partitionBy(*by).orderBy(F.col(SLICE).desc())
     # asks for `at` as well, so that it shares the exchange of the other branch

@@ -49,9 +49,9 @@ def box_stats(
     counts = value_counts(df, by, column)
     quartiles = exact_quantiles(counts, by)
     reach = whis * (F.col("q2") - F.col("q0"))
+    low, high = (F.col("q0") - reach).alias("_lo"), (F.col("q2") + reach).alias("_hi")
     fenced = counts.join(
-        quartiles.select(by, "q0", "q1", "q2", (F.col("q0") - reach).alias("_lo"), (F.col("q2") + reach).alias("_hi")),
-        by,
+        quartiles.select(by, "q0", "q1", "q2", low, high), by
     )
     near = F.col("value").between(F.col("_lo"), F.col("_hi"))
     stats = fenced.groupBy(by, "q0", "q1", "q2").agg(

@@ -25,7 +25,7 @@ from tonetape.schema import COMPANIES, END_DATE, NEGATIVE_WORDS, POSITIVE_WORDS,
 
 
 def companies_dim(spark, pairs=None) -> DataFrame:
-    """Ticker -> company, a fixed list handed in by the caller."""
+    """Ticker -> company from a mapping, the fixed list by default."""
     pairs = COMPANIES if pairs is None else pairs
     return spark.createDataFrame(list(dict(pairs).items()), "ticker string, company string")
 

@@ -1,34 +1,16 @@
 """Price indicators: returns, moving averages, RSI, per ticker."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tonetape.functions.series import diff, gain_loss, pct_change, rolling_mean, rolling_std, rsi
-from tonetape.operators.events import FLAG_ROWS, flag_steps, with_starts
+from tonetape.functions.series import diff, gain_loss, pct_change, rolling_std
+from tonetape.operators.events import with_starts
 from tonetape.operators.ordered import SLICE_DAYS, filled, over_series
+from tonetape.operators.steps import FILLED, FLAG_ROWS, RSI_ROWS, flag_steps, indicator_steps
 
-RSI_ROWS = 14
-FILLED = ("close", "volume")
 OUTPUTS = ("daily_return", "ma5", "ma10", "volume_change", "rsi")
 _HELPERS = ("_delta", "_gain", "_loss")
 
 
-def indicator_steps(w, window: int = RSI_ROWS):
-    """Indicator columns in order of need; later groups read earlier ones."""
-    gain, loss = gain_loss("_delta")
-    return [
-        {
-            "daily_return": pct_change(filled("close"), w),
-            "volume_change": pct_change(filled("volume"), w),
-            "ma5": rolling_mean("close", 5, w),
-            "ma10": rolling_mean("close", 10, w),
-            "_delta": diff("close", w),
-        },
-        {"_gain": gain, "_loss": loss},
-        {"rsi": rsi("_gain", "_loss", window, w)},
-    ]
-
-
 def price_indicators(
     bars: DataFrame, events: DataFrame | None = None, window: int = RSI_ROWS, width: int = SLICE_DAYS
 ) -> DataFrame:

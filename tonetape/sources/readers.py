@@ -1,12 +1,13 @@
 """Readers: prices, event dates, filings, features, result files."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tonetape.schema import FEATURES
 
-_PATH = "_metadata.file_path"
+_PATH = "path"
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:
@@ -31,16 +32,21 @@ def instant(c: str) -> Column:
     return F.expr(f"try_cast(`{c}` as timestamp)")
 
 
-def _csv(spark, pattern, names) -> DataFrame:
-    """CSV files as text by column position, so files of one layout need no inference."""
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-        .csv(pattern)
-    )
+def _csv(spark, pattern: str, schema) -> DataFrame:
+    """CSV files (or folders of them) by column position, with their path; none is no rows."""
+    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    try:
+        return reader.csv(pattern).withColumn(_PATH, F.col("_metadata.file_path"))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        return spark.createDataFrame([], T.StructType(fields.fields).add(_PATH, "string"))
+
+
+def _texts(names) -> T.StructType:
+    """All columns as text: files of one layout need no inference."""
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
 def _ticker(suffix: str) -> Column:
@@ -54,7 +60,8 @@ def read_prices(spark: SparkSession, path: str, zone: str = "America/New_York")
     The first column is the time, then Open, High, Low, Close, Volume; further
     columns are ignored.  A ticker without a file has no rows.
     """
-    raw = _csv(spark, f"{path}/*_prices.csv", ["time", "open", "high", "low", "close", "volume"])
+    names = ["time", "open", "high", "low", "close", "volume"]
+    raw = _csv(spark, f"{path}/*_prices.csv", _texts(names))
     # with an offset the text is an instant; bare text already is exchange time
     has_zone = F.col("time").rlike(r"(Z|[+-]\d{2}:?\d{2})$")
     at = instant("time")
@@ -65,14 +72,14 @@ def read_prices(spark: SparkSession, path: str, zone: str = "America/New_York")
         F.when(has_zone, in_zone.cast("date"))
         .otherwise(F.expr("try_cast(substring(time, 1, 10) AS date)"))
         .alias("d"),
-        *[number(c).alias(c) for c in ("open", "high", "low", "close", "volume")],
+        *[number(c).alias(c) for c in names[1:]],
     ).where(F.col("ts").isNotNull())
 
 
 def read_event_dates(spark: SparkSession, path: str) -> DataFrame:
     """`<ticker>_earnings_dates.csv` files; the first column is the time of the event."""
     names = ["time", "date", "eps_estimate", "reported_eps", "surprise_pct"]
-    raw = _csv(spark, f"{path}/*_earnings_dates.csv", names)
+    raw = _csv(spark, f"{path}/*_earnings_dates.csv", _texts(names))
     return raw.select(
         _ticker("_earnings_dates").alias("ticker"),
         instant("time").alias("ts"),
@@ -145,13 +152,8 @@ _RESULT_ROWS = {
 def read_results(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """Result files of one kind in one table, named by file; `path` keeps like names apart."""
     pattern, cut = RESULT_KINDS[kind]
-    files = (
-        spark.read.schema(_RESULT_ROWS[kind])
-        .option("header", True)
-        .csv(f"{root}/{pattern}")
-        .withColumn("path", F.col(_PATH))
-    )
-    base = F.regexp_extract("path", r"([^/]+)\.csv(/[^/]*)?$", 1)
+    files = _csv(spark, f"{root}/{pattern}", _RESULT_ROWS[kind])
+    base = F.regexp_extract(_PATH, r"([^/]+)\.csv(/[^/]*)?$", 1)
     if kind == "comparison":
         return files
     if kind == "coefficients":

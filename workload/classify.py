@@ -11,7 +11,7 @@ from tonetape.operators import evaluate as el
 from tonetape.operators import models as m
 from tonetape.operators import prep as pp
 from tonetape.operators import report as rp
-from tonetape.plans.pipeline import prepare, run_classification
+from tonetape.plans.study import prepare, run_classification
 from tonetape.session import materialised
 from tonetape.sources import readers, writers
 from workload import views as v

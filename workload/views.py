@@ -72,19 +72,24 @@ def bars(spark, sf_dir) -> DataFrame:
 
 def _numbered(spark, sf_dir) -> DataFrame:
     """Documents with a ticker and a date; at most five companies, safe to broadcast."""
+    first = F.lit("1995-01-01").cast("date")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return (
         spread(documents, "doc_id")
         .withColumn("idx", F.col("doc_id") % 5)
         .join(F.broadcast(companies(spark, sf_dir)), "idx")
-        .withColumn("d", F.date_add(F.lit("1995-01-01").cast("date"), (F.col("doc_id") * 37 % 2400).cast("int")))
+        .withColumn("d", F.date_add(first, (F.col("doc_id") * 37 % 2400).cast("int")))
     )
 
 
 def filings(spark, sf_dir) -> DataFrame:
     """Documents as filings with a dated first line."""
     head = F.concat(
-        F.lit("<SEC-DOCUMENT>"), F.col("doc_id"), F.lit(".txt : "), F.date_format("d", "yyyyMMdd"), F.lit("\n")
+        F.lit("<SEC-DOCUMENT>"),
+        F.col("doc_id"),
+        F.lit(".txt : "),
+        F.date_format("d", "yyyyMMdd"),
+        F.lit("\n"),
     )
     return _numbered(spark, sf_dir).select(
         "ticker",
