@@ -73,7 +73,7 @@ def read_prices(spark: SparkSession, path: str, zone: str = "America/New_York")
         .otherwise(F.expr("try_cast(substring(time, 1, 10) AS date)"))
         .alias("d"),
         *[number(c).alias(c) for c in names[1:]],
-    ).where(F.col("ts").isNotNull())
+    ).where(F.col("ts").isNotNull() & F.col("d").isNotNull())
 
 
 def read_event_dates(spark: SparkSession, path: str) -> DataFrame:
