@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -59,7 +60,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> I
         col = batch.column(column)
         if not batch.num_rows:
             continue
-        ends = pa.compute.cumulative_sum(pa.compute.cast(pa.compute.fill_null(pa.compute.binary_length(col), 0), pa.int64()))
+        ends = pc.cumulative_sum(pc.cast(pc.fill_null(pc.binary_length(col), 0), pa.int64()))
         ends = ends.to_numpy(zero_copy_only=False)
         start = 0
         while start < batch.num_rows:

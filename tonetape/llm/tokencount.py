@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 
 from tonetape.llm.bpe import encoder
@@ -41,7 +42,7 @@ def token_counts(
         for part in slices(batches, "text", SLICE):
             texts = part.column("text")
             n = model.counts(texts.to_pylist())
-            size = pa.compute.fill_null(pa.compute.binary_length(texts), 0).cast(pa.int64())
+            size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), size, pa.array(n, pa.int64()), pa.array(n > limit)], names=schema.names
             )
