@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from tonetape.llm.chat import END, START, conversations, read_back
 from tonetape.llm.copies import copy_groups
+from tonetape.llm.jaccard import near_groups
 from tonetape.llm.packing import pack
 from tonetape.llm.quality import quality
 from tonetape.llm.tokencount import token_counts
@@ -63,8 +64,13 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy_groups(table(spark, sf_dir, "documents"))
 
 
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_lexical_packing": packing,
+    "op4_jaccard_join": near_dedup,
     "op5_reply_trees": chat,
     "op7_toxicity": toxic,
     "op8_quality": good,
@@ -73,6 +79,33 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_jaccard_join": """
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM texts WHERE len(words) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), common_counts AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+        ), links AS (
+            SELECT a, b FROM common_counts JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * common >= 80 * (x.n + y.n - common)
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        )
+        SELECT d.doc_id, coalesce(max(n), 0) AS n_shingles, min(b) AS component_id
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach ON reach.a = d.doc_id
+        GROUP BY d.doc_id
+    """,
     "op5_reply_trees": """
         WITH given AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
