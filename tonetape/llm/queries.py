@@ -9,6 +9,8 @@ from pyspark.sql.window import Window
 from tonetape.llm.chat import END, START, conversations, read_back
 from tonetape.llm.copies import copy_groups
 from tonetape.llm.jaccard import near_groups
+from tonetape.llm.mixing import mixture
+from tonetape.llm.neighbours import nearest
 from tonetape.llm.packing import pack
 from tonetape.llm.quality import quality
 from tonetape.llm.tokencount import token_counts
@@ -68,10 +70,20 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
+def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_block_neighbours": neighbours,
     "op3_lexical_packing": packing,
     "op4_jaccard_join": near_dedup,
     "op5_reply_trees": chat,
+    "op6_entropy_mixing": mixing,
     "op7_toxicity": toxic,
     "op8_quality": good,
     "op9_exact_dedup": exact_dedup,
@@ -79,6 +91,20 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_block_neighbours": """
+        WITH vectors AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+            FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+        )
+        SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
+    """,
     "op4_jaccard_join": """
         WITH RECURSIVE texts AS (
             SELECT doc_id, regexp_extract_all(
