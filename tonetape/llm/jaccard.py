@@ -27,10 +27,11 @@ from pyspark.sql.window import Window
 from tonetape.llm import words as W
 from tonetape.llm.common import clashing, discard, slices, written
 from tonetape.llm.components import components
+from tonetape.llm.shared import blocks_for, packed, packed_schema, shared_entries
 
 SLICE = 2 << 20
-#: Entries of the matrix in one column block, about, and rows of a column in one row block.
-COLUMN_BLOCK, ROW_BLOCK = 1 << 21, 512
+#: Rows of a column in one row block.
+ROW_BLOCK = 512
 #: Rows up to which a table of row numbers (a few dozen bytes each) is broadcast.
 BROADCAST_ROWS = 500_000
 PARITY = [f"p{k}" for k in range(4)]
@@ -78,81 +79,15 @@ def frequent(n: Column, percent: int) -> Column:
 
 def shared_columns(sets: DataFrame, entries: int) -> DataFrame:
     """(column, row) of the listed shingles that several rows of sets have."""
-    blocks = max(1, -(-entries // COLUMN_BLOCK))
+    blocks, fields = blocks_for(entries), {"column": "long", "row": "long"}
 
     def deal(batches):
         for part in slices(batches, "least", SLICE):
-            raw = part.column("least")
-            size = np.array([len(v) // 8 for v in raw.to_pylist()], np.int64)
-            column = np.frombuffer(b"".join(raw.to_pylist()), W.U)
-            owner = np.repeat(part.column("row").to_numpy(), size)
-            block = (W.mixed(column, 5) % W.U(blocks)).astype(np.int64)
-            order = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.diff(block[order], prepend=-1, append=blocks)) if len(block) else np.zeros(0, np.int64)
-            keys, columns, owners = [], [], []
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                own = order[a:b]
-                keys.append(block[own[0]])
-                columns.append(column[own].tobytes())
-                owners.append(owner[own].tobytes())
-            arrays = [pa.array(keys, pa.int64()), pa.array(columns, pa.binary()), pa.array(owners, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["block", "columns", "owners"])
-
-    def pick(batches):
-        held: dict[int, Once] = {}
-        for batch in batches:
-            for block, columns, owners in zip(*(batch.column(c).to_pylist() for c in ("block", "columns", "owners"))):
-                yield from held.setdefault(block, Once()).add(np.frombuffer(columns, W.U), np.frombuffer(owners, np.int64))
-        for once in held.values():
-            yield from once.settle()
-
-    packed = sets.select("row", "least").mapInArrow(deal, "block long, columns binary, owners binary")
-    return packed.repartition(blocks, "block").mapInArrow(pick, "column long, row long")
-
-
-class Once:
-    """The columns of a block, each with the row of its entry while it has only one (else -1).
-
-    Entries of shared columns are passed on and not held, so that memory follows the
-    number of columns, however many rows one of them has."""
-
-    def __init__(self):
-        self.column, self.row = np.zeros(0, W.U), np.zeros(0, np.int64)
-        self.new: list[tuple[np.ndarray, np.ndarray]] = []
-        self.waiting = 0
-
-    def add(self, column: np.ndarray, row: np.ndarray):
-        self.new.append((column, row))
-        self.waiting += len(column)
-        if self.waiting >= max(1 << 18, len(self.column)):
-            yield from self.settle()
-
-    def settle(self):
-        """Passes on what waits in columns that are now known to be shared."""
-        if not self.waiting:
-            return
-        column, row = (np.concatenate(x) for x in zip(*self.new))
-        self.new, self.waiting = [], 0
-        order = np.argsort(column, kind="stable")
-        column, row = column[order], row[order]
-        start = np.flatnonzero(np.append(True, column[1:] != column[:-1]))
-        count = np.diff(np.append(start, len(column)))
-        own = column[start]
-        known, at = np.zeros(len(own), bool), np.zeros(len(own), np.int64)
-        if len(self.column):
-            at = np.minimum(np.searchsorted(self.column, own), len(self.column) - 1)
-            known = self.column[at] == own
-        out = np.repeat(known | (count > 1), count)
-        back = at[known]
-        back = back[self.row[back] >= 0]
-        shared = np.concatenate([column[out], self.column[back]]), np.concatenate([row[out], self.row[back]])
-        self.row[back] = -1
-        self.column = np.concatenate([self.column, own[~known]])
-        self.row = np.concatenate([self.row, np.where(count[~known] > 1, -1, row[start][~known])])
-        order = np.argsort(self.column, kind="stable")
-        self.column, self.row = self.column[order], self.row[order]
-        if len(shared[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(shared[0].view(np.int64)), pa.array(shared[1])], names=["column", "row"])
+            raw = part.column("least").to_pylist()
+            size = np.array([len(v) // 8 for v in raw], np.int64)
+            yield packed({"column": np.frombuffer(b"".join(raw), np.int64), "row": np.repeat(part.column("row").to_numpy(), size)}, blocks)
+
+    return shared_entries(sets.select("row", "least").mapInArrow(deal, packed_schema(fields)), fields, blocks)
 
 
 def may_link(a: str, b: str, percent: int) -> Column:

@@ -13,6 +13,7 @@ from tonetape.llm.mixing import mixture
 from tonetape.llm.neighbours import nearest
 from tonetape.llm.packing import pack
 from tonetape.llm.quality import quality
+from tonetape.llm.repeats import remove_repeats
 from tonetape.llm.tokencount import token_counts
 from tonetape.llm.toxicity import toxicity
 
@@ -23,6 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -80,6 +85,7 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_block_neighbours": neighbours,
+    "op2_repeated_strings": repeats,
     "op3_lexical_packing": packing,
     "op4_jaccard_join": near_dedup,
     "op5_reply_trees": chat,
