@@ -228,6 +228,44 @@ def learn_lexicon(train: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return term[order], found["weight"].to_numpy(float)[order]
 
 
+def scored(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label: str, folds: int, fold: int, most_rows: int, most_terms: int, carry: list[str]
+) -> DataFrame:
+    """id, score and predicted of every row of docs, and the columns in carry as c0, c1, ..."""
+    carried = [docs[c].alias(f"c{i}") for i, c in enumerate(carry)]
+    own = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"), *carried)
+    # At most most_rows narrow rows: bounded, so they may be broadcast.
+    sample = F.broadcast(labelled(labels, label, folds, fold, most_rows))
+    train = own.join(sample, "id").groupBy("id").agg(F.max(F.coalesce("text", F.lit(""))).alias("text"), F.first("label").alias("label"))
+    train = written(train.withColumn("part", part(F.col("id"), 4)), "train")
+    n, ones = classes(train)
+    if min(ones, n - ones) < 10:
+        return constant(own.drop("text"), ones / n if n else 0.0)
+    lexicon, weight = learn_lexicon(train.where("part = 0"), most_terms)
+    insults, you = hashes(INSULTS), hashes(YOU)
+
+    def measured(df: DataFrame) -> DataFrame:
+        """df with features instead of text."""
+
+        def measure(batches):
+            for rows in slices(batches, "text", SLICE):
+                x = features(rows.column("text"), lexicon, weight, insults, you)
+                flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in others), flat], names=[*others, "x"])
+
+        others = [c for c in df.columns if c != "text"]
+        return df.mapInArrow(measure, T.StructType([*(df.schema[c] for c in others), T.StructField("x", T.ArrayType(T.DoubleType()))]))
+
+    vector = lambda df: df.withColumn("features", array_to_vector("x"))
+    fit = vector(written(measured(train.where("part > 0")), "features"))
+    trees_on, calibrate_on = fit.where("part < 3"), fit.where("part = 3")
+    if any(min(b, a - b) < 1 for a, b in map(classes, (trees_on, calibrate_on))):
+        return constant(own.drop("text"), ones / n)
+    trees = GBTClassifier(labelCol="label", maxIter=20, maxDepth=3, stepSize=0.3, seed=7, minInstancesPerNode=5).fit(trees_on)
+    raw = lambda df: trees.transform(df).withColumn("raw", vector_to_array("probability")[1])
+    return calibrated(raw(vector(measured(own))), raw(calibrate_on))
+
+
 def toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -252,32 +290,21 @@ def toxicity(
     of ones (0 without any).  An empty table gives an empty one.  Other columns are not
     read, whatever their names.
     """
-    own = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    out = [F.col("id").alias(id_col), held_out(F.col("id"), folds, fold).alias("held_out"), "score", "predicted"]
-    # At most most_rows narrow rows: bounded, so they may be broadcast.
-    sample = F.broadcast(labelled(labels, label, folds, fold, most_rows))
-    train = own.join(sample, "id").groupBy("id").agg(F.max(F.coalesce("text", F.lit(""))).alias("text"), F.first("label").alias("label"))
-    train = written(train.withColumn("part", part(F.col("id"), 4)), "train")
-    n, ones = classes(train)
-    if min(ones, n - ones) < 10:
-        return constant(own, ones / n if n else 0.0).select(*out)
-    lexicon, weight = learn_lexicon(train.where("part = 0"), most_terms)
-    insults, you = hashes(INSULTS), hashes(YOU)
-    kind = own.schema["id"].dataType
+    out = scored(docs, labels, id_col, text_col, label, folds, fold, most_rows, most_terms, [])
+    return out.select(F.col("id").alias(id_col), held_out(F.col("id"), folds, fold).alias("held_out"), "score", "predicted")
 
-    def measure(batches):
-        for rows in slices(batches, "text", SLICE):
-            x = features(rows.column("text"), lexicon, weight, insults, you)
-            flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([rows.column("id"), flat], names=["id", "x"])
-
-    schema = T.StructType([T.StructField("id", kind), T.StructField("x", T.ArrayType(T.DoubleType()))])
-    measured = lambda df: df.select("id", "text").mapInArrow(measure, schema).withColumn("features", array_to_vector("x"))
-    fit = written(measured(train.where("part > 0")).drop("features").join(train.select("id", "label", "part"), "id"), "features")
-    fit = fit.withColumn("features", array_to_vector("x"))
-    trees_on, calibrate_on = fit.where("part < 3"), fit.where("part = 3")
-    if any(min(b, a - b) < 1 for a, b in map(classes, (trees_on, calibrate_on))):
-        return constant(own, ones / n).select(*out)
-    trees = GBTClassifier(labelCol="label", maxIter=20, maxDepth=3, stepSize=0.3, seed=7, minInstancesPerNode=5).fit(trees_on)
-    raw = lambda df: trees.transform(df).withColumn("raw", vector_to_array("probability")[1])
-    return calibrated(raw(measured(own)), raw(calibrate_on)).select(*out)
+
+def drop_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label: str = "toxic",
+    folds: int = 5,
+    fold: int = 0,
+    most_rows: int = MOST_ROWS,
+    most_terms: int = MOST_TERMS,
+) -> DataFrame:
+    """The rows of docs, all columns, that toxicity does not predict to be toxic.  They are not shuffled."""
+    out = scored(docs, labels, id_col, text_col, label, folds, fold, most_rows, most_terms, docs.columns)
+    return out.where("predicted = 0").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
