@@ -400,15 +400,24 @@ def test_grid_reaches_the_members_of_one_vs_rest(spark, separable):
 
 
 def test_grids_have_the_searched_sizes(spark):
-    assert len(m.param_grid(m.logistic(10), m.logistic_axes(10))) == 5
+    assert len(m.param_grid(m.logistic(10), m.logistic_axes(10, 5))) == 5
     assert len(m.param_grid(m.random_forest(), m.FOREST_GRID)) == 27
     assert len(m.param_grid(m.adaboost(), m.ADABOOST_GRID)) == 9
     assert len(m.param_grid(m.boosted_trees(), m.GBT_GRID)) == 108
 
 
+def test_penalty_of_folds_and_of_the_refit(spark, separable):
+    """C stands for the same penalty on a sum loss, whatever the number of rows fitted on."""
+    axes = m.logistic_axes(100, 5, {"C": [0.5]})
+    assert axes == {"regParam": [1 / (0.5 * 80)]}
+    found = m.grid_search(m.logistic(separable.train_rows), m.logistic_axes(separable.train_rows, separable.folds, {"C": [1.0]}), separable.train, "fold", separable.folds)
+    again = m.refit_logistic(found, separable.train, separable.train_rows, {"C": [1.0]})
+    assert again.getOrDefault(again.regParam) == pytest.approx(1 / separable.train_rows)
+
+
 def test_whole_run(spark, separable):
     chosen = {
-        "Logistic Regression": (m.logistic(separable.train_rows), {"regParam": [0.001, 0.1]}),
+        "Logistic Regression": (m.logistic(separable.train_rows), {"C": [1.0, 10.0]}),
         "AdaBoost": (m.adaboost(4), None),
     }
     out = run_classification(separable, chosen)

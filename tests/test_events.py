@@ -61,6 +61,14 @@ def test_asof_on_the_day_weekend_and_past_end(spark, width):
     assert rows(near, "id", "v") == [(1, 8), (2, 11), (7, 11)]
 
 
+def test_asof_gives_one_row_per_left_row(spark):
+    """Right rows that tie in key and time: the smallest by the other columns."""
+    left = spark.createDataFrame([("a", 1, 10), ("a", 2, 10)], "k string, id int, day int").selectExpr("k", "id", "date_add(date'2020-01-01', day) AS at")
+    right = spark.createDataFrame([("a", 12, "y", 1), ("a", 12, "x", 2), ("a", 12, "x", 1), ("a", 30, "z", 0)], "k string, day int, v string, w int")
+    right = right.selectExpr("k", "date_add(date'2020-01-01', day) AS d", "v", "w")
+    assert rows(asof_forward(left, right, ["k"], "at", "d"), "id", "v", "w") == [(1, "x", 1), (2, "x", 1)]
+
+
 @pytest.mark.parametrize("seed,width", [(1, 3), (2, 50), (3, 512)])
 def test_asof_equals_pandas(spark, seed, width):
     rng = random.Random(seed)

@@ -56,7 +56,7 @@ def tree(tmp_path):
 
 
 def test_filings(spark, tmp_path):
-    got = rows(readers.read_filings(spark, tree(tmp_path)), "ticker", "filing_id", "text")
+    got = rows(readers.read_filing_tree(spark, tree(tmp_path)), "ticker", "filing_id", "text")
     assert got == [
         ("AAPL", "0001", "x : 20210415\ngain  growth\nloss"),
         ("AAPL", "0002", "x : 20220715\nloss é"),
@@ -64,6 +64,31 @@ def test_filings(spark, tmp_path):
     ]
 
 
+def test_filing_table(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    data = [("AAPL", "1", "b", "later"), ("AAPL", "1", "a", "x\r\ny\rz"), ("MSFT", "1", "c", "only"), ("MSFT", "2", "d", "one"), ("MSFT", "2", "d", "two")]
+    spark.createDataFrame(data, "ticker string, filing_id string, path string, text string").write.parquet(path)
+    got = rows(readers.read_filings(spark, path), "ticker", "filing_id", "path", "text")
+    assert got == [("AAPL", "1", "a", "x\ny\nz"), ("MSFT", "1", "c", "only"), ("MSFT", "2", "d", "one"), ("MSFT", "2", "d", "two")]
+
+
+def test_result_files_with_missing_classes_and_text_keys(spark, tmp_path):
+    """Columns are found by name in each file, and keys keep their type."""
+    preds = spark.createDataFrame([("f-1", -1, 1), ("f-2", 1, 1)], "filing_id string, true int, pred int")
+    writers.write_result(confusion_matrix(preds), str(tmp_path), "Two", "confusion")
+    writers.write_result(preds, str(tmp_path), "Two", "predictions")
+    put(tmp_path / "neural_networks" / "ffnn_confusion.csv", ",Pred_Up,Pred_Down\nTrue_Up,4,5\n")
+    put(tmp_path / "neural_networks" / "ffnn_probabilities.csv", ",Prob_Down,Prob_Up\nf-9,0.25,0.75\n")
+    put(tmp_path / "neural_networks" / "model_comparison.csv", "Model,Accuracy\nFFNN,0.6\n")
+    read = lambda kind: readers.read_results(spark, str(tmp_path), kind, key="string")
+    cells = ("model", "label", "Pred_Down", "Pred_Stable", "Pred_Up")
+    assert rows(read("confusion"), *cells) == [("two", "True_Down", 0.0, 0.0, 1.0), ("two", "True_Up", 0.0, 0.0, 1.0)]
+    assert rows(read("predictions"), "row", "true", "pred") == [("f-1", -1, 1), ("f-2", 1, 1)]
+    assert rows(read("network_confusion"), *cells) == [("ffnn", "True_Up", 5.0, 0.0, 4.0)]
+    assert rows(read("network_probabilities"), "model", "row", "Prob_Down", "Prob_Stable", "Prob_Up") == [("ffnn", "f-9", 0.25, 0.0, 0.75)]
+    assert rows(read("network_comparison"), "model", "accuracy") == [("FFNN", 0.6)]
+
+
 def test_study_from_files(spark, tmp_path):
     """Files in, labelled feature rows out, and back from every format."""
     start = dt.date(2021, 5, 3)
@@ -71,7 +96,7 @@ def test_study_from_files(spark, tmp_path):
         lines = [f"{start + dt.timedelta(days=i)},1,1,1,{100 + (i % 7) * (2 if ticker == 'AAPL' else 0.1)},{1000 + i}" for i in range(500)]
         put(tmp_path / "prices" / f"{ticker}_prices.csv", ",Open,High,Low,Close,Volume\n" + "\n".join(lines))
     bars = readers.read_prices(spark, str(tmp_path / "prices"))
-    features = study_features(readers.read_filings(spark, tree(tmp_path)), bars, companies_dim(spark))
+    features = study_features(readers.read_filing_tree(spark, tree(tmp_path)), bars, companies_dim(spark))
     got = rows(features, "ticker", "filing_id", "report_date", "target")
     assert got == [
         ("AAPL", "0001", dt.date(2021, 5, 15), -1 if got[0][3] == -1 else 1),

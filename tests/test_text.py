@@ -160,11 +160,28 @@ def test_chunks_small_limits(spark, most):
 
 
 def test_pieces(spark):
-    short, long = "b" * 5000, "word " * 1001
-    got = on_texts(spark, [short, long, "  ", ""], tx.pieces("text"))
-    assert got[0] == ["b" * 512]
-    assert got[1] == [c[:512] for c in plain_chunks(long)]
-    assert got[2] == [] and got[3] == []
+    texts = ["b" * 5000, "word " * 1001, "short text", "é😀" * 300, "  ", ""]
+    got = on_texts(spark, texts, tx.pieces("text"))
+    windows = lambda c: [c[i : i + 512] for i in range(0, len(c), 512)]
+    assert got == [[w for c in plain_chunks(t) for w in windows(c) if w.strip()] for t in texts]
+    assert all("".join(g).replace(" ", "") == "".join(t.split()) for g, t in zip(got, texts))
+
+
+def test_every_word_counts(spark):
+    """A word past any prefix changes the score, and sampling is asked for."""
+    from tonetape.operators.sentiment import companies_dim, document_sentiment
+
+    calm = "x : 20210415\n" + "plain " * 400
+    texts = [calm, calm + "profit", calm + "loss"]
+    data = [("AAPL", str(i), "p", t) for i, t in enumerate(texts)]
+    filings = spark.createDataFrame(data, "ticker string, filing_id string, path string, text string")
+    got = {r.filing_id: r.sentiment_score for r in document_sentiment(filings, companies_dim(spark)).collect()}
+    assert got["0"] == 0 and got["1"] > 0 > got["2"]
+
+
+def test_blank_lines_of_any_space(spark):
+    text = "one\n\xa0\x1c\ntwo\n\u3000\nthree\n \t\n\nfour"
+    assert on_texts(spark, [text], tx.paragraphs("text")) == [["one", "two", "three", "four"]]
 
 
 def test_signed_score(spark):

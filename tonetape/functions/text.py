@@ -16,13 +16,13 @@ SPACES = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE_RANGES = "\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = f"[{SPACES}]"
 # The date patterns.
 HEADER_DATE = r": (\d{8})$"
 EIGHT_DIGITS = r"(\d{8})"
 SLASH_DATE = r"(\d{1,2})[/-](\d{1,2})[/-](\d{4})"
 DATE_MARKS = ("FILING-DATE", "ACCEPTANCE-DATETIME")
-BLANK_LINE = r"\n\s*\n"
+BLANK_LINE = f"\n{SPACE}*\n"
 # Spellings of the two signed classes in scorer labels.
 POSITIVE_LABELS = ("POSITIVE", "positive", "2", "LABEL_2")
 NEGATIVE_LABELS = ("NEGATIVE", "negative", "0", "LABEL_0")
@@ -171,7 +171,7 @@ def words_of(text) -> Column:
     """Words between runs of white space."""
     body = strip(text)
     return F.when(body == "", F.array().cast("array<string>")).otherwise(
-        F.split(body, f"[{SPACE_RANGES}]+")
+        F.split(body, f"{SPACE}+")
     )
 
 
@@ -214,16 +214,17 @@ def chunk_words(text, max_cost: int = 1000) -> Column:
     )
 
 
-def pieces(text, long: int = 5000, cut: int = 512) -> Column:
-    """What a scorer sees: the text, or its chunks when long, each cut to `cut` characters.
+def pieces(text, cut: int = 512) -> Column:
+    """What a scorer sees: the chunks of the text in consecutive windows of at most `cut` characters.
 
-    Blank pieces are skipped.
+    Every word of the text is in some piece, whatever its length; blank pieces are
+    skipped, and a text without words has none.
     """
-    text = _col(text)
-    raw = F.when(F.length(text) > long, chunk_words(text)).otherwise(F.array(text))
-    return F.transform(
-        F.filter(raw, lambda p: strip(p) != ""), lambda p: F.substring(p, 1, cut)
+    windows = F.transform(
+        chunk_words(text),
+        lambda chunk: F.regexp_extract_all(chunk, F.lit(f"(?s).{{1,{cut}}}"), F.lit(0)),
     )
+    return F.filter(F.flatten(windows), lambda p: strip(p) != "")
 
 
 def signed_score(label, score) -> Column:

@@ -24,7 +24,8 @@ def asof_forward(
     or time that many left rows share is looked up once.  The answer is then an
     equi-join; adaptive execution broadcasts it while its measured size allows
     and splits skewed keys of a sort-merge join beyond that.  `tolerance` is a
-    largest gap in days; `how` is "inner" or "left".
+    largest gap in days; `how` is "inner" or "left".  Of right rows that tie in key
+    and time the smallest is given, by their other columns in order.
     """
     by = list(by)
     wanted = left.where(F.col(left_on).isNotNull()).select(*by, F.col(left_on).alias("at"))
@@ -36,5 +37,11 @@ def asof_forward(
     shared = [c for c in right.columns if c in left.columns and c not in by and c != right_on]
     if shared or right_on in left.columns:
         raise ValueError(f"columns on both sides: {shared or [right_on]}")
-    found = hits.withColumnRenamed("match", right_on).join(right, [*by, right_on])
+    rest = [c for c in right.columns if c not in by and c != right_on]
+    if rest:
+        one = right.groupBy(*by, right_on).agg(F.min(F.struct(*rest)).alias("_row"))
+        one = one.select(*by, right_on, "_row.*")
+    else:
+        one = right.select(*by, right_on).distinct()
+    found = hits.withColumnRenamed("match", right_on).join(one, [*by, right_on])
     return left.join(found.withColumnRenamed("at", left_on), [*by, left_on], how)

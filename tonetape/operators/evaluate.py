@@ -92,8 +92,8 @@ def classification_report(preds: DataFrame) -> DataFrame:
 def confusion_matrix(preds: DataFrame, labels: Sequence[int] | None = None) -> DataFrame:
     """Rows True_<class>, columns Pred_<class>, counts in the cells.
 
-    `labels` are the classes to show; by default those in true or pred, looked up
-    from the class counts.
+    `labels` are the classes to show; by default those in true or pred, which a job
+    looks up from the class counts when this is called.
     """
     cells = class_cells(preds)
     if labels is None:

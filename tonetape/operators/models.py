@@ -249,9 +249,20 @@ def param_grid(estimator, axes: dict) -> list:
     return builder.build()
 
 
-def logistic_axes(rows: int, axes: dict = LOGISTIC_GRID) -> dict:
-    """The C axis as regularisation weights."""
-    return {"regParam": [1.0 / (c * rows) for c in axes["C"]]}
+def logistic_axes(rows: int, folds: int, axes: dict = LOGISTIC_GRID) -> dict:
+    """The C axis as regularisation weights of the search's fits.
+
+    Each of them sees (folds - 1) / folds of the rows, and a sum loss weighs the less
+    against the penalty the fewer rows it adds up.  `refit_logistic` sets the weight
+    of the chosen C on all rows.
+    """
+    return {"regParam": [1.0 / (c * rows * (folds - 1) / folds) for c in axes["C"]]}
+
+
+def refit_logistic(found, train: DataFrame, rows: int, axes: dict = LOGISTIC_GRID):
+    """The model of a search's best C, fitted on all rows with the penalty that is C's there."""
+    best = max(range(len(found.avgMetrics)), key=lambda i: (found.avgMetrics[i], -i))
+    return logistic(rows, axes["C"][best]).fit(train)
 
 
 def grid_search(

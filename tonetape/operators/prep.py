@@ -18,11 +18,13 @@ def complete_rows(df: DataFrame) -> DataFrame:
     return df.na.drop("any")
 
 
-def present_values(df: DataFrame, column: str, most: int = 1000) -> list:
-    """The distinct values of a category column, sorted; more than `most` is an error."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"{column} has more than {most} values and is no category")
+def present_values(df: DataFrame, column: str) -> list:
+    """The distinct values of a category column, sorted.
+
+    They become columns, so there are as many as a table can have columns; for a
+    column of free values use an indexer and one vector column instead.
+    """
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(r[0] for r in found)
 
 

@@ -85,22 +85,24 @@ def keyword_sentiment(
 
 
 def score_pieces(
-    df: DataFrame, key: Sequence[str], text: str = "text", long: int = 5000, cut: int = 512
+    df: DataFrame, key: Sequence[str], text: str = "text", cut: int = 512
 ) -> DataFrame:
     """One row per piece a scorer is to see: key, pos, piece."""
-    return df.select(*key, F.posexplode(pieces(text, long, cut)).alias("pos", "piece"))
+    return df.select(*key, F.posexplode(pieces(text, cut)).alias("pos", "piece"))
 
 
 def with_scorer(df: DataFrame, scorer, piece: str = "piece", batch: int = 16) -> DataFrame:
-    """Add `label` and `score` from a scorer.
+    """Add `label` and `score` from a scorer, and `failure` from a Python model.
 
     A scorer is either a Column function (piece -> struct(label, score)), which
     stays in the JVM, or a `load` function for `model_scorer`.
     """
-    scored = scorer(F.col(piece)) if _is_column(scorer) else model_scorer(scorer, batch)(F.col(piece))
-    return df.withColumn("_s", scored).select(
-        "*", F.col("_s.label").alias("label"), F.col("_s.score").alias("score")
-    ).drop("_s")
+    if _is_column(scorer):
+        scored, fields = scorer(F.col(piece)), ("label", "score")
+    else:
+        scored, fields = model_scorer(scorer, batch)(F.col(piece)), ("label", "score", "failure")
+    out = df.withColumn("_s", scored)
+    return out.select("*", *[F.col(f"_s.{f}").alias(f) for f in fields]).drop("_s")
 
 
 def _is_column(scorer) -> bool:
@@ -117,19 +119,27 @@ def model_scorer(load: Callable, batch: int = 16):
     """Column function that scores pieces with a Python model, loaded once per task.
 
     Pieces go through in Arrow batches and to the model `batch` at a time.  When
-    a batch fails its pieces are tried one by one; a piece that fails alone, or is
-    missing, has no label and no score, and pooling leaves it out.
+    a batch fails, or gives another number of results than it got pieces, its
+    pieces are tried one by one.  A missing piece has no label and no score; one
+    that fails alone has its error in `failure` besides.  Pooling leaves both out,
+    so count the failures before trusting the pooled scores.
     """
     def run(frames):
         import pandas as pd
 
         model = load()
 
+        def several(part):
+            got = [tuple(x) for x in model(part)]
+            if len(got) != len(part):
+                raise ValueError(f"{len(got)} results for {len(part)} pieces")
+            return [(label, score, None) for label, score in got]
+
         def one(text):
             try:
-                return model([text])[0]
-            except Exception:
-                return (None, None)
+                return several([text])[0]
+            except Exception as e:
+                return (None, None, f"{type(e).__name__}: {e}"[:200])
 
         for texts in frames:
             out = []
@@ -137,10 +147,10 @@ def model_scorer(load: Callable, batch: int = 16):
             for at in range(0, len(given), batch):
                 part = given.iloc[at : at + batch].tolist()
                 try:
-                    out += list(model(part))
+                    out += several(part)
                 except Exception:
                     out += [one(t) for t in part]
-            frame = pd.DataFrame(out, columns=["label", "score"], index=given.index)
+            frame = pd.DataFrame(out, columns=["label", "score", "failure"], index=given.index)
             yield frame.reindex(texts.index)
 
     def apply(column):
@@ -149,7 +159,7 @@ def model_scorer(load: Callable, batch: int = 16):
         import pandas as pd
 
         run.__annotations__ = {"frames": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-        return F.pandas_udf(run, "label string, score double")(column)
+        return F.pandas_udf(run, "label string, score double, failure string")(column)
 
     return apply
 
@@ -179,41 +189,42 @@ def document_sentiment(
     filings: DataFrame,
     companies: DataFrame,
     scorer=lexicon_label,
-    rate: float = 0.1,
+    rate: float | None = None,
     seed: int = 42,
     sep: str = BLANK_LINE,
     start: str = START_DATE,
     end: str = END_DATE,
-    long: int = 5000,
     cut: int = 512,
     batch: int = 4,
+    spread: bool = True,
 ) -> DataFrame:
-    """Scorer-based tone per filing: date, sample paragraphs, cut into pieces, score, pool.
+    """Scorer-based tone per filing: date, cut into pieces, score, pool.
 
-    A Column scorer runs in one pass with no shuffle.  A model scorer gets one
-    row per piece, spread over the cluster so one long filing is no long task.
+    All of a text is scored; only with `rate` is it a sample of its paragraphs.  A
+    Column scorer runs in one pass with no shuffle.  A model scorer gets one row
+    per piece; with `spread` these are shared out over the cluster, so that one
+    long filing is no long task, which shuffles the text of the pieces.
     """
     kept = ["ticker", "year", "quarter", "filing_path", "filing_id"]
     dated = dated_filings(filings, filing_date("text"), start, end)
-    sampled = dated.withColumnRenamed("path", "filing_path").select(
-        *kept, sampled_text("text", "filing_id", rate, seed, sep).alias("text")
-    )
+    text = F.col("text") if rate is None else sampled_text("text", "filing_id", rate, seed, sep)
+    read = dated.withColumnRenamed("path", "filing_path").select(*kept, text.alias("text"))
     if _is_column(scorer):
         def signed(p):
             s = scorer(p)
             return signed_score(s["label"], s["score"])
 
-        pooled = sampled.withColumn(
-            "_p", pooled_score(F.transform(pieces("text", long, cut), signed))
+        pooled = read.withColumn(
+            "_p", pooled_score(F.transform(pieces("text", cut), signed))
         ).select(
             *kept,
             F.col("_p.score").alias("sentiment_score"),
             F.col("_p.sentiment").alias("sentiment"),
         )
     else:
-        cut_up = sampled.select(
-            *kept, F.posexplode_outer(pieces("text", long, cut)).alias("pos", "piece")
-        ).repartition("filing_id", "pos")
+        cut_up = read.select(*kept, F.posexplode_outer(pieces("text", cut)).alias("pos", "piece"))
+        if spread:
+            cut_up = cut_up.repartition("filing_id", "pos")
         pooled = aggregate_pieces(with_scorer(cut_up, scorer, batch=batch), kept)
     return pooled.join(companies, "ticker").select(
         "ticker",

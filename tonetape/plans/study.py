@@ -16,6 +16,7 @@ from tonetape.operators.evaluate import (
 )
 from tonetape.operators.events import build_features
 from tonetape.operators.prep import (
+    NAMED_FEATURES,
     assign_folds,
     complete_rows,
     feature_columns,
@@ -60,15 +61,17 @@ def prepare(
 
     The narrow prepared table is written out once, since every later fit reads it.
     """
-    wide = one_hot(complete_rows(features), "sentiment")
+    plain = [c for c in NAMED_FEATURES if c in features.columns]
+    kept = list(dict.fromkeys([*key, label, *(group_cols or []), *plain, "sentiment"]))
+    # Written first: looking the categories up must not run the study once more.
+    rows = materialised(complete_rows(features).select(*kept))
+    wide = one_hot(rows, "sentiment").withColumn("label", encode_label(label))
     names = feature_columns(wide, dedupe)
-    kept = list(dict.fromkeys([*key, label, *(group_cols or []), *names]))
-    wide = materialised(wide.select(*kept).withColumn("label", encode_label(label)))
     share = share_number(smallest_class(wide, label), share)
     split = materialised(stratified_split(wide, label, key, share, seed, group_cols))
     train, test = split.where("part = 'train'"), split.where("part = 'test'")
     folds = fold_number(smallest_class(train, label))
-    train = assign_folds(train, label, key, folds, seed)
+    train = materialised(assign_folds(train, label, key, folds, seed))
     train, test, scaler = standardize(train, test, names)
     columns = [*key, label, "label", "features"]
     train = materialised(train.select(*columns, "fold"))
@@ -88,7 +91,7 @@ class Outcome:
 def default_models(rows: int, inputs: int) -> dict:
     """Display name -> (estimator, grid) for the four classical models and the network."""
     return {
-        "Logistic Regression": (m.logistic(rows), m.logistic_axes(rows)),
+        "Logistic Regression": (m.logistic(rows), m.LOGISTIC_GRID),
         "Random Forest": (m.random_forest(), m.FOREST_GRID),
         "AdaBoost": (m.adaboost(), m.ADABOOST_GRID),
         "XGBoost": (m.boosted_trees(), m.GBT_GRID),
@@ -107,10 +110,15 @@ def run_classification(
     for name, (estimator, axes) in chosen.items():
         if axes is None:
             fitted = estimator.fit(ready.train)
+        elif "C" in axes:
+            points = m.logistic_axes(ready.train_rows, ready.folds, axes)
+            found = m.grid_search(estimator, points, ready.train, "fold", ready.folds)
+            fitted = m.refit_logistic(found, ready.train, ready.train_rows, axes)
         else:
             fitted = m.grid_search(estimator, axes, ready.train, "fold", ready.folds).bestModel
         out.models[name] = fitted
-        out.predictions[name] = predictions(fitted.transform(ready.test), key, label)
+        # Written: reports, matrices and the comparison each read it.
+        out.predictions[name] = materialised(predictions(fitted.transform(ready.test), key, label))
     for name, table in out.predictions.items():
         out.reports[name] = classification_report(table)
         out.confusions[name] = confusion_matrix(table)

@@ -10,17 +10,6 @@ from tonetape.schema import FEATURES
 _PATH = "path"
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Share a scan that cannot occupy the cluster out over its cores; else leave it be.
-
-    A few small files are read by a few tasks, which then do all the work per
-    row.  Only such a scan, with fewer partitions than cores, is shuffled; a
-    large one never is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def number(c) -> Column:
     """Text to double; what is not a number, or NaN, is missing."""
     v = F.expr(f"try_cast(`{c}` as double)")
@@ -93,14 +82,31 @@ def between_dates(df: DataFrame, column: str, start: str, end: str) -> DataFrame
     return df.where(F.col(column).between(F.lit(start).cast(kind), F.lit(end).cast(kind)))
 
 
-def read_filings(spark: SparkSession, root: str, most_broadcast: int = 200_000) -> DataFrame:
+def _clean_text(text: Column) -> Column:
+    return F.regexp_replace(text, "\r\n?", "\n")
+
+
+def read_filings(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Filings from an archive table of (ticker, filing_id, path, text), the way for large archives.
+
+    Of rows with one ticker and filing the least path is taken, by an anti join with
+    the rows passed over; adaptive execution broadcasts those while they are few.
+    Line ends become newlines.
+    """
+    rows = spark.read.schema("ticker string, filing_id string, path string, text string").format(fmt).load(path)
+    folder = ["ticker", "filing_id"]
+    many = rows.groupBy(*folder).agg(F.min("path").alias("first"), F.max("path").alias("last")).where("first < last")
+    passed = rows.select(*folder, "path").join(many, folder).where("path > first").select(*folder, "path")
+    kept = rows.join(passed, [*folder, "path"], "left_anti")
+    return kept.select(*folder, "path", _clean_text(F.col("text")).alias("text"))
+
+
+def read_filing_tree(spark: SparkSession, root: str) -> DataFrame:
     """One text per filing folder `<root>/<ticker>/8-K/<filing_id>/*.txt`.
 
-    Of several files the least path is taken.  That is settled on path names
-    alone: the files passed over are counted first, and where they are few, as
-    they are when a folder holds one file, they are broadcast to the scan and no
-    text is shuffled.  Past `most_broadcast` of them an ordinary join does it.
-    Bytes that are not UTF-8 are dropped and line ends become newlines.
+    For trees that the driver can list; `read_filings` reads an archive as a table.
+    Of several files the least path is taken, settled on path names alone by an anti
+    join.  Bytes that are not UTF-8 are dropped and line ends become newlines.
     """
     # plain folders, or the name=value folders of a partitioned write
     parts = r"([^/=]+)/(?:[^/=]+=)?8-K/(?:[^/=]+=)?([^/=]+)/[^/]+\.txt$"
@@ -116,15 +122,12 @@ def read_filings(spark: SparkSession, root: str, most_broadcast: int = 200_000)
     folder = ["ticker", "filing_id"]
     first = files.groupBy(*folder).agg(F.min("path").alias("first"))
     passed = files.join(first, folder).where("path > first").select("path")
-    n = passed.count()
-    if n:
-        files = files.join(F.broadcast(passed) if n <= most_broadcast else passed, "path", "left_anti")
+    files = files.join(passed, "path", "left_anti")
     raw = F.col("content").cast("string")
     decoded = F.when(F.is_valid_utf8(raw), raw).otherwise(
         F.replace(F.make_valid_utf8(raw), F.lit("\ufffd"), F.lit(""))
     )
-    text = F.regexp_replace(decoded, "\r\n?", "\n")
-    return files.select("ticker", "filing_id", "path", text.alias("text"))
+    return files.select("ticker", "filing_id", "path", _clean_text(decoded).alias("text"))
 
 
 def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -136,23 +139,69 @@ def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 RESULT_KINDS = {
     "confusion": ("*_confusion.csv", "_confusion"),
     "predictions": ("*_predictions.csv", "_predictions"),
+    "probabilities": ("*_probabilities.csv", "_probabilities"),
     "feature_importance": ("*_feature_importance.csv", "_feature"),
     "coefficients": ("logistic_regression_coefficients_*.csv", ""),
     "comparison": ("model_comparison.csv", ""),
+    "network_confusion": ("neural_networks/*_confusion.csv", "_confusion"),
+    "network_predictions": ("neural_networks/*_predictions.csv", "_predictions"),
+    "network_probabilities": ("neural_networks/*_probabilities.csv", "_probabilities"),
+    "network_comparison": ("neural_networks/model_comparison.csv", ""),
 }
 _RESULT_ROWS = {
-    "confusion": "label string, Pred_Down double, Pred_Stable double, Pred_Up double",
-    "predictions": "row long, true int, pred int",
+    "predictions": "row {key}, true int, pred int",
     "feature_importance": "feature string, importance double",
     "coefficients": "feature string, coefficient double",
     "comparison": "model string, accuracy double",
 }
+# Class columns that a file may lack, when a class did not occur.
+_BY_NAME = {
+    "confusion": ("label string", ("Pred_Down", "Pred_Stable", "Pred_Up")),
+    "probabilities": ("row {key}", ("Prob_Down", "Prob_Stable", "Prob_Up")),
+}
+
+
+def _named(spark, pattern: str, first: str, columns) -> DataFrame:
+    """CSV files whose columns are found by the names in each file's own header.
+
+    Without such a column its cells are 0.  A file is one row until it is taken
+    apart, as metric tables are small and files of one kind differ in layout."""
+    name, kind = first.split()
+    empty = ", ".join([first, *(f"{c} double" for c in columns), f"{_PATH} string"])
+    try:
+        files = spark.read.text(pattern, wholetext=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], empty)
+    cells = lambda line: F.transform(F.split(line, ","), lambda x: F.btrim(x, F.lit('" ')))
+    lines = F.filter(F.split("value", "\r?\n"), lambda x: x != "")
+    rows = files.select(F.col("_metadata.file_path").alias(_PATH), lines.alias("lines")).select(
+        _PATH,
+        cells(F.get("lines", F.lit(0))).alias("head"),
+        F.explode(F.slice("lines", F.lit(2), F.size("lines"))).alias("line"),
+    )
+    cell = lambda c: F.get(cells(F.col("line")), F.array_position("head", c).cast("int") - 1)
+    there = lambda c: F.array_contains("head", c)
+    return rows.select(
+        F.get(cells(F.col("line")), F.lit(0)).cast(kind).alias(name),
+        *[F.when(there(c), cell(c).cast("double")).otherwise(0.0).alias(c) for c in columns],
+        _PATH,
+    )
+
 
+def read_results(spark: SparkSession, root: str, kind: str, key: str = "long") -> DataFrame:
+    """Result files of one kind in one table, named by file; `path` keeps like names apart.
 
-def read_results(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """Result files of one kind in one table, named by file; `path` keeps like names apart."""
+    `key` is the type of the row key of predictions and probabilities.  Class columns
+    are read by name, and a class without a column has 0."""
     pattern, cut = RESULT_KINDS[kind]
-    files = _csv(spark, f"{root}/{pattern}", _RESULT_ROWS[kind])
+    kind = kind.removeprefix("network_")
+    if kind in _BY_NAME:
+        first, columns = _BY_NAME[kind]
+        files = _named(spark, f"{root}/{pattern}", first.format(key=key), columns)
+    else:
+        files = _csv(spark, f"{root}/{pattern}", _RESULT_ROWS[kind].format(key=key))
     base = F.regexp_extract(_PATH, r"([^/]+)\.csv(/[^/]*)?$", 1)
     if kind == "comparison":
         return files
@@ -169,5 +218,8 @@ def read_results(spark: SparkSession, root: str, kind: str) -> DataFrame:
 
 
 def prefer(primary: DataFrame | None, fallback: DataFrame) -> DataFrame:
-    """The first table if it exists and has a row, else the second."""
-    return fallback if primary is None or primary.isEmpty() else primary
+    """The first table if it exists and has a row, else the second; settled when the result runs."""
+    if primary is None:
+        return fallback
+    found = primary.limit(1).select(F.count(F.lit(1))).scalar()
+    return primary.unionByName(fallback.where(found == 0))

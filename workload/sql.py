@@ -6,7 +6,7 @@ PIECES = {
         """SELECT c_mktsegment AS ticker,
         upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS company, idx
         FROM (SELECT c_mktsegment, row_number() OVER (ORDER BY c_mktsegment) - 1 AS idx
-              FROM (SELECT DISTINCT c_mktsegment FROM customer)) WHERE idx < 5""",
+              FROM (SELECT DISTINCT c_mktsegment FROM customer))""",
     ),
     "bars": (
         (),
@@ -21,7 +21,7 @@ PIECES = {
         ("companies",),
         """SELECT doc_id, text, ticker, company,
         DATE '1995-01-01' + (doc_id * 37 % 2400)::int AS d
-        FROM documents JOIN companies ON doc_id % 5 = idx""",
+        FROM documents JOIN companies ON doc_id % (SELECT count(*) FROM companies) = idx""",
     ),
     "filings": (
         ("numbered",),
@@ -32,7 +32,7 @@ PIECES = {
     ),
     "event_dates": (
         ("numbered",),
-        "SELECT DISTINCT ticker, d FROM numbered WHERE doc_id % 7 = 0",
+        "SELECT DISTINCT ticker, d FROM numbered",
     ),
     "changes": (
         ("bars",),

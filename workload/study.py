@@ -564,10 +564,10 @@ def pieces_sql(name: str, source: str) -> None:
     define(
         f"{name}_pieces",
         (f"{name}_chunks", source),
-        f"""SELECT filing_id, pos::int AS pos, chunk[1:512] AS piece FROM {name}_chunks
-        WHERE filing_id IN (SELECT filing_id FROM {source} WHERE length(text) > 5000)
-        UNION ALL SELECT filing_id, 0, text[1:512] FROM {source}
-        WHERE length(text) <= 5000 AND trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> ''""",
+        f"""SELECT filing_id, (row_number() OVER (PARTITION BY filing_id ORDER BY pos, k) - 1)::int AS pos, piece
+        FROM (SELECT filing_id, pos, k, substring(chunk, 512 * k + 1, 512) AS piece
+          FROM (SELECT filing_id, pos, chunk, unnest(range(0, (length(chunk) + 511) // 512)) AS k
+            FROM {name}_chunks)) WHERE trim(piece) <> ''""",
     )
     define(
         f"{name}_tones",
@@ -597,7 +597,6 @@ def pieces_sql(name: str, source: str) -> None:
 
 
 pieces_sql("whole", "filings")
-pieces_sql("part", "sampled")
 
 
 def _scorer(piece):
@@ -674,7 +673,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     rows = se.score_pieces(v.filings(spark, sf_dir), ["filing_id"])
-    return r6(se.with_scorer(rows, _python_model()).drop("piece"))
+    return r6(se.with_scorer(rows, _python_model()).drop("piece", "failure"))
 
 
 DOC_SQL = """SELECT d.ticker, d.company, d.year, d.quarter,
@@ -684,16 +683,16 @@ FROM dated d JOIN {}_pooled p USING (filing_id)"""
 
 def _documents(spark, sf_dir, scorer):
     return se.document_sentiment(
-        v.filings(spark, sf_dir), v.company_names(spark, sf_dir), scorer, sep="\n", **v.DATES
+        v.filings(spark, sf_dir), v.company_names(spark, sf_dir), scorer, **v.DATES
     )
 
 
-@query("txt16_document_sentiment", ("dated", "part_pooled"), DOC_SQL.format("part"))
+@query("txt16_document_sentiment", ("dated", "whole_pooled"), DOC_SQL.format("whole"))
 def _(spark, sf_dir):
     return r6(_documents(spark, sf_dir, _scorer))
 
 
-@query("txt16_document_sentiment_model", ("dated", "part_pooled"), DOC_SQL.format("part"))
+@query("txt16_document_sentiment_model", ("dated", "whole_pooled"), DOC_SQL.format("whole"))
 def _(spark, sf_dir):
     return r6(_documents(spark, sf_dir, _python_model()))
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from tonetape.operators.models import random_baseline
 from tonetape.operators.sentiment import keyword_sentiment
 from tonetape.operators.events import build_features
-from tonetape.sources.readers import spread
 
 POSITIVE = ("ent", "er")
 NEGATIVE = ("ion", "an")
@@ -28,12 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def companies(spark, sf_dir) -> DataFrame:
-    """The first five market segments in name order, numbered from 0."""
+    """The market segments in name order, numbered from 0."""
     names = table(spark, sf_dir, "customer").select("c_mktsegment").distinct()
     order = Window.partitionBy().orderBy("c_mktsegment")
     return (
         names.withColumn("idx", F.row_number().over(order) - 1)
-        .where("idx < 5")
         .select(
             F.col("c_mktsegment").alias("ticker"),
             F.initcap("c_mktsegment").alias("company"),
@@ -71,13 +69,14 @@ def bars(spark, sf_dir) -> DataFrame:
 
 
 def _numbered(spark, sf_dir) -> DataFrame:
-    """Documents with a ticker and a date; at most five companies, safe to broadcast."""
+    """Documents with a ticker and a date; there is one row per segment name to broadcast."""
     first = F.lit("1995-01-01").cast("date")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    segments = companies(spark, sf_dir)
+    number = segments.select(F.count(F.lit(1))).scalar()
     return (
-        spread(documents, "doc_id")
-        .withColumn("idx", F.col("doc_id") % 5)
-        .join(F.broadcast(companies(spark, sf_dir)), "idx")
+        table(spark, sf_dir, "documents")
+        .select("doc_id", "text", (F.col("doc_id") % number).alias("idx"))
+        .join(F.broadcast(segments), "idx")
         .withColumn("d", F.date_add(first, (F.col("doc_id") * 37 % 2400).cast("int")))
     )
 
@@ -102,7 +101,6 @@ def filings(spark, sf_dir) -> DataFrame:
 def event_dates(spark, sf_dir) -> DataFrame:
     return (
         _numbered(spark, sf_dir)
-        .where(F.col("doc_id") % 7 == 0)
         .select("ticker", F.col("d").cast("timestamp").alias("ts"))
         .distinct()
     )
