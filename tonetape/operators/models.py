@@ -2,7 +2,6 @@
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -30,6 +29,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tonetape.functions.text import let
 from tonetape.operators.ranking import pick_hash
 from tonetape.schema import CLASSES
 from tonetape.session import checkpoint_dir
@@ -174,24 +174,24 @@ class StumpBoostModel(Model, _Stumps, DefaultParamsReadable, DefaultParamsWritab
         return self.getOrDefault(self.stumps)
 
     def _transform(self, dataset):
-        x = vector_to_array(F.col(self.getFeaturesCol()))
-        votes = [
-            reduce(
-                lambda a, b: a + b,
-                [
-                    F.when(self._leaf(x, s) == float(c), s[4]).otherwise(0.0)
-                    for s in self.getStumps()
-                    if c in (s[2], s[3])
-                ],
-                F.lit(0.0),
-            )
-            for c in range(self.getOrDefault(self.classes))
-        ]
-        best = F.array(*votes)
-        return dataset.withColumn("_votes", best).withColumn(
-            self.getPredictionCol(),
-            (F.array_position("_votes", F.array_max("_votes")) - 1).cast("double"),
-        ).drop("_votes")
+        """The stumps are one literal array, folded over the vector of a row."""
+        stumps = F.array(
+            *[
+                F.struct(F.lit(int(f)).alias("f"), F.lit(float(t)).alias("t"), F.lit(int(lo)).alias("lo"), F.lit(int(hi)).alias("hi"), F.lit(float(w)).alias("w"))
+                for f, t, lo, hi, w in self.getStumps()
+            ]
+        )
+
+        def vote(x):
+            def add(votes, s):
+                side = F.when((s["f"] < 0) | (F.get(x, F.greatest(s["f"], F.lit(0))) <= s["t"]), s["lo"]).otherwise(s["hi"])
+                return let(side, lambda c: F.transform(votes, lambda v, i: F.when(i == c, v + s["w"]).otherwise(v)))
+
+            return F.aggregate(stumps, F.array_repeat(F.lit(0.0), self.getOrDefault(self.classes)), add)
+
+        votes = let(vector_to_array(F.col(self.getFeaturesCol())), vote)
+        best = let(votes, lambda v: (F.array_position(v, F.array_max(v)) - 1).cast("double"))
+        return dataset.withColumn(self.getPredictionCol(), best)
 
     def importances(self, size: int) -> list[float]:
         """Vote weight of the stumps on each feature, as shares."""
@@ -230,7 +230,7 @@ def adaboost(rounds: int = 50, rate: float = 1.0) -> StumpBoost:
 
 def boosted_trees(**params) -> OneVsRest:
     """One booster per class; the library's boosted trees are two-class."""
-    return OneVsRest(classifier=GBTClassifier(seed=SEED, **params))
+    return OneVsRest(classifier=GBTClassifier(seed=SEED, **params), parallelism=3)
 
 
 def network(inputs: int, classes: int = 3, hidden: Sequence[int] = NETWORK_LAYERS, epochs: int = 50):

@@ -21,6 +21,7 @@ from tonetape.operators.prep import (
     complete_rows,
     feature_columns,
     fold_number,
+    present_values,
     one_hot,
     share_number,
     smallest_class,
@@ -46,6 +47,8 @@ class Prepared:
     scaler: PipelineModel
     folds: int
     train_rows: int
+    classes: list[int]
+    raw_test: DataFrame
 
 
 def prepare(
@@ -65,18 +68,21 @@ def prepare(
     kept = list(dict.fromkeys([*key, label, *(group_cols or []), *plain, "sentiment"]))
     # Written first: looking the categories up must not run the study once more.
     rows = materialised(complete_rows(features).select(*kept))
-    wide = one_hot(rows, "sentiment").withColumn("label", encode_label(label))
+    classes = present_values(rows, label)
+    rows = rows.withColumn("label", encode_label(label, classes))
+    wide = one_hot(rows, "sentiment")
     names = feature_columns(wide, dedupe)
     share = share_number(smallest_class(wide, label), share)
     split = materialised(stratified_split(wide, label, key, share, seed, group_cols))
     train, test = split.where("part = 'train'"), split.where("part = 'test'")
     folds = fold_number(smallest_class(train, label))
     train = materialised(assign_folds(train, label, key, folds, seed))
+    raw_test = test.select(*dict.fromkeys([*key, label, "label", *names]))
     train, test, scaler = standardize(train, test, names)
     columns = [*key, label, "label", "features"]
     train = materialised(train.select(*columns, "fold"))
     test = materialised(test.select(*columns))
-    return Prepared(train, test, names, scaler, folds, train.count())
+    return Prepared(train, test, names, scaler, folds, train.count(), classes, raw_test)
 
 
 @dataclass
@@ -88,14 +94,14 @@ class Outcome:
     comparison: DataFrame | None = None
 
 
-def default_models(rows: int, inputs: int) -> dict:
+def default_models(rows: int, inputs: int, classes: int = 3) -> dict:
     """Display name -> (estimator, grid) for the four classical models and the network."""
     return {
         "Logistic Regression": (m.logistic(rows), m.LOGISTIC_GRID),
         "Random Forest": (m.random_forest(), m.FOREST_GRID),
         "AdaBoost": (m.adaboost(), m.ADABOOST_GRID),
-        "XGBoost": (m.boosted_trees(), m.GBT_GRID),
-        "FFNN": (m.network(inputs), None),
+        "Boosted Trees": (m.boosted_trees(), m.GBT_GRID),
+        "FFNN": (m.network(inputs, classes), None),
     }
 
 
@@ -104,7 +110,7 @@ def run_classification(
 ) -> Outcome:
     """Fit and score the models and the random baseline on one prepared split."""
     out = Outcome()
-    chosen = models or default_models(ready.train_rows, len(ready.names))
+    chosen = models or default_models(ready.train_rows, len(ready.names), len(ready.classes))
     guess = m.random_baseline(ready.test.withColumnRenamed(label, "true"), key)
     out.predictions["Random Baseline"] = guess.select(*key, "true", "pred")
     for name, (estimator, axes) in chosen.items():
@@ -118,7 +124,7 @@ def run_classification(
             fitted = m.grid_search(estimator, axes, ready.train, "fold", ready.folds).bestModel
         out.models[name] = fitted
         # Written: reports, matrices and the comparison each read it.
-        out.predictions[name] = materialised(predictions(fitted.transform(ready.test), key, label))
+        out.predictions[name] = materialised(predictions(fitted.transform(ready.test), key, label, ready.classes))
     for name, table in out.predictions.items():
         out.reports[name] = classification_report(table)
         out.confusions[name] = confusion_matrix(table)

@@ -1,5 +1,8 @@
 """Writers: indicators, sentiment, features, metric tables, reports, models."""
 
+from collections.abc import Sequence
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +49,18 @@ def write_report(df: DataFrame, path: str) -> None:
 
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
+
+
+def save_run(spark, models: dict, scaler: PipelineModel, classes: Sequence[int], root: str) -> None:
+    """Every model behind its scaler as one pipeline, and the label map, class to code."""
+    for name, model in models.items():
+        save_model(PipelineModel([*scaler.stages, model]), f"{root}/{result_name(name)}")
+    pairs = [(int(c), i) for i, c in enumerate(sorted(classes))]
+    _write(spark.createDataFrame(pairs, "class int, code int"), f"{root}/label_map", "json")
+
+
+def load_run(spark, names: Sequence[str], root: str) -> tuple[dict, list[int]]:
+    """The pipelines of `save_run`, for rows that are not scaled yet, and the classes in code order."""
+    models = {name: PipelineModel.load(f"{root}/{result_name(name)}") for name in names}
+    pairs = spark.read.schema("class int, code int").json(f"{root}/label_map").collect()
+    return models, [c for c, _ in sorted(pairs, key=lambda p: p[1])]

@@ -1,6 +1,5 @@
 """Queries of the classification side: preparation, models, metrics, reports, checks."""
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -561,7 +560,16 @@ def _(spark, sf_dir):
     return ck.run_checks(matrix, ck.square_counts(matrix))
 
 
-# ---- fitted models: rows only ----------------------------------------------------
+# ---- fitted models: what SQL can say of them -------------------------------------
+
+SHARE = """(SELECT CASE WHEN min(n) < 10 THEN 0.5::double ELSE 0.3::double END
+FROM (SELECT count(*) AS n FROM hot GROUP BY target))"""
+define("study_split", ("hot",), split_sql("hot", "target", "filing_id", SHARE))
+define("test_rows", ("study_split",), "SELECT filing_id, target FROM study_split WHERE part = 'test'")
+define("train_rows", ("study_split",), "SELECT filing_id, target FROM study_split WHERE part = 'train'")
+FEATURE_ROWS = "(VALUES " + ", ".join(f"('{n}')" for n in NAMES) + ") x(feature)"
+MODELS = ("Logistic Regression", "Random Forest", "AdaBoost", "Boosted Trees", "FFNN")
+MODEL_ROWS = "(VALUES " + ", ".join(f"('{n}')" for n in MODELS) + ") x(model)"
 
 
 def _ready(spark, sf_dir):
@@ -569,83 +577,158 @@ def _ready(spark, sf_dir):
 
 
 def _scored(model, ready):
-    return el.predictions(model.transform(ready.test), KEY)
+    return el.predictions(model.transform(ready.test), KEY, classes=ready.classes)
+
+
+def _valid(pred):
+    return F.coalesce(pred.isin(-1, 0, 1), F.lit(False)).alias("valid")
+
+
+def _models(ready) -> dict:
+    """All five models at the smallest sizes that are searched over, the logistic one searched."""
+    estimators = (
+        (m.logistic(ready.train_rows), m.LOGISTIC_GRID),
+        (m.random_forest(50, 10), None),
+        (m.adaboost(50), None),
+        (m.boosted_trees(maxIter=50, maxDepth=3, stepSize=0.1), None),
+        (m.network(len(ready.names), len(ready.classes)), None),
+    )
+    return dict(zip(MODELS, estimators))
 
 
-@query("mdl2_grid_search")
+@query(
+    "mdl2_grid_search",
+    ("train_rows",),
+    """SELECT (i - 1)::int AS point, round(1 / (c * n * (k - 1) / k), 9) AS penalty, true AS valid
+    FROM (VALUES (1, 0.01::double), (2, 0.1::double), (3, 1.0::double), (4, 10.0::double), (5, 100.0::double)) p(i, c),
+    (SELECT sum(n)::double AS n, greatest(2, least(5, min(n) // 2))::double AS k
+     FROM (SELECT count(*) AS n FROM train_rows GROUP BY target))""",
+)
 def _(spark, sf_dir):
+    """All points of the search for the penalty, with a fold accuracy each."""
     ready = _ready(spark, sf_dir)
-    axes = m.logistic_axes(ready.train_rows, {"C": [0.1, 1.0]})
+    axes = m.logistic_axes(ready.train_rows, ready.folds)
     found = m.grid_search(m.logistic(ready.train_rows), axes, ready.train, "fold", ready.folds)
-    return m.search_table(spark, found)
+    penalty = F.regexp_extract("params", "=(.*)$", 1).cast("double")
+    return m.search_table(spark, found).select(
+        "point", F.round(penalty, 9).alias("penalty"), F.col("accuracy").between(0, 1).alias("valid")
+    )
 
 
-@query("mdl3_evl6_logistic")
+@query(
+    "mdl3_evl6_logistic",
+    (),
+    f"SELECT class, feature, 0.0::double AS gradient FROM (VALUES (-1), (0), (1)) c(class), {FEATURE_ROWS}",
+)
 def _(spark, sf_dir):
+    """The slope of the loss at the fitted coefficients, which is none at its least."""
     ready = _ready(spark, sf_dir)
     fitted = m.logistic(ready.train_rows).fit(ready.train)
-    return rp.rank_coefficients(m.coefficients(spark, fitted, ready.names))
+    penalty = fitted.getOrDefault(fitted.regParam)
+    table = m.coefficients(spark, fitted, ready.names, ready.classes).collect()
+    x, p = vector_to_array("features"), vector_to_array("probability")
+    size = len(ready.names)
+    code = {c: i for i, c in enumerate(ready.classes)}
+    slopes = fitted.transform(ready.train).agg(
+        *[
+            F.avg((p[code[r["class"]]] - (F.col("label") == code[r["class"]]).cast("double")) * x[i % size]).alias(f"g{i}")
+            for i, r in enumerate(table)
+        ]
+    ).first()
+    rows = [(r["class"], r["feature"], float(s + penalty * r["coefficient"])) for r, s in zip(table, slopes)]
+    out = spark.createDataFrame(rows, "class int, feature string, gradient double")
+    return out.withColumn("gradient", F.abs(F.round("gradient", 2)))
 
 
-@query("mdl4_evl7_random_forest")
+@query(
+    "mdl4_evl7_random_forest",
+    (),
+    f"SELECT feature, true AS valid FROM {FEATURE_ROWS} UNION ALL SELECT 'all', true",
+)
 def _(spark, sf_dir):
+    """Importances are shares, and add up to one."""
     ready = _ready(spark, sf_dir)
-    return m.importances(spark, m.random_forest(20, 10).fit(ready.train), ready.names)
+    shares = m.importances(spark, m.random_forest(50, 10).fit(ready.train), ready.names)
+    each = shares.select("feature", F.col("importance").between(0, 1).alias("valid"))
+    total = shares.agg((F.round(F.sum("importance"), 6) == 1).alias("valid"))
+    return each.unionByName(total.select(F.lit("all").alias("feature"), "valid"))
+
 
+PREDICTED_SQL = 'SELECT filing_id, target AS "true", true AS valid FROM test_rows'
 
-@query("mdl5_adaboost")
+
+@query("mdl5_adaboost", ("test_rows",), PREDICTED_SQL)
 def _(spark, sf_dir):
     ready = _ready(spark, sf_dir)
-    return _scored(m.adaboost(5).fit(ready.train), ready)
+    return _scored(m.adaboost(50).fit(ready.train), ready).select(*KEY, "true", _valid(F.col("pred")))
 
 
-@query("mdl6_boosted_trees")
+@query("mdl6_boosted_trees", ("test_rows",), PREDICTED_SQL)
 def _(spark, sf_dir):
     ready = _ready(spark, sf_dir)
-    booster = m.boosted_trees(maxIter=5, maxDepth=3, stepSize=0.2)
-    return _scored(booster.fit(ready.train), ready)
+    fitted = m.boosted_trees(maxIter=50, maxDepth=3, stepSize=0.1).fit(ready.train)
+    return _scored(fitted, ready).select(*KEY, "true", _valid(F.col("pred")))
 
 
-@query("mdl7_evl5_network")
+@query("mdl7_evl5_network", ("test_rows",), "SELECT filing_id, 1.0::double AS total, true AS valid FROM test_rows")
 def _(spark, sf_dir):
+    """Probabilities of each test row add up to one."""
     ready = _ready(spark, sf_dir)
-    fitted = m.network(len(ready.names)).fit(ready.train)
-    return el.probabilities(fitted.transform(ready.test), KEY)
+    fitted = m.network(len(ready.names), len(ready.classes)).fit(ready.train)
+    table = el.probabilities(fitted.transform(ready.test), KEY, ready.classes)
+    total = sum((F.col(c) for c in table.columns if c.startswith("Prob_")), F.lit(0.0))
+    return table.select(*KEY, F.round(total, 6).alias("total"), _valid(F.col("pred")))
 
 
-@query("mdl8_training_history")
+@query("mdl8_training_history", (), "SELECT true AS falls, true AS counted")
 def _(spark, sf_dir):
+    """The loss never rises from step to step, and steps are numbered from 0."""
     ready = _ready(spark, sf_dir)
-    return m.training_history(spark, m.network(len(ready.names)).fit(ready.train))
+    steps = m.training_history(spark, m.network(len(ready.names), len(ready.classes)).fit(ready.train))
+    losses = F.transform(F.array_sort(F.collect_list(F.struct("step", "loss"))), lambda s: s["loss"])
+    return steps.agg(losses.alias("l"), F.max("step").alias("last"), F.count(F.lit(1)).alias("n")).select(
+        F.forall(F.sequence(F.lit(1), F.size("l") - 1), lambda i: F.get("l", i) <= F.get("l", i - 1)).alias("falls"),
+        (F.col("last") == F.col("n") - 1).alias("counted"),
+    )
 
 
-@query("evl10_run_classification")
+@query(
+    "evl10_run_classification",
+    ("test_rows",),
+    f"""SELECT model, NULL::double AS baseline, true AS valid FROM {MODEL_ROWS} UNION ALL
+    SELECT 'Random Baseline', round(avg((target =
+    (('0x' || substr(md5('42:' || filing_id), 1, 8))::bigint % 3 - 1)::int)::int), 6), true FROM test_rows""",
+)
 def _(spark, sf_dir):
-    """Baseline and three models on one split, compared."""
+    """Baseline and all five models on one split, compared."""
     ready = _ready(spark, sf_dir)
-    chosen = {
-        "Logistic Regression": (m.logistic(ready.train_rows), None),
-        "Random Forest": (m.random_forest(20, 10), None),
-        "FFNN": (m.network(len(ready.names), epochs=20), None),
-    }
-    return run_classification(ready, chosen).comparison
+    table = run_classification(ready, _models(ready)).comparison
+    return table.select(
+        "model",
+        F.when(F.col("model") == "Random Baseline", F.round("accuracy", 6)).alias("baseline"),
+        F.col("accuracy").between(0, 1).alias("valid"),
+    )
 
 
-@query("snk6_chk7_model_round_trip")
+@query(
+    "snk6_chk7_model_round_trip",
+    ("test_rows",),
+    f"SELECT model, filing_id, true AS same FROM test_rows, {MODEL_ROWS}",
+)
 def _(spark, sf_dir):
-    """Scaler and model saved, loaded, and applied again: predictions that differ."""
+    """Scaler, label map and every model saved, loaded and applied to the unscaled rows."""
     ready = _ready(spark, sf_dir)
-    fitted = m.random_forest(5, 5).fit(ready.train)
+    fitted = {name: estimator.fit(ready.train) for name, (estimator, _) in _models(ready).items()}
     path = fresh(spark, "model")
-    writers.save_model(fitted, f"{path}/forest")
-    writers.save_model(ready.scaler, f"{path}/scaler")
-    again = type(fitted).load(f"{path}/forest")
-    PipelineModel.load(f"{path}/scaler")
-    old = _scored(fitted, ready)
-    new = _scored(again, ready).withColumnRenamed("pred", "again")
-    return old.join(new, [*KEY, "true"]).select(
-        "filing_id", "pred", "again", (F.col("pred") == F.col("again")).alias("same")
-    )
+    writers.save_run(spark, fitted, ready.scaler, ready.classes, path)
+    loaded, classes = writers.load_run(spark, list(fitted), path)
+    out = None
+    for name, model in fitted.items():
+        again = el.predictions(loaded[name].transform(ready.raw_test), KEY, classes=classes)
+        both = _scored(model, ready).join(again.select(*KEY, F.col("pred").alias("again")), KEY)
+        part = both.select(F.lit(name).alias("model"), *KEY, F.col("pred").eqNullSafe(F.col("again")).alias("same"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("src7_snk4_result_files", ("confusion",), """SELECT 'pick_42' AS model, label, "Pred_Down"::double AS "Pred_Down",
@@ -657,6 +740,22 @@ def _(spark, sf_dir):
     return readers.read_results(spark, root, "confusion").drop("path")
 
 
+@query(
+    "src7_missing_class",
+    ("preds",),
+    """SELECT label, (SELECT count(*) FROM preds WHERE "true" = c AND pred = -1)::double AS "Pred_Down",
+    0.0::double AS "Pred_Stable",
+    (SELECT count(*) FROM preds WHERE "true" = c AND pred = 1)::double AS "Pred_Up"
+    FROM (VALUES (-1, 'True_Down'), (1, 'True_Up')) x(c, label)""",
+)
+def _(spark, sf_dir):
+    """A table of two classes is read back by the names in its header."""
+    root = fresh(spark, "results")
+    two = v.preds(spark, sf_dir).where((F.col("true") != 0) & (F.col("pred") != 0))
+    writers.write_result(el.confusion_matrix(two, [-1, 1]), root, "Two", "confusion")
+    return readers.read_results(spark, root, "confusion").drop("path", "model")
+
+
 @query(
     "snk5_report_file",
     ("per_class",),

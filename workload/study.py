@@ -97,6 +97,18 @@ def _(spark, sf_dir):
 BARS_SQL = "SELECT ticker, d, open, high, low, close, volume FROM bars"
 
 
+@query(
+    "src8_prefer_first",
+    ("tone",),
+    """SELECT ticker, filing_id, round(sentiment_score, 6) AS sentiment_score FROM tone
+    WHERE sentiment_score > 0""",
+)
+def _(spark, sf_dir):
+    tone = v.tone(spark, sf_dir)
+    better = tone.where("sentiment_score > 0")
+    return r6(readers.prefer(better, tone).select("ticker", "filing_id", "sentiment_score"))
+
+
 @query("src1_price_files", ("bars",), BARS_SQL)
 def _(spark, sf_dir):
     """Bars written as price files and read back."""
@@ -136,7 +148,17 @@ def _(spark, sf_dir):
         "ticker", F.lit("8-K").alias("form"), "filing_id", F.col("text").alias("value")
     )
     tree.write.partitionBy("ticker", "form", "filing_id").text(path)
-    return readers.read_filings(spark, path).drop("path")
+    return readers.read_filing_tree(spark, path).drop("path")
+
+
+@query("src4_filing_table", ("filings",), "SELECT ticker, filing_id::varchar AS filing_id, path, text FROM filings")
+def _(spark, sf_dir):
+    """Filings written as an archive table, some twice, and read back."""
+    path = fresh(spark, "archive")
+    once = v.filings(spark, sf_dir).withColumn("filing_id", F.col("filing_id").cast("string"))
+    again = once.where("ticker < 'C'").withColumn("path", F.concat("path", F.lit("/later")))
+    writers.write_table(once.unionByName(again), path)
+    return readers.read_filings(spark, path)
 
 
 FEATURES_SQL = """SELECT ticker, company, year, quarter, report_date,
@@ -275,6 +297,32 @@ def _(spark, sf_dir):
 
 define("filing_days", ("numbered",), "SELECT doc_id AS filing_id, ticker, d FROM numbered")
 
+define(
+    "tied",
+    ("bars",),
+    """SELECT ticker, d, close, 'b' AS side FROM bars UNION ALL SELECT ticker, d, close, 'a' FROM bars
+    UNION ALL SELECT ticker, d, close + 1, 'a' FROM bars""",
+)
+
+
+@query(
+    "evt3_asof_forward_ties",
+    ("filing_days", "tied"),
+    """SELECT f.filing_id, f.ticker, f.d AS filed, b.d AS bar_date, b.close, b.side FROM filing_days f ASOF JOIN (
+    SELECT ticker, d, min({'close': close, 'side': side}).close AS close,
+    min({'close': close, 'side': side}).side AS side FROM tied GROUP BY 1, 2) b
+    ON f.ticker = b.ticker AND f.d <= b.d""",
+)
+def _(spark, sf_dir):
+    """Bars that tie in ticker and day: one row per filing, the smallest bar."""
+    days = v._numbered(spark, sf_dir).select(F.col("doc_id").alias("filing_id"), "ticker", F.col("d").alias("filed"))
+    bars = v.bars(spark, sf_dir).select("ticker", F.col("d").alias("bar_date"), "close")
+    side = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.lit(x).alias("up")) for s, x in (("b", 0), ("a", 0), ("a", 1))]))
+    tied = bars.withColumn("x", side).select("ticker", "bar_date", (F.col("close") + F.col("x.up")).alias("close"), "x.side")
+    return asof_forward(days, tied, ["ticker"], "filed", "bar_date").select("filing_id", "ticker", "filed", "bar_date", "close", "side")
+
+
+
 
 @query(
     "evt3_asof_forward",
