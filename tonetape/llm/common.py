@@ -11,14 +11,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
     Only where that is unset, as in tests, a folder of this machine stands in."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="tonetape-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = _own.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="tonetape-llm-")
+        _own[spark.sparkContext.applicationId] = folder
     return folder.rstrip("/")
 
 

@@ -39,11 +39,12 @@ def merge_runs(table: DataFrame, keep: str, runs: int, fan_in: int) -> DataFrame
     rank = F.struct((F.col("id").isNotNull() if keep == "largest" else F.col("id").isNull()).alias("void"), "id", "row")
     best = F.max if keep == "largest" else F.min
     level = table.select(*KEY, rank.alias("top"), F.lit(1).cast("long").alias("n"), F.pmod(F.xxhash64("row"), F.lit(runs)).alias("run"))
-    while runs > 1:
+    while True:
         runs = -(-runs // fan_in)
-        block = F.floor(F.col("run") / fan_in).alias("run") if runs > 1 else F.lit(0).alias("run")
         keys = ["run", *KEY] if runs > 1 else KEY
-        level = level.withColumn("run", block).groupBy(*keys).agg(best("top").alias("top"), F.sum("n").alias("n"))
+        level = level.withColumn("run", F.floor(F.col("run") / fan_in)).groupBy(*keys).agg(best("top").alias("top"), F.sum("n").alias("n"))
+        if runs == 1:
+            break
     groups = level.where("n > 1")
     return groups.select(*KEY, F.col("top.id").alias("kept_id"), F.col("top.row").alias("kept_row"), F.col("n").alias("group_size"))
 

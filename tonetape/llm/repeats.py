@@ -13,7 +13,7 @@ is done: none of its windows can occur again.  The others are refined.
    found are used again at the offset of 100 bytes.  Windows with equal names are equal.
 
 Buckets are named by hashes of what they hold rather than by ranks, so that refining
-one needs no order over all.
+one needs no order over all.  Strings count as equal if two names of 64 bits agree.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ GRAM, STEP, PIECE = 64, 50, 1 << 20
 #: Rows up to which a table of documents' spans (about 100 bytes each) is broadcast.
 BROADCAST_ROWS = 500_000
 ANCHORS = {"bucket": "long", "context": "long", "k1": "long", "k2": "long", "lo": "int", "hi": "int"}
-WINDOWS = {"name": "long", "context": "long", "at": "int"}
+WINDOWS = {"name": "long", "check": "long", "context": "long", "at": "int"}
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -64,13 +64,19 @@ def pieces(texts: pa.Array, length: int, extra: int, piece: int):
             yield own, np.array([0, len(own)]), k, s, s + piece
 
 
+_draw = np.random.default_rng(20240301)
+#: The numbers of the bytes and the base of two hashes that have nothing in common.
+TABLES = [(W.LETTER, W.BASE), (_draw.integers(1, 1 << 63, 256, dtype=W.U) * W.U(2) + W.U(1), int(_draw.integers(1 << 61, 1 << 62)) * 2 + 1)]
+
+
 class Spans:
-    """Hashes of any spans of data."""
+    """Hashes of any spans of data, by the first or second table."""
 
-    def __init__(self, data: np.ndarray):
-        self.up, self.down = W.powers(1 << max(20, len(data).bit_length()))
+    def __init__(self, data: np.ndarray, table: int = 0):
+        letter, base = TABLES[table]
+        self.up, self.down = W.powers(1 << max(20, len(data).bit_length()), base)
         self.sums = np.zeros(len(data) + 1, W.U)
-        np.cumsum(W.LETTER[data] * self.up[: len(data)], out=self.sums[1:])
+        np.cumsum(letter[data] * self.up[: len(data)], out=self.sums[1:])
 
     def hash(self, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
         return W.mixed((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(W.U) * W.U(W.STEP), salt)
@@ -105,13 +111,18 @@ def pointers(data: np.ndarray, begin: np.ndarray, length: int):
     return text, lo - begin[text], hi - begin[text], gram[at].view(np.int64), context.view(np.int64)
 
 
-def names(spans: Spans, at: np.ndarray, length: int) -> np.ndarray:
-    """Names of the windows at these places, by names of ever longer strings at later offsets."""
-    of = [spans.hash(at + to, at + to + STEP, 9) for to in (min(k, length - STEP) for k in range(0, length, STEP))]
-    while len(of) > 1:
-        rest = of[len(of) - len(of) % 2 :]
-        of = [W.mixed(a * W.U(W.STEP) + b, 10) for a, b in zip(of[::2], of[1::2])] + [W.mixed(x, 11) for x in rest]
-    return of[0].view(np.int64)
+def names(data: np.ndarray, at: np.ndarray, length: int) -> list[np.ndarray]:
+    """Two names of each of the windows at these places, by names of ever longer strings at later offsets."""
+    both = []
+    for table in (0, 1):
+        spans = Spans(data, table)
+        # The last of the first strings may overlap the one before it.
+        of = [spans.hash(at + to, at + to + STEP, 9) for to in (min(k, length - STEP) for k in range(0, length, STEP))]
+        while len(of) > 1:
+            rest = of[len(of) - len(of) % 2 :]
+            of = [W.mixed(a * W.U(W.STEP) + b, 10) for a, b in zip(of[::2], of[1::2])] + [W.mixed(x, 11) for x in rest]
+        both.append(of[0].view(np.int64))
+    return both
 
 
 def repeated(docs: DataFrame, length: int, piece: int) -> DataFrame:
@@ -158,15 +169,16 @@ def repeated(docs: DataFrame, length: int, piece: int) -> DataFrame:
                 stops = np.cumsum(count)
                 at = np.arange(stops[-1]) - np.repeat(stops - count, count)
                 start = np.repeat(begin[text[mine]] + lo[mine] - shift, count) + at
-                yield packed({"name": names(Spans(data), start, length), "context": np.repeat(context[mine], count), "at": at.astype(np.int32)}, window_blocks)
+                name, check = names(data, start, length)
+                yield packed({"name": name, "check": check, "context": np.repeat(context[mine], count), "at": at.astype(np.int32)}, window_blocks)
 
     wanted = F.broadcast(runs) if n_runs <= BROADCAST_ROWS else runs
     texts = docs.select("k1", "k2", "text").join(wanted.select("k1", "k2", "runs"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
-    windows = shared_entries(texts.select("text", "runs").mapInArrow(name, packed_schema(WINDOWS)), WINDOWS, window_blocks)
+    windows = shared_entries(texts.select("text", "runs").mapInArrow(name, packed_schema(WINDOWS)), WINDOWS, window_blocks, keys=2)
     # At most length - GRAM + 1 windows belong to a context.
     some = written(windows.groupBy("context").agg(F.collect_set("at").alias("at")), "windows")
-    many = contexts.where("n > 1").select("context")
-    whole = found.join(many, "context").select("k1", "k2", "lo", (F.col("hi") + length).alias("end"))
+    many = contexts.where("n > 1").select("bucket", "context")
+    whole = found.join(many, ["bucket", "context"]).select("k1", "k2", "lo", (F.col("hi") + length).alias("end"))
     once = contexts.where("n = 1").join(some, "context").withColumn("at", F.explode("at")).select("k1", "k2", (F.col("lo") + F.col("at")).alias("lo"))
     spans = whole.unionByName(once.withColumn("end", F.col("lo") + length)).distinct()
 

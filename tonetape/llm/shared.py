@@ -40,11 +40,10 @@ def packed(entries: dict[str, np.ndarray], blocks: int) -> pa.RecordBatch:
 
 
 class Block:
-    """The keys met so far, each with its entry while there is only one."""
+    """The keys met so far, each with its first entry, and whether that is its only one."""
 
-    def __init__(self, kinds: list[type]):
-        self.held = [np.zeros(0, k) for k in kinds]
-        self.alone = np.zeros(0, bool)
+    def __init__(self, kinds: list[type], keys: int):
+        self.held, self.alone, self.keys = [np.zeros(0, k) for k in kinds], np.zeros(0, bool), keys
         self.new: list[list[np.ndarray]] = []
         self.waiting = 0
 
@@ -57,32 +56,29 @@ class Block:
         """What waits of keys that are now known to be shared, and the entries held for them."""
         if not self.waiting:
             return None
-        new = [np.concatenate(x) for x in zip(*self.new)]
+        old = len(self.alone)
+        both = [np.concatenate([h, *x]) for h, x in zip(self.held, zip(*self.new))]
         self.new, self.waiting = [], 0
-        order = np.argsort(new[0], kind="stable")
-        new = [x[order] for x in new]
-        start = np.flatnonzero(np.append(True, new[0][1:] != new[0][:-1]))
+        # The held entry of a key comes before its new ones.
+        order = np.lexsort(both[self.keys - 1 :: -1] if self.keys > 1 else both[:1])
+        both = [x[order] for x in both]
+        held, alone = order < old, np.append(self.alone, np.zeros(len(order) - old, bool))[order]
+        differ = np.zeros(max(len(order) - 1, 0), bool)
+        for key in both[: self.keys]:
+            differ |= key[1:] != key[:-1]
+        start = np.flatnonzero(np.append(True, differ))
         count = np.diff(np.append(start, len(order)))
-        own = new[0][start]
-        known, at = np.zeros(len(own), bool), np.zeros(len(own), np.int64)
-        if len(self.alone):
-            at = np.minimum(np.searchsorted(self.held[0], own), len(self.alone) - 1)
-            known = self.held[0][at] == own
-        out = np.repeat(known | (count > 1), count)
-        back = at[known]
-        back = back[self.alone[back]]
-        shared = [np.concatenate([x[out], h[back]]) for x, h in zip(new, self.held)]
-        self.alone[back] = False
-        first = start[~known]
-        self.held = [np.concatenate([h, x[first]]) for x, h in zip(new, self.held)]
-        self.alone = np.concatenate([self.alone, count[~known] == 1])
-        order = np.argsort(self.held[0], kind="stable")
-        self.held, self.alone = [h[order] for h in self.held], self.alone[order]
-        return shared if len(shared[0]) else None
-
-
-def shared_entries(rows: DataFrame, fields: dict[str, str], blocks: int) -> DataFrame:
-    """The entries of packed rows, one row each, whose key (the first field) several entries have."""
+        shared = np.repeat(count > 1, count) | (held & ~alone)
+        # New entries of shared keys, and a held one when its key is shared only now.
+        give = shared & (~held | alone)
+        out = [x[give] for x in both]
+        self.held = [x[start] for x in both]
+        self.alone = (count == 1) & (alone[start] | ~held[start])
+        return out if give.any() else None
+
+
+def shared_entries(rows: DataFrame, fields: dict[str, str], blocks: int, keys: int = 1) -> DataFrame:
+    """The entries of packed rows, one row each, whose key (the first fields) several entries have."""
     names, kinds = list(fields), [KINDS[k] for k in fields.values()]
 
     def pick(batches):
@@ -90,7 +86,7 @@ def shared_entries(rows: DataFrame, fields: dict[str, str], blocks: int) -> Data
         give = lambda got: pa.RecordBatch.from_arrays([pa.array(x) for x in got], names=names)
         for batch in batches:
             for block, *entries in zip(*(batch.column(c).to_pylist() for c in ["block", *names])):
-                got = held.setdefault(block, Block(kinds)).add([np.frombuffer(e, k) for e, k in zip(entries, kinds)])
+                got = held.setdefault(block, Block(kinds, keys)).add([np.frombuffer(e, k) for e, k in zip(entries, kinds)])
                 if got:
                     yield give(got)
         for block in held.values():

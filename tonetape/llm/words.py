@@ -33,7 +33,7 @@ def mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=3)
 def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
     """base**i and its inverse modulo 2**64, for i < n."""
     both = []
