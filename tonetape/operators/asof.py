@@ -16,7 +16,7 @@ def asof_forward(
     right_on: str,
     how: str = "inner",
     tolerance: int | None = None,
-    width: int = SLICE_DAYS,
+    width: float = SLICE_DAYS,
 ) -> DataFrame:
     """Give each left row the earliest right row of the same key at or after it.
 
@@ -24,7 +24,8 @@ def asof_forward(
     or time that many left rows share is looked up once.  The answer is then an
     equi-join; adaptive execution broadcasts it while its measured size allows
     and splits skewed keys of a sort-merge join beyond that.  `tolerance` is a
-    largest gap in days; `how` is "inner" or "left".  Of right rows that tie in key
+    largest gap in days; `width` is the length of a search slice in days, a fraction
+    of one for series with many rows a day; `how` is "inner" or "left".  Of right rows that tie in key
     and time the smallest is given, by their other columns in order.
     """
     by = list(by)

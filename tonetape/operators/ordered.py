@@ -139,7 +139,7 @@ def over_series(
 
 
 def first_on_or_after(
-    wanted: DataFrame, marks: DataFrame, by: Sequence[str], width: int = SLICE_DAYS
+    wanted: DataFrame, marks: DataFrame, by: Sequence[str], width: float = SLICE_DAYS
 ) -> DataFrame:
     """For distinct (by, at) rows of `wanted`, the least `at` of `marks` not before it.
 
@@ -152,7 +152,7 @@ def first_on_or_after(
     found = marks.select(*by, "at").distinct().withColumn("mark", F.col("at"))
     both = (
         asked.unionByName(found)
-        .withColumn(SLICE, F.floor(F.unix_date(F.col("at").cast("date")) / width).cast("int"))
+        .withColumn(SLICE, F.floor(F.unix_seconds(F.col("at").cast("timestamp")) / (86_400 * width)))
         .repartition(*by, SLICE)
     )
     # newest first, so a running minimum gives the nearest mark at or after each row

@@ -8,7 +8,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonetape.operators.ranking import hash_ranks
+from tonetape.operators.ranking import SLICE_DIGITS, hash_ranks
 
 # The named features, before the one-hot columns.
 NAMED_FEATURES = ("sentiment_score", "pre_return", "pre_volume_change", "pre_rsi")
@@ -101,17 +101,19 @@ def stratified_split(
     share: float = 0.3,
     seed: int = 42,
     group_cols: Sequence[str] | None = None,
+    digits: int = SLICE_DIGITS,
 ) -> DataFrame:
     """Add `part`, 'train' or 'test', with exact class quotas and a repeatable draw.
 
     `key` names the columns that tell rows apart.  With `group_cols` whole groups
     are drawn instead of rows, so near-copies of an event stay on one side; a
-    group's class is that of its rows.
+    group's class is that of its rows.  `digits` cuts the draw into slices, see
+    `slice_digits`.
     """
     units, draw = (df, list(key)) if group_cols is None else (
         df.select(label, *group_cols).distinct(), list(group_cols)
     )
-    ranked = hash_ranks(units, label, draw, seed)
+    ranked = hash_ranks(units, label, draw, seed, digits)
     sizes = units.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     part = F.when(F.col("_rank") <= F.col("quota"), "train").otherwise("test").alias("part")
     # one row per class: safe to broadcast
@@ -121,14 +123,20 @@ def stratified_split(
 
 
 def assign_folds(
-    df: DataFrame, label: str, key: Sequence[str], k: int, seed: int = 42, out: str = "fold"
+    df: DataFrame,
+    label: str,
+    key: Sequence[str],
+    k: int,
+    seed: int = 42,
+    out: str = "fold",
+    digits: int = SLICE_DIGITS,
 ) -> DataFrame:
     """Add a fold number 0..k-1: class sizes in any two folds differ by one at most.
 
     Each class starts dealing where the class before it stopped, which evens out
     the fold sizes as well.
     """
-    ranked = hash_ranks(df, label, key, seed)
+    ranked = hash_ranks(df, label, key, seed, digits)
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
     dealt = sizes.select(
         label,

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CUTS = 64
+#: Distinct values of one slice, about, when their number is known.
+SLICE_VALUES = 50_000
 
 
 def value_counts(df: DataFrame, by: str, column: str) -> DataFrame:
@@ -17,6 +19,12 @@ def value_counts(df: DataFrame, by: str, column: str) -> DataFrame:
     )
 
 
+def cuts_for(counts: DataFrame, by: str) -> int:
+    """Slices that keep those of the largest group near SLICE_VALUES values; reads `counts`."""
+    most = counts.groupBy(by).count().agg(F.max("count")).first()[0] or 0
+    return max(CUTS, -(-most // SLICE_VALUES))
+
+
 def exact_quantiles(
     counts: DataFrame, by: str, probs: Sequence[float] = (0.25, 0.5, 0.75), cuts: int = CUTS
 ) -> DataFrame:
@@ -29,7 +37,7 @@ def exact_quantiles(
     """
     grid = [i / cuts for i in range(1, cuts)]
     edges = counts.groupBy(by).agg(
-        F.array_distinct(F.percentile_approx("value", grid, 1000)).alias("_edges")
+        F.array_distinct(F.percentile_approx("value", grid, max(1000, 10 * cuts))).alias("_edges")
     )
     sliced = counts.join(edges, by).select(
         by,

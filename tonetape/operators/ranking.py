@@ -12,6 +12,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_DIGITS = 3
+#: Rows of one slice, about, when the number of rows is known.
+SLICE_ROWS = 50_000
+
+
+def slice_digits(rows: int) -> int:
+    """Hex digits that cut so many rows into slices of about SLICE_ROWS."""
+    digits = SLICE_DIGITS
+    while rows > SLICE_ROWS * 16**digits:
+        digits += 1
+    return digits
 
 
 def pick_hash(key: Sequence[str], seed: int) -> Column:

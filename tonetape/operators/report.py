@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonetape.functions.labels import class_name
-from tonetape.operators.quantiles import exact_quantiles, value_counts
+from tonetape.operators.quantiles import cuts_for, exact_quantiles, value_counts
+from tonetape.session import materialised
 
 BASELINE = "Random Baseline (Expected)"
 
@@ -46,8 +47,9 @@ def box_stats(
     inside the box, whose edges may lie between two values.  Works on
     one row per distinct value; outliers come with their number of rows.
     """
-    counts = value_counts(df, by, column)
-    quartiles = exact_quantiles(counts, by)
+    # Written: it is read for the edges, the slices and the whiskers.
+    counts = materialised(value_counts(df, by, column))
+    quartiles = exact_quantiles(counts, by, cuts=cuts_for(counts, by))
     reach = whis * (F.col("q2") - F.col("q0"))
     low, high = (F.col("q0") - reach).alias("_lo"), (F.col("q2") + reach).alias("_hi")
     fenced = counts.join(

@@ -28,9 +28,10 @@ from tonetape.operators.prep import (
     standardize,
     stratified_split,
 )
+from tonetape.operators.ranking import slice_digits
 from tonetape.operators.report import stack_predictions
 from tonetape.operators.sentiment import keyword_sentiment
-from tonetape.session import materialised
+from tonetape.session import materialised, release
 
 
 def study_features(filings, bars, companies, *, lexicon=None, dates=None, moves=None) -> DataFrame:
@@ -69,19 +70,22 @@ def prepare(
     # Written first: looking the categories up must not run the study once more.
     rows = materialised(complete_rows(features).select(*kept))
     classes = present_values(rows, label)
-    rows = rows.withColumn("label", encode_label(label, classes))
-    wide = one_hot(rows, "sentiment")
+    digits = slice_digits(rows.count())
+    coded = rows.withColumn("label", encode_label(label, classes))
+    wide = one_hot(coded, "sentiment")
     names = feature_columns(wide, dedupe)
     share = share_number(smallest_class(wide, label), share)
-    split = materialised(stratified_split(wide, label, key, share, seed, group_cols))
+    split = materialised(stratified_split(wide, label, key, share, seed, group_cols, digits))
+    release(rows)
     train, test = split.where("part = 'train'"), split.where("part = 'test'")
     folds = fold_number(smallest_class(train, label))
-    train = materialised(assign_folds(train, label, key, folds, seed))
+    dealt = train = materialised(assign_folds(train, label, key, folds, seed, digits=digits))
     raw_test = test.select(*dict.fromkeys([*key, label, "label", *names]))
     train, test, scaler = standardize(train, test, names)
     columns = [*key, label, "label", "features"]
     train = materialised(train.select(*columns, "fold"))
     test = materialised(test.select(*columns))
+    release(dealt)
     return Prepared(train, test, names, scaler, folds, train.count(), classes, raw_test)
 
 

@@ -26,7 +26,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="tonetape-")
     if context.getCheckpointDir() is None:
@@ -44,4 +44,17 @@ def materialised(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of `materialised` tables that nothing reads any more."""
+    for table in tables:
+        path = getattr(table, "_written_at", None)
+        if path is not None:
+            spark = table.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            table._written_at = None
