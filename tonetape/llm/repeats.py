@@ -13,7 +13,8 @@ is done: none of its windows can occur again.  The others are refined.
    found are used again at the offset of 100 bytes.  Windows with equal names are equal.
 
 Buckets are named by hashes of what they hold rather than by ranks, so that refining
-one needs no order over all.  Strings count as equal if two names of 64 bits agree.
+one needs no order over all.  Strings count as equal if two names, of 96 bits together,
+agree.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ GRAM, STEP, PIECE = 64, 50, 1 << 20
 #: Rows up to which a table of documents' spans (about 100 bytes each) is broadcast.
 BROADCAST_ROWS = 500_000
 ANCHORS = {"bucket": "long", "context": "long", "k1": "long", "k2": "long", "lo": "int", "hi": "int"}
-WINDOWS = {"name": "long", "check": "long", "context": "long", "at": "int"}
+WINDOWS = {"name": "long", "check": "int", "context": "long", "at": "int"}
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -170,10 +171,12 @@ def repeated(docs: DataFrame, length: int, piece: int) -> DataFrame:
                 at = np.arange(stops[-1]) - np.repeat(stops - count, count)
                 start = np.repeat(begin[text[mine]] + lo[mine] - shift, count) + at
                 name, check = names(data, start, length)
-                yield packed({"name": name, "check": check, "context": np.repeat(context[mine], count), "at": at.astype(np.int32)}, window_blocks)
+                yield packed({"name": name, "check": check.astype(np.int32), "context": np.repeat(context[mine], count), "at": at.astype(np.int32)}, window_blocks)
 
+    # A row that is there twice names its windows twice.  Its contexts come more than once
+    # then, and are repeated as a whole in any case.
     wanted = F.broadcast(runs) if n_runs <= BROADCAST_ROWS else runs
-    texts = docs.select("k1", "k2", "text").join(wanted.select("k1", "k2", "runs"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
+    texts = docs.select("k1", "k2", "text").join(wanted.select("k1", "k2", "runs"), ["k1", "k2"])
     windows = shared_entries(texts.select("text", "runs").mapInArrow(name, packed_schema(WINDOWS)), WINDOWS, window_blocks, keys=2)
     # At most length - GRAM + 1 windows belong to a context.
     some = written(windows.groupBy("context").agg(F.collect_set("at").alias("at")), "windows")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from tonetape.llm import words as W
 
 #: Entries in one block, about.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 KINDS = {"long": np.int64, "int": np.int32}
 
 
