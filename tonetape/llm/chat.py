@@ -57,29 +57,36 @@ def reply_paths(messages: DataFrame, best: int | None) -> DataFrame:
             F.coalesce("score", F.lit(0.0)).cast("double").alias("total"),
         )
     )
-    jumps = [written(jump, "jump0")]
+    columns = ["tree_key", "node_key", "up", "steps", "total"]
+    jumps, ended = [written(jump.select(*columns), "jump0")], []
     most = messages.groupBy("tree_key").count().agg(F.max("count")).first()[0] or 0
-    while 1 << (len(jumps) - 1) <= most:
-        last = jumps[-1]
-        if last.where("up is not null").isEmpty():
+    while True:
+        # Only pointers that have not come to a root go on; those that have are looked up.
+        ended.append(jumps[-1].where("up is null"))
+        going = jumps[-1].where("up is not null")
+        if 1 << (len(jumps) - 1) > most or going.isEmpty():
             break
-        over = last.select(
+        known = going
+        for part in ended:
+            known = known.unionByName(part)
+        over = known.select(
             "tree_key", F.col("node_key").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("total").alias("above")
         )
-        step = last.join(over, ["tree_key", "up"], "left").select(
+        step = going.join(over, ["tree_key", "up"]).select(
             "tree_key",
             "node_key",
             F.col("next").alias("up"),
-            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
-            (F.col("total") + F.coalesce("above", F.lit(0.0))).alias("total"),
+            (F.col("steps") + F.col("more")).alias("steps"),
+            (F.col("total") + F.col("above")).alias("total"),
         )
         jumps.append(written(step, f"jump{len(jumps)}"))
+    rooted = ended[0]
+    for part in ended[1:]:
+        rooted = rooted.unionByName(part)
     parents = jumps[0].where("up is not null").select("tree_key", F.col("up").alias("node_key")).distinct()
-    # What still points upwards after so many rounds hangs on a circle and has no root.
+    # What never comes to a root hangs on a circle and is in no path.
     leaves = (
-        jumps[-1]
-        .where("up is null")
-        .join(parents, ["tree_key", "node_key"], "left_anti")
+        rooted.join(parents, ["tree_key", "node_key"], "left_anti")
         .select("tree_key", F.col("node_key").alias("leaf"), "steps", (F.col("total") / F.col("steps")).alias("path_score"))
     )
     if best is None:
