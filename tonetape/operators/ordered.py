@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 SLICE_DAYS = 512
 
-DAY, SLICE, _EXTRA = "_day", "_slice", "_extra"
+DAY, SLICE, _EXTRA, _PACK = "_day", "_slice", "_extra", "_pack"
 
 
 def with_slices(df: DataFrame, date: str, width: int) -> DataFrame:
@@ -108,13 +108,23 @@ def over_series(
     `w` is ordered by day number, so both row and day-range frames work on it.
     `needs` are the columns the steps read, `fill` those they read forward-filled
     (as `filled(name)`), `before` / `after` how many rows back and ahead their
-    frames reach in all.
+    frames reach in all.  What `needs` names are numbers that a double holds exactly.
     """
-    # the date itself travels as its day number; with no columns but `needs` both
-    # uses of `rows` then read the same exchange, and `df` is worked out once
-    rows = with_slices(df, date, width).drop(date).repartition(key, SLICE)
-    w = Window.partitionBy(key, SLICE).orderBy(DAY)
+    # The date itself travels as its day number, and the columns the steps read as one
+    # array: whatever of them is used later on, both uses of the dealt rows then read
+    # the same exchange, and `df` is worked out once.
     names = [n for n in needs if n not in (key, date)]
+    kinds = {n: df.schema[n].dataType for n in names}
+    dealt = (
+        with_slices(df, date, width)
+        .withColumn(_PACK, F.array(*[F.col(n).cast("double") for n in names]))
+        .drop(date, *names)
+        .repartition(key, SLICE)
+    )
+    rows = dealt.withColumns(
+        {n: F.get(_PACK, F.lit(i)).cast(kinds[n]) for i, n in enumerate(names)}
+    ).drop(_PACK)
+    w = Window.partitionBy(key, SLICE).orderBy(DAY)
     out = rows.withColumn(_EXTRA, F.lit(False))
     for n in fill:
         out = out.withColumn(filled(n), F.lit(None).cast(df.schema[n].dataType))
