@@ -73,7 +73,7 @@ def test_features_of_single_texts():
     texts = ["You are an 1d1ot!!", "idiot", "A calm sentence about trash cans and you", "", None, "STUPID STUPID you", "sooooo calm"]
     whole = features(pa.array(texts), np.zeros(0, np.uint64), np.zeros(0), hashes(INSULTS), hashes(YOU))
     assert whole.shape == (len(texts), len(FEATURES))
-    single = np.vstack([features(pa.array([t]), np.zeros(0, np.uint64), np.zeros(0), hashes(INSULTS), hashes(YOU)) for t in texts])
+    single = np.vstack([features(pa.array([t], pa.string()), np.zeros(0, np.uint64), np.zeros(0), hashes(INSULTS), hashes(YOU)) for t in texts])
     assert np.allclose(whole, single)
     value = lambda t, name: whole[t, FEATURES.index(name)]
     assert value(0, "disguised_insults") > 0 and value(0, "any_insult") == 0
@@ -86,5 +86,5 @@ def test_features_of_single_texts():
 def test_statistics_of_single_texts():
     texts = ["Some words. More words!", "", None, "a|b | c %%%", "x x x x y", "\n\n", "é" * 50]
     whole = statistics(pa.array(texts))
-    assert np.allclose(whole, np.vstack([statistics(pa.array([t])) for t in texts]))
+    assert np.allclose(whole, np.vstack([statistics(pa.array([t], pa.string())) for t in texts]))
     assert np.isfinite(whole).all()

@@ -154,7 +154,9 @@ def features(texts: pa.Array, lexicon: np.ndarray, weight: np.ndarray, insults:
 
     # Disguised: what reads as an insult only once signs are letters again.
     word_start, word_end = W.words(flat)
-    read = PLAIN[low]
+    # A sign at the end of a word is punctuation.
+    inside = np.append(LETTERS[low[1:]] | DIGIT[low[1:]], False)[: len(low)]
+    read = np.where(DIGIT[low] | inside, PLAIN[low], low)
     hidden_start, hidden_end = runs(LETTERS[read])
     changed = np.append(0, np.cumsum(read != low))
     odd = changed[hidden_end] > changed[hidden_start]
