@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tonetape.llm.common import written
+from tonetape.llm.common import discard, watched, written
 from tonetape.llm.copies import drop_copies
 from tonetape.llm.jaccard import drop_near_copies
 from tonetape.llm.mixing import mix
@@ -46,12 +46,33 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return pack(docs, public_tokenizers.path(TOKENIZER))
 
 
+_left: list[DataFrame] = []
+
+
+def stage(step: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """step, which first deletes the tables that the stage before left for its result.
+
+    That result is written by then, and docs reads it from where it was written; a
+    table that docs itself reads stays."""
+
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = {f.rpartition("/")[0] for f in docs.inputFiles()}
+        gone = [t for t in _left if not any((t._llm_path or "-") in folder for folder in read)]
+        discard(*gone)
+        with watched() as tables:
+            out = step(spark, docs, sf_dir)
+        _left[:] = [t for t in [*_left, *tables] if t._llm_path]
+        return out
+
+    return run_step
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", keep_civil),
-    ("exact_dedup", drop_exact_copies),
-    ("jaccard_join", drop_near),
-    ("mixing", mix_sources),
-    ("packing", pack_sequences),
+    ("toxicity", stage(keep_civil)),
+    ("exact_dedup", stage(drop_exact_copies)),
+    ("jaccard_join", stage(drop_near)),
+    ("mixing", stage(mix_sources)),
+    ("packing", stage(pack_sequences)),
 ]
 
 #: Boosted trees, rounding and packing are no SQL; the stages are tested against plain versions.
@@ -61,6 +82,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, from the documents in sf_dir."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+    for name, step in STAGES[:-1]:
+        before, docs = docs, written(step(spark, docs, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

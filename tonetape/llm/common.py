@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -37,9 +38,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out._llm_path = path
+    for tables in _watchers:
+        tables.append(out)
     return out
 
 
+_watchers: list[list[DataFrame]] = []
+
+
+@contextmanager
+def watched() -> Iterator[list[DataFrame]]:
+    """A list of the tables that are written meanwhile, to be discarded when their readers are done."""
+    tables: list[DataFrame] = []
+    _watchers.append(tables)
+    try:
+        yield tables
+    finally:
+        _watchers.remove(tables)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes written tables that nothing reads any more."""
     for table in tables:
