@@ -34,7 +34,11 @@ SLICE = 2 << 20
 ROW_BLOCK = 512
 #: Rows up to which a table of row numbers (a few dozen bytes each) is broadcast.
 BROADCAST_ROWS = 500_000
+#: Words of parity bits: a few go with every entry of the matrix, all with those that meet all others.
 PARITY = [f"p{k}" for k in range(4)]
+LONG_PARITY = [f"q{k}" for k in range(16)]
+#: Smallest columns of a set that say whether a pair has met before.
+FIRST = 16
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -44,7 +48,7 @@ def least_overlap(n: int, percent: int) -> int:
 
 def set_schema() -> T.StructType:
     long = T.LongType()
-    return T.StructType([T.StructField(c, long) for c in ("row", "n", "f0", "f1", *PARITY)] + [T.StructField("least", T.BinaryType())])
+    return T.StructType([T.StructField(c, long) for c in ("row", "n", "f0", "f1", *PARITY, *LONG_PARITY)] + [T.StructField("least", T.BinaryType())])
 
 
 def summarised(rows: list[np.ndarray], percent: int) -> list[pa.Array]:
@@ -60,12 +64,13 @@ def summarised(rows: list[np.ndarray], percent: int) -> list[pa.Array]:
             out[has] = op.reduceat(values, begin[:-1][has])
         return out.view(np.int64)
 
-    bit, word = W.U(1) << (flat & W.U(63)), (flat >> W.U(6)) & W.U(3)
-    parity = [each(np.bitwise_xor, np.where(word == W.U(k), bit, W.U(0))) for k in range(4)]
+    bit, word = W.U(1) << (flat & W.U(63)), (flat >> W.U(6)) & W.U(15)
+    long = [each(np.bitwise_xor, np.where(word == W.U(k), bit, W.U(0))) for k in range(16)]
+    parity = [long[k] ^ long[k + 4] ^ long[k + 8] ^ long[k + 12] for k in range(4)]
     # One more tenth of the shingles than a pair needs: see frequent().
     least = [r[: len(r) - least_overlap(len(r), percent) + 1 + len(r) // 10].tobytes() if len(r) else b"" for r in rows]
     prints = [each(np.add, W.mixed(flat, salt)) for salt in (3, 4)]
-    return [pa.array(n), *map(pa.array, prints), *map(pa.array, parity), pa.array(least, pa.binary())]
+    return [pa.array(n), *map(pa.array, prints), *map(pa.array, parity), *map(pa.array, long), pa.array(least, pa.binary())]
 
 
 def frequent(n: Column, percent: int) -> Column:
@@ -90,10 +95,10 @@ def shared_columns(sets: DataFrame, entries: int) -> DataFrame:
     return shared_entries(sets.select("row", "least").mapInArrow(deal, packed_schema(fields)), fields, blocks)
 
 
-def may_link(a: str, b: str, percent: int) -> Column:
+def may_link(a: str, b: str, percent: int, bits: list[str] = PARITY) -> Column:
     """Whether sizes and parity bits leave room for a link of rows a and b."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    differ = sum((F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in PARITY), F.lit(0))
+    differ = sum((F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in bits), F.lit(0))
     # Linked: overlap o with 100 o >= percent (n + m - o), and the difference is n + m - 2 o.
     return (
         (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
@@ -144,8 +149,8 @@ def classes(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     # A null id is nobody's smallest.
     first = F.min(F.struct(F.col("id").isNull().alias("void"), "id", "row")).alias("first")
     groups = written(
-        sets.where("n > 0").groupBy(*prints).agg(first, *(F.first(p).alias(p) for p in PARITY)).select(
-            F.col("first.row").alias("row"), F.col("first.id").alias("id"), *prints, *PARITY
+        sets.where("n > 0").groupBy(*prints).agg(first, *(F.first(p).alias(p) for p in [*PARITY, *LONG_PARITY])).select(
+            F.col("first.row").alias("row"), F.col("first.id").alias("id"), *prints, *PARITY, *LONG_PARITY
         ),
         "classes",
     )
@@ -173,7 +178,11 @@ def classes(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     mine = product.join(label.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
     mine = written(mine, "labelled")
     open_columns = mine.groupBy("column").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = written(mine.join(open_columns.select("column"), "column"), "open")
+    place = F.row_number().over(Window.partitionBy("row").orderBy("column"))
+    first = F.collect_list(F.when(F.col("place") <= FIRST, F.col("column"))).over(Window.partitionBy("row"))
+    rest = mine.select("column", "row", "df", "component").join(open_columns.select("column"), "column")
+    rest = rest.withColumn("place", place).withColumn("first", first).drop("place").join(groups.select("row", "n", *LONG_PARITY), "row")
+    rest = written(rest, "open")
     discard(mine, product, label)
     blocks = F.ceil(F.col("df") / ROW_BLOCK)
     rest = rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")))
@@ -185,7 +194,9 @@ def classes(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
         & (F.col("a.other") == F.col("b.block"))
         & ((F.col("a.block") < F.col("b.block")) | (F.col("a.row") < F.col("b.row")))
         & (F.col("a.component") != F.col("b.component"))
-        & may_link("a", "b", percent)
+        & may_link("a", "b", percent, LONG_PARITY)
+        # A pair that shares an earlier column leaves the join there.
+        & ~F.arrays_overlap(F.filter("a.first", lambda c: c < F.col("a.column")), F.col("b.first"))
     )
     pairs = left.join(right, on).select(F.least("a.row", "b.row").alias("a"), F.greatest("a.row", "b.row").alias("b"))
     pairs = written(pairs.distinct(), "pairs")
@@ -197,7 +208,7 @@ def classes(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     least = F.min(F.struct(F.col("id").isNull().alias("void"), "id", "row")).alias("least")
     best = named.groupBy("component").agg(least).select("component", F.col("least.row").alias("component_row"), F.col("least.id").alias("component_id"))
     best = written(best, "components")
-    return sets.drop("least", *PARITY), named.join(best, "component").select(*prints, F.col("row").alias("rep"), "component_row", "component_id")
+    return sets.drop("least", *PARITY, *LONG_PARITY), named.join(best, "component").select(*prints, F.col("row").alias("rep"), "component_row", "component_id")
 
 
 def placed(docs: DataFrame, percent: int) -> DataFrame:
