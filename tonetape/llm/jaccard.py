@@ -9,11 +9,11 @@ So the product runs over those columns only:
    entries of columns that two sets or more have; all others cannot make a pair.
 2. Each set leaves out its most frequent columns, as many as the bound allows.
    Passages that very many documents share thus go away first.
-3. The rows of a column meet its first row, then, in blocks of bounded size, all rows
-   it is not yet linked with.  Pairs whose sizes or parity bits (a lower bound of the
+3. The rows of a column meet its first row, then its last, then, in blocks of bounded
+   size, all rows they are not yet linked with.  Pairs whose sizes or parity bits (a lower bound of the
    difference of two sets) rule the threshold out are discarded before they leave the
    join.  What is left is counted exactly, on the whole sets.
-4. Links are joined to components between 3's two steps and after them, so that a
+4. Links are joined to components between 3's steps and after them, so that a
    group of near copies costs a star and not all its pairs.
 """
 
@@ -135,6 +135,11 @@ def counted(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) ->
     return linked
 
 
+def labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """rows with the component of each, which is its own row if it has no link."""
+    return rows.join(label.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+
+
 def classes(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Of docs (row, id, text): (row, id, n, f0, f1) of every row, and (f0, f1, n, rep, component_row, component_id) of every class."""
 
@@ -165,18 +170,26 @@ def classes(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     product = written(kept.select("column", "row", "df").join(groups.select("row", "n", *PARITY), "row"), "product")
     discard(cells, df)
 
-    # The star of every column: its first row with each other.
-    leader = written(product.groupBy("column").agg(F.min(F.struct("row", "n", *PARITY)).alias("l")).select("column", "l.*"), "leaders")
-    a, b = leader.alias("a"), product.alias("b")
-    on = (F.col("a.column") == F.col("b.column")) & (F.col("a.row") < F.col("b.row")) & may_link("a", "b", percent)
-    pairs = written(a.join(b, on).select(F.col("a.row").alias("a"), F.col("b.row").alias("b")).distinct(), "star")
-    links = counted(pairs, groups, docs, percent)
-    label = written(components(links), "labels")
-    discard(leader, pairs)
+    # Two stars of every column: its first row with each other, then its last with those not linked to it yet.
+    links = label = None
+    for pick in (F.min, F.max):
+        if label is None:
+            mine = product.withColumn("component", F.col("row"))
+        else:
+            mine = labelled(product, label)
+        mine = written(mine, "labelled")
+        leader = written(mine.groupBy("column").agg(pick(F.struct("row", "n", *PARITY, "component")).alias("l")).select("column", "l.*"), "leaders")
+        a, b = leader.alias("a"), mine.alias("b")
+        on = (F.col("a.column") == F.col("b.column")) & (F.col("a.component") != F.col("b.component")) & may_link("a", "b", percent)
+        pairs = a.join(b, on).select(F.least("a.row", "b.row").alias("a"), F.greatest("a.row", "b.row").alias("b"))
+        pairs = written(pairs.distinct(), "star")
+        found = counted(pairs, groups, docs, percent)
+        links = found if links is None else written(links.unionByName(found), "links")
+        discard(leader, pairs, mine)
+        label = written(components(links), "labels")
 
     # All pairs of rows of a column that are not linked yet, block by block.
-    mine = product.join(label.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
-    mine = written(mine, "labelled")
+    mine = written(labelled(product, label), "labelled")
     open_columns = mine.groupBy("column").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     place = F.row_number().over(Window.partitionBy("row").orderBy("column"))
     first = F.collect_list(F.when(F.col("place") <= FIRST, F.col("column"))).over(Window.partitionBy("row"))
