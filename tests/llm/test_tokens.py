@@ -119,3 +119,57 @@ def test_neighbours_share_words():
     docs = [rng.integers(1000 * (k % 4), 1000 * (k % 4) + 60, 50) for k in range(40)]
     near = Index(docs).near(0, np.arange(40) != 0)
     assert sorted(near[:9]) == list(range(4, 40, 4))
+
+
+def single_words(library, n):
+    """n words of one token each."""
+    vocab = sorted(w.removesuffix("</w>") for w in library.get_vocab() if w.removesuffix("</w>").isalpha())
+    words = [w for w in dict.fromkeys(vocab) if w.isascii() and w.islower() and len(w) > 3]
+    return [w for w in words[:: max(1, len(words) // (4 * n))] if len(ids(library, f"{w} {w}")) == 2][:n]
+
+
+def spread(spark, texts, parts):
+    """Rows (number, text) in the given order, consecutive ones in one partition."""
+    rows = [(i, t) for i, t in texts]
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, parts), "doc_id long, text string")
+
+
+def mates(pieces):
+    """Ids of each sequence."""
+    out = defaultdict(set)
+    for p in pieces:
+        out[p.sequence_id].add(p.doc_id)
+    return out
+
+
+def test_neighbours_come_from_the_whole_table(spark, library):
+    topics, each, words = 30, 8, single_words(library, 240)
+    rng = np.random.default_rng(2)
+    # One row of every topic in each of 8 partitions; 7 words and the end, so that two fill a window.
+    texts = [(k * topics + t, " ".join(rng.choice(words[8 * t : 8 * t + 8], 7))) for k in range(each) for t in range(topics)]
+    first = pack(spread(spark, texts, each), PATH, window=16).collect()
+    check_packing(first, texts, library, 16)
+    own = mates(first).values()
+    assert sum(len({i % topics for i in s}) == 1 for s in own) >= 0.9 * len(own)
+    # Neither order nor partitions change what meets in a window.
+    rng.shuffle(texts)
+    again = pack(spread(spark, [(int(i), str(t)) for i, t in texts], 3), PATH, window=16).collect()
+    assert sorted(map(sorted, mates(again).values())) == sorted(map(sorted, own))
+    # Shards of few rows still hold rows of the same topic.
+    for shard_docs in (5, 16):
+        small = pack(spread(spark, [(int(i), str(t)) for i, t in texts], 3), PATH, window=16, shard_docs=shard_docs).collect()
+        check_packing(small, texts, library, 16)
+        own = mates(small).values()
+        assert sum(len({i % topics for i in s}) == 1 for s in own) >= 0.6 * len(own)
+
+
+def test_weights_are_of_the_whole_table():
+    from tonetape.llm.packing import Counts, Index
+
+    docs = [np.array(d) for d in ([1, 2, 9], [1, 3, 3], [2, 4, 4], [9, 9, 9])]
+    df = np.zeros(10, np.int64)
+    df[[1, 2, 3, 4, 9]] = 400, 3, 9, 9, 900
+    unused = np.arange(4) != 0
+    # 2 is rare among all rows, 1 is not, 9 is in most; in the shard they are alike.
+    assert Index(docs, Counts(1000, 3.0, df)).near(0, unused).tolist() == [2, 1, 3]
+    assert Index(docs).near(0, unused).tolist() == [1, 2, 3]

@@ -1,36 +1,143 @@
 """Packing of documents into token windows with lexical neighbours.
 
-Each task reads its documents in shards of bounded size.  Whole windows of a long
-document stand alone; what is left of the documents of a shard enters a BM25
-index.  A seed opens a window, the index returns the unused documents closest to
-it, and these fill the window in that order; the one that overflows is cut and
-its rest is the next seed.  The last window of a shard goes on in the next one, so
-that only the end of a task is short, and that is cut at powers of two.
+1. Whole windows of a long document stand alone.  What is left of each document, its
+   remainder, is written with its tokens.
+2. Documents, mean length and the documents of every term are counted over all
+   remainders; the terms are those of the tokenizer, so that the counts are small.
+3. A remainder goes to the shard of its topic: its rarest shared term of those that
+   about fill a shard, or else the most frequent one below.  Terms of few remainders
+   share a shard; a term of more than a shard holds has several, and then the next
+   terms decide, and last the id.  So the shards depend on the table and not on its
+   files, their order or splits.  A seed meets the remainders of its own shard.
+4. A shard is a BM25 index with the weights of the whole table.  A seed opens a window,
+   the index returns the unused remainders closest to it, and these fill the window in
+   that order; the one that overflows is cut and its rest is the next seed.  The last
+   window of a shard goes on in the next one of its run; the end of a run is short, and
+   is cut at powers of two.
 """
 
 from __future__ import annotations
 
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
+from tonetape.llm import words as W
 from tonetape.llm.bpe import encoder
-from tonetape.llm.common import slices
+from tonetape.llm.common import discard, slices, written
 
 SLICE = 4 << 20
-#: Bounds of a shard of the index: documents and tokens.
-SHARD_DOCS, SHARD_TOKENS = 512, 1 << 20
+#: Bounds of a shard of the index: remainders and their tokens.
+SHARD_DOCS, SHARD_TOKENS = 4096, 1 << 21
+#: Shards that one window after the other goes through.
+RUN = 4
+#: Shared terms that decide on a remainder's shard, one after the other.
+DEPTH = 4
+MARKS = [f"mark{k}" for k in range(DEPTH + 1)]
+#: Sequences from here on are of remainders, those below of whole windows.
+REMAINDERS = 1 << 62
 # BM25's usual saturation and length parameters.
 K1, B = 1.2, 0.75
 
 
+class Counts(NamedTuple):
+    """Of all remainders: how many, their mean length, and how many have each term."""
+
+    docs: int
+    mean: float
+    df: np.ndarray
+
+    def ranks(self, shard_docs: int) -> np.ndarray:
+        """The place of each term as a topic: the rarest that half a shard has, up to the most frequent, then those below, down to the rarest."""
+        few = 2 * self.df < shard_docs
+        out = np.empty(len(self.df), np.int64)
+        out[np.lexsort((np.arange(len(self.df)), np.where(few, -self.df, self.df), few))] = np.arange(len(self.df))
+        return out
+
+
+def tokens_of(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of remainders one after the other, and the number of each."""
+    return np.frombuffer(b"".join(raw), "<u4").astype(np.int64), np.array([len(r) // 4 for r in raw], np.int64)
+
+
+def distinct(flat: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different (document, term) pairs."""
+    pair = np.unique(np.repeat(np.arange(len(length)), length) << 32 | flat)
+    return pair >> 32, pair & 0xFFFFFFFF
+
+
+def paths(raw: list[bytes], counts: Counts, ranks: np.ndarray) -> np.ndarray:
+    """The ranks of each remainder's DEPTH first terms that others share and that weigh something; -1 after the last."""
+    doc, term = distinct(*tokens_of(raw))
+    df = counts.df[term]
+    keep = (df > 1) & (2 * df < counts.docs)
+    doc, rank = doc[keep], ranks[term[keep]]
+    order = np.lexsort((rank, doc))
+    doc, rank = doc[order], rank[order]
+    place = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    out = np.full((len(raw), DEPTH), -1, np.int64)
+    out[doc[place < DEPTH], place[place < DEPTH]] = rank[place < DEPTH]
+    return out
+
+
+def marks(path: np.ndarray) -> np.ndarray:
+    """Hashes of the first 0, 1, ... DEPTH terms of paths."""
+    out = np.zeros((len(path), DEPTH + 1), W.U)
+    for k in range(DEPTH):
+        out[:, k + 1] = W.mixed(out[:, k] ^ W.mixed(path[:, k].view(W.U), 7), 8)
+    return out.view(np.int64)
+
+
+class Shards:
+    """Which shard a remainder belongs to.
+
+    firsts: (rank, documents, tokens) of first terms of no more than a shard holds.
+    large: (k, mark, mark before, documents, tokens) of first k terms of more than that."""
+
+    def __init__(self, firsts: list[tuple], large: list[tuple], terms: int, shard_docs: int):
+        self.first = np.zeros(terms + 1, np.int64)
+        shard, held = 0, np.zeros(2, np.int64)
+        bound = np.array([shard_docs, SHARD_TOKENS])
+        for rank, *size in sorted(firsts):
+            if held.any() and (held + size > bound).any():
+                shard, held = shard + 1, held * 0
+            self.first[rank + 1] = shard
+            held = held + size
+        shard += 1
+        # What longer paths of many documents take has shards of its own.
+        left = {(k, mark): np.array(size) for k, mark, _, *size in large}
+        for k, _, before, *size in large:
+            if k > 1:
+                left[k - 1, before] = left[k - 1, before] - size
+        self.large: list[dict[int, tuple[int, int]]] = [{} for _ in range(DEPTH + 1)]
+        for (k, mark), size in sorted(left.items()):
+            parts = max(1, int(np.max(-(-size // bound))))
+            self.large[k][mark] = shard, parts
+            shard += parts
+
+    def of(self, path: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """The shards of remainders by their paths; own decides last."""
+        mark = marks(path)
+        out = self.first[path[:, 0] + 1]
+        for k in range(1, DEPTH + 1):
+            if self.large[k]:
+                keys = np.array(sorted(self.large[k]), np.int64)
+                base, parts = np.array([self.large[k][m] for m in keys.tolist()], np.int64).T
+                at = np.minimum(np.searchsorted(keys, mark[:, k]), len(keys) - 1)
+                salt = W.mixed((mark[:, k + 1] if k < DEPTH else own).view(W.U), 9)
+                out = np.where(keys[at] == mark[:, k], base[at] + (salt % parts[at].view(W.U)).view(np.int64), out)
+        return out
+
+
 class Index:
-    """BM25 over the token ids of a shard.  Terms in more than half of it weigh nothing."""
+    """BM25 over the token ids of a shard, weighted by counts over the table it is a part
+    of (itself, if none are given).  Terms in more than half of that weigh nothing."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], counts: Counts | None = None):
         n = len(docs)
         length = np.fromiter(map(len, docs), np.int64, n)
         flat = np.concatenate(docs).astype(np.int64)
@@ -39,8 +146,9 @@ class Index:
         new = np.append(True, term[1:] != term[:-1])
         number = np.cumsum(new) - 1
         df = np.bincount(number)
-        idf = np.maximum(np.log((n - df + 0.5) / (df + 0.5)), 0)
-        norm = K1 * (1 - B + B * length / max(length.mean(), 1))
+        total, mean, among = counts.docs if counts else n, counts.mean if counts else length.mean(), counts.df[term[new]] if counts else df
+        idf = np.log(np.maximum((total - among + 0.5) / (among + 0.5), 1))
+        norm = K1 * (1 - B + B * length / max(mean, 1))
         keep = (idf[number] > 0) & (df[number] > 1)
         number, doc, count = number[keep], doc[keep], count[keep]
         self.n, self.doc = n, doc
@@ -63,7 +171,7 @@ class Index:
 
 
 class Packer:
-    """The windows of one task; pieces are (row, start, end, sequence, offset)."""
+    """The windows of one run; pieces are (row, start, end, sequence, offset)."""
 
     def __init__(self, window: int, first_sequence: int):
         self.window, self.sequence, self.used = window, first_sequence, 0
@@ -92,23 +200,21 @@ class Packer:
                     sizes, at, self.sequence = sizes[1:], 0, self.sequence + 1
         self.open, self.used = [], 0
 
-    def shard(self, rows: list[int], start: list[int], docs: list[np.ndarray]) -> None:
-        if not rows:
-            return
-        index = Index([d[s:] for d, s in zip(docs, start)])
+    def shard(self, rows: list[int], docs: list[np.ndarray], counts: Counts) -> None:
+        index = Index(docs, counts)
         unused = np.ones(len(rows), bool)
         seed = None
         while unused.any():
             if seed is None:
                 seed = int(np.argmax(unused))
                 unused[seed] = False
-                at = self.place(rows[seed], start[seed], len(docs[seed]))
+                at = self.place(rows[seed], 0, len(docs[seed]))
                 if at < len(docs[seed]):
                     self.place(rows[seed], at, len(docs[seed]))
             cut = None
             for near in index.near(seed, unused) if self.used else ():
                 unused[near] = False
-                at = self.place(rows[near], start[near], len(docs[near]))
+                at = self.place(rows[near], 0, len(docs[near]))
                 if at < len(docs[near]):
                     self.place(rows[near], at, len(docs[near]))
                     cut = int(near)
@@ -117,10 +223,88 @@ class Packer:
             seed = cut
 
     def end(self) -> None:
-        """The last window of the task: sequences at the powers of two that make up its size."""
+        """The last window of the run: sequences at the powers of two that make up its size."""
         self.close([1 << b for b in range(self.used.bit_length(), -1, -1) if self.used >> b & 1])
 
 
+def cut(kept: DataFrame, tokenizer: str, window: int, end_id: int, with_ids: bool) -> DataFrame:
+    """A row for each whole window of kept (id, text), with its sequence, and one for each remainder, with none.
+
+    tokens holds those of remainders, and of windows if with_ids says so."""
+    fields = [T.StructField("id", kept.schema["id"].dataType)]
+    fields += [T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id")]
+    schema = T.StructType([*fields, T.StructField("tokens", T.BinaryType())])
+
+    def run(batches):
+        model = encoder(tokenizer)
+        sequence = TaskContext.get().partitionId() << 33
+        for part in slices(batches, "text", SLICE):
+            flat, n = model.encode(part.column("text").to_pylist())
+            rows, pieces = [], []
+            for row, (stop, size) in enumerate(zip(np.cumsum(n), n)):
+                own = np.append(flat[stop - size : stop], end_id).astype("<u4").tobytes()
+                total = len(own) // 4
+                for at in range(0, total, window):
+                    raw, whole = own[4 * at : 4 * (at + window)], at + window <= total
+                    rows.append(row)
+                    pieces.append((at, len(raw) // 4, zlib.crc32(raw), total, sequence if whole else None, raw if with_ids or not whole else None))
+                    sequence += whole
+            made = [pa.array(c, pa.binary() if k == 5 else pa.int64()) for k, c in enumerate(zip(*pieces))]
+            yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(rows)), *made], names=schema.names)
+
+    return written(kept.mapInArrow(run, schema), "cut")
+
+
+def counted(rest: DataFrame) -> Counts:
+    """Counts over all remainders; one row for each term comes to the driver."""
+
+    def run(batches):
+        docs = tokens = 0
+        df = np.zeros(0, np.int64)
+        for part in batches:
+            raw = part.column("tokens").to_pylist()
+            if not raw:
+                continue
+            flat, length = tokens_of(raw)
+            docs, tokens = docs + len(raw), tokens + len(flat)
+            own = np.bincount(distinct(flat, length)[1], minlength=len(df))
+            own[: len(df)] += df
+            df = own
+        term = np.flatnonzero(df)
+        columns = np.append(term, -1), np.append(df[term], docs), np.append(term * 0, tokens)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["term", "docs", "tokens"])
+
+    found = rest.select("tokens").mapInArrow(run, "term long, docs long, tokens long")
+    found = {r.term: r for r in found.groupBy("term").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).collect()}
+    total = found.pop(-1, None)
+    df = np.zeros(max(found, default=-1) + 1, np.int64)
+    df[list(found)] = [r.docs for r in found.values()]
+    return Counts(total.docs if total else 0, total.tokens / max(total.docs, 1) if total else 0.0, df)
+
+
+def sharded(rest: DataFrame, counts: Counts, ranks: np.ndarray, shard_docs: int) -> Shards:
+    """Shards by the sizes of paths; of those, first terms and paths of more than a shard come to the driver."""
+
+    def run(batches):
+        for part in batches:
+            raw = part.column("tokens").to_pylist()
+            if raw:
+                path = paths(raw, counts, ranks)
+                columns = path[:, 0], *marks(path).T, np.array([len(r) // 4 for r in raw])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["rank", *MARKS, "tokens"])
+
+    size = [F.count(F.lit(1)).alias("docs"), F.sum("tokens").alias("tokens")]
+    again = [F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")]
+    found = rest.select("tokens").mapInArrow(run, ", ".join(f"{c} long" for c in ("rank", *MARKS, "tokens")))
+    found = written(found.groupBy("rank", *MARKS).agg(*size), "paths")
+    fits = (F.col("docs") <= shard_docs) & (F.col("tokens") <= SHARD_TOKENS)
+    firsts = found.groupBy("rank").agg(*again).where(fits).collect()
+    steps = [F.struct(F.lit(k).alias("k"), F.col(MARKS[k]).alias("mark"), F.col(MARKS[k - 1]).alias("before")) for k in range(1, DEPTH + 1)]
+    large = found.select(F.explode(F.array(*steps)).alias("step"), "docs", "tokens").groupBy("step.k", "step.mark", "step.before").agg(*again).where(~fits).collect()
+    discard(found)
+    return Shards([tuple(r) for r in firsts], [tuple(r) for r in large], len(counts.df), shard_docs)
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -129,6 +313,7 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    shard_docs: int = SHARD_DOCS,
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset
     (and ids, the piece's token ids, if asked for).
@@ -136,78 +321,96 @@ def pack(
     A document's tokens are those of its whole text and end_id.  The tokens of a row
     are cut into pieces, each token in exactly one; a sequence holds the pieces with
     its sequence_id, gapless from offset 0.  Every sequence has window tokens, but the
-    last ones of a task, whose sizes are powers of two.  The text is not shuffled: a
-    task packs what it reads, in shards of bounded size, so that memory does not
-    depend on the table.
+    last ones of a run of shards, whose sizes are powers of two.  The text is not
+    shuffled, the tokens of remainders are, once; a task holds one shard, so that memory
+    does not depend on the table.  Which remainders meet in a window depends on the rows
+    and not on their order.
 
     A null or empty text is the single token end_id; repeated rows are packed one by
     one, each with its own pieces; an empty table gives no pieces.  Columns other than
     the id and the text are not read, whatever their names.
     """
     kept = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
-    fields = [T.StructField("id", kept.schema["id"].dataType)]
-    for name in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"):
-        fields.append(T.StructField(name, T.LongType()))
-    if with_ids:
-        fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
-    schema = T.StructType(fields)
+    pieces = cut(kept, tokenizer, window, end_id, with_ids)
+    rest = pieces.where(F.col("sequence_id").isNull()).drop("sequence_id")
+    counts = counted(rest)
+    ranks = counts.ranks(shard_docs)
+    shards = sharded(rest, counts, ranks, shard_docs)
+    fields = ["start", "length", "ids_crc32", "doc_tokens"]
 
-    def run(batches):
-        model = encoder(tokenizer)
-        packer = Packer(window, TaskContext.get().partitionId() << 33)
+    def route(batches):
+        for part in batches:
+            raw = part.column("tokens").to_pylist()
+            if raw:
+                path = paths(raw, counts, ranks)
+                shard = shards.of(path, part.column("own").to_numpy())
+                made = [pa.array(shard // RUN), pa.array(shard), pa.array(list(path), pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, "run", "shard", "path"])
+
+    own = rest.withColumn("own", F.xxhash64("id"))
+    schema = T.StructType([*own.schema.fields, T.StructField("run", T.LongType()), T.StructField("shard", T.LongType()), T.StructField("path", T.ArrayType(T.LongType()))])
+    routed = own.mapInArrow(route, schema).repartition("run").sortWithinPartitions("run", "shard", "path", "ids_crc32", "doc_tokens", "id")
+
+    out = T.StructType([*pieces.schema.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("tokens", T.BinaryType())])
+
+    def fill(batches):
         ids: dict[int, object] = {}
         tokens: dict[int, np.ndarray] = {}
-        shard: list[int] = []
+        whole: dict[int, tuple[int, int]] = {}  # where the remainder begins, and the document's tokens
+        packer = at = kind = None
+        waiting: list[int] = []
         held = row = 0
 
-        def flush(everything: bool):
-            nonlocal shard, held
-            packer.shard(shard, [len(tokens[r]) // window * window for r in shard], [tokens[r] for r in shard])
-            shard, held = [], 0
-            if everything:
+        def flush(ends: bool):
+            nonlocal waiting, held
+            if waiting:
+                packer.shard(waiting, [tokens[r] for r in waiting], counts)
+            waiting, held = [], 0
+            if ends:
                 packer.end()
-            pieces, packer.out = packer.out, []
-            out = pa.RecordBatch.from_arrays(arrays(pieces), names=schema.names)
-            still = {r for r, _, _ in packer.open}
-            for r in [r for r in tokens if r not in still]:
-                del tokens[r], ids[r]
-            return out
-
-        def arrays(pieces):
-            crc = [zlib.crc32(tokens[r][a:b].astype("<u4").tobytes()) for r, a, b, _, _ in pieces]
+            made, packer.out = packer.out, []
+            raw = [tokens[r][a:b].astype("<u4").tobytes() for r, a, b, _, _ in made]
             columns = [
-                [a for _, a, _, _, _ in pieces],
-                [b - a for _, a, b, _, _ in pieces],
-                crc,
-                [len(tokens[r]) for r, _, _, _, _ in pieces],
-                [s for _, _, _, s, _ in pieces],
-                [o for _, _, _, _, o in pieces],
+                [whole[r][0] + a for r, a, _, _, _ in made],
+                [b - a for _, a, b, _, _ in made],
+                list(map(zlib.crc32, raw)),
+                [whole[r][1] for r, _, _, _, _ in made],
+                [s for _, _, _, s, _ in made],
+                [o for _, _, _, _, o in made],
             ]
-            made = [pa.array([ids[r] for r, _, _, _, _ in pieces], kind), *(pa.array(c, pa.int64()) for c in columns)]
-            if with_ids:
-                made.append(pa.array([tokens[r][a:b] for r, a, b, _, _ in pieces], pa.list_(pa.int32())))
-            return made
+            arrays = [pa.array([ids[r] for r, _, _, _, _ in made], kind), *(pa.array(c, pa.int64()) for c in columns)]
+            arrays.append(pa.array(raw if with_ids else [None] * len(raw), pa.binary()))
+            still = {r for r, _, _ in packer.open}
+            for r in [r for r in tokens if r not in still]:
+                del tokens[r], ids[r], whole[r]
+            return pa.RecordBatch.from_arrays(arrays, names=out.names)
 
-        kind = None
-        for part in slices(batches, "text", SLICE):
+        for part in batches:
             kind = part.column("id").type
-            flat, n = model.encode(part.column("text").to_pylist())
-            stops = np.cumsum(n)
-            for key, stop, size in zip(part.column("id").to_pylist(), stops, n):
-                own = np.append(flat[stop - size : stop], end_id).astype(np.int32)
-                tokens[row], ids[row] = own, key
-                whole = len(own) // window * window
-                for at in range(0, whole, window):
-                    packer.out.append((row, at, at + window, packer.sequence, 0))
-                    # A window that is being filled keeps its number until it closes.
-                    packer.sequence += 1
-                if whole < len(own):
-                    shard.append(row)
-                    held += len(own) - whole
+            for run, shard, key, start, size, raw in zip(*(part.column(c).to_pylist() for c in ("run", "shard", "id", "start", "doc_tokens", "tokens"))):
+                if at != (run, shard) or len(waiting) >= shard_docs or held >= SHARD_TOKENS:
+                    if packer:
+                        yield flush(at[0] != run)
+                    if not packer or at[0] != run:
+                        packer = Packer(window, REMAINDERS + (run << 33))
+                    at = run, shard
+                tokens[row], ids[row], whole[row] = np.frombuffer(raw, "<u4").astype(np.int32), key, (start, size)
+                waiting.append(row)
+                held += len(tokens[row])
                 row += 1
-                if len(shard) >= SHARD_DOCS or held >= SHARD_TOKENS or len(packer.out) >= 4 * SHARD_DOCS:
-                    yield flush(False)
-        if kind is not None:
+        if packer:
             yield flush(True)
 
-    return kept.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    packed = routed.mapInArrow(fill, out)
+    windows = pieces.where(F.col("sequence_id").isNotNull()).select("id", *fields, "sequence_id", F.lit(0).cast("long").alias("offset"), "tokens")
+    both = windows.unionByName(packed)
+    if not with_ids:
+        return both.drop("tokens").withColumnRenamed("id", id_col)
+
+    def listed(batches):
+        for part in batches:
+            own = pa.array([np.frombuffer(t, "<u4").astype(np.int32) for t in part.column("tokens").to_pylist()], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], own], names=[*part.schema.names[:-1], "ids"])
+
+    listing = T.StructType([*out.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return both.mapInArrow(listed, listing).withColumnRenamed("id", id_col)
