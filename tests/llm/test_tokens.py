@@ -173,3 +173,14 @@ def test_weights_are_of_the_whole_table():
     # 2 is rare among all rows, 1 is not, 9 is in most; in the shard they are alike.
     assert Index(docs, Counts(1000, 3.0, df)).near(0, unused).tolist() == [2, 1, 3]
     assert Index(docs).near(0, unused).tolist() == [1, 2, 3]
+
+
+def test_long_documents_do_not_shorten_the_index(spark, library):
+    topics, words = 20, single_words(library, 160)
+    rng = np.random.default_rng(3)
+    # 150 whole windows, and 7 words and the end that share a topic with a row 20 places on.
+    texts = [(i, " ".join([*rng.choice(words, 16 * 150), *rng.choice(words[8 * (i % topics) : 8 * (i % topics) + 8], 7)])) for i in range(2 * topics)]
+    pieces = pack(spread(spark, texts, 1), PATH, window=16).collect()
+    check_packing(pieces, texts, library, 16)
+    own = [s for s in mates([p for p in pieces if p.length < 16]).values()]
+    assert sum(len({i % topics for i in s}) == 1 for s in own) >= 0.9 * len(own)
