@@ -1,9 +1,9 @@
-"""Similarity join on word shingles by a blocked product of the document-shingle matrix.
+"""Similarity join on word shingles by prefix filtering of the document-shingle matrix, with verification.
 
 A row of the matrix is a distinct set of shingles (documents with equal sets are one
 class), a column is a shingle.  Two sets link when their Jaccard similarity reaches
 the threshold, and then they share many of their smallest shingles, in hash order.
-So the product runs over those columns only:
+So candidates come from those columns only, and no overlap is summed over them:
 
 1. Each set's smallest shingles are dealt into column blocks.  A block passes on the
    entries of columns that two sets or more have; all others cannot make a pair.
