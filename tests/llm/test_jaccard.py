@@ -111,3 +111,22 @@ def test_components(spark):
     assert got == {k: v for k, v in best.items() if k in got}
     assert set(got) == {x for a, b in links if a != b for x in (a, b)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_copies_send_no_shingles(spark, monkeypatch):
+    from tonetape.llm import jaccard
+
+    seen, real = [], jaccard.shared_columns
+
+    def counting(sets, entries):
+        seen.append((sets.count(), entries))
+        return real(sets, entries)
+
+    monkeypatch.setattr(jaccard, "shared_columns", counting)
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(i, text) for i in range(30)] + [(30, text + " more"), (31, "quite another text of seven words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in near_groups(docs).collect()}
+    assert got == {i: 0 if i < 31 else 31 for i in range(32)}
+    # One row of each class, not one of each copy.
+    assert seen[0][0] == 3 and seen[0][1] < 60

@@ -159,9 +159,10 @@ def classes(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
         ),
         "classes",
     )
-    entries = sets.agg(F.sum(F.length("least"))).first()[0] or 0
-    found = written(shared_columns(sets, entries // 8), "shared")
     # Only classes' first rows go on; copies would make every column of theirs look shared.
+    own = sets.select("row", "least").join(small(groups.select("row"), groups.count()), "row", "left_semi")
+    entries = own.agg(F.sum(F.length("least"))).first()[0] or 0
+    found = written(shared_columns(own, entries // 8), "shared")
     cells = written(found.join(groups.select("row", "n"), "row"), "cells")
     discard(found)
     df = written(cells.groupBy("column").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "columns")
