@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
+from tonetape.llm.audit import filter_audit
 from tonetape.llm.chat import END, START, conversations, read_back
 from tonetape.llm.copies import copy_groups
 from tonetape.llm.jaccard import near_groups
@@ -83,6 +84,10 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"))
 
 
+def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_block_neighbours": neighbours,
     "op2_repeated_strings": repeats,
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_quality": good,
     "op9_exact_dedup": exact_dedup,
     "op10_token_counts": token_count,
+    "op13_filter_audit": audit,
 }
 
 ORACLES = {
@@ -169,4 +175,45 @@ ORACLES = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op13_filter_audit": """
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), masks AS (
+            SELECT doc_id, part,
+                CASE WHEN len(w) < 100 THEN 1 ELSE 0 END
+                + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+                + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 4 ELSE 0 END
+                + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+                + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+            FROM texts
+        ), rows AS (
+            SELECT part, mask,
+                CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 1 ELSE 0 END AS good,
+                CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN 1 ELSE 0 END AS toxic
+            FROM masks
+        ), filters AS (
+            SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS f (letter, bit)
+        ), walk AS (
+            SELECT '' AS prefix, 0 AS applied, 0 AS step
+            UNION ALL
+            SELECT prefix || letter, applied + bit, step + 1 FROM walk, filters WHERE applied & bit = 0
+        ), steps AS (
+            SELECT w.prefix AS filter_order, s.step, letter, bit, p.applied
+            FROM walk w JOIN (SELECT unnest(range(1, 6)) AS step) s ON w.step = 5
+            JOIN filters ON letter = substr(w.prefix, s.step, 1)
+            JOIN walk p ON p.prefix = left(w.prefix, s.step - 1)
+        ), counted AS (
+            SELECT part, filter_order, step, letter,
+                count(*) FILTER (WHERE mask & (applied + bit) = 0) AS kept,
+                count(*) FILTER (WHERE mask & applied = 0 AND mask & bit <> 0) AS removed,
+                count(*) FILTER (WHERE mask & applied <> 0 AND mask & bit <> 0) AS redundant,
+                count(*) FILTER (WHERE mask = bit) AS unique_fails,
+                count(*) FILTER (WHERE mask & applied = 0 AND mask & bit <> 0 AND good = 1) AS good_lost,
+                count(*) FILTER (WHERE mask & applied = 0 AND mask & bit <> 0 AND toxic = 1) AS toxic_lost
+            FROM rows, steps GROUP BY ALL
+        )
+        SELECT * EXCLUDE (letter), CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM counted
+    """,
 }
