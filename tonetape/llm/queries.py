@@ -10,6 +10,7 @@ from tonetape.llm.audit import filter_audit
 from tonetape.llm.chat import END, START, conversations, read_back
 from tonetape.llm.copies import copy_groups
 from tonetape.llm.jaccard import near_groups
+from tonetape.llm.language import predict_language
 from tonetape.llm.mixing import mixture
 from tonetape.llm.neighbours import nearest
 from tonetape.llm.packing import pack
@@ -84,6 +85,10 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"))
 
 
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_language(table(spark, sf_dir, "documents"))
+
+
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -99,6 +104,7 @@ QUERIES = {
     "op8_quality": good,
     "op9_exact_dedup": exact_dedup,
     "op10_token_counts": token_count,
+    "op12_language": language,
     "op13_filter_audit": audit,
 }
 
