@@ -18,6 +18,7 @@ from tonetape.llm.quality import quality
 from tonetape.llm.repeats import remove_repeats
 from tonetape.llm.tokencount import token_counts
 from tonetape.llm.toxicity import toxicity
+from tonetape.llm.trie import conversation_trie
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -85,6 +86,10 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(table(spark, sf_dir, "documents"))
 
 
+def trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(table(spark, sf_dir, "documents"))
 
@@ -104,6 +109,7 @@ QUERIES = {
     "op8_quality": good,
     "op9_exact_dedup": exact_dedup,
     "op10_token_counts": token_count,
+    "op11_prefix_trie": trie,
     "op12_language": language,
     "op13_filter_audit": audit,
 }
@@ -181,6 +187,56 @@ ORACLES = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_prefix_trie": """
+        WITH turns AS (
+            SELECT conv_id AS c, coalesce(text, '') AS text,
+                sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, turn
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), placed AS (
+            SELECT c, digest, length(text) AS chars,
+                row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, digest) AS place
+            FROM turns
+        ), crcs AS (
+            SELECT c, list_reduce(
+                list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+                lambda a, b: list_reduce(
+                    list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                    lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS crc
+            FROM (SELECT DISTINCT c FROM placed)
+        ), convs AS (
+            SELECT c, c - c % 100 AS family, xor(crc, 4294967295) % 6 AS h,
+                (SELECT count(*) FROM placed p WHERE p.c = crcs.c - crcs.c % 100) AS there
+            FROM crcs
+        ), rebuilt AS (
+            SELECT convs.c, place AS d, digest, chars FROM convs JOIN placed ON placed.c = family AND place <= h
+            UNION ALL
+            SELECT convs.c, place - h + least(h, there), digest, chars FROM convs JOIN placed ON placed.c = convs.c AND place > h
+            UNION ALL
+            SELECT c, 0, '', 0 FROM convs
+        ), steps AS (
+            SELECT c, d, chars, string_agg(digest, ',') OVER (PARTITION BY c ORDER BY d) AS name,
+                d = max(d) OVER (PARTITION BY c) AS last
+            FROM rebuilt
+        ), nodes AS (
+            SELECT name, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+                sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256
+            FROM steps GROUP BY name
+        ), parents AS (
+            -- The smallest member of a node passes through all nodes above it.
+            SELECT n.name, s.name AS above FROM nodes n JOIN steps s ON s.c = n.conv_id AND s.d = n.depth - 1
+        ), children AS (
+            SELECT above AS name, count(*) AS n_children FROM parents GROUP BY above
+        ), weighed AS (
+            SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * chars AS saved
+            FROM nodes n LEFT JOIN children ch ON ch.name = n.name
+        ), sums AS (
+            SELECT s.name, count(*) FILTER (WHERE w.n_children = 0) AS n_leaves, CAST(sum(w.saved) AS BIGINT) AS saved_tokens
+            FROM weighed w JOIN steps s ON s.c = w.conv_id AND s.d <= w.depth GROUP BY s.name
+        )
+        SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children,
+            n_leaves, saved_tokens, w.ends_sha256
+        FROM weighed w JOIN sums ON sums.name = w.name LEFT JOIN parents p ON p.name = w.name LEFT JOIN nodes up ON up.name = p.above
+    """,
     "op13_filter_audit": """
         WITH RECURSIVE texts AS (
             SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
