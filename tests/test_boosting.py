@@ -1,0 +1,244 @@
+"""Boosting on histograms against plain loops; searches by prefixes; forests by their nodes."""
+
+import math
+
+import numpy as np
+import pytest
+from conftest import rows
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from tonetape.operators import boosting as bt, forests as fo, models as m
+from tonetape.session import release
+
+
+def sample(n=240, seed=1, values=9):
+    """Few distinct values, so that bins cut between all of them."""
+    draw = np.random.default_rng(seed)
+    x = draw.integers(0, values, (n, 4)).astype(float)
+    y = ((x[:, 0] + x[:, 1] > values - 1).astype(int) + (x[:, 2] > values * 0.7) + (draw.random(n) < 0.1)) % 3
+    return x, y, np.arange(n) % 3
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    x, y, fold = sample()
+    data = [(a.tolist(), float(b), int(c)) for a, b, c in zip(x, y, fold)]
+    df = spark.createDataFrame(data, "x array<double>, label double, fold int").withColumn("features", array_to_vector("x"))
+    return df.repartition(5).cache()
+
+
+def plain_tree(x, g, h, depth):
+    """One regression tree by exhaustive search: (feature, threshold, left, right) or a leaf value."""
+    score = lambda s: g[s].sum() ** 2 / (h[s].sum() + bt.LAMBDA)
+    everything = np.ones(len(x), bool)
+    best = (1e-9, None)
+    for f in range(x.shape[1]) if depth else ():
+        seen = np.unique(x[:, f])
+        for t in (seen[:-1] + seen[1:]) / 2:
+            left = x[:, f] <= t
+            if min(h[left].sum(), h[~left].sum()) >= bt.LEAST:
+                gain = score(left) + score(~left) - score(everything)
+                if gain > best[0] + 1e-9:
+                    best = (gain, (f, t, left))
+    if best[1] is None:
+        return -g.sum() / (h.sum() + bt.LAMBDA)
+    f, t, left = best[1]
+    return f, t, plain_tree(x[left], g[left], h[left], depth - 1), plain_tree(x[~left], g[~left], h[~left], depth - 1)
+
+
+def walk(tree, row):
+    while isinstance(tree, tuple):
+        tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
+    return tree
+
+
+def plain_boost(x, y, rounds, rate, depth, classes=3):
+    scores = np.full((len(x), classes), bt.START)
+    losses = []
+    for turn in range(rounds + 1):
+        p = np.exp(scores - scores.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        losses.append(-np.log(p[np.arange(len(y)), y]).mean())
+        if turn < rounds:
+            trees = [plain_tree(x, p[:, k] - (y == k), 2 * p[:, k] * (1 - p[:, k]), depth) for k in range(classes)]
+            scores = scores + rate * np.array([[walk(t, r) for t in trees] for r in x])
+    return scores, losses
+
+
+def test_softmax_boosting_equals_a_plain_booster(table):
+    x, y, _ = sample()
+    model = m.boosted_trees(maxIter=6, maxDepth=3, stepSize=0.3).fit(table)
+    scores, losses = plain_boost(x, y, 6, 0.3, 3)
+    assert np.allclose(model.getOrDefault(model.losses), losses)
+    assert all(b < a for a, b in zip(losses, losses[1:]))
+    p = np.exp(scores) / np.exp(scores).sum(1, keepdims=True)
+    want = {tuple(a): b for a, b in zip(x, p)}
+    got = model.transform(table).select("x", vector_to_array("probability").alias("p"), "prediction").collect()
+    assert all(np.allclose(r["p"], want[tuple(r["x"])]) and r["prediction"] == np.argmax(r["p"]) for r in got)
+
+
+def same(a, b):
+    return all(np.array_equal(u, v) for f in ("feature", "cut", "value", "gain") for u, v in zip(getattr(a, f), getattr(b, f)))
+
+
+FITS = [
+    bt.Fit(7, 0.3, 3),
+    bt.Fit(4, 0.1, 1, without=1),
+    bt.Fit(7, 0.3, 2, rows=0.7, cols=0.5, without=0),
+    bt.Fit(1, 1.0, 4),
+]
+
+
+def test_fits_grown_together_are_those_grown_alone(table):
+    together, _ = bt.fit_together(table, FITS, 3, fold="fold", every=2)
+    for fit, got in zip(FITS, together):
+        (alone,), _ = bt.fit_together(table.repartition(2), [fit], 3, fold="fold")
+        assert len(got.feature) == len(alone.feature) == fit.rounds
+        assert len(got.losses) == fit.rounds + 1
+        for f in ("feature", "cut", "value"):
+            for a, b in zip(getattr(got, f), getattr(alone, f)):
+                assert np.allclose(a[:, : b.shape[1]], b)
+        assert np.allclose(got.losses, alone.losses)
+
+
+@pytest.mark.parametrize("stumps", [False, True])
+def test_a_prefix_is_a_fit_of_fewer_rounds(table, stumps):
+    long, short = (bt.Fit(r, 0.5, 1 if stumps else 2, without=2) for r in (6, 3))
+    (a,), cuts = bt.fit_together(table, [long], 3, fold="fold", stumps=stumps)
+    (b,), _ = bt.fit_together(table, [short], 3, fold="fold", stumps=stumps)
+    assert same(bt.cut_back(a, 3), b)
+    assert a.losses[:4] == pytest.approx(b.losses) and a.accuracies[:4] == b.accuracies
+    make = (lambda g: m.stump_model(g, cuts, 3)) if stumps else (lambda g: m.softmax_model(g, cuts))
+    out = make(b)._set(featuresCol="features", labelCol="label", predictionCol="prediction").transform(table.where("fold = 2"))
+    assert out.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0] == pytest.approx(b.accuracies[3])
+
+
+def test_search_of_boosting_by_prefixes(spark, table):
+    axes = {"maxIter": [1, 3, 5], "stepSize": [0.1, 0.5], "maxDepth": [1, 2]}
+    found, best, model = m.boosting_search(m.boosted_trees(), axes, table, "fold", 3)
+    assert len(found) == 12 * 3 and len({m.point_name(p) for p, _, _ in found}) == 12
+    shown = m.point_table(spark, found, best)
+    means = {r["params"]: r["a"] for r in shown.groupBy("params").agg(F.avg("accuracy").alias("a")).collect()}
+    chosen = [r["params"] for r in shown.where("chosen").select("params").distinct().collect()]
+    assert chosen == [m.point_name(best)] and means[chosen[0]] == pytest.approx(max(means.values()))
+    again = m.boosted_trees(**best).fit(table)
+    a, b = (rows(x.transform(table).select("x", F.round(vector_to_array("probability")[0], 9).alias("p"))) for x in (model, again))
+    assert a == b
+
+
+def test_search_of_stumps_ends_where_a_fit_ends(spark):
+    """Without a fault in the first round a fit has one stump, whatever the rounds asked for."""
+    data = [([float(i % 2)], float(i % 2), i % 3) for i in range(30)]
+    df = spark.createDataFrame(data, "x array<double>, label double, fold int").withColumn("features", array_to_vector("x"))
+    found, best, model = m.boosting_search(m.adaboost(), {"maxIter": [1, 4], "stepSize": [1.0]}, df, "fold", 3)
+    assert [a for _, _, a in found] == [1.0] * 6 and best["maxIter"] == 1 and len(model.getStumps()) == 1
+
+
+def test_rounds_with_nothing_to_split_and_missing_values(spark):
+    data = [([1.0, math.nan if i % 4 == 0 else 2.0], float(i % 4 == 0)) for i in range(40)] + [([1.0, 2.0], 2.0)]
+    df = spark.createDataFrame(data, "x array<double>, label double").withColumn("features", array_to_vector("x"))
+    model = m.boosted_trees(maxIter=2, maxDepth=2).fit(df)
+    p = model.transform(df).select(vector_to_array("probability").alias("p")).collect()
+    assert all(sum(r["p"]) == pytest.approx(1) for r in p)
+    # Missing values are told apart from others where rows are learnt from and where they are scored.
+    wide = df.where("label < 2").unionByName(df.where("label < 2"))
+    assert m.boosted_trees(maxIter=8, maxDepth=1).fit(wide).transform(wide).where("prediction <> label").count() == 0
+    assert m.adaboost(3).fit(df).transform(df).where("prediction = 0").count() == 31
+    with pytest.raises(ValueError):
+        m.boosted_trees().fit(df.limit(0))
+
+
+def test_more_values_than_bins(spark):
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(3000, 2))
+    df = spark.createDataFrame([(a.tolist(), float(a[0] > 0.2)) for a in x], "x array<double>, label double").withColumn("features", array_to_vector("x"))
+    cuts = bt.cut_points(df, "features", 2)
+    assert all(len(c) == bt.BINS - 1 and c == sorted(set(c)) for c in cuts)
+    out = m.boosted_trees(maxIter=3, maxDepth=2).fit(df).transform(df)
+    assert out.where("prediction = label").count() > 2800
+
+
+# ---- forests ----------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def forest(table):
+    return RandomForestClassifier(numTrees=9, maxDepth=8, seed=3).fit(table)
+
+
+def test_votes_and_gains_of_the_node_table_are_the_models(spark, table, forest):
+    nodes = fo.node_table(spark, forest)
+    x, _, _ = sample()
+    got = fo.votes(x, fo.arrays_of(nodes), 2, [9])[9]
+    want = {tuple(r["x"]): r["p"] for r in forest.transform(table).select("x", vector_to_array("rawPrediction").alias("p")).collect()}
+    assert all(np.allclose(want[tuple(a)], b) for a, b in zip(x, got))
+    shares = {r["feature"]: r["importance"] for r in fo.gain_shares(nodes, "abcd").collect()}
+    assert [shares[c] for c in "abcd"] == pytest.approx(forest.featureImportances.toArray().tolist())
+    release(nodes)
+
+
+@pytest.mark.parametrize("trees,least", [(9, 2), (4, 10), (1, 40), (9, 10_000)])
+def test_cut_forest_votes_like_its_nodes(spark, table, forest, trees, least):
+    nodes = fo.node_table(spark, forest)
+    x, _, _ = sample()
+    want = fo.votes(x, fo.arrays_of(nodes), least, [trees])[trees]
+    want = {tuple(a): b for a, b in zip(x, want)}
+    cut = fo.cut_forest(spark, forest, trees, least)
+    assert cut.getNumTrees == trees
+    got = cut.transform(table).select("x", vector_to_array("rawPrediction").alias("p")).collect()
+    assert all(np.allclose(r["p"], want[tuple(r["x"])]) for r in got)
+    assert least < 10_000 or cut.totalNumNodes == 9
+
+
+def plain_gini(x, y, least):
+    """A tree grown with the bound on splits, by exhaustive search; leaves are class shares."""
+    counts = np.bincount(y, minlength=3).astype(float)
+    impure = lambda c: c.sum() - (c**2).sum() / c.sum()
+    best = (1e-9, None)
+    for f in range(x.shape[1]) if len(y) >= least else ():
+        seen = np.unique(x[:, f])
+        for t in (seen[:-1] + seen[1:]) / 2:
+            left = x[:, f] <= t
+            a = np.bincount(y[left], minlength=3).astype(float)
+            gain = impure(counts) - impure(a) - impure(counts - a)
+            if gain > best[0] + 1e-9:
+                best = (gain, (f, t, left))
+    if best[1] is None:
+        return tuple(counts / counts.sum())
+    f, t, left = best[1]
+    return [f, t, plain_gini(x[left], y[left], least), plain_gini(x[~left], y[~left], least)]
+
+
+@pytest.mark.parametrize("least", [30, 60, 150])
+def test_collapsed_tree_is_the_one_grown_with_the_bound(spark, least):
+    """By the class of each row: the library merges leaves that say the same."""
+    draw = np.random.default_rng(6)
+    x = draw.integers(0, 25, (800, 1)).astype(float)
+    y = (np.sin(x[:, 0]) + draw.normal(0, 0.6, 800) > 0).astype(int) + (draw.random(800) < 0.2)
+    df = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "x array<double>, label double").withColumn("features", array_to_vector("x"))
+    whole = RandomForestClassifier(numTrees=1, maxDepth=30, featureSubsetStrategy="all", bootstrap=False, seed=1).fit(df)
+    cut = fo.cut_forest(spark, whole, 1, least)
+    tree = plain_gini(x, y, least)
+
+    def leaf(t, r):
+        while isinstance(t, list):
+            t = t[2] if r[t[0]] <= t[1] else t[3]
+        return int(np.argmax(t))
+
+    got = cut.transform(df).select("x", "prediction").distinct().collect()
+    assert len(got) == 25 and [r["prediction"] for r in got] == [leaf(tree, r["x"]) for r in got]
+
+
+def test_forest_search(spark, table):
+    axes = {"numTrees": [2, 5], "maxDepth": [2, 6], "minSplitRows": [2, 30], "minInstancesPerNode": [1, 4]}
+    estimator = m.random_forest()
+    found, best, model = m.search(estimator, axes, table, "fold", 3, 240)
+    assert len(found) == 16 * 3 and model.getNumTrees == best["numTrees"]
+    # One point by the library's own model.
+    point = {"numTrees": 5, "maxDepth": 6, "minSplitRows": 2, "minInstancesPerNode": 4}
+    shape = {estimator.numTrees: 5, estimator.maxDepth: 6, estimator.minInstancesPerNode: 4}
+    held = estimator.fit(table.where("fold <> 1"), shape).transform(table.where("fold = 1"))
+    want = held.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+    assert [a for p, f, a in found if p == point and f == 1] == [pytest.approx(want)]

@@ -374,12 +374,6 @@ def test_stump_weights_follow_the_rule(spark):
     assert np.allclose([s[4] for s in model.getStumps()], [w[3] for w in want])
 
 
-def test_stumps_checkpoint_between_rounds(spark, separable):
-    boost = m.adaboost(6)
-    boost.every = 2
-    assert [s[0] for s in boost.fit(separable.train).getStumps()] == [s[0] for s in m.adaboost(6).fit(separable.train).getStumps()]
-
-
 def test_grid_search_takes_first_of_equal_points(spark, separable):
     ready = separable
     found = m.grid_search(m.random_forest(3, 4), {"numTrees": [3, 3]}, ready.train, "fold", ready.folds)
@@ -390,18 +384,9 @@ def test_grid_search_takes_first_of_equal_points(spark, separable):
     assert len(boosted.avgMetrics) == 2
 
 
-def test_grid_reaches_the_members_of_one_vs_rest(spark, separable):
-    found = m.grid_search(
-        m.boosted_trees(maxDepth=2), {"maxIter": [1, 2]}, separable.train, "fold", separable.folds
-    )
-    sizes = [x.getNumTrees for x in found.bestModel.models]
-    best = found.avgMetrics.index(max(found.avgMetrics)) + 1
-    assert sizes == [best] * 3
-
-
 def test_grids_have_the_searched_sizes(spark):
     assert len(m.param_grid(m.logistic(10), m.logistic_axes(10, 5))) == 5
-    assert len(m.param_grid(m.random_forest(), m.FOREST_GRID)) == 27
+    assert math.prod(map(len, m.FOREST_GRID.values())) == 81
     assert len(m.param_grid(m.adaboost(), m.ADABOOST_GRID)) == 9
     assert len(m.param_grid(m.boosted_trees(), m.GBT_GRID)) == 108
 
@@ -426,3 +411,33 @@ def test_whole_run(spark, separable):
     assert table["Logistic Regression"] > table["Random Baseline"]
     assert out.confusions["AdaBoost"].count() == 3
     assert out.reports["AdaBoost"].count() == 6
+
+
+def test_group_folds_keep_groups_whole_and_classes_even(spark):
+    draw = random.Random(5)
+    data, n = [], 0
+    for g in range(400):
+        kind = draw.choice([-1, 0, 0, 1])
+        for _ in range(draw.choice([1, 1, 2, 3, 9]) if g else 300):
+            data.append((n, f"t{g % 7}", g, kind))
+            n += 1
+    df = spark.createDataFrame(data, "id long, t string, g long, target int")
+    got = [r.asDict() for r in pp.assign_folds(df, "target", ["id"], 4, group_cols=["t", "g"]).collect()]
+    assert len(got) == n and {r["fold"] for r in got} == {0, 1, 2, 3}
+    assert len({(r["t"], r["g"], r["fold"]) for r in got}) == 400
+    for kind in (-1, 0, 1):
+        sizes = [sum(r["fold"] == f and r["target"] == kind for r in got) for f in range(4)]
+        largest = max(sum(d[2] == g for d in data if d[3] == kind) for g in range(400))
+        assert max(sizes) - min(sizes) <= largest
+    again = pp.assign_folds(df.repartition(9), "target", ["id"], 4, group_cols=["t", "g"])
+    assert rows(again, "id", "fold") == sorted((r["id"], r["fold"]) for r in got)
+
+
+def test_folds_of_mixed_groups(spark):
+    """A group counts for its most frequent class, of equal ones the smallest; a null in a key joins no group."""
+    df = spark.createDataFrame([(i, i // 4, (i % 4) // 2) for i in range(64)], "id long, g long, target int")
+    got = pp.assign_folds(df, "target", ["id"], 4, group_cols=["g"]).collect()
+    assert len({(r["g"], r["fold"]) for r in got}) == 16
+    assert {sum(r["fold"] == f for r in got) for f in range(4)} == {16}
+
+

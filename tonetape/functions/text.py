@@ -1,11 +1,14 @@
 """Expressions over filing text: dates, tone counts, paragraphs, pieces.
 
-All of it stays inside the JVM.  Texts are expected to use "\\n" as line end;
-`read_filings` sees to that.
+All but the cutting into chunks and pieces stays inside the JVM; that goes through Arrow
+batches.  Texts are expected to use "\\n" as line end; `read_filings` sees to that.
 """
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -175,43 +178,54 @@ def words_of(text) -> Column:
     )
 
 
-def chunk_words(text, max_cost: int = 1000) -> Column:
-    """Greedy packing of words into chunks of cost at most `max_cost`.
+def chunk_bounds(costs: np.ndarray, max_cost: int) -> list[int]:
+    """Where chunks of words begin, and the end of the last one.
 
-    A word costs len // 4 + 1.  The fold keeps only the running cost and the
-    list of chunk starts, so each word is handled once; a first word that is
-    already too dear leaves an empty chunk before it.
-    """
-    fresh = F.struct(
-        F.lit(0).alias("used"), F.lit(0).alias("i"), F.array(F.lit(1)).alias("starts")
-    )
+    The words of a chunk cost at most max_cost together, or are one word, so the next
+    chunk is a jump in the running costs.  A first word that is already too dear leaves
+    an empty chunk before it."""
+    sums = np.append(0, np.cumsum(costs))
+    bounds = [0, 0] if len(costs) and costs[0] > max_cost else [0]
+    while bounds[-1] < len(costs):
+        at = bounds[-1]
+        bounds.append(max(at + 1, int(np.searchsorted(sums, sums[at] + max_cost, side="right")) - 1))
+    return bounds
 
-    def step(acc, word):
-        cost = F.floor(F.length(word) / 4).cast("int") + 1
-        opens = acc["used"] + cost > max_cost
-        return F.struct(
-            F.when(opens, cost).otherwise(acc["used"] + cost).alias("used"),
-            (acc["i"] + 1).alias("i"),
-            F.when(opens, F.array_append(acc["starts"], acc["i"] + 1))
-            .otherwise(acc["starts"])
-            .alias("starts"),
-        )
 
-    def pack(words):
-        starts = F.aggregate(
-            words, fresh, step, lambda acc: F.array_append(acc["starts"], acc["i"] + 1)
-        )
-        return let(
-            starts,
-            lambda at: F.transform(
-                F.slice(at, F.lit(1), F.size(at) - 1),
-                lambda a, i: F.array_join(F.slice(words, a, F.get(at, i + 1) - a), " "),
-            ),
-        )
+def chunked(text: str, max_cost: int) -> list[str]:
+    """Greedy packing of the words of a text into chunks; a word costs len // 4 + 1."""
+    words = text.split()
+    if not words:
+        return []
+    costs = np.fromiter(map(len, words), np.int64, len(words)) // 4 + 1
+    bounds = chunk_bounds(costs, max_cost)
+    return [" ".join(words[a:b]) for a, b in zip(bounds, bounds[1:])]
 
-    return F.when(strip(text) == "", F.array().cast("array<string>")).otherwise(
-        let(words_of(text), pack)
-    )
+
+def windows(chunk: str, cut: int) -> list[str]:
+    """Consecutive windows of at most `cut` characters, without the blank ones."""
+    found = (chunk[i : i + cut] for i in range(0, len(chunk), cut))
+    return [p for p in found if p.strip()]
+
+
+def _per_text(cut_up: Callable[[str], list[str]], text) -> Column:
+    """cut_up of every text, in Arrow batches; a missing text has no list."""
+
+    @F.pandas_udf("array<string>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(cut_up, na_action="ignore")
+
+    return run(_col(text))
+
+
+def chunk_words(text, max_cost: int = 1000) -> Column:
+    """Greedy packing of words into chunks of cost at most `max_cost`.
+
+    A word costs len // 4 + 1; a first word that is already too dear leaves an empty
+    chunk before it.
+    """
+    return _per_text(lambda t: chunked(t, max_cost), text)
 
 
 def pieces(text, cut: int = 512) -> Column:
@@ -220,11 +234,7 @@ def pieces(text, cut: int = 512) -> Column:
     Every word of the text is in some piece, whatever its length; blank pieces are
     skipped, and a text without words has none.
     """
-    windows = F.transform(
-        chunk_words(text),
-        lambda chunk: F.regexp_extract_all(chunk, F.lit(f"(?s).{{1,{cut}}}"), F.lit(0)),
-    )
-    return F.filter(F.flatten(windows), lambda p: strip(p) != "")
+    return _per_text(lambda t: [w for c in chunked(t, 1000) for w in windows(c, cut)], text)
 
 
 def signed_score(label, score) -> Column:

@@ -1,20 +1,19 @@
 """Classifiers, grid search and what they tell about features."""
 
-import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (
     HasFeaturesCol,
@@ -30,15 +29,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonetape.functions.text import let
+from tonetape.operators import boosting as bt
+from tonetape.operators.forests import forest_search
 from tonetape.operators.ranking import pick_hash
 from tonetape.schema import CLASSES
-from tonetape.session import checkpoint_dir
 
 SEED = 42
 
 # The search grids.
 LOGISTIC_GRID = {"C": [0.01, 0.1, 1.0, 10.0, 100.0]}
-FOREST_GRID = {"numTrees": [50, 100, 200], "maxDepth": [30, 10, 20], "minInstancesPerNode": [1, 2, 4]}
+FOREST_GRID = {"numTrees": [50, 100, 200], "maxDepth": [30, 10, 20], "minSplitRows": [2, 5, 10], "minInstancesPerNode": [1, 2, 4]}
 ADABOOST_GRID = {"maxIter": [50, 100, 200], "stepSize": [0.01, 0.1, 1.0]}
 GBT_GRID = {
     "maxDepth": [3, 5, 7],
@@ -60,13 +60,7 @@ def random_baseline(df: DataFrame, key: Sequence[str], seed: int = SEED, out: st
 
 
 class _Stumps(HasFeaturesCol, HasLabelCol, HasPredictionCol):
-    @staticmethod
-    def _leaf(x, stump):
-        """Class a stump (feature, threshold, left, right, weight) gives to a row."""
-        feature, threshold, left, right = stump[:4]
-        if feature < 0:
-            return F.lit(left)
-        return F.when(x[int(feature)] <= threshold, left).otherwise(right)
+    pass
 
 
 class StumpBoost(
@@ -74,14 +68,10 @@ class StumpBoost(
 ):
     """Multi-class boosting of one-split trees (SAMME).
 
-    Every round fits a weighted stump on the whole distributed table and scales
-    the weights of the rows it got wrong.  The weights are a column; lineage is
-    cut with a checkpoint every `every` rounds, so a lost executor never replays
-    more than that.
+    Every round is one pass over the binned table, which sums weights by class,
+    feature and bin; see `boosting`.
     """
 
-    every = 10
-
     @keyword_only
     def __init__(
         self,
@@ -104,54 +94,33 @@ class StumpBoost(
         return self._set(stepSize=value)
 
     def _fit(self, dataset):
-        checkpoint_dir(dataset.sparkSession)
         vec, label = self.getFeaturesCol(), self.getLabelCol()
-        rows = dataset.select(F.col(vec), F.col(label).cast("double").alias(label)).withColumn(
-            "_w", F.lit(1.0)
-        )
-        classes = int(rows.agg(F.max(label)).first()[0]) + 1
-        tree = DecisionTreeClassifier(
-            featuresCol=vec, labelCol=label, weightCol="_w", maxDepth=1, seed=self.getSeed()
-        )
-        stumps = []
-        for turn in range(self.getMaxIter()):
-            stump = _read_stump(tree.fit(rows))
-            wrong = self._leaf(vector_to_array(F.col(vec)), stump) != F.col(label)
-            total, missed = rows.agg(
-                F.sum("_w"), F.sum(F.when(wrong, F.col("_w")).otherwise(0.0))
-            ).first()
-            error = missed / total
-            if error <= 0:
-                stumps.append([*stump, 1.0])
-                break
-            if error >= 1 - 1 / classes:
-                break
-            weight = self.getStepSize() * (math.log((1 - error) / error) + math.log(classes - 1))
-            stumps.append([*stump, weight])
-            rows = rows.withColumn(
-                "_w", F.col("_w") / total * F.when(wrong, math.exp(weight)).otherwise(1.0)
-            )
-            if (turn + 1) % self.every == 0:
-                rows = rows.checkpoint()
-        if not stumps:
-            raise ValueError("no stump does better than chance")
-        return StumpBoostModel(stumps=stumps, classes=classes)._set(
+        classes = class_number(dataset, label)
+        fit = bt.Fit(self.getMaxIter(), self.getStepSize())
+        (grown,), cuts = bt.fit_together(dataset, [fit], classes, vec, label, stumps=True)
+        return stump_model(grown, cuts, classes)._set(
             featuresCol=vec, labelCol=label, predictionCol=self.getPredictionCol()
         )
 
 
-def _read_stump(model) -> list[float]:
-    """(feature, threshold, left class, right class); feature -1 when nothing splits."""
-    root = model._java_obj.rootNode()
-    if model.numNodes == 1:
-        return [-1.0, 0.0, root.prediction(), root.prediction()]
-    split = root.split()
-    return [
-        float(split.featureIndex()),
-        float(split.threshold()),
-        root.leftChild().prediction(),
-        root.rightChild().prediction(),
-    ]
+def class_number(dataset, label: str) -> int:
+    most = dataset.agg(F.max(label)).first()[0]
+    if most is None:
+        raise ValueError("no rows to learn from")
+    return int(most) + 1
+
+
+def stump_model(grown: bt.Grown, cuts: list, classes: int) -> "StumpBoostModel":
+    """(feature, threshold, left class, right class, weight) of each round; feature -1 when nothing splits."""
+    stumps = []
+    for feature, cut, value in zip(grown.feature, grown.cut, grown.value):
+        j = int(feature[0, 0])
+        left, right = (value[:, 1], value[:, 2]) if j >= 0 else (value[:, 0], value[:, 0])
+        threshold = cuts[j][int(cut[0, 0])] if j >= 0 else 0.0
+        stumps.append([float(j), threshold, float(left.argmax()), float(right.argmax()), float(left.max())])
+    if not stumps:
+        raise ValueError("no stump does better than chance")
+    return StumpBoostModel(stumps=stumps, classes=classes)
 
 
 class StumpBoostModel(Model, _Stumps, DefaultParamsReadable, DefaultParamsWritable):
@@ -203,6 +172,130 @@ class StumpBoostModel(Model, _Stumps, DefaultParamsReadable, DefaultParamsWritab
         return [h / total for h in held]
 
 
+class _Boosted(HasFeaturesCol, HasLabelCol, HasPredictionCol):
+    pass
+
+
+class SoftmaxBoost(Estimator, _Boosted, HasMaxIter, HasStepSize, DefaultParamsReadable, DefaultParamsWritable):
+    """Boosted trees for any number of classes: softmax gradients, one tree per class and round.
+
+    Parameters bear the names of the library's boosted trees: maxIter rounds of stepSize
+    and maxDepth, subsamplingRate of the rows of a round, featureSubsetStrategy (a
+    share) of the columns of a tree.
+    """
+
+    maxDepth = Param(Params._dummy(), "maxDepth", "levels of splits", TypeConverters.toInt)
+    subsamplingRate = Param(Params._dummy(), "subsamplingRate", "share of rows", TypeConverters.toFloat)
+    featureSubsetStrategy = Param(Params._dummy(), "featureSubsetStrategy", "share of columns", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(
+        self,
+        *,
+        featuresCol="features",
+        labelCol="label",
+        predictionCol="prediction",
+        maxIter=100,
+        stepSize=0.3,
+        maxDepth=6,
+        subsamplingRate=1.0,
+        featureSubsetStrategy="1.0",
+    ):
+        super().__init__()
+        self._setDefault(maxIter=100, stepSize=0.3, maxDepth=6, subsamplingRate=1.0, featureSubsetStrategy="1.0")
+        self._set(**self._input_kwargs)
+
+    def point(self, rounds: int | None = None) -> bt.Fit:
+        get = self.getOrDefault
+        return bt.Fit(
+            rounds or self.getMaxIter(), self.getStepSize(), get(self.maxDepth), get(self.subsamplingRate), float(get(self.featureSubsetStrategy))
+        )
+
+    def _fit(self, dataset):
+        vec, label = self.getFeaturesCol(), self.getLabelCol()
+        (grown,), cuts = bt.fit_together(dataset, [self.point()], class_number(dataset, label), vec, label)
+        return softmax_model(grown, cuts)._set(featuresCol=vec, labelCol=label, predictionCol=self.getPredictionCol())
+
+
+NODE_FIELDS = ("round", "class", "node", "feature", "threshold", "value", "gain")
+
+
+def softmax_model(grown: bt.Grown, cuts: list) -> "SoftmaxBoostModel":
+    """The reachable nodes of all trees, one list of NODE_FIELDS each; feature -1 in a leaf."""
+    nodes = []
+    for turn, (feature, cut, value, gain) in enumerate(zip(grown.feature, grown.cut, grown.value, grown.gain)):
+        for k in range(len(feature)):
+            reached = {0}
+            for i in range(feature.shape[1]):
+                if i not in reached:
+                    continue
+                j = int(feature[k, i])
+                if j >= 0:
+                    reached |= {2 * i + 1, 2 * i + 2}
+                threshold = cuts[j][int(cut[k, i])] if j >= 0 else 0.0
+                nodes.append([float(turn), float(k), float(i), float(j), threshold, float(value[k, i]), float(gain[k, i])])
+    classes = len(grown.feature[0]) if grown.feature else 0
+    return SoftmaxBoostModel(nodes=nodes, classes=classes, losses=[x for x in grown.losses])
+
+
+class SoftmaxBoostModel(Model, _Boosted, DefaultParamsReadable, DefaultParamsWritable):
+    """Sums of trees by class, as class probabilities and the most likely class."""
+
+    nodes = Param(Params._dummy(), "nodes", ", ".join(NODE_FIELDS), TypeConverters.toList)
+    classes = Param(Params._dummy(), "classes", "number of classes", TypeConverters.toInt)
+    losses = Param(Params._dummy(), "losses", "mean loss before the first round and after each", TypeConverters.toListFloat)
+
+    @keyword_only
+    def __init__(self, *, nodes=None, classes=None, losses=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def heaps(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """feature, threshold and value by round, class and node."""
+        t = np.array(self.getOrDefault(self.nodes), float).reshape(-1, len(NODE_FIELDS))
+        turn, k, i = t[:, :3].astype(int).T
+        width = 2 ** int(i.max(initial=0) + 1).bit_length() - 1
+        shape = (int(turn.max(initial=-1)) + 1, self.getOrDefault(self.classes), width)
+        out = [np.full(shape, fill) for fill in (-1, 0.0, 0.0)]
+        for x, column in zip(out, (3, 4, 5)):
+            x[turn, k, i] = t[:, column]
+        return tuple(out)
+
+    def _transform(self, dataset):
+        feature, threshold, value = self.heaps()
+        rounds, classes, width = feature.shape
+
+        @F.pandas_udf("array<double>")
+        def chances(x: pd.Series) -> pd.Series:
+            rows = np.stack(x.to_numpy()) if len(x) else np.zeros((0, 1))
+            scores = np.full((len(rows), classes), bt.START)
+            place, k = np.arange(len(rows))[:, None], np.arange(classes)
+            for turn in range(rounds):
+                node = np.zeros((len(rows), classes), np.int64)
+                for _ in range((width + 1).bit_length() - 2):
+                    f = feature[turn, k, node]
+                    # Missing values go right, as their bin does.
+                    right = ~(rows[place, np.maximum(f, 0)] <= threshold[turn, k, node])
+                    node = np.where(f >= 0, 2 * node + 1 + right, node)
+                scores += value[turn, k, node]
+            p = np.exp(scores - scores.max(1, keepdims=True))
+            return pd.Series(list(p / p.sum(1, keepdims=True)))
+
+        out = dataset.withColumn("probability", array_to_vector(chances(vector_to_array(F.col(self.getFeaturesCol())))))
+        p = vector_to_array("probability")
+        return out.withColumn(self.getPredictionCol(), (F.array_position(p, F.array_max(p)) - 1).cast("double"))
+
+    def importances(self, size: int) -> list[float]:
+        """Mean gain of the splits on each feature, as shares."""
+        total, many = np.zeros(size), np.zeros(size)
+        for *_, j, _, _, gain in self.getOrDefault(self.nodes):
+            if j >= 0:
+                total[int(j)] += gain
+                many[int(j)] += 1
+        mean = total / np.maximum(many, 1)
+        return [float(v) for v in mean / (mean.sum() or 1.0)]
+
+
 # ---- estimators with the parameters searched over -------------------------------
 
 
@@ -228,9 +321,8 @@ def adaboost(rounds: int = 50, rate: float = 1.0) -> StumpBoost:
     return StumpBoost(maxIter=rounds, stepSize=rate, seed=SEED)
 
 
-def boosted_trees(**params) -> OneVsRest:
-    """One booster per class; the library's boosted trees are two-class."""
-    return OneVsRest(classifier=GBTClassifier(seed=SEED, **params), parallelism=3)
+def boosted_trees(**params) -> SoftmaxBoost:
+    return SoftmaxBoost(**params)
 
 
 def network(inputs: int, classes: int = 3, hidden: Sequence[int] = NETWORK_LAYERS, epochs: int = 50):
@@ -242,10 +334,9 @@ def network(inputs: int, classes: int = 3, hidden: Sequence[int] = NETWORK_LAYER
 
 def param_grid(estimator, axes: dict) -> list:
     """Every combination of the axes, first axis slowest."""
-    owner = estimator.getClassifier() if isinstance(estimator, OneVsRest) else estimator
     builder = ParamGridBuilder()
     for name, values in axes.items():
-        builder = builder.addGrid(owner.getParam(name), list(values))
+        builder = builder.addGrid(estimator.getParam(name), list(values))
     return builder.build()
 
 
@@ -280,6 +371,49 @@ def grid_search(
     return search.fit(train)
 
 
+def boosting_search(estimator, axes: dict, train: DataFrame, fold_col: str, folds: int) -> tuple[list, dict, Model]:
+    """(point, fold, accuracy) of every point of a grid of StumpBoost or SoftmaxBoost, the best point, its model.
+
+    Points that differ in maxIter are one fit per fold, scored after each number of
+    rounds; all fits of the grid and the ones on all rows are grown in the same passes.
+    """
+    vec, label = estimator.getFeaturesCol(), estimator.getLabelCol()
+    stumps, classes = isinstance(estimator, StumpBoost), class_number(train, label)
+    grid = param_grid(estimator, axes)
+    points = [{p.name: v for p, v in point.items()} for point in grid]
+    fits = [
+        bt.Fit(e.getMaxIter(), e.getStepSize()) if stumps else e.point() for e in (estimator.copy(point) for point in grid)
+    ]
+    table, best, grown, cuts = bt.prefix_search(train, fits, folds, classes, vec, label, fold_col, stumps)
+    model = stump_model(grown, cuts, classes) if stumps else softmax_model(grown, cuts)
+    model._set(featuresCol=vec, labelCol=label, predictionCol=estimator.getPredictionCol())
+    return [(points[i], fold, a) for i, fold, a in table], points[best], model
+
+
+def search(estimator, axes: dict, train: DataFrame, fold_col: str, folds: int, rows: int) -> tuple[list, dict, Model]:
+    """(point, fold, accuracy) rows of any of the grids, the best point, and its model on all rows.
+
+    The library's own search keeps means alone: the penalty's rows have fold -1."""
+    if "minSplitRows" in axes:
+        return forest_search(estimator, axes, train, fold_col, folds)
+    if "C" not in axes:
+        return boosting_search(estimator, axes, train, fold_col, folds)
+    found = grid_search(estimator, logistic_axes(rows, folds, axes), train, fold_col, folds)
+    table = [({"C": c}, -1, float(a)) for c, a in zip(axes["C"], found.avgMetrics)]
+    best = max(range(len(table)), key=lambda i: (table[i][2], -i))
+    return table, table[best][0], refit_logistic(found, train, rows, axes)
+
+
+def point_name(point: dict) -> str:
+    return ", ".join(f"{k}={v}" for k, v in point.items())
+
+
+def point_table(spark, table: list, best: dict) -> DataFrame:
+    """A search's points with the accuracy on each fold, and whether the point was chosen."""
+    rows = [(point_name(p), fold, float(a), p == best) for p, fold, a in table]
+    return spark.createDataFrame(rows, "params string, fold int, accuracy double, chosen boolean")
+
+
 def search_table(spark, fitted) -> DataFrame:
     """Mean fold accuracy of each point of a finished search."""
     rows = [
@@ -304,12 +438,9 @@ def coefficients(spark, model, names: Sequence[str], classes=CLASSES) -> DataFra
 
 
 def importances(spark, model, names: Sequence[str]) -> DataFrame:
-    """Feature importances, largest first; over one-vs-rest the mean of its members."""
-    if isinstance(model, StumpBoostModel):
+    """Feature importances, largest first."""
+    if isinstance(model, (StumpBoostModel, SoftmaxBoostModel)):
         values = model.importances(len(names))
-    elif hasattr(model, "models"):
-        each = [m.featureImportances.toArray() for m in model.models]
-        values = [sum(e[j] for e in each) / len(each) for j in range(len(names))]
     else:
         values = model.featureImportances.toArray()
     rows = [(name, float(v)) for name, v in zip(names, values)]
@@ -320,7 +451,8 @@ def importances(spark, model, names: Sequence[str]) -> DataFrame:
 
 def training_history(spark, model) -> DataFrame:
     """Loss after each training step."""
-    losses = model.summary().objectiveHistory
+    boosted = isinstance(model, SoftmaxBoostModel)
+    losses = model.getOrDefault(model.losses) if boosted else model.summary().objectiveHistory
     return spark.createDataFrame(
         [(i, float(v)) for i, v in enumerate(losses)], "step int, loss double"
     )

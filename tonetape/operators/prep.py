@@ -130,12 +130,16 @@ def assign_folds(
     seed: int = 42,
     out: str = "fold",
     digits: int = SLICE_DIGITS,
+    group_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add a fold number 0..k-1: class sizes in any two folds differ by one at most.
 
     Each class starts dealing where the class before it stopped, which evens out
-    the fold sizes as well.
+    the fold sizes as well.  With `group_cols` whole groups are dealt, see `group_folds`.
     """
+    if group_cols is not None:
+        dealt = group_folds(df, label, group_cols, k, seed, out, digits)
+        return df.join(dealt, list(group_cols))
     ranked = hash_ranks(df, label, key, seed, digits)
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
     dealt = sizes.select(
@@ -147,6 +151,48 @@ def assign_folds(
     return ranked.join(F.broadcast(dealt), label).select(*df.columns, fold)
 
 
+def group_folds(
+    df: DataFrame,
+    label: str,
+    group_cols: Sequence[str],
+    k: int,
+    seed: int = 42,
+    out: str = "fold",
+    digits: int = SLICE_DIGITS,
+) -> DataFrame:
+    """(group_cols, fold): every group in one fold, classes spread evenly.
+
+    A group counts for the class that most of its rows have (equal: the smallest).  The
+    groups of a class are dealt from the largest to the smallest, back and forth over the
+    folds, so of groups with one class each any two folds hold numbers of rows of that
+    class that differ by the size of its largest group at most.  Ranks come from counts
+    per size and hash ranks of groups of a size, so no task sees a whole class.
+    """
+    groups = list(group_cols)
+    each = df.groupBy(*groups, label).agg(F.count(F.lit(1)).alias("_n"))
+    units = each.groupBy(*groups).agg(
+        F.min_by(label, F.struct(-F.col("_n"), F.col(label))).alias("_class"),
+        F.sum("_n").alias("_rows"),
+    )
+    cell = F.concat_ws(":", F.col("_class").cast("string"), F.col("_rows").cast("string"))
+    units = units.withColumn("_cell", cell)
+    cells = units.groupBy("_cell", "_class", "_rows").agg(F.count(F.lit(1)).alias("_c"))
+    # one row per class and size of group
+    larger = Window.partitionBy("_class").orderBy(F.desc("_rows"))
+    before = cells.withColumn("_before", F.sum("_c").over(larger) - F.col("_c"))
+    classes = cells.groupBy("_class").agg(F.sum("_c").alias("_c"))
+    first = Window.partitionBy().orderBy("_class")
+    starts = classes.select("_class", (F.sum("_c").over(first) - F.col("_c")).alias("_start"))
+    ranked = hash_ranks(units, "_cell", groups, seed, digits).drop("_size")
+    ranked = ranked.join(before.select("_cell", "_before"), "_cell")
+    # one row per class: safe to broadcast
+    ranked = ranked.join(F.broadcast(starts), "_class")
+    at = F.col("_before") + F.col("_rank") - 1
+    turn, step = F.floor(at / k), at % k
+    forth = F.when(turn % 2 == 0, step).otherwise(k - 1 - step)
+    return ranked.select(*groups, ((forth + F.col("_start")) % k).cast("int").alias(out))
+
+
 def fit_scaler(train: DataFrame, names: Sequence[str], out: str = "features") -> PipelineModel:
     """Scaler by train mean and *population* deviation; a constant column is only centred.
 

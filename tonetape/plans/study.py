@@ -79,7 +79,9 @@ def prepare(
     release(rows)
     train, test = split.where("part = 'train'"), split.where("part = 'test'")
     folds = fold_number(smallest_class(train, label))
-    dealt = train = materialised(assign_folds(train, label, key, folds, seed, digits=digits))
+    dealt = train = materialised(
+        assign_folds(train, label, key, folds, seed, digits=digits, group_cols=group_cols)
+    )
     raw_test = test.select(*dict.fromkeys([*key, label, "label", *names]))
     train, test, scaler = standardize(train, test, names)
     columns = [*key, label, "label", "features"]
@@ -92,6 +94,8 @@ def prepare(
 @dataclass
 class Outcome:
     models: dict = field(default_factory=dict)
+    searches: dict = field(default_factory=dict)
+    chosen: dict = field(default_factory=dict)
     predictions: dict = field(default_factory=dict)
     reports: dict = field(default_factory=dict)
     confusions: dict = field(default_factory=dict)
@@ -120,12 +124,8 @@ def run_classification(
     for name, (estimator, axes) in chosen.items():
         if axes is None:
             fitted = estimator.fit(ready.train)
-        elif "C" in axes:
-            points = m.logistic_axes(ready.train_rows, ready.folds, axes)
-            found = m.grid_search(estimator, points, ready.train, "fold", ready.folds)
-            fitted = m.refit_logistic(found, ready.train, ready.train_rows, axes)
         else:
-            fitted = m.grid_search(estimator, axes, ready.train, "fold", ready.folds).bestModel
+            out.searches[name], out.chosen[name], fitted = m.search(estimator, axes, ready.train, "fold", ready.folds, ready.train_rows)
         out.models[name] = fitted
         # Written: reports, matrices and the comparison each read it.
         out.predictions[name] = materialised(predictions(fitted.transform(ready.test), key, label, ready.classes))

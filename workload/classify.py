@@ -1,7 +1,9 @@
 """Queries of the classification side: preparation, models, metrics, reports, checks."""
 
+import math
+
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonetape.functions.labels import class_name, decode_label, encode_label
@@ -10,8 +12,9 @@ from tonetape.operators import evaluate as el
 from tonetape.operators import models as m
 from tonetape.operators import prep as pp
 from tonetape.operators import report as rp
+from tonetape.operators.forests import gain_shares, node_table
 from tonetape.plans.study import prepare, run_classification
-from tonetape.session import materialised
+from tonetape.session import materialised, release
 from tonetape.sources import readers, writers
 from workload import views as v
 from workload.sql import define, sql
@@ -206,6 +209,31 @@ def _(spark, sf_dir):
     return pp.assign_folds(rows, "target", KEY, 5)
 
 
+define(
+    "event_units",
+    ("complete",),
+    """SELECT ticker, report_date, arg_min(target, target - 10 * n) AS class, sum(n) AS size
+    FROM (SELECT ticker, report_date, target, count(*) AS n FROM complete GROUP BY ALL) GROUP BY 1, 2""",
+)
+
+
+@query(
+    "prp9_group_folds",
+    ("complete", "event_units"),
+    """SELECT filing_id, target, ((CASE WHEN place // 5 % 2 = 0 THEN place % 5 ELSE 4 - place % 5 END + start) % 5)::int AS fold
+    FROM complete JOIN (SELECT *, row_number() OVER (PARTITION BY class
+      ORDER BY size DESC, md5('42:' || ticker || ':' || report_date), ticker, report_date) - 1 AS place FROM event_units)
+      USING (ticker, report_date)
+    JOIN (SELECT class, sum(count(*)) OVER (ORDER BY class) - count(*) AS start FROM event_units GROUP BY class)
+      USING (class)""",
+)
+def _(spark, sf_dir):
+    """Folds that keep the filings of an event together."""
+    rows = _complete(spark, sf_dir).select("filing_id", "target", "ticker", "report_date")
+    dealt = pp.assign_folds(rows, "target", KEY, 5, group_cols=["ticker", "report_date"])
+    return dealt.select("filing_id", "target", "fold")
+
+
 @query(
     "prp10_label_codes",
     ("preds",),
@@ -692,6 +720,114 @@ def _(spark, sf_dir):
     )
 
 
+# ---- fitted models: their own results, which SQL cannot compute ---------------------
+
+
+@query("mdl2_adaboost_search")
+def _(spark, sf_dir):
+    """All nine points over rounds and rates, with their accuracy on each fold."""
+    ready = _ready(spark, sf_dir)
+    found, best, _ = m.search(m.adaboost(), m.ADABOOST_GRID, ready.train, "fold", ready.folds, ready.train_rows)
+    return m.point_table(spark, found, best)
+
+
+@query("mdl2_forest_search")
+def _(spark, sf_dir):
+    """All 81 points over trees, depth, least rows of a split and of a leaf."""
+    ready = _ready(spark, sf_dir)
+    found, best, _ = m.search(m.random_forest(), m.FOREST_GRID, ready.train, "fold", ready.folds, ready.train_rows)
+    return m.point_table(spark, found, best)
+
+
+@query("mdl5_stumps")
+def _(spark, sf_dir):
+    """The stumps of 50 rounds: feature, threshold, classes and weight."""
+    ready = _ready(spark, sf_dir)
+    rows = m.adaboost(50).fit(ready.train).getStumps()
+    at = [(i, ready.names[int(j)] if j >= 0 else None, t, int(a), int(b), w) for i, (j, t, a, b, w) in enumerate(rows)]
+    return spark.createDataFrame(at, "round int, feature string, threshold double, at_most int, above int, weight double")
+
+
+def _boosted(ready):
+    return m.boosted_trees(maxIter=50, maxDepth=3, stepSize=0.1).fit(ready.train)
+
+
+@query("mdl6_softmax_probabilities")
+def _(spark, sf_dir):
+    """Class probabilities of the three-class booster on the test rows."""
+    ready = _ready(spark, sf_dir)
+    return el.probabilities(_boosted(ready).transform(ready.test), KEY, ready.classes)
+
+
+@query("mdl6_loss_falls", (), "SELECT i AS step, true AS falls FROM (SELECT unnest(range(0, 51))::int AS i)")
+def _(spark, sf_dir):
+    """The booster's loss starts at that of equal chances and falls in every round."""
+    ready = _ready(spark, sf_dir)
+    steps = m.training_history(spark, _boosted(ready))
+    # One row per round.
+    before = F.lag("loss").over(Window.partitionBy().orderBy("step"))
+    first = F.abs(F.col("loss") - math.log(len(ready.classes))) < 1e-9
+    return steps.select("step", F.when(before.isNull(), first).otherwise(F.col("loss") < before).alias("falls"))
+
+
+@query("mdl7_evl5_network_probabilities")
+def _(spark, sf_dir):
+    ready = _ready(spark, sf_dir)
+    fitted = m.network(len(ready.names), len(ready.classes)).fit(ready.train)
+    return el.probabilities(fitted.transform(ready.test), KEY, ready.classes)
+
+
+@query("mdl8_network_losses")
+def _(spark, sf_dir):
+    ready = _ready(spark, sf_dir)
+    return m.training_history(spark, m.network(len(ready.names), len(ready.classes)).fit(ready.train))
+
+
+@query("evl6_rpt6_ranked_coefficients")
+def _(spark, sf_dir):
+    """Coefficients of the fitted logistic model, ranked within a class."""
+    ready = _ready(spark, sf_dir)
+    table = m.coefficients(spark, m.logistic(ready.train_rows).fit(ready.train), ready.names, ready.classes)
+    return rp.rank_coefficients(table)
+
+
+@query("evl7_gains_by_node", (), f"SELECT feature, true AS same FROM {FEATURE_ROWS}")
+def _(spark, sf_dir):
+    """Importances of a forest summed from the gains of its nodes are those that it states."""
+    ready = _ready(spark, sf_dir)
+    model = m.random_forest(50, 10).fit(ready.train)
+    nodes = node_table(spark, model)
+    summed = materialised(gain_shares(nodes, ready.names))
+    release(nodes)
+    # Two features of one name: shares are compared by place.
+    stated = [(name, float(v)) for name, v in zip(ready.names, model.featureImportances.toArray())]
+    stated = spark.createDataFrame(stated, "feature string, stated double").groupBy("feature").agg(F.sum("stated").alias("stated"), F.count(F.lit(1)).alias("n"))
+    both = summed.groupBy("feature").agg(F.sum("importance").alias("importance")).join(stated, "feature")
+    both = both.select("feature", "n", (F.abs(F.col("importance") - F.col("stated")) < 1e-9).alias("same"))
+    return both.select("feature", "same", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).drop("col")
+
+
+@query("evl7_rpt7_importances")
+def _(spark, sf_dir):
+    """Importances of the three tree models, ranked within a model."""
+    ready = _ready(spark, sf_dir)
+    fitted = {"Random Forest": m.random_forest(50, 10), "AdaBoost": m.adaboost(50), "Boosted Trees": m.boosted_trees(maxIter=50, maxDepth=3, stepSize=0.1)}
+    out = None
+    for name, estimator in fitted.items():
+        part = m.importances(spark, estimator.fit(ready.train), ready.names).withColumn("model", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return rp.rank_importances(out)
+
+
+@query("evl10_comparison")
+def _(spark, sf_dir):
+    """Accuracies of the baseline and the five models, the logistic one and AdaBoost searched."""
+    ready = _ready(spark, sf_dir)
+    models = _models(ready)
+    models["AdaBoost"] = (m.adaboost(), m.ADABOOST_GRID)
+    return run_classification(ready, models).comparison
+
+
 @query(
     "evl10_run_classification",
     ("test_rows",),
