@@ -179,17 +179,17 @@ def test_votes_and_gains_of_the_node_table_are_the_models(spark, table, forest):
     release(nodes)
 
 
-@pytest.mark.parametrize("trees,least", [(9, 2), (4, 10), (1, 40), (9, 10_000)])
-def test_cut_forest_votes_like_its_nodes(spark, table, forest, trees, least):
+@pytest.mark.parametrize("trees,least,depth", [(9, 2, 30), (4, 10, 30), (5, 2, 3), (1, 40, 4), (9, 10_000, 30), (9, 2, 0)])
+def test_cut_forest_votes_like_its_nodes(spark, table, forest, trees, least, depth):
     nodes = fo.node_table(spark, forest)
     x, _, _ = sample()
-    want = fo.votes(x, fo.arrays_of(nodes), least, [trees])[trees]
+    want = fo.votes(x, fo.arrays_of(nodes), least, [trees], depth)[trees]
     want = {tuple(a): b for a, b in zip(x, want)}
-    cut = fo.cut_forest(spark, forest, trees, least)
+    cut = fo.cut_forest(spark, forest, trees, least, depth)
     assert cut.getNumTrees == trees
     got = cut.transform(table).select("x", vector_to_array("rawPrediction").alias("p")).collect()
     assert all(np.allclose(r["p"], want[tuple(r["x"])]) for r in got)
-    assert least < 10_000 or cut.totalNumNodes == 9
+    assert least < 10_000 and depth or cut.totalNumNodes == 9
 
 
 def plain_gini(x, y, least):
@@ -236,7 +236,7 @@ def test_forest_search(spark, table):
     estimator = m.random_forest()
     found, best, model = m.search(estimator, axes, table, "fold", 3, 240)
     assert len(found) == 16 * 3 and model.getNumTrees == best["numTrees"]
-    # One point by the library's own model.
+    # The point without cuts, by the library's own model.
     point = {"numTrees": 5, "maxDepth": 6, "minSplitRows": 2, "minInstancesPerNode": 4}
     shape = {estimator.numTrees: 5, estimator.maxDepth: 6, estimator.minInstancesPerNode: 4}
     held = estimator.fit(table.where("fold <> 1"), shape).transform(table.where("fold = 1"))

@@ -1,20 +1,23 @@
 """Forests by their nodes: fewer trees, an earlier end of splitting, gains, and a search that fits little.
 
 A fitted forest is written and its nodes read back as a table.  A forest that may only
-split nodes of some rows is the one without that bound, its smaller nodes made leaves; one
-of fewer trees is its first trees.  So one fit per depth and leaf size serves every
-number of trees and every bound on splits.  (First trees of a larger forest: a forest
-fitted with fewer draws other samples.)
+split nodes of some rows is the one without that bound, its smaller nodes made leaves; a
+shallower one has its deep nodes made leaves; one of fewer trees is its first trees.  So
+one fit per leaf size serves every number of trees, depth and bound on splits.  (A forest
+fitted with fewer trees or levels draws other samples and columns; it is as good a draw.)
 """
 
 import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from itertools import product
 from uuid import uuid4
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,6 +25,9 @@ from pyspark.sql import functions as F
 
 from tonetape.session import checkpoint_dir, release
 
+#: The library's deepest tree.
+DEEPEST = 30
+
 
 def save_forest(spark: SparkSession, model) -> DataFrame:
     """The model written to the shared folder; its nodes as they are stored, `release` deletes it."""
@@ -72,16 +78,16 @@ def gain_shares(nodes: DataFrame, names: Sequence[str]) -> DataFrame:
 # ---- fewer trees, larger splits --------------------------------------------------
 
 
-def collapse(tree: pd.DataFrame, least: int) -> pd.DataFrame:
-    """The stored nodes of one tree, those with fewer than least rows made leaves, numbered anew from the root."""
+def collapse(tree: pd.DataFrame, least: int, depth: int) -> pd.DataFrame:
+    """The stored nodes of one tree, those with fewer than least rows or at depth made leaves, numbered anew from the root."""
     nodes = {n["id"]: n for n in tree["nodeData"]}
-    number, order, todo = {}, [], [0]
+    number, order, todo = {}, [], [(0, 0)]
     while todo:
-        i = todo.pop()
+        i, level = todo.pop()
         number[i] = len(order)
         order.append(i)
-        if nodes[i]["leftChild"] >= 0 and nodes[i]["rawCount"] >= least:
-            todo += [nodes[i]["rightChild"], nodes[i]["leftChild"]]
+        if nodes[i]["leftChild"] >= 0 and nodes[i]["rawCount"] >= least and level < depth:
+            todo += [(nodes[i]["rightChild"], level + 1), (nodes[i]["leftChild"], level + 1)]
     out = []
     for i in order:
         n = dict(nodes[i])
@@ -94,14 +100,14 @@ def collapse(tree: pd.DataFrame, least: int) -> pd.DataFrame:
     return pd.DataFrame({"treeID": tree["treeID"].iloc[0], "nodeData": out})
 
 
-def cut_forest(spark: SparkSession, model, trees: int | None = None, least: int = 2) -> RandomForestClassificationModel:
-    """The forest of the first trees in which nodes of fewer than least rows do not split, as a model of its own."""
+def cut_forest(spark: SparkSession, model, trees: int | None = None, least: int = 2, depth: int = DEEPEST) -> RandomForestClassificationModel:
+    """The forest of the first trees in which nodes of fewer than least rows, or at depth, do not split, as a model of its own."""
     trees = trees or model.getNumTrees
     stored = save_forest(spark, model)
     path, out = stored._written_at, f"{stored._written_at}-cut"
     few = stored.where(F.col("treeID") < trees)
     # A group is one tree.
-    pruned = few.groupBy("treeID").applyInPandas(lambda tree: collapse(tree, least), stored.schema)
+    pruned = few.groupBy("treeID").applyInPandas(lambda tree: collapse(tree, least, depth), stored.schema)
     pruned.write.parquet(f"{out}/data")
     each = spark.read.parquet(f"{path}/treesMetadata")
     each.where(F.col(each.columns[0]) < trees).write.parquet(f"{out}/treesMetadata")
@@ -141,14 +147,16 @@ def arrays_of(nodes: DataFrame) -> Arrays:
     )
 
 
-def votes(x: np.ndarray, forest: Arrays, least: int, prefixes: Sequence[int]) -> dict[int, np.ndarray]:
-    """Class shares summed over the first trees, for each number of them, where nodes under least rows do not split."""
+def votes(x: np.ndarray, forest: Arrays, least: int, prefixes: Sequence[int], depth: int = DEEPEST) -> dict[int, np.ndarray]:
+    """Class shares summed over the first trees, for each number of them, where nodes under least rows, or at depth, do not split."""
     total, out = np.zeros((len(x), forest.share.shape[1])), {}
     splits = (forest.feature >= 0) & (forest.rows >= least)
     for n, root in enumerate(forest.root, 1):
         node, going = np.full(len(x), root), np.arange(len(x))
-        while len(going):
+        for _ in range(depth):
             going = going[splits[node[going]]]
+            if not len(going):
+                break
             at = node[going]
             down = x[going, forest.feature[at]] <= forest.threshold[at]
             node[going] = np.where(down, forest.left[at], forest.right[at])
@@ -158,54 +166,58 @@ def votes(x: np.ndarray, forest: Arrays, least: int, prefixes: Sequence[int]) ->
     return out
 
 
-def accuracies(df: DataFrame, forest: Arrays, prefixes: Sequence[int], bounds: Sequence[int], vec: str = "features", label: str = "label") -> dict[tuple[int, int], float]:
-    """Accuracy on df by (number of trees, least rows of a split): one pass that sums hits."""
+def accuracies(df: DataFrame, forest: Arrays, prefixes: Sequence[int], cuts: Sequence[tuple[int, int]], vec: str = "features", label: str = "label") -> dict[tuple[int, int, int], float]:
+    """Accuracy on df by number of trees and cut (least rows of a split, depth): one pass that sums hits."""
     prefixes = sorted(min(p, len(forest.root)) for p in prefixes)
 
     def score(batches):
-        hits, n = np.zeros((len(prefixes), len(bounds)), np.int64), 0
+        hits, n = np.zeros((len(prefixes), len(cuts)), np.int64), 0
         for b in batches:
             if not b.num_rows:
                 continue
             x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
             y = b.column("y").to_numpy(zero_copy_only=False)
             n += len(y)
-            for j, least in enumerate(bounds):
-                got = votes(x, forest, least, prefixes)
+            for j, (least, depth) in enumerate(cuts):
+                got = votes(x, forest, least, prefixes, depth)
                 hits[:, j] += [(got[p].argmax(1) == y).sum() for p in prefixes]
         i, j = np.indices(hits.shape).reshape(2, -1)
         yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(hits.ravel()), pa.array(np.full(hits.size, n))], names=["i", "j", "hits", "n"])
 
     rows = df.select(vector_to_array(F.col(vec)).alias("x"), F.col(label).cast("int").alias("y"))
     sums = rows.mapInArrow(score, "i long, j long, hits long, n long").groupBy("i", "j").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n"))
-    return {(prefixes[r["i"]], bounds[r["j"]]): r["hits"] / r["n"] if r["n"] else float("nan") for r in sums.collect()}
+    return {(prefixes[r["i"]], *cuts[r["j"]]): r["hits"] / r["n"] if r["n"] else float("nan") for r in sums.collect()}
 
 
-def forest_search(estimator, axes: dict, train: DataFrame, fold_col: str, folds: int):
+def forest_search(estimator, axes: dict, train: DataFrame, fold_col: str, folds: int, parallelism: int = 4):
     """Fold accuracies of every point of axes (numTrees, maxDepth, minSplitRows, minInstancesPerNode), the best point, its model.
 
     rows of the table: (point as dict, fold, accuracy), points in order, first axis
-    slowest; best is by mean, equal ones the first.  A fit per depth, leaf size and fold
-    serves all points; the best one is fitted on all rows and cut to its point.
+    slowest; best is by mean, equal ones the first.  A fit per leaf size and fold serves
+    all points; the best one is fitted on all rows and cut to its point.
     """
     spark = train.sparkSession
-    most, found = max(axes["numTrees"]), {}
-    for depth in axes["maxDepth"]:
-        for leaf in axes["minInstancesPerNode"]:
-            shape = {estimator.numTrees: most, estimator.maxDepth: depth, estimator.minInstancesPerNode: leaf}
-            for fold in range(folds):
-                nodes = node_table(spark, estimator.fit(train.where(F.col(fold_col) != fold), shape))
-                forest = arrays_of(nodes)
-                release(nodes)
-                got = accuracies(train.where(F.col(fold_col) == fold), forest, axes["numTrees"], axes["minSplitRows"])
-                found.update({(n, depth, s, leaf, fold): a for (n, s), a in got.items()})
+    most = {estimator.numTrees: max(axes["numTrees"]), estimator.maxDepth: max(axes["maxDepth"])}
+    cuts = list(product(axes["minSplitRows"], axes["maxDepth"]))
+
+    def one(leaf: int, fold: int) -> dict:
+        learn, held = train.where(F.col(fold_col) != fold), train.where(F.col(fold_col) == fold)
+        nodes = node_table(spark, estimator.fit(learn, {**most, estimator.minInstancesPerNode: leaf}))
+        forest = arrays_of(nodes)
+        release(nodes)
+        got = accuracies(held, forest, axes["numTrees"], cuts)
+        return {(n, depth, least, leaf, fold): a for (n, least, depth), a in got.items()}
+
+    found, tasks = {}, list(product(axes["minInstancesPerNode"], range(folds)))
+    with ThreadPoolExecutor(parallelism) as pool:
+        for got in pool.map(inheritable_thread_target(spark)(lambda t: one(*t)), tasks):
+            found.update(got)
     points = [
         {"numTrees": n, "maxDepth": d, "minSplitRows": s, "minInstancesPerNode": leaf}
-        for n in axes["numTrees"] for d in axes["maxDepth"] for s in axes["minSplitRows"] for leaf in axes["minInstancesPerNode"]
+        for n, d, s, leaf in product(axes["numTrees"], axes["maxDepth"], axes["minSplitRows"], axes["minInstancesPerNode"])
     ]
     table = [(p, fold, found[(*p.values(), fold)]) for p in points for fold in range(folds)]
     means = [float(np.nanmean([a for q, _, a in table if q is p])) for p in points]
     best = points[max(range(len(points)), key=lambda i: (means[i], -i))]
-    shape = {estimator.numTrees: most, estimator.maxDepth: best["maxDepth"], estimator.minInstancesPerNode: best["minInstancesPerNode"]}
-    whole = estimator.fit(train, shape)
-    return table, best, cut_forest(spark, whole, best["numTrees"], best["minSplitRows"])
+    whole = estimator.fit(train, {**most, estimator.minInstancesPerNode: best["minInstancesPerNode"]})
+    return table, best, cut_forest(spark, whole, best["numTrees"], best["minSplitRows"], best["maxDepth"])
