@@ -26,8 +26,11 @@ def part(id_col: Column, parts: int) -> Column:
 
 
 def calibrated(scored: DataFrame, train: DataFrame) -> DataFrame:
-    """scored with score, the isotonic fit of train's label on raw (in [0, 1]), and predicted."""
-    model = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="fitted").fit(train)
+    """scored with score, the isotonic fit of train's label on raw (in [0, 1]), and predicted.
+
+    Rows of one raw score are one point with their number as weight, which fits alike."""
+    points = train.groupBy("raw").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
+    model = IsotonicRegression(featuresCol="raw", labelCol="label", weightCol="weight", predictionCol="fitted").fit(points)
     score = (1 - ORDER) * F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("fitted"))) + ORDER * F.col("raw")
     out = model.transform(scored).withColumn("score", score)
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

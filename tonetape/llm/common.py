@@ -9,7 +9,7 @@ from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 _own: dict[str, str] = {}
@@ -68,6 +68,15 @@ def discard(*tables: DataFrame) -> None:
             table._llm_path = None
 
 
+def column(df: DataFrame, name: str) -> Column:
+    """The column of df with that very name, whatever marks it holds."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
+def columns(df: DataFrame, names: list[str]) -> list[Column]:
+    return [column(df, c) for c in names]
+
+
 def clashing(df: DataFrame, *names: str) -> str:
     """A column name that starts like the first of names and that df does not hold."""
     name, taken = names[0], {c.lower() for c in df.columns}

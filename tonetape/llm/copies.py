@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tonetape.llm.common import clashing, written
+from tonetape.llm.common import clashing, columns, written
 
 KEY = ["digest", "size", "check"]
 
@@ -84,9 +84,14 @@ def copy_groups(
 def drop_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", runs: int = 64, fan_in: int = 4
 ) -> DataFrame:
-    """docs, all columns, with the one row of each text that copy_groups keeps."""
+    """docs, all columns, with the one row of each text that copy_groups keeps.
+
+    A null text is an empty one; empty texts are copies of each other, and a very long
+    one is compared whole.  Of rows that repeat with the same id any one stays, they
+    being alike in id and text.  A null id is smaller than all others.  An empty table
+    gives an empty one.  Columns may have any names."""
     row = clashing(docs, "dedup_row")
     tagged = written(docs.withColumn(row, F.monotonically_increasing_id()), "tagged")
     own = [c.alias("row") if i == 4 else c for i, c in enumerate([*entries(tagged, id_col, text_col)[:4], tagged[row]])]
     gone = decide(written(tagged.select(*own), "entries"), keep, runs, fan_in).where(~F.col("kept"))
-    return tagged.join(gone.select(F.col("row").alias(row)), row, "left_anti").select(*docs.columns)
+    return tagged.join(gone.select(F.col("row").alias(row)), row, "left_anti").transform(lambda df: df.select(*columns(df, docs.columns)))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from tonetape.llm import words as W
-from tonetape.llm.common import clashing, discard, slices, written
+from tonetape.llm.common import clashing, columns, discard, slices, written
 from tonetape.llm.components import components
 from tonetape.llm.shared import blocks_for, packed, packed_schema, shared_entries
 
@@ -254,9 +254,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """docs, all columns, with one row of each component: that with the smallest id.
 
-    Rows without shingles all stay."""
+    Rows without shingles all stay: null and empty texts, and those without words.  Of
+    rows that repeat with the same id one stays; a null id comes after all others.  An
+    empty table gives an empty one.  Columns may have any names."""
     row = clashing(docs, "dedup_row")
     tagged = written(docs.withColumn(row, F.monotonically_increasing_id()), "tagged")
     own = tagged.select(F.col(row).alias("row"), tagged[id_col].alias("id"), tagged[text_col].cast("string").alias("text"))
     gone = placed(own, percent).where(F.col("row") != F.col("component_row"))
-    return tagged.join(gone.select(F.col("row").alias(row)), row, "left_anti").select(*docs.columns)
+    return tagged.join(gone.select(F.col("row").alias(row)), row, "left_anti").transform(lambda df: df.select(*columns(df, docs.columns)))

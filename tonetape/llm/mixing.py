@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from tonetape.llm import words as W
-from tonetape.llm.common import clashing, discard, slices, written
+from tonetape.llm.common import clashing, columns, discard, slices, written
 
 SLICE = 2 << 20
 #: Documents that are rounded one after another, about.
@@ -187,10 +187,13 @@ def mixture(
 def mix(
     docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), cap: float = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
 ) -> DataFrame:
-    """docs, all columns, each row as often as mixture takes it."""
+    """docs, all columns, each row as often as mixture takes it.
+
+    A null or empty text is taken once; repeated rows, null ids and null sources are as
+    in mixture.  An empty table gives an empty one.  Columns may have any names."""
     row, copy = clashing(docs, "mix_row"), clashing(docs, "mix_copy")
     tagged = written(docs.withColumn(row, F.monotonically_increasing_id()), "tagged")
     own = tagged.select(F.col(row).alias("row"), tagged[id_col].alias("id"), tagged[source_col].cast("string").alias("source"), tagged[text_col].cast("string").alias("text"))
     copies = decided(own, weights, cap).where("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(copy))
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copy)))
-    return tagged.join(copies, row).withColumn(copy, times).select(*docs.columns)
+    return tagged.join(copies, row).withColumn(copy, times).transform(lambda df: df.select(*columns(df, docs.columns)))

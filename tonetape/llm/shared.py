@@ -82,16 +82,21 @@ def shared_entries(rows: DataFrame, fields: dict[str, str], blocks: int, keys: i
     names, kinds = list(fields), [KINDS[k] for k in fields.values()]
 
     def pick(batches):
-        held: dict[int, Block] = {}
+        # Blocks come one after the other, so only one is held.
+        held, own = None, None
         give = lambda got: pa.RecordBatch.from_arrays([pa.array(x) for x in got], names=names)
         for batch in batches:
-            for block, *entries in zip(*(batch.column(c).to_pylist() for c in ["block", *names])):
-                got = held.setdefault(block, Block(kinds, keys)).add([np.frombuffer(e, k) for e, k in zip(entries, kinds)])
+            for i, block in enumerate(batch.column("block").to_pylist()):
+                if block != own:
+                    if held and (got := held.settle()):
+                        yield give(got)
+                    held, own = Block(kinds, keys), block
+                # Copies, so that no batch outlives its turn.
+                got = held.add([np.frombuffer(batch.column(n)[i].as_buffer(), k).copy() for n, k in zip(names, kinds)])
                 if got:
                     yield give(got)
-        for block in held.values():
-            if got := block.settle():
-                yield give(got)
+        if held and (got := held.settle()):
+            yield give(got)
 
     schema = ", ".join(f"{n} {k}" for n, k in fields.items())
-    return rows.repartition(blocks, "block").mapInArrow(pick, schema)
+    return rows.repartition(blocks, "block").sortWithinPartitions("block").mapInArrow(pick, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tonetape.llm import words as W
 from tonetape.llm.calibration import calibrated, classes, constant, held_out, labelled, part
-from tonetape.llm.common import slices, written
+from tonetape.llm.common import column, slices, written
 
 SLICE = 2 << 20
 #: Bounds: labelled rows that are learnt from, and entries of the learnt lexicon.
@@ -234,11 +234,15 @@ def scored(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label: str, folds: int, fold: int, most_rows: int, most_terms: int, carry: list[str]
 ) -> DataFrame:
     """id, score and predicted of every row of docs, and the columns in carry as c0, c1, ..."""
-    carried = [docs[c].alias(f"c{i}") for i, c in enumerate(carry)]
-    own = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"), *carried)
+    carried = [column(docs, c).alias(f"c{i}") for i, c in enumerate(carry)]
+    # A text that is carried is read where it is, and not sent a second time.
+    held = text_col in carry and isinstance(docs.schema[text_col].dataType, T.StringType)
+    read = f"c{carry.index(text_col)}" if held else "text"
+    texts = [] if held else [column(docs, text_col).cast("string").alias("text")]
+    own = docs.select(column(docs, id_col).alias("id"), *texts, *carried)
     # At most most_rows narrow rows: bounded, so they may be broadcast.
     sample = F.broadcast(labelled(labels, label, folds, fold, most_rows))
-    train = own.join(sample, "id").groupBy("id").agg(F.max(F.coalesce("text", F.lit(""))).alias("text"), F.first("label").alias("label"))
+    train = own.join(sample, "id").groupBy("id").agg(F.max(F.coalesce(read, F.lit(""))).alias("text"), F.first("label").alias("label"))
     train = written(train.withColumn("part", part(F.col("id"), 4)), "train")
     n, ones = classes(train)
     if min(ones, n - ones) < 10:
@@ -246,12 +250,12 @@ def scored(
     lexicon, weight = learn_lexicon(train.where("part = 0"), most_terms)
     insults, you = hashes(INSULTS), hashes(YOU)
 
-    def measured(df: DataFrame) -> DataFrame:
-        """df with features instead of text."""
+    def measured(df: DataFrame, read: str = "text") -> DataFrame:
+        """df with features of the column read; text is left out."""
 
         def measure(batches):
-            for rows in slices(batches, "text", SLICE):
-                x = features(rows.column("text"), lexicon, weight, insults, you)
+            for rows in slices(batches, read, SLICE):
+                x = features(rows.column(read), lexicon, weight, insults, you)
                 flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in others), flat], names=[*others, "x"])
 
@@ -265,7 +269,7 @@ def scored(
         return constant(own.drop("text"), ones / n)
     trees = GBTClassifier(labelCol="label", maxIter=20, maxDepth=3, stepSize=0.3, seed=7, minInstancesPerNode=5).fit(trees_on)
     raw = lambda df: trees.transform(df).withColumn("raw", vector_to_array("probability")[1])
-    return calibrated(raw(vector(measured(own))), raw(calibrate_on))
+    return calibrated(raw(vector(measured(own, read))), raw(calibrate_on))
 
 
 def toxicity(
@@ -307,6 +311,10 @@ def drop_toxic(
     most_rows: int = MOST_ROWS,
     most_terms: int = MOST_TERMS,
 ) -> DataFrame:
-    """The rows of docs, all columns, that toxicity does not predict to be toxic.  They are not shuffled."""
+    """The rows of docs, all columns, that toxicity does not predict to be toxic.  They are not shuffled.
+
+    Null and empty texts, null ids, repeated rows and missing labels are as in toxicity;
+    rows that repeat stay or go together.  An empty table gives an empty one.  Columns
+    may have any names."""
     out = scored(docs, labels, id_col, text_col, label, folds, fold, most_rows, most_terms, docs.columns)
     return out.where("predicted = 0").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
