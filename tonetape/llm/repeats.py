@@ -1,19 +1,20 @@
-"""Removal of long strings that occur more than once, by bucket-pointer refinement.
+"""Removal of long strings that occur more than once, by winnowing and fingerprints.
+
+This stands in for bucket-pointer refinement in rounds: nothing is sorted on bucket
+identifiers, and no pointer reads one found for another.
 
 The suffixes are sampled: of every window of LENGTH bytes, the q-gram with the smallest
 hash is the window's pointer, so that equal windows have equal pointers at the same
-offset.  Pointers are sorted into buckets by their q-gram, and a bucket with one pointer
-is done: none of its windows can occur again.  The others are refined.
+offset.  Pointers are dealt into buckets by their q-gram, and a bucket with one pointer
+is done: none of its windows can occur again.  The others are told apart.
 
 1. By context: the run of windows that share a pointer, from the first's first byte to
    the last's last.  Pointers with equal contexts are equal in all their windows, and
    however many there are, one stands for them from here on.
-2. By window: where a bucket holds several contexts, each window is named by the bucket
-   of its first 50 bytes and that of the 50 bytes at the later offset; the names so
-   found are used again at the offset of 100 bytes.  Windows with equal names are equal.
+2. By window: where a bucket holds several contexts, each window is named by mixing the
+   hashes of its four parts of 50 bytes.  Windows with equal names are equal.
 
-Buckets are named by hashes of what they hold rather than by ranks, so that refining
-one needs no order over all.  Strings count as equal if two names, of 96 bits together,
+Names are hashes rather than ranks, so that no order over all is needed.  Strings count as equal if two names, of 96 bits together,
 agree.
 """
 
