@@ -1,26 +1,35 @@
 """Byte-pair encoding of whole texts with a tokenizer file, on numpy arrays.
 
-A text is normalised and cut into pre-tokens as the file says.  The distinct
-pre-tokens of a batch that are not known yet are merged together: their symbols
-lie in one ragged array, and each step applies, in every sequence at once, the
-sequence's pair of lowest rank.  Steps go on with the sequences that changed.
+A text is cut at its spaces.  The words of a batch that are not known yet are
+normalised and cut into pre-tokens as the file says, and the distinct pre-tokens are
+merged together: their symbols lie in one ragged array, and each step applies, in every
+sequence at once, the sequence's pair of lowest rank.  Steps go on with the sequences
+that changed, and look up only the pairs that did.
+
+A sequence of n symbols may take n steps, so long ones go another way: places wait by
+the rank of their pair, and a step applies the lowest rank that waits at all its places
+and touches nothing else.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 
-#: Pre-tokens kept by one worker before it starts anew, a bound on its memory.
-KNOWN = 400_000
+#: Words kept by one worker before it starts anew, and their ids: bounds on its memory.
+KNOWN, KNOWN_IDS = 400_000, 8_000_000
+#: Bytes of a pre-token from which on it is merged by places.
+LONG = 64
 #: Characters of one text that are cut into pre-tokens at a time.
 CHUNK = 1 << 20
-#: Pre-tokens that are looked up together.
+#: Words that are looked up together.
 WORDS = 500_000
 
 # The pattern of the tokenizer file, its letters and digits spelt
@@ -51,7 +60,7 @@ class Encoder:
         ):
             raise ValueError(f"{path}: not a word-level BPE file of the known kind")
         self.library = Tokenizer.from_file(path)
-        self.cut = re.compile(LATIN).findall
+        self.cut = re.compile(LATIN + "|\n").findall
         vocab = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
@@ -59,6 +68,8 @@ class Encoder:
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split if self.special else None
         letters = byte_letters()
         end = model["end_of_word_suffix"]
+        if not end or any((m if isinstance(m, list) else m.split(" "))[0].endswith(end) for m in model["merges"]):
+            raise ValueError(f"{path}: merges that reach beyond a pre-token")
         self.inner = np.array([vocab[c] for c in letters], np.int64)
         self.last = np.array([vocab[c + end] for c in letters], np.int64)
         self.size = len(vocab)
@@ -88,8 +99,8 @@ class Encoder:
         self.ends = np.append(self.ends, used + np.cumsum(sizes))
 
     def sequences(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For some texts at a time: the entries of their pre-tokens, one text after
-        another, and the number of pre-tokens of each text.  An entry e has the
+        """For some texts at a time: the entries of their words, one text after
+        another, and the number of words of each text.  An entry e has the
         symbols ids[ends[e]:ends[e + 1]]."""
         words: list[str] = []
         sizes: list[int] = []
@@ -107,13 +118,38 @@ class Encoder:
     def look_up(self, words: list[str]) -> np.ndarray:
         new = set(words).difference(self.known)
         if new:
-            if len(self.known) + len(new) > KNOWN:
+            if len(self.known) + len(new) > KNOWN or self.ends[-1] > KNOWN_IDS:
                 self.forget()
                 new = set(words).difference(self.known)
-            order = sorted(new)
-            self.add(order, *self.merge(order))
+            order = list(new)
+            self.add(order, *self.symbols(order))
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
+    def symbols(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all words in one array, and the number of each word's."""
+        plain, odd = "\n".join(words), []
+        if OTHER.search(plain):
+            # What the library has cut stays whole; what the fast way cuts has none of these characters.
+            is_odd = [OTHER.search(w) is not None for w in words]
+            odd = [w for w, o in zip(words, is_odd) if o]
+            plain = "\n".join(w for w, o in zip(words, is_odd) if not o)
+        own = self.cut(plain.lower())
+        number = {p: k for k, p in enumerate(dict.fromkeys(own + odd))}
+        number.pop("\n", None)
+        ids, length = self.merge(list(number))
+        number = {p: k for k, p in enumerate(number)}
+        entries = np.fromiter(map(number.get, own, repeat(-1)), np.int64, len(own))
+        gaps = np.flatnonzero(entries < 0)
+        sizes = np.diff(np.concatenate([[-1], gaps, [len(own)]])) - 1 if own else np.zeros(0, np.int64)
+        entries = np.append(entries[entries >= 0], [number[w] for w in odd]).astype(np.int64)
+        sizes = np.append(sizes, np.ones(len(odd), np.int64))
+        if odd:
+            place = np.argsort(np.array(is_odd), kind="stable")
+            order = np.empty(len(words), np.int64)
+            order[place] = np.arange(len(words))
+            entries, sizes = taken(entries, sizes, order), sizes[order]
+        return taken(ids, length, entries), np.add.reduceat(length[entries], starts_of(sizes))
+
     def counts(self, texts: list[str | None]) -> np.ndarray:
         """Number of ids of each text."""
         return self.run(texts, False)[1]
@@ -141,7 +177,7 @@ class Encoder:
         return np.concatenate(parts), np.array(totals, np.int64)
 
     def pieces(self, text: str) -> Iterator[list[str]]:
-        """Pre-tokens of text and the special strings in it, some at a time."""
+        """Words of text, pre-tokens where the library must cut it, and special strings, some at a time."""
         for at, part in enumerate(self.split(text) if self.split else [text]):
             if at % 2:
                 yield [part]
@@ -153,55 +189,121 @@ class Encoder:
                     gap = re.compile("[ \n]").search(part, start + CHUNK)
                     stop = gap.end() if gap else stop
                 chunk, start = (part if stop - start == len(part) else part[start:stop]), stop
-                plain = chunk.isascii() and not OTHER.search(chunk)
-                if plain or not OTHER.search(chunk):
-                    yield self.cut((chunk if plain else unicodedata.normalize("NFC", chunk)).lower())
+                if not OTHER.search(chunk):
+                    yield (chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)).split()
                 else:
                     cut = self.library.pre_tokenizer.pre_tokenize_str
                     text_of = byte_text()
                     yield [text_of(w) for w, _ in cut(self.library.normalizer.normalize_str(chunk))]
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols of all words in one array, and the number of each word's."""
+        """Symbols of all pre-tokens in one array, and the number of each one's."""
         raw = [w.encode("utf-8") for w in words]
-        flat = np.frombuffer(b"".join(raw), np.uint8)
         length = np.fromiter(map(len, raw), np.int64, len(raw))
-        ends = np.cumsum(length)
+        flat = np.frombuffer(b"".join(raw), np.uint8)
         ids = self.inner[flat]
+        ends = np.cumsum(length)
         ids[ends - 1] = self.last[flat[ends - 1]]
-        out: list[np.ndarray | None] = [None] * len(words)
-        at = np.arange(len(words))
+        at = np.arange(len(raw))
+        long = length >= LONG
+        out = [np.zeros(0, np.int64)], [at[:0]], [at[:0]]
+        if long.any():
+            part = np.repeat(long, length)
+            made = self.merge_places(ids[part], length[long])
+            ids, length, at = ids[~part], length[~long], at[~long]
+            for kept, new in zip(out, (*made, np.flatnonzero(long))):
+                kept.append(new)
+        rank = self.rank(ids)
         while len(at):
-            ids, length, done = self.step(ids, length)
+            starts = starts_of(length)
+            done = np.minimum.reduceat(rank, starts) == len(self.made)
             if done.any():
-                ends = np.cumsum(length)
-                for word, end, n in zip(at[done], ends[done], length[done]):
-                    out[word] = ids[end - n : end]
-                ids, length, at = ids[np.repeat(~done, length)], length[~done], at[~done]
-        sizes = np.fromiter(map(len, out), np.int64, len(out))
-        return np.concatenate(out), sizes
-
-    def step(self, ids: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """One merge in every sequence; which sequences have no pair to merge."""
-        none = len(self.made)
-        starts = np.cumsum(length) - length
-        rank = np.full(len(ids), none, np.int64)
-        if len(ids) > 1:
-            pair = ids[:-1] * self.size + ids[1:]
-            slot = np.searchsorted(self.keys, pair)
-            rank[:-1] = np.where(self.keys[slot] == pair, self.ranks[slot], none)
-        rank[starts + length - 1] = none
-        least = np.minimum.reduceat(rank, starts)
-        done = least == none
-        hit = (rank == np.repeat(least, length)) & (rank < none)
-        # In a run of hits that overlap (aaa), the first, third, ... are merged.
-        first = hit & ~np.append(False, hit[:-1])
-        place = np.arange(len(ids))
-        run = np.maximum.accumulate(np.where(first, place, 0))
-        hit &= (place - run) % 2 == 0
-        gone = np.append(False, hit[:-1])
-        ids = np.where(hit, self.made[np.minimum(rank, none - 1)], ids)[~gone]
-        return ids, length - np.add.reduceat(gone.astype(np.int64), starts), done
+                part = np.repeat(done, length)
+                for kept, new in zip(out, (ids[part], length[done], at[done])):
+                    kept.append(new)
+                ids, rank, length, at = ids[~part], rank[~part], length[~done], at[~done]
+            if len(at):
+                ids, rank, length = self.step(ids, rank, length)
+        ids, length, at = map(np.concatenate, out)
+        order = np.argsort(at)
+        return taken(ids, length, order), length[order]
+
+    def rank(self, ids: np.ndarray, following: np.ndarray | None = None) -> np.ndarray:
+        """Ranks of the pairs of ids and following (the next ones, if none are given); len(made) where there is no merge.
+        The last symbol of a pre-token has none: nothing merges with what follows an end of word."""
+        if following is None:
+            following = np.append(ids[1:], ids[:0] if not len(ids) else -1)
+        pair = ids * self.size + following
+        slot = np.searchsorted(self.keys, pair)
+        return np.where((self.keys[slot] == pair) & (following >= 0), self.ranks[slot], len(self.made))
+
+    def step(self, ids: np.ndarray, rank: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One merge in every sequence; each has one."""
+        starts = starts_of(length)
+        hit = rank == np.repeat(np.minimum.reduceat(rank, starts), length)
+        hit = odd_places(np.flatnonzero(hit), np.arange(1, len(ids) + 1))
+        gone = np.zeros(len(ids), bool)
+        gone[hit + 1] = True
+        ids[hit] = self.made[rank[hit]]
+        ids, rank = ids[~gone], rank[~gone]
+        length = length - np.add.reduceat(gone.astype(np.int64), starts)
+        hit = hit - np.arange(len(hit))
+        changed = np.concatenate([hit[hit > 0] - 1, hit])
+        rank[changed] = self.rank(ids[changed], np.append(ids, -1)[changed + 1])
+        return ids, rank, length
+
+    def merge_places(self, ids: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of long sequences in one array, and the number of each one's."""
+        n, none = len(ids), len(self.made)
+        after, before = np.arange(1, n + 1), np.arange(-1, n)
+        ids = np.append(ids, -1)
+        rank = np.append(self.rank(ids[:-1]), none)
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            places = places[rank[places] < none]
+            places = places[np.argsort(rank[places], kind="stable")]
+            own = rank[places]
+            firsts = np.flatnonzero(np.append(True, own[1:] != own[:-1])[: len(own)]).tolist()
+            for first, end in zip(firsts, [*firsts[1:], len(own)]):
+                key = int(own[first])
+                if key not in waiting:
+                    heapq.heappush(heap, key)
+                waiting.setdefault(key, []).append(places[first:end])
+
+        wait(np.arange(n))
+        while heap:
+            least = heapq.heappop(heap)
+            places = np.unique(np.concatenate(waiting.pop(least)))
+            places = odd_places(places[rank[places] == least], after)
+            gone = after[places]
+            right = after[gone]
+            ids[places], ids[gone], rank[gone] = self.made[least], -1, none
+            after[places], before[right] = right, places
+            left = before[places]
+            changed = np.unique(np.concatenate([left[left >= 0], places]))
+            rank[changed] = self.rank(ids[changed], ids[after[changed]])
+            wait(changed)
+        live = ids[:-1] >= 0
+        return ids[:-1][live], np.add.reduceat(live.astype(np.int64), starts_of(length))
+
+
+def starts_of(length: np.ndarray) -> np.ndarray:
+    return np.cumsum(length) - length
+
+
+def taken(ids: np.ndarray, length: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    """The sequences of entries, one after the other; ids holds all sequences."""
+    own = length[entries]
+    return ids[np.arange(own.sum()) + np.repeat(starts_of(length)[entries] - starts_of(own), own)]
+
+
+def odd_places(places: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Of ascending places of one pair, those that are merged: in a run that overlaps (aaa), the first, third, ..."""
+    number = np.arange(len(places))
+    first = np.append(True, after[places[:-1]] != places[1:])[: len(places)]
+    return places[(number - np.maximum.accumulate(np.where(first, number, 0))) % 2 == 0]
 
 
 def byte_letters() -> list[str]:
