@@ -184,3 +184,55 @@ def test_long_documents_do_not_shorten_the_index(spark, library):
     check_packing(pieces, texts, library, 16)
     own = [s for s in mates([p for p in pieces if p.length < 16]).values()]
     assert sum(len({i % topics for i in s}) == 1 for s in own) >= 0.9 * len(own)
+
+
+def test_long_words(library):
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), n)) for n in (63, 64, 65, 500, 20_000)]
+    words += ["a" * 5001, "ab" * 3000 + "b", "-=" * 400, "é" * 301, "中" * 200, words[3] + "'s", "a" * 64 + " " + "a" * 65]
+    model = bpe.Encoder(PATH)
+    flat, n = model.encode([*words, " ".join(words)])
+    want = [ids(library, w) for w in [*words, " ".join(words)]]
+    assert n.tolist() == [len(w) for w in want]
+    assert flat.tolist() == [i for w in want for i in w]
+
+
+def test_a_word_of_a_megabyte_takes_no_step_per_letter(library, monkeypatch):
+    word = "".join(np.random.default_rng(7).choice(list("abcdefghijklmnopqrstuvwxyz"), 1 << 20))
+    model = bpe.Encoder(PATH)
+    looked_up = []
+    rank = model.rank
+    monkeypatch.setattr(model, "rank", lambda a, *b: looked_up.append(len(a)) or rank(a, *b))
+    assert model.encode([word])[0].tolist() == ids(library, word)
+    # Every merge changes two pairs at most, and letters are no more than once merged away.
+    assert sum(looked_up) < 4 * len(word)
+
+
+def test_the_nearest_few_are_the_first_of_all():
+    from tonetape.llm.packing import Index
+
+    rng = np.random.default_rng(8)
+    index = Index([rng.integers(0, 40, rng.integers(1, 12)) for _ in range(120)])
+    unused = rng.random(120) < 0.6
+    want = [index.near(seed, unused).tolist() for seed in range(120)]
+    assert all(index.near(s, unused, 7).tolist() == want[s][:7] for s in range(120))
+    index.drop(unused)
+    assert [index.near(seed, unused).tolist() for seed in range(120)] == want
+
+
+def test_counts_and_topics_of_remainders():
+    from tonetape.llm.packing import DEPTH, Counts, holders, paths, topics
+
+    rng = np.random.default_rng(9)
+    docs = [rng.integers(0, 90, rng.integers(1, 30)) for _ in range(60)]
+    raw = [d.astype("<u4").tobytes() for d in docs]
+    df = np.zeros(0, np.int64)
+    for part in (raw[:7], raw[7:], []):
+        df = holders(part, df)
+    assert df.tolist() == [sum(t in d for d in docs) for t in range(len(df))] and max(map(max, docs)) == len(df) - 1
+    counts = Counts(60, 9.0, df)
+    ranks = counts.ranks(8)
+    got = paths(raw, topics(counts, ranks))
+    for d, path in zip(docs, got.tolist()):
+        own = sorted(int(ranks[t]) for t in set(d.tolist()) if df[t] > 1 and 2 * df[t] < 60)[:DEPTH]
+        assert path == own + [-1] * (DEPTH - len(own))

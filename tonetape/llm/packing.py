@@ -38,6 +38,8 @@ RUN = 4
 #: Shared terms that decide on a remainder's shard, one after the other.
 DEPTH = 4
 MARKS = [f"mark{k}" for k in range(DEPTH + 1)]
+#: Neighbours that the index returns at a time, and the share of unused remainders at which it is made smaller.
+FETCH, SHRINK = 32, 0.8
 #: Sequences from here on are of remainders, those below of whole windows.
 REMAINDERS = 1 << 62
 # BM25's usual saturation and length parameters.
@@ -64,23 +66,32 @@ def tokens_of(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), "<u4").astype(np.int64), np.array([len(r) // 4 for r in raw], np.int64)
 
 
-def distinct(flat: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different (document, term) pairs."""
-    pair = np.unique(np.repeat(np.arange(len(length)), length) << 32 | flat)
-    return pair >> 32, pair & 0xFFFFFFFF
+def holders(raw: list[bytes], df: np.ndarray) -> np.ndarray:
+    """df, longer if need be, with one more for each term of each remainder."""
+    for own in raw:
+        terms = np.frombuffer(own, "<u4").astype(np.int64)
+        most = int(terms.max(initial=-1))
+        if most >= len(df):
+            df = np.append(df, np.zeros(most + 1 - len(df), np.int64))
+        # A term that comes twice in terms is read and written once more, not added twice.
+        df[terms] += 1
+    return df
 
 
-def paths(raw: list[bytes], counts: Counts, ranks: np.ndarray) -> np.ndarray:
-    """The ranks of each remainder's DEPTH first terms that others share and that weigh something; -1 after the last."""
-    doc, term = distinct(*tokens_of(raw))
-    df = counts.df[term]
-    keep = (df > 1) & (2 * df < counts.docs)
-    doc, rank = doc[keep], ranks[term[keep]]
-    order = np.lexsort((rank, doc))
-    doc, rank = doc[order], rank[order]
-    place = np.arange(len(doc)) - np.searchsorted(doc, doc)
+def topics(counts: Counts, ranks: np.ndarray) -> np.ndarray:
+    """The rank of each term that others share and that weighs something; beyond all ranks for the rest."""
+    return np.where((counts.df > 1) & (2 * counts.df < counts.docs), ranks, len(ranks))
+
+
+def paths(raw: list[bytes], topic: np.ndarray) -> np.ndarray:
+    """The ranks of each remainder's DEPTH first topics; -1 after the last."""
+    flat, length = tokens_of(raw)
+    rank, starts = topic[flat], np.cumsum(length) - length
     out = np.full((len(raw), DEPTH), -1, np.int64)
-    out[doc[place < DEPTH], place[place < DEPTH]] = rank[place < DEPTH]
+    for k in range(DEPTH):
+        least = np.minimum.reduceat(rank, starts)
+        out[:, k] = np.where(least < len(topic), least, -1)
+        rank[rank == np.repeat(least, length)] = len(topic)
     return out
 
 
@@ -151,23 +162,33 @@ class Index:
         norm = K1 * (1 - B + B * length / max(mean, 1))
         keep = (idf[number] > 0) & (df[number] > 1)
         number, doc, count = number[keep], doc[keep], count[keep]
-        self.n, self.doc = n, doc
+        self.n, self.size, self.number, self.doc = n, len(df), number, doc
         self.weight = idf[number] * count * (K1 + 1) / (count + norm[doc])
-        self.first = np.searchsorted(number, np.arange(len(df) + 1))
+        self.first = np.searchsorted(number, np.arange(self.size + 1))
         order = np.argsort(doc, kind="stable")
         self.terms = number[order]
         self.owned = np.searchsorted(doc[order], np.arange(n + 1))
 
-    def near(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents, the highest score first, ties in order of arrival."""
+    def drop(self, unused: np.ndarray) -> None:
+        """Postings of used documents leave the index; their own terms stay, for seeds."""
+        keep = unused[self.doc]
+        self.number, self.doc, self.weight = self.number[keep], self.doc[keep], self.weight[keep]
+        self.first = np.searchsorted(self.number, np.arange(self.size + 1))
+
+    def near(self, seed: int, unused: np.ndarray, most: int | None = None) -> np.ndarray:
+        """Unused documents, the highest score first, ties in order of arrival; no more than most, if given."""
         terms = self.terms[self.owned[seed] : self.owned[seed + 1]]
-        first, last = self.first[terms], self.first[terms + 1]
-        size = last - first
-        stops = np.cumsum(size)
-        at = np.arange(stops[-1] if len(stops) else 0) + np.repeat(first - (stops - size), size)
-        score = np.bincount(self.doc[at], self.weight[at], self.n)
+        found = [slice(a, b) for a, b in zip(self.first[terms].tolist(), self.first[terms + 1].tolist()) if a < b]
+        score = np.zeros(self.n)
+        if found:
+            score = np.bincount(np.concatenate([self.doc[s] for s in found]), np.concatenate([self.weight[s] for s in found]), self.n)
         rest = np.flatnonzero(unused)
-        return rest[np.argsort(-score[rest], kind="stable")]
+        score = -score[rest]
+        if most is not None and most < len(rest):
+            # All that tie with the last one are sorted too, so that arrival decides among them.
+            among = np.flatnonzero(score <= np.partition(score, most - 1)[most - 1])
+            return rest[among[np.argsort(score[among], kind="stable")[:most]]]
+        return rest[np.argsort(score, kind="stable")]
 
 
 class Packer:
@@ -203,23 +224,28 @@ class Packer:
     def shard(self, rows: list[int], docs: list[np.ndarray], counts: Counts) -> None:
         index = Index(docs, counts)
         unused = np.ones(len(rows), bool)
+        left = held = len(rows)  # unused ones, now and when the index was last made smaller
         seed = None
-        while unused.any():
+        while left:
             if seed is None:
                 seed = int(np.argmax(unused))
-                unused[seed] = False
+                unused[seed], left = False, left - 1
                 at = self.place(rows[seed], 0, len(docs[seed]))
                 if at < len(docs[seed]):
                     self.place(rows[seed], at, len(docs[seed]))
+            if left < SHRINK * held:
+                index.drop(unused)
+                held = left
             cut = None
-            for near in index.near(seed, unused) if self.used else ():
-                unused[near] = False
-                at = self.place(rows[near], 0, len(docs[near]))
-                if at < len(docs[near]):
-                    self.place(rows[near], at, len(docs[near]))
-                    cut = int(near)
-                if cut is not None or not self.used:
-                    break
+            while left and self.used and cut is None:
+                for near in index.near(seed, unused, FETCH).tolist():
+                    unused[near], left = False, left - 1
+                    at = self.place(rows[near], 0, len(docs[near]))
+                    if at < len(docs[near]):
+                        self.place(rows[near], at, len(docs[near]))
+                        cut = near
+                    if cut is not None or not self.used:
+                        break
             seed = cut
 
     def end(self) -> None:
@@ -263,13 +289,8 @@ def counted(rest: DataFrame) -> Counts:
         df = np.zeros(0, np.int64)
         for part in batches:
             raw = part.column("tokens").to_pylist()
-            if not raw:
-                continue
-            flat, length = tokens_of(raw)
-            docs, tokens = docs + len(raw), tokens + len(flat)
-            own = np.bincount(distinct(flat, length)[1], minlength=len(df))
-            own[: len(df)] += df
-            df = own
+            docs, tokens = docs + len(raw), tokens + sum(map(len, raw)) // 4
+            df = holders(raw, df)
         term = np.flatnonzero(df)
         columns = np.append(term, -1), np.append(df[term], docs), np.append(term * 0, tokens)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["term", "docs", "tokens"])
@@ -282,14 +303,14 @@ def counted(rest: DataFrame) -> Counts:
     return Counts(total.docs if total else 0, total.tokens / max(total.docs, 1) if total else 0.0, df)
 
 
-def sharded(rest: DataFrame, counts: Counts, ranks: np.ndarray, shard_docs: int) -> Shards:
+def sharded(rest: DataFrame, topic: np.ndarray, shard_docs: int) -> Shards:
     """Shards by the sizes of paths; of those, first terms and paths of more than a shard come to the driver."""
 
     def run(batches):
-        for part in batches:
+        for part in slices(batches, "tokens", SLICE):
             raw = part.column("tokens").to_pylist()
             if raw:
-                path = paths(raw, counts, ranks)
+                path = paths(raw, topic)
                 columns = path[:, 0], *marks(path).T, np.array([len(r) // 4 for r in raw])
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["rank", *MARKS, "tokens"])
 
@@ -302,7 +323,7 @@ def sharded(rest: DataFrame, counts: Counts, ranks: np.ndarray, shard_docs: int)
     steps = [F.struct(F.lit(k).alias("k"), F.col(MARKS[k]).alias("mark"), F.col(MARKS[k - 1]).alias("before")) for k in range(1, DEPTH + 1)]
     large = found.select(F.explode(F.array(*steps)).alias("step"), "docs", "tokens").groupBy("step.k", "step.mark", "step.before").agg(*again).where(~fits).collect()
     discard(found)
-    return Shards([tuple(r) for r in firsts], [tuple(r) for r in large], len(counts.df), shard_docs)
+    return Shards([tuple(r) for r in firsts], [tuple(r) for r in large], len(topic), shard_docs)
 
 
 def pack(
@@ -334,15 +355,15 @@ def pack(
     pieces = cut(kept, tokenizer, window, end_id, with_ids)
     rest = pieces.where(F.col("sequence_id").isNull()).drop("sequence_id")
     counts = counted(rest)
-    ranks = counts.ranks(shard_docs)
-    shards = sharded(rest, counts, ranks, shard_docs)
+    topic = topics(counts, counts.ranks(shard_docs))
+    shards = sharded(rest, topic, shard_docs)
     fields = ["start", "length", "ids_crc32", "doc_tokens"]
 
     def route(batches):
-        for part in batches:
+        for part in slices(batches, "tokens", SLICE):
             raw = part.column("tokens").to_pylist()
             if raw:
-                path = paths(raw, counts, ranks)
+                path = paths(raw, topic)
                 shard = shards.of(path, part.column("own").to_numpy())
                 made = [pa.array(shard // RUN), pa.array(shard), pa.array(list(path), pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, "run", "shard", "path"])
