@@ -39,8 +39,8 @@ def test_ids_equal_the_library(library, monkeypatch):
     rng = np.random.default_rng(5)
     letters = list("aabbAB'stllve012 \n\t\xa0ÉéÀ÷×²¼ßΣςİ中🙂-_!.") + ["<|endoftext|>"]
     texts = TEXTS + ["".join(rng.choice(letters, rng.integers(1, 60))) for _ in range(3000)]
-    for words, chunk, known in ((bpe.WORDS, bpe.CHUNK, bpe.KNOWN), (7, 50, 100)):
-        monkeypatch.setattr(bpe, "WORDS", words)
+    for block, chunk, known in ((bpe.BLOCK, bpe.CHUNK, bpe.KNOWN), (40, 50, 100)):
+        monkeypatch.setattr(bpe, "BLOCK", block)
         monkeypatch.setattr(bpe, "CHUNK", chunk)
         monkeypatch.setattr(bpe, "KNOWN", known)
         model = bpe.Encoder(PATH)

@@ -22,6 +22,8 @@ from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words kept by one worker before it starts anew, and their ids: bounds on its memory.
 KNOWN, KNOWN_IDS = 400_000, 8_000_000
@@ -29,8 +31,8 @@ KNOWN, KNOWN_IDS = 400_000, 8_000_000
 LONG = 64
 #: Characters of one text that are cut into pre-tokens at a time.
 CHUNK = 1 << 20
-#: Words that are looked up together.
-WORDS = 500_000
+#: Characters of text that are looked up together.
+BLOCK = 4 << 20
 
 # The pattern of the tokenizer file, its letters and digits spelt
 # out for lower-case text below U+0250, where the standard module is faster.
@@ -63,8 +65,8 @@ class Encoder:
         self.cut = re.compile(LATIN + "|\n").findall
         vocab = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
-            raise ValueError(f"{path}: added tokens that reach beyond their string")
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or "\n" in t["content"] for t in spec["added_tokens"]):
+            raise ValueError(f"{path}: added tokens that reach beyond their string, or hold a line feed")
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split if self.special else None
         letters = byte_letters()
         end = model["end_of_word_suffix"]
@@ -77,18 +79,16 @@ class Encoder:
         left = np.array([vocab[a] for a, _ in merges], np.int64)
         right = np.array([vocab[b] for _, b in merges], np.int64)
         made = np.array([vocab[a + b] for a, b in merges], np.int64)
-        key = left * self.size + right
-        order = np.argsort(key, kind="stable")
-        self.keys = np.append(key[order], np.iinfo(np.int64).max)
-        self.ranks = np.append(order, len(order))
         self.made = made
+        self.tables = pair_tables(left * self.size + right, len(made))
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = np.zeros(1 << 12, np.int32)
         self.ends = np.zeros(1, np.int64)
-        self.add(list(self.special), np.fromiter(self.special.values(), np.int64), np.ones(len(self.special), np.int64))
+        # Cutting at spaces leaves empty words at the ends of a part.
+        self.add(["", *self.special], np.fromiter(self.special.values(), np.int64), np.append(0, np.ones(len(self.special), np.int64)))
 
     def add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         used = int(self.ends[-1])
@@ -102,28 +102,43 @@ class Encoder:
         """For some texts at a time: the entries of their words, one text after
         another, and the number of words of each text.  An entry e has the
         symbols ids[ends[e]:ends[e + 1]]."""
-        words: list[str] = []
-        sizes: list[int] = []
+        parts: list[str | list[str]] = []
+        sizes: list[int] = []  # parts of each text
+        held = 0
         for text in texts:
-            before = len(words)
-            for piece in self.pieces(text or ""):
-                words += piece
-                if len(words) > WORDS:
+            before = len(parts)
+            for part in self.parts(text or ""):
+                parts.append(part)
+                held += len(part)
+                if held > BLOCK:
                     # The text goes on in the next block: a size of -1 says so.
-                    yield self.look_up(words), np.array([*sizes, len(words) - before, -1])
-                    words, sizes, before = [], [], 0
-            sizes.append(len(words) - before)
-        yield self.look_up(words), np.array(sizes, np.int64)
-
-    def look_up(self, words: list[str]) -> np.ndarray:
-        new = set(words).difference(self.known)
+                    yield self.look_up(parts, [*sizes, len(parts) - before], True)
+                    parts, sizes, before, held = [], [], 0, 0
+            sizes.append(len(parts) - before)
+        yield self.look_up(parts, sizes, False)
+
+    def look_up(self, parts: list[str | list[str]], sizes: list[int], goes_on: bool) -> tuple[np.ndarray, np.ndarray]:
+        is_cut = np.fromiter((isinstance(p, list) for p in parts), bool, len(parts))
+        spaced = pc.ascii_split_whitespace(pa.array([p for p in parts if isinstance(p, str)], pa.string()))
+        cut = pa.array([p for p in parts if isinstance(p, list)], pa.list_(pa.string()))
+        n = np.concatenate([pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in (spaced, cut)]).astype(np.int64)
+        found = pa.concat_arrays([spaced.flatten(), cut.flatten()]).dictionary_encode()
+        # No word holds a line feed, and one string comes out of Arrow faster than many.
+        listed = pa.ListArray.from_arrays([0, len(found.dictionary)], found.dictionary)
+        words = pc.binary_join(listed, "\n")[0].as_py().split("\n") if len(found.dictionary) else []
+        new = [w for w in words if w not in self.known]
         if new:
             if len(self.known) + len(new) > KNOWN or self.ends[-1] > KNOWN_IDS:
                 self.forget()
-                new = set(words).difference(self.known)
-            order = list(new)
-            self.add(order, *self.symbols(order))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+                new = [w for w in words if w not in self.known]
+            self.add(new, *self.symbols(new))
+        entries = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[found.indices.to_numpy()]
+        if is_cut.any():
+            order = np.empty(len(parts), np.int64)
+            order[np.argsort(is_cut, kind="stable")] = np.arange(len(parts))
+            entries, n = taken(entries, n, order), n[order]
+        own = np.diff(np.append(0, np.cumsum(n))[np.append(0, np.cumsum(np.array(sizes, np.int64)))])
+        return entries, np.append(own, -1) if goes_on else own
 
     def symbols(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all words in one array, and the number of each word's."""
@@ -176,8 +191,8 @@ class Encoder:
             goes_on = open_end
         return np.concatenate(parts), np.array(totals, np.int64)
 
-    def pieces(self, text: str) -> Iterator[list[str]]:
-        """Words of text, pre-tokens where the library must cut it, and special strings, some at a time."""
+    def parts(self, text: str) -> Iterator[str | list[str]]:
+        """Parts of text to be cut at their spaces, lists of pre-tokens where the library must cut, and special strings."""
         for at, part in enumerate(self.split(text) if self.split else [text]):
             if at % 2:
                 yield [part]
@@ -190,7 +205,7 @@ class Encoder:
                     stop = gap.end() if gap else stop
                 chunk, start = (part if stop - start == len(part) else part[start:stop]), stop
                 if not OTHER.search(chunk):
-                    yield (chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)).split()
+                    yield chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)
                 else:
                     cut = self.library.pre_tokenizer.pre_tokenize_str
                     text_of = byte_text()
@@ -233,9 +248,13 @@ class Encoder:
         The last symbol of a pre-token has none: nothing merges with what follows an end of word."""
         if following is None:
             following = np.append(ids[1:], ids[:0] if not len(ids) else -1)
-        pair = ids * self.size + following
-        slot = np.searchsorted(self.keys, pair)
-        return np.where((self.keys[slot] == pair) & (following >= 0), self.ranks[slot], len(self.made))
+        pair = np.where(following >= 0, ids * self.size + following, -2)
+        out = None
+        for factor, keys, ranks in self.tables:
+            slot = slots(pair, factor, len(keys))
+            own = np.where(keys[slot] == pair, ranks[slot], len(self.made))
+            out = own if out is None else np.minimum(out, own)
+        return out
 
     def step(self, ids: np.ndarray, rank: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """One merge in every sequence; each has one."""
@@ -289,6 +308,24 @@ class Encoder:
         return ids[:-1][live], np.add.reduceat(live.astype(np.int64), starts_of(length))
 
 
+def slots(pair: np.ndarray, factor: int, size: int) -> np.ndarray:
+    return ((pair.view(np.uint64) * np.uint64(factor)) >> np.uint64(65 - size.bit_length())).view(np.int64)
+
+
+def pair_tables(pair: np.ndarray, none: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Tables (factor, keys, ranks) by a multiplied hash, one after the other until each pair has a slot of its own."""
+    tables, left, factor = [], np.arange(len(pair)), 0x9E3779B97F4A7C15
+    while len(left):
+        size = 1 << (8 * len(left)).bit_length()
+        keys, ranks = np.full(size, -1, np.int64), np.full(size, none, np.int64)
+        slot, first = np.unique(slots(pair[left], factor, size), return_index=True)
+        keys[slot], ranks[slot] = pair[left[first]], left[first]
+        tables.append((factor, keys, ranks))
+        left = np.delete(left, first)
+        factor = factor * 0xD1342543DE82EF95 % (1 << 64)
+    return tables
+
+
 def starts_of(length: np.ndarray) -> np.ndarray:
     return np.cumsum(length) - length
 
