@@ -21,8 +21,13 @@ from tonetape.functions.text import (
     sentiment_score,
     signed_score,
 )
+from tonetape.operators.lexicon import lexicon_counts
 from tonetape.schema import COMPANIES, END_DATE, NEGATIVE_WORDS, POSITIVE_WORDS, START_DATE
 
+#: Words up to which a search per word is quicker than an automaton (measured: 4 words
+#: 1.6 s against 2.3, 24 words 5.6 against 2.1, over 10,000 filings).
+FEW_WORDS = 8
+
 
 def companies_dim(spark, pairs=None) -> DataFrame:
     """Ticker -> company from a mapping, the fixed list by default."""
@@ -52,20 +57,31 @@ def keyword_sentiment(
     negative: Sequence[str] = NEGATIVE_WORDS,
     start: str = START_DATE,
     end: str = END_DATE,
+    one_pass: bool | None = None,
 ) -> DataFrame:
     """Lexicon tone per filing, in one pass over the text and no shuffle of it.
 
     Company names are joined to the narrow scored rows, never to the texts.
+    `one_pass` counts all words by an automaton instead of a search per word; unless
+    told, it does for more than FEW_WORDS words.  The counts are the same.
     """
+    if one_pass is None:
+        one_pass = len(positive) + len(negative) > FEW_WORDS
+    if one_pass:
+        both = lexicon_counts("text", {"positive": positive, "negative": negative})
+        hits = {"_hits": both}
+        counts = {f"{n}_count": F.col(f"_hits.{n}") for n in ("positive", "negative")}
+    else:
+        hits = {}
+        counts = {
+            "positive_count": lexicon_hits("text", positive),
+            "negative_count": lexicon_hits("text", negative),
+        }
     score = sentiment_score("positive_count", "negative_count")
     return (
         dated_filings(filings, header_date("text"), start, end)
-        .withColumns(
-            {
-                "positive_count": lexicon_hits("text", positive),
-                "negative_count": lexicon_hits("text", negative),
-            }
-        )
+        .withColumns(hits)
+        .withColumns(counts)
         .withColumn("sentiment_score", score)
         .drop("text")
         .join(companies, "ticker")

@@ -12,6 +12,7 @@ from tonetape.operators import evaluate as el
 from tonetape.operators import models as m
 from tonetape.operators import prep as pp
 from tonetape.operators import report as rp
+from tonetape.operators.categories import accuracy_cells, category_vectors, confusion_cells
 from tonetape.operators.forests import gain_shares, node_table
 from tonetape.plans.study import prepare, run_classification
 from tonetape.session import materialised, release
@@ -68,6 +69,23 @@ def _(spark, sf_dir):
     return pp.one_hot(_complete(spark, sf_dir).select("filing_id", "sentiment"), "sentiment")
 
 
+@query(
+    "prp2_category_vectors",
+    (),
+    """SELECT o_orderkey, number, '(' || n || ',[' || number || '],[1.0])' AS vector FROM (
+    SELECT o_orderkey, (dense_rank() OVER (ORDER BY o_custkey) - 1)::bigint AS number,
+    (SELECT count(DISTINCT o_custkey) FROM orders) AS n FROM orders)""",
+)
+def _(spark, sf_dir):
+    """Customers of orders as one sparse vector column, a place for each customer."""
+    orders = v.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    vectors = category_vectors(orders, "o_custkey")
+    numbers = vectors.numbers.withColumnRenamed("value", "o_custkey")
+    return vectors.transform(orders).join(numbers, "o_custkey").select(
+        "o_orderkey", "number", F.col("o_custkey_vector").cast("string").alias("vector")
+    )
+
+
 NAMES = [
     "sentiment_score", "pre_return", "pre_volume_change", "pre_rsi",
     "sentiment_score", "sentiment_negative", "sentiment_neutral", "sentiment_positive",
@@ -249,6 +267,9 @@ def _(spark, sf_dir):
 # ---- metrics ---------------------------------------------------------------------
 
 
+PICKS = ["pick_42", "pick_7"]
+
+
 def _stacked(spark, sf_dir):
     return rp.stack_predictions(
         {"pick_42": v.preds(spark, sf_dir), "pick_7": v.preds(spark, sf_dir, 7)}
@@ -310,6 +331,26 @@ def _(spark, sf_dir):
     return el.confusion_matrix(v.preds(spark, sf_dir))
 
 
+define(
+    "classes",
+    ("preds",),
+    """SELECT x, row_number() OVER (ORDER BY x) - 1 AS i
+    FROM (SELECT "true" AS x FROM preds UNION SELECT pred FROM preds)""",
+)
+
+
+@query(
+    "evl3_confusion_cells",
+    ("classes",),
+    """SELECT "true", pred, r.i::bigint AS "row", k.i::bigint AS "column", n,
+    round(n / sum(n) OVER (PARTITION BY "true"), 6) AS share
+    FROM (SELECT "true", pred, count(*)::bigint AS n FROM preds GROUP BY 1, 2)
+    JOIN classes r ON "true" = r.x JOIN classes k ON pred = k.x""",
+)
+def _(spark, sf_dir):
+    return r6(confusion_cells(v.preds(spark, sf_dir)))
+
+
 @query(
     "evl4_predictions",
     ("preds",),
@@ -356,7 +397,16 @@ FROM stacked GROUP BY 1"""
 
 @query("rpt2_accuracy_by_class", ("stacked",), BY_CLASS_SQL)
 def _(spark, sf_dir):
-    return r6(rp.accuracy_by_class(_stacked(spark, sf_dir)))
+    return r6(rp.accuracy_by_class(_stacked(spark, sf_dir), PICKS))
+
+
+@query(
+    "rpt2_accuracy_cells",
+    ("stacked",),
+    """SELECT "true", model, round(avg(("true" = pred)::int), 6) AS accuracy FROM stacked GROUP BY 1, 2""",
+)
+def _(spark, sf_dir):
+    return r6(accuracy_cells(_stacked(spark, sf_dir)))
 
 
 @query(
@@ -379,7 +429,7 @@ def _(spark, sf_dir):
     unnest([pick_42, pick_7, 1.0::double / 3]) AS accuracy FROM ({BY_CLASS_SQL}))""",
 )
 def _(spark, sf_dir):
-    return r6(rp.accuracy_vs_baseline(rp.accuracy_by_class(_stacked(spark, sf_dir))))
+    return r6(rp.accuracy_vs_baseline(rp.accuracy_by_class(_stacked(spark, sf_dir), PICKS)))
 
 
 define(
