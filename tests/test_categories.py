@@ -129,10 +129,11 @@ def test_keyword_sentiment_counts_the_same_both_ways(spark):
     head = "<SEC-DOCUMENT>1.txt : 19990310\n"
     data = [("AAPL", i, f"p{i}", t and head + t) for i, t in enumerate(["gain gains loss", "LOSS a", "", None, "growth" * 9])]
     df = spark.createDataFrame(data, "ticker string, filing_id int, path string, text string")
-    names = se.companies_dim(spark)
-    one, other = (se.keyword_sentiment(df, names, one_pass=x) for x in (True, False))
+    names = se.companies_dim(spark, {"AAPL": "Apple"})
+    dates = {"start": "1995-01-01", "end": "2001-12-31"}
+    one, other = (se.keyword_sentiment(df, names, one_pass=x, **dates) for x in (True, False))
     assert rows(one) == rows(other) and one.count() > 0 and one.columns == other.columns
-    assert rows(se.keyword_sentiment(df, names)) == rows(one)
+    assert rows(se.keyword_sentiment(df, names, **dates)) == rows(one)
 
 
 def test_lexicon_edges():
