@@ -14,8 +14,8 @@ is done: none of its windows can occur again.  The others are told apart.
 2. By window: where a bucket holds several contexts, each window is named by mixing the
    hashes of its four parts of 50 bytes.  Windows with equal names are equal.
 
-Names are hashes rather than ranks, so that no order over all is needed.  Strings count as equal if two names, of 96 bits together,
-agree.
+Names are hashes rather than ranks, so that no order over all is needed.  Strings count
+as equal if two names, of 96 bits together, agree.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from tonetape.llm.shared import blocks_for, packed, packed_schema, shared_entrie
 
 #: Bytes of the q-gram that makes a pointer's bucket, of the first names, and of a piece of text.
 GRAM, STEP, PIECE = 64, 50, 1 << 20
-#: Rows up to which a table of documents' spans (about 100 bytes each) is broadcast.
-BROADCAST_ROWS = 500_000
+#: Bytes up to which a table of documents' runs or spans is broadcast; beyond, the same join is shuffled.
+BROADCAST_BYTES = 64 << 20
 ANCHORS = {"bucket": "long", "context": "long", "k1": "long", "k2": "long", "lo": "int", "hi": "int"}
 WINDOWS = {"name": "long", "check": "int", "context": "long", "at": "int"}
 
@@ -124,6 +124,8 @@ def names(data: np.ndarray, at: np.ndarray, length: int) -> list[np.ndarray]:
             rest = of[len(of) - len(of) % 2 :]
             of = [W.mixed(a * W.U(W.STEP) + b, 10) for a, b in zip(of[::2], of[1::2])] + [W.mixed(x, 11) for x in rest]
         both.append(of[0].view(np.int64))
+        # The sums of one table at a time.
+        del spans, of
     return both
 
 
@@ -153,7 +155,7 @@ def repeated(docs: DataFrame, length: int, piece: int) -> DataFrame:
         F.collect_list(F.struct("lo", "hi", "context")).alias("runs"), F.sum(F.col("hi") - F.col("lo") + 1).alias("windows")
     )
     runs = written(runs, "runs")
-    n_runs, n_windows = runs.agg(F.count(F.lit(1)), F.sum("windows")).first()
+    n_windows, bytes_ = runs.agg(F.sum("windows"), F.sum(F.size("runs") * 32 + 64)).first()
     window_blocks = blocks_for(n_windows or 0)
 
     def name(batches):
@@ -176,7 +178,7 @@ def repeated(docs: DataFrame, length: int, piece: int) -> DataFrame:
 
     # A row that is there twice names its windows twice.  Its contexts come more than once
     # then, and are repeated as a whole in any case.
-    wanted = F.broadcast(runs) if n_runs <= BROADCAST_ROWS else runs
+    wanted = F.broadcast(runs) if (bytes_ or 0) <= BROADCAST_BYTES else runs
     texts = docs.select("k1", "k2", "text").join(wanted.select("k1", "k2", "runs"), ["k1", "k2"])
     windows = shared_entries(texts.select("text", "runs").mapInArrow(name, packed_schema(WINDOWS)), WINDOWS, window_blocks, keys=2)
     # At most length - GRAM + 1 windows belong to a context.
@@ -232,7 +234,8 @@ def remove_repeats(
         raise ValueError(f"length must be {2 * GRAM} or more")
     own = keyed(docs, id_col, text_col)
     spans = repeated(own, length, piece)
-    spans = F.broadcast(spans) if spans.count() <= BROADCAST_ROWS else spans
+    bytes_ = spans.agg(F.sum(F.size("spans") * 4 + 64)).first()[0] or 0
+    spans = F.broadcast(spans) if bytes_ <= BROADCAST_BYTES else spans
     both = own.join(spans, ["k1", "k2"], "left").select("id", "text", "spans")
     fields = [T.StructField("id", both.schema["id"].dataType)]
     fields += [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept_sha256", T.StringType())]

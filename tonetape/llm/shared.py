@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from tonetape.llm import words as W
 
 #: Entries in one block, about.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 KINDS = {"long": np.int64, "int": np.int32}
 
 
@@ -91,6 +91,7 @@ def shared_entries(rows: DataFrame, fields: dict[str, str], blocks: int, keys: i
                     if held and (got := held.settle()):
                         yield give(got)
                     held, own = Block(kinds, keys), block
+                    pa.default_memory_pool().release_unused()
                 # Copies, so that no batch outlives its turn.
                 got = held.add([np.frombuffer(batch.column(n)[i].as_buffer(), k).copy() for n, k in zip(names, kinds)])
                 if got:
