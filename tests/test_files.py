@@ -1,6 +1,7 @@
 """Readers and writers on small folders."""
 
 import datetime as dt
+from pathlib import Path
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -175,3 +176,33 @@ def test_no_files_is_no_rows(spark, tmp_path):
     assert readers.read_event_dates(spark, str(tmp_path / "none")).count() == 0
     for kind in readers.RESULT_KINDS:
         assert readers.read_results(spark, str(tmp_path), kind).count() == 0
+
+
+def test_filing_tree_written_by_tasks(spark, tmp_path):
+    """The files the partitioned writer leaves, read back as one row per filing; session settings stay."""
+    filings = [("A", 1, "x\ny"), ("A", 2, None), ("B/c", 1, "é " * 300), (None, 7, ""), ("A", 1, "twice")]
+    df = spark.createDataFrame(filings, "ticker string, filing_id long, text string").coalesce(1)
+    ours, usual = str(tmp_path / "ours"), str(tmp_path / "usual")
+    assert writers.write_filing_tree(df, ours) == 4
+    rest = df.select("ticker", F.lit("8-K").alias("form"), "filing_id", F.col("text").alias("value"))
+    rest.write.partitionBy("ticker", "form", "filing_id").text(usual)
+    names = ("spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    got = [{(r.ticker, r.filing_id): r.text for r in readers.read_filing_tree(spark, at).collect()} for at in (ours, usual)]
+    folders = [sorted(str(p.parent.relative_to(at)) for p in Path(at).rglob("*.txt")) for at in (ours, usual)]
+    assert folders[0] == folders[1]
+    # Rows of one key come in either order.
+    both = [{k: sorted(v.split("\n")) for k, v in x.items()} for x in got]
+    assert both[0] == both[1] and len(both[0]) == 4
+    assert got[0]["A", "2"] == "\n" and "twice" in both[0]["A", "1"]
+    assert [spark.conf.get(n) for n in names] == before
+
+
+def test_filing_tree_is_read_once(spark, tmp_path):
+    """Its rows come from a written table, also where a later path is passed over."""
+    df = spark.createDataFrame([("A", i, f"t{i}") for i in range(40)], "ticker string, filing_id long, text string")
+    writers.write_filing_tree(df.coalesce(1), str(tmp_path / "tree"))
+    (tmp_path / "tree/ticker=A/form=8-K/filing_id=3/zz.txt").write_text("later")
+    out = readers.read_filing_tree(spark, str(tmp_path / "tree"))
+    assert rows(out, "filing_id", "text") == sorted((str(i), f"t{i}\n") for i in range(40))
+    assert all(f.endswith(".parquet") for f in out.inputFiles())

@@ -1,13 +1,18 @@
 """Readers: prices, event dates, filings, features, result files."""
 
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tonetape.schema import FEATURES
+from tonetape.session import materialised
 
 _PATH = "path"
+#: Tasks per core that list the folders of a tree, and the bytes that opening a file of it counts for.
+LISTING_TASKS, OPEN_COST = 4, 1 << 19
 
 
 def number(c) -> Column:
@@ -94,40 +99,58 @@ def read_filings(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     Line ends become newlines.
     """
     rows = spark.read.schema("ticker string, filing_id string, path string, text string").format(fmt).load(path)
+    return _least_paths(rows.withColumn("text", _clean_text(F.col("text"))))
+
+
+def _least_paths(rows: DataFrame) -> DataFrame:
+    """Of rows (ticker, filing_id, path, text) with one ticker and filing those of the least path."""
     folder = ["ticker", "filing_id"]
     many = rows.groupBy(*folder).agg(F.min("path").alias("first"), F.max("path").alias("last")).where("first < last")
     passed = rows.select(*folder, "path").join(many, folder).where("path > first").select(*folder, "path")
-    kept = rows.join(passed, [*folder, "path"], "left_anti")
-    return kept.select(*folder, "path", _clean_text(F.col("text")).alias("text"))
+    return rows.join(passed, [*folder, "path"], "left_anti").select(*folder, "path", "text")
+
+
+@contextmanager
+def _small_files(spark: SparkSession):
+    """Listings and scans that run meanwhile take many folders or files to a task.
+
+    A folder of a tree holds one file or two and a file a few KB; by Spark's defaults a
+    listing has up to 10,000 tasks for each folder of folders, a scan one for 32 files."""
+    parallel, cost = "spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.openCostInBytes"
+    before = {name: spark.conf.get(name) for name in (parallel, cost)}
+    spark.conf.set(parallel, str(min(int(before[parallel]), LISTING_TASKS * spark.sparkContext.defaultParallelism)))
+    spark.conf.set(cost, str(OPEN_COST))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def read_filing_tree(spark: SparkSession, root: str) -> DataFrame:
     """One text per filing folder `<root>/<ticker>/8-K/<filing_id>/*.txt`.
 
     For trees that the driver can list; `read_filings` reads an archive as a table.
-    Of several files the least path is taken, settled on path names alone by an anti
-    join.  Bytes that are not UTF-8 are dropped and line ends become newlines.
+    The files are read once, into such a table in the shared folder.  Of several files
+    the least path is taken, settled on path names alone by an anti join.  Bytes that
+    are not UTF-8 are dropped and line ends become newlines.
     """
     # plain folders, or the name=value folders of a partitioned write
     parts = r"([^/=]+)/(?:[^/=]+=)?8-K/(?:[^/=]+=)?([^/=]+)/[^/]+\.txt$"
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.txt")
-        .load(root)
-        .withColumn("ticker", F.regexp_extract("path", parts, 1))
-        .withColumn("filing_id", F.regexp_extract("path", parts, 2))
-        .where(F.col("ticker") != "")
-    )
-    folder = ["ticker", "filing_id"]
-    first = files.groupBy(*folder).agg(F.min("path").alias("first"))
-    passed = files.join(first, folder).where("path > first").select("path")
-    files = files.join(passed, "path", "left_anti")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
     raw = F.col("content").cast("string")
     decoded = F.when(F.is_valid_utf8(raw), raw).otherwise(
         F.replace(F.make_valid_utf8(raw), F.lit("\ufffd"), F.lit(""))
     )
-    return files.select("ticker", "filing_id", "path", _clean_text(decoded).alias("text"))
+    with _small_files(spark):
+        files = (
+            reader.load(root)
+            .withColumn("ticker", F.regexp_extract("path", parts, 1))
+            .withColumn("filing_id", F.regexp_extract("path", parts, 2))
+            .where(F.col("ticker") != "")
+        )
+        rows = materialised(files.select("ticker", "filing_id", "path", _clean_text(decoded).alias("text")))
+    return _least_paths(rows)
 
 
 def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

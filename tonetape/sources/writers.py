@@ -1,7 +1,11 @@
 """Writers: indicators, sentiment, features, metric tables, reports, models."""
 
+import re
 from collections.abc import Sequence
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,3 +68,52 @@ def load_run(spark, names: Sequence[str], root: str) -> tuple[dict, list[int]]:
     models = {name: PipelineModel.load(f"{root}/{result_name(name)}") for name in names}
     pairs = spark.read.schema("class int, code int").json(f"{root}/label_map").collect()
     return models, [c for c, _ in sorted(pairs, key=lambda p: p[1])]
+
+
+#: Characters that Spark escapes in the names of partition folders.
+_ESCAPED = re.compile("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]")
+
+
+def _folder(name: str, value) -> str:
+    """A partition folder as Spark names it."""
+    if value is None or value == "":
+        value = "__HIVE_DEFAULT_PARTITION__"
+    return f"{name}=" + _ESCAPED.sub(lambda c: f"%{ord(c[0]):02X}", str(value))
+
+
+def write_filing_tree(filings: DataFrame, root: str, form: str = "8-K") -> int:
+    """Filings (ticker, filing_id, text) as a tree of text files, one per filing; their number.
+
+    The files that `write.partitionBy("ticker", "form", "filing_id").text` leaves: a
+    file ends its last line, filings of one name in one task share a file.  Tasks put
+    each file where it belongs: the usual writer makes a file for a rename, and the
+    driver renames all of them one after the other."""
+    name = "filing_id"
+
+    def put(batches):
+        files, at = FileSystem.from_uri(root)
+        part = f"part-{TaskContext.get().partitionId():05d}.txt"
+        key, held, n = None, [], 0
+
+        def close():
+            folder = "/".join([at, _folder("ticker", key[0]), _folder("form", form), _folder(name, key[1])])
+            files.create_dir(folder)
+            with files.open_output_stream(f"{folder}/{part}") as out:
+                out.write(b"".join(held))
+
+        for batch in batches:
+            few = (batch.slice(i, 200) for i in range(0, batch.num_rows, 200))
+            for ticker, filing, text in (row for b in few for row in zip(*(c.to_pylist() for c in b.columns))):
+                if (ticker, filing) != key:
+                    if held:
+                        close()
+                        n += 1
+                    key, held = (ticker, filing), []
+                held.append((text or "").encode() + b"\n")
+        if held:
+            close()
+            n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    rows = filings.select("ticker", name, "text").sortWithinPartitions("ticker", name)
+    return rows.mapInArrow(put, "n long").agg(F.sum("n")).first()[0] or 0

@@ -145,10 +145,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Filings written as a tree of text files and read back; a text file ends its last line."""
     path = fresh(spark, "tree")
-    tree = v.filings(spark, sf_dir).select(
-        "ticker", F.lit("8-K").alias("form"), "filing_id", F.col("text").alias("value")
-    )
-    tree.write.partitionBy("ticker", "form", "filing_id").text(path)
+    writers.write_filing_tree(v.filings(spark, sf_dir), path)
     return readers.read_filing_tree(spark, path).drop("path")
 
 
