@@ -5,6 +5,7 @@ import re
 from bisect import bisect_right
 from itertools import accumulate, pairwise
 
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -306,3 +307,16 @@ def test_summaries(spark):
     assert rows(kinds) == [("neutral", 1), ("positive", 2)]
     assert rows(means) == [("A", 0.25), ("B", 1.0)]
     assert total.first()["n"] == 3
+
+
+def test_texts_are_cut_in_bounded_slices(spark):
+    """A batch of any size is turned into strings a slice at a time; missing and long texts included."""
+    texts = ["a b", None, "c" * 50, "", "d e f", None] * 30
+    found = list(tx.slices_of(pa.array(texts), 40))
+    assert [t for s in found for t in s.to_pylist()] == texts
+    assert all(len(s) == 1 or sum(len(t or "") for t in s.to_pylist()) <= 40 for s in found)
+    assert len(found) > 50 and list(tx.slices_of(pa.array([], pa.string()))) == []
+    long = ["w" * 300 + f" {i} " * 200 for i in range(2000)]
+    df = spark.createDataFrame(list(enumerate(long)), "i int, t string").coalesce(1)
+    got = dict(df.select("i", tx.pieces("t")).collect())
+    assert all("".join(got[i]).replace(" ", "") == t.replace(" ", "") for i, t in enumerate(long))
