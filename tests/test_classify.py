@@ -16,6 +16,7 @@ from tonetape.operators import models as m
 from tonetape.operators import prep as pp
 from tonetape.operators import report as rp
 from tonetape.operators.quantiles import exact_quantiles, value_counts
+from tonetape.plans import study
 from tonetape.plans.study import prepare, run_classification
 from tonetape.sources import writers
 
@@ -441,3 +442,16 @@ def test_folds_of_mixed_groups(spark):
     assert {sum(r["fold"] == f for r in got) for f in range(4)} == {16}
 
 
+
+
+def test_tables_of_fits_are_spread(spark):
+    """A table of many rows in one part comes in several, the same rows; a small one stays."""
+    df = spark.range(4 * study.TASK_ROWS).coalesce(1).selectExpr("id AS k", "id % 7 AS v")
+    out = study.spread(df, 4 * study.TASK_ROWS, ["k"])
+    assert out.rdd.getNumPartitions() == 4 and max(out.rdd.glom().map(len).collect()) < 2 * study.TASK_ROWS
+    assert out.exceptAll(df).count() == df.exceptAll(out).count() == 0
+    assert study.spread(df, 2 * study.TASK_ROWS - 1, ["k"]) is df
+
+
+def test_forest_rows_keep_their_nodes():
+    assert m.random_forest().getCacheNodeIds()
