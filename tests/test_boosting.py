@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tonetape.operators import boosting as bt, forests as fo, models as m
@@ -242,3 +243,38 @@ def test_forest_search(spark, table):
     held = estimator.fit(table.where("fold <> 1"), shape).transform(table.where("fold = 1"))
     want = held.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
     assert [a for p, f, a in found if p == point and f == 1] == [pytest.approx(want)]
+
+
+def test_stump_scores_by_bin_are_their_sums():
+    """What a row's bins look up is what stump after stump adds, for fits that stop splitting too."""
+    r = np.random.default_rng(5)
+    fits, classes, size, bins = 3, 4, 5, 8
+    tally, trees = bt.Tally(fits, classes, size, bins), []
+    for _ in range(40):
+        feature, cut = np.full((fits, classes, 3), -1), np.zeros((fits, classes, 3), int)
+        value = np.zeros((fits, classes, 3))
+        for i in range(fits):
+            j = int(r.integers(-1, size))
+            feature[i, :, 0], cut[i, :, 0] = j, r.integers(0, bins - 1)
+            value[i, r.integers(classes), 1 if j >= 0 else 0] = r.random()
+            if j >= 0:
+                value[i, r.integers(classes), 2] = r.random()
+        trees.append((feature, cut, value))
+        tally.append(trees[-1])
+    packed = r.integers(0, bins, (200, size)).astype(np.uint8)
+    whole, by_bin = tally.of(np.arange(fits))
+    got = whole + sum(t[packed[:, j]] for j, t in by_bin)
+    assert np.allclose(got, bt.added(np.zeros((200, fits, classes)), packed, trees), atol=1e-12)
+
+
+def test_stumps_store_no_scores(spark, monkeypatch):
+    """Rounds past the point where trees write scores anew, and rows hold none."""
+    rows = [(Vectors.dense([i % 7, (i * 5) % 11]), float((i % 7 > 3) ^ ((i * 5) % 11 > 6))) for i in range(300)]
+    df = spark.createDataFrame(rows, ["features", "label"])
+    seen, kept = [], bt.binned
+    monkeypatch.setattr(bt, "binned", lambda *a: seen.append(kept(*a)) or seen[-1])
+    monkeypatch.setattr(bt, "rescored", lambda *a: 1 / 0)
+    monkeypatch.setattr(bt, "release", lambda *a: None)
+    (grown,), _ = bt.fit_together(df, [bt.Fit(bt.EVERY + 5, 0.1)], 2, stumps=True)
+    assert len(grown.feature) == bt.EVERY + 5
+    assert seen[0].where("length(scores) > 0").count() == 0
