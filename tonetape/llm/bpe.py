@@ -25,6 +25,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tonetape.llm.common import kept_by_worker
+
 #: Words kept by one worker before it starts anew, and their ids: bounds on its memory.
 KNOWN, KNOWN_IDS = 400_000, 8_000_000
 #: Bytes of a pre-token from which on it is merged by places.
@@ -357,6 +359,7 @@ def byte_text():
     return lambda word: bytes(back[c] for c in word).decode("utf-8")
 
 
+@kept_by_worker
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     return Encoder(path)

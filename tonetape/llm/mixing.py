@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from tonetape.llm import words as W
-from tonetape.llm.common import clashing, columns, discard, slices, written
+from tonetape.llm.common import clashing, columns, discard, frugal, slices, written
 
 SLICE = 2 << 20
 #: Documents that are rounded one after another, about.
@@ -45,7 +45,7 @@ def sized(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("row", "id", "source")), pa.array(n, pa.int64())], names=["row", "id", "source", "size"])
 
     schema = T.StructType([*(docs.schema[c] for c in ("row", "id", "source")), T.StructField("size", T.LongType())])
-    return docs.select("row", "id", "source", "text").mapInArrow(count, schema)
+    return docs.select("row", "id", "source", "text").mapInArrow(frugal(count), schema)
 
 
 def numbered(sources: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def rounded(rates: DataFrame, cap: float) -> DataFrame:
     names = ["row", "id", "size", "total", "target", "rate", "copies"]
     schema = T.StructType([*(rates.schema[c] for c in names[:-1]), T.StructField("copies", T.LongType())])
     dealt = rates.repartition("source_key", "cell").sortWithinPartitions("source_key", "cell", F.desc("size"), "id", "row")
-    return dealt.select("source_key", "cell", *names[:-1]).mapInArrow(run, schema)
+    return dealt.select("source_key", "cell", *names[:-1]).mapInArrow(frugal(run), schema)
 
 
 def decided(docs: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:

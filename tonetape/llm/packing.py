@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tonetape.llm import words as W
 from tonetape.llm.bpe import encoder
-from tonetape.llm.common import discard, slices, written
+from tonetape.llm.common import discard, frugal, slices, written
 
 SLICE = 4 << 20
 #: Bounds of a shard of the index: remainders and their tokens.
@@ -278,7 +278,7 @@ def cut(kept: DataFrame, tokenizer: str, window: int, end_id: int, with_ids: boo
             made = [pa.array(c, pa.binary() if k == 5 else pa.int64()) for k, c in enumerate(zip(*pieces))]
             yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(rows)), *made], names=schema.names)
 
-    return written(kept.mapInArrow(run, schema), "cut")
+    return written(kept.mapInArrow(frugal(run, encoder), schema), "cut")
 
 
 def counted(rest: DataFrame) -> Counts:
@@ -295,7 +295,7 @@ def counted(rest: DataFrame) -> Counts:
         columns = np.append(term, -1), np.append(df[term], docs), np.append(term * 0, tokens)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["term", "docs", "tokens"])
 
-    found = rest.select("tokens").mapInArrow(run, "term long, docs long, tokens long")
+    found = rest.select("tokens").mapInArrow(frugal(run, encoder), "term long, docs long, tokens long")
     found = {r.term: r for r in found.groupBy("term").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).collect()}
     total = found.pop(-1, None)
     df = np.zeros(max(found, default=-1) + 1, np.int64)
@@ -316,7 +316,7 @@ def sharded(rest: DataFrame, topic: np.ndarray, shard_docs: int) -> Shards:
 
     size = [F.count(F.lit(1)).alias("docs"), F.sum("tokens").alias("tokens")]
     again = [F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")]
-    found = rest.select("tokens").mapInArrow(run, ", ".join(f"{c} long" for c in ("rank", *MARKS, "tokens")))
+    found = rest.select("tokens").mapInArrow(frugal(run, encoder), ", ".join(f"{c} long" for c in ("rank", *MARKS, "tokens")))
     found = written(found.groupBy("rank", *MARKS).agg(*size), "paths")
     fits = (F.col("docs") <= shard_docs) & (F.col("tokens") <= SHARD_TOKENS)
     firsts = found.groupBy("rank").agg(*again).where(fits).collect()
@@ -370,7 +370,7 @@ def pack(
 
     own = rest.withColumn("own", F.xxhash64("id"))
     schema = T.StructType([*own.schema.fields, T.StructField("run", T.LongType()), T.StructField("shard", T.LongType()), T.StructField("path", T.ArrayType(T.LongType()))])
-    routed = own.mapInArrow(route, schema).repartition("run").sortWithinPartitions("run", "shard", "path", "ids_crc32", "doc_tokens", "id")
+    routed = own.mapInArrow(frugal(route, encoder), schema).repartition("run").sortWithinPartitions("run", "shard", "path", "ids_crc32", "doc_tokens", "id")
 
     out = T.StructType([*pieces.schema.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("tokens", T.BinaryType())])
 
@@ -422,7 +422,7 @@ def pack(
         if packer:
             yield flush(True)
 
-    packed = routed.mapInArrow(fill, out)
+    packed = routed.mapInArrow(frugal(fill, encoder), out)
     windows = pieces.where(F.col("sequence_id").isNotNull()).select("id", *fields, "sequence_id", F.lit(0).cast("long").alias("offset"), "tokens")
     both = windows.unionByName(packed)
     if not with_ids:

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tonetape.llm import words as W
+from tonetape.llm.common import frugal
 
 #: Entries in one block, about.
 BLOCK = 1 << 19
@@ -100,4 +101,4 @@ def shared_entries(rows: DataFrame, fields: dict[str, str], blocks: int, keys: i
             yield give(got)
 
     schema = ", ".join(f"{n} {k}" for n, k in fields.items())
-    return rows.repartition(blocks, "block").sortWithinPartitions("block").mapInArrow(pick, schema)
+    return rows.repartition(blocks, "block").sortWithinPartitions("block").mapInArrow(frugal(pick), schema)

@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tonetape.llm import words as W
 from tonetape.llm.calibration import calibrated, classes, constant, held_out, labelled, part
-from tonetape.llm.common import column, slices, written
+from tonetape.llm.common import column, frugal, slices, written
 
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Bounds: labelled rows that are learnt from, and entries of the learnt lexicon.
 MOST_ROWS, MOST_TERMS = 24_000, 4_096
 #: Bytes of a word's beginning that the learnt lexicon may hold; 0 is the whole word.
@@ -214,7 +214,7 @@ def learn_lexicon(train: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     odds = F.log(one / (ones + 1)) - F.log(zero / (n - ones + 1))
     found = (
         train.select("text", "label")
-        .mapInArrow(emit, "term long, label int")
+        .mapInArrow(frugal(emit), "term long, label int")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("one"))
         .where("one >= 3")
@@ -260,7 +260,7 @@ def scored(
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in others), flat], names=[*others, "x"])
 
         others = [c for c in df.columns if c != "text"]
-        return df.mapInArrow(measure, T.StructType([*(df.schema[c] for c in others), T.StructField("x", T.ArrayType(T.DoubleType()))]))
+        return df.mapInArrow(frugal(measure), T.StructType([*(df.schema[c] for c in others), T.StructField("x", T.ArrayType(T.DoubleType()))]))
 
     vector = lambda df: df.withColumn("features", array_to_vector("x"))
     fit = vector(written(measured(train.where("part > 0")), "features"))

@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tonetape.llm.common import kept_by_worker
+
 U = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -33,6 +35,7 @@ def mixed(h: np.ndarray, salt: int = 0) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
+@kept_by_worker
 @lru_cache(maxsize=3)
 def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
     """base**i and its inverse modulo 2**64, for i < n."""
