@@ -54,3 +54,19 @@ def test_frugal_keeps_what_it_is_told(monkeypatch):
     with pytest.raises(ValueError):
         list(common.frugal(fails)(iter(batches)))
     assert not encoder.cache_info().currsize
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """10,000 texts at once were held whole by a worker, and packing took more than 3,000 MB of an executor."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+    table = common.written_texts(spark.range(0, 2_500, 1, 1).mapInArrow(sizes, "n long"), "sizes")
+    assert sorted(r.n for r in table.collect()) == [500, 1_000, 1_000]
+    assert spark.conf.get(key) == before
+    with common.batches_of(spark, 10), common.batches_of(spark, 1_000):
+        assert spark.conf.get(key) == "10"

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from tonetape.llm import words as W
-from tonetape.llm.common import clashing, columns, discard, frugal, slices, written
+from tonetape.llm.common import clashing, columns, discard, frugal, slices, written, written_texts
 from tonetape.llm.components import components
 from tonetape.llm.shared import blocks_for, packed, packed_schema, shared_entries
 
@@ -126,7 +126,7 @@ def counted(pairs: DataFrame, reps: DataFrame, docs: DataFrame, percent: int) ->
             yield pa.RecordBatch.from_arrays(arrays, names=["row", "shingles"])
 
     # Rows with the same id and the same set would come twice.
-    sets = written(both.mapInArrow(frugal(whole), "row long, shingles array<long>").dropDuplicates(["row"]), "sets")
+    sets = written_texts(both.mapInArrow(frugal(whole), "row long, shingles array<long>").dropDuplicates(["row"]), "sets")
     side = lambda c: sets.select(F.col("row").alias(c), F.col("shingles").alias(f"s{c}"))
     joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
@@ -149,7 +149,7 @@ def classes(docs: DataFrame, percent: int = 80) -> tuple[DataFrame, DataFrame]:
             yield pa.RecordBatch.from_arrays([part.column("row"), part.column("id"), *own], names=["row", "id", *set_schema().names[1:]])
 
     schema = T.StructType([set_schema()["row"], docs.schema["id"], *set_schema().fields[1:]])
-    sets = written(docs.select("row", "id", "text").mapInArrow(frugal(read), schema), "summaries")
+    sets = written_texts(docs.select("row", "id", "text").mapInArrow(frugal(read), schema), "summaries")
     prints = ["f0", "f1", "n"]
     # A null id is nobody's smallest.
     first = F.min(F.struct(F.col("id").isNull().alias("void"), "id", "row")).alias("first")

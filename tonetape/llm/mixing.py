@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from tonetape.llm import words as W
-from tonetape.llm.common import clashing, columns, discard, frugal, slices, written
+from tonetape.llm.common import clashing, columns, discard, frugal, slices, written, written_texts
 
 SLICE = 2 << 20
 #: Documents that are rounded one after another, about.
@@ -150,7 +150,7 @@ def rounded(rates: DataFrame, cap: float) -> DataFrame:
 
 def decided(docs: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:
     """(row, id, size, total, target, rate, copies) of every row of docs (row, id, source, text)."""
-    sizes = written(sized(docs).withColumn("source_key", key(F.col("source"))), "sizes")
+    sizes = written_texts(sized(docs).withColumn("source_key", key(F.col("source"))), "sizes")
     sources = sizes.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("size").alias("total"), F.count(F.lit(1)).alias("docs"))
     sources = written(targets(numbered(sources), weights, cap), "targets")
     found = written(balanced(sizes, sources, cap), "tilts").drop("source", "place")

@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tonetape.llm import words as W
 from tonetape.llm.bpe import encoder
-from tonetape.llm.common import discard, frugal, slices, written
+from tonetape.llm.common import discard, frugal, slices, written, written_texts
 
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Bounds of a shard of the index: remainders and their tokens.
 SHARD_DOCS, SHARD_TOKENS = 4096, 1 << 21
 #: Shards that one window after the other goes through.
@@ -278,7 +278,7 @@ def cut(kept: DataFrame, tokenizer: str, window: int, end_id: int, with_ids: boo
             made = [pa.array(c, pa.binary() if k == 5 else pa.int64()) for k, c in enumerate(zip(*pieces))]
             yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(rows)), *made], names=schema.names)
 
-    return written(kept.mapInArrow(frugal(run, encoder), schema), "cut")
+    return written_texts(kept.mapInArrow(frugal(run, encoder), schema), "cut")
 
 
 def counted(rest: DataFrame) -> Counts:
