@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the rows in sequences of at most 2048 tokens."""
-    return pack(docs, public_tokenizers.path(TOKENIZER))
+    return pack(docs, public_tokenizers.path(TOKENIZER), keep_tokenizer=False)
 
 
 _left: list[DataFrame] = []

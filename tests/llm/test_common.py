@@ -10,6 +10,7 @@ from tonetape.llm import common
 from tonetape.llm.bpe import encoder
 from tonetape.llm.jaccard import near_groups
 from tonetape.llm.mixing import mixture
+from tonetape.llm.packing import pack
 from tonetape.llm.tokencount import token_counts
 from tonetape.llm.words import powers
 
@@ -70,3 +71,11 @@ def test_texts_go_to_python_in_small_batches(spark):
     assert spark.conf.get(key) == before
     with common.batches_of(spark, 10), common.batches_of(spark, 1_000):
         assert spark.conf.get(key) == "10"
+
+
+def test_packing_without_keeping_the_tokenizer(spark):
+    """The pieces are the same whether workers keep it or not."""
+    texts = "concat(repeat('one two three ', id % 9), id) AS text"
+    docs = spark.range(0, 300, 1, 2).selectExpr("id AS doc_id", texts)
+    pieces = [sorted(map(tuple, pack(docs, TOKENIZER, window=64, keep_tokenizer=k).collect())) for k in (True, False)]
+    assert pieces[0] == pieces[1]

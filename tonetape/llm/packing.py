@@ -335,6 +335,7 @@ def pack(
     text_col: str = "text",
     with_ids: bool = False,
     shard_docs: int = SHARD_DOCS,
+    keep_tokenizer: bool = True,
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset
     (and ids, the piece's token ids, if asked for).
@@ -350,7 +351,11 @@ def pack(
     A null or empty text is the single token end_id; repeated rows are packed one by
     one, each with its own pieces; an empty table gives no pieces.  Columns other than
     the id and the text are not read, whatever their names.
+
+    With keep_tokenizer a worker keeps the tokenizer and the words it knows for the next
+    call; without, windows are filled in the memory that they took.
     """
+    stays = [encoder] if keep_tokenizer else []
     kept = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     pieces = cut(kept, tokenizer, window, end_id, with_ids)
     rest = pieces.where(F.col("sequence_id").isNull()).drop("sequence_id")
@@ -370,7 +375,7 @@ def pack(
 
     own = rest.withColumn("own", F.xxhash64("id"))
     schema = T.StructType([*own.schema.fields, T.StructField("run", T.LongType()), T.StructField("shard", T.LongType()), T.StructField("path", T.ArrayType(T.LongType()))])
-    routed = own.mapInArrow(frugal(route, encoder), schema).repartition("run").sortWithinPartitions("run", "shard", "path", "ids_crc32", "doc_tokens", "id")
+    routed = own.mapInArrow(frugal(route, *stays), schema).repartition("run").sortWithinPartitions("run", "shard", "path", "ids_crc32", "doc_tokens", "id")
 
     out = T.StructType([*pieces.schema.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()), T.StructField("tokens", T.BinaryType())])
 
@@ -422,7 +427,7 @@ def pack(
         if packer:
             yield flush(True)
 
-    packed = routed.mapInArrow(frugal(fill, encoder), out)
+    packed = routed.mapInArrow(frugal(fill, *stays), out)
     windows = pieces.where(F.col("sequence_id").isNotNull()).select("id", *fields, "sequence_id", F.lit(0).cast("long").alias("offset"), "tokens")
     both = windows.unionByName(packed)
     if not with_ids:
