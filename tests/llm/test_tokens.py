@@ -1,5 +1,6 @@
 """Token counts and packing against the tokenizer library, token by token."""
 
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -9,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tonetape.llm import bpe
-from tonetape.llm.packing import pack
+from tonetape.llm.packing import Index, pack
 from tonetape.llm.tokencount import token_counts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -51,6 +52,33 @@ def test_ids_equal_the_library(library, monkeypatch):
         assert model.counts(texts).tolist() == n.tolist()
 
 
+def test_words_are_looked_up_once(monkeypatch):
+    """Every word of a slice was looked up twice, and its pre-tokens three times: op3 took 408 CPU seconds a GB."""
+    looks = []
+
+    class Known(dict):
+        def get(self, word, default=None):
+            looks.append(word)
+            return super().get(word, default)
+
+        def __contains__(self, word):
+            looks.append(word)
+            return super().__contains__(word)
+
+        def __getitem__(self, word):
+            looks.append(word)
+            return super().__getitem__(word)
+
+    model = bpe.Encoder(PATH)
+    model.known = Known(model.known)
+    texts = ["one two, three's one\ntwo", "three four\u4e2d \u4e2d!", ""]
+    first = model.encode(texts)
+    assert len(looks) == len(set(looks)) > 5
+    again = model.encode(texts)
+    assert [a.tolist() for a in first] == [a.tolist() for a in again]
+    assert len(looks) == 2 * len(set(looks))
+
+
 def frame(spark):
     rows = [(i, t, "x") for i, t in enumerate(TEXTS)] + [(2, TEXTS[2], "x"), (None, "no id", "x")]
     return spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
@@ -112,6 +140,18 @@ def test_packing_of_the_given_documents(spark, library):
     check_packing(pack(docs, PATH).collect(), rows, library, 2048)
 
 
+def test_an_index_is_built_in_little_memory():
+    """The pairs of its terms and documents took 80 MB for a million tokens."""
+    rng = np.random.default_rng(7)
+    docs = [rng.integers(0, 49_000, 1000).astype(np.int32) for _ in range(1000)]
+    tracemalloc.start()
+    try:
+        Index(docs)
+        assert tracemalloc.get_traced_memory()[1] < 50_000_000
+    finally:
+        tracemalloc.stop()
+
+
 def test_neighbours_share_words():
     from tonetape.llm.packing import Index
 

@@ -119,6 +119,10 @@ class Encoder:
             sizes.append(len(parts) - before)
         yield self.look_up(parts, sizes, False)
 
+    def entries(self, words: list[str]) -> np.ndarray:
+        """The entry of each word, -1 for those that are not known."""
+        return np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+
     def look_up(self, parts: list[str | list[str]], sizes: list[int], goes_on: bool) -> tuple[np.ndarray, np.ndarray]:
         is_cut = np.fromiter((isinstance(p, list) for p in parts), bool, len(parts))
         spaced = pc.ascii_split_whitespace(pa.array([p for p in parts if isinstance(p, str)], pa.string()))
@@ -128,13 +132,18 @@ class Encoder:
         # No word holds a line feed, and one string comes out of Arrow faster than many.
         listed = pa.ListArray.from_arrays([0, len(found.dictionary)], found.dictionary)
         words = pc.binary_join(listed, "\n")[0].as_py().split("\n") if len(found.dictionary) else []
-        new = [w for w in words if w not in self.known]
-        if new:
+        # Words are looked up once: those that are new get the next entries, in their order.
+        entries = self.entries(words)
+        new = np.flatnonzero(entries < 0)
+        if len(new):
             if len(self.known) + len(new) > KNOWN or self.ends[-1] > KNOWN_IDS:
                 self.forget()
-                new = [w for w in words if w not in self.known]
-            self.add(new, *self.symbols(new))
-        entries = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[found.indices.to_numpy()]
+                entries = self.entries(words)
+                new = np.flatnonzero(entries < 0)
+            entries[new] = len(self.known) + np.arange(len(new))
+            unknown = [words[k] for k in new.tolist()]
+            self.add(unknown, *self.symbols(unknown))
+        entries = entries[found.indices.to_numpy()]
         if is_cut.any():
             order = np.empty(len(parts), np.int64)
             order[np.argsort(is_cut, kind="stable")] = np.arange(len(parts))
@@ -151,14 +160,18 @@ class Encoder:
             odd = [w for w, o in zip(words, is_odd) if o]
             plain = "\n".join(w for w, o in zip(words, is_odd) if not o)
         own = self.cut(plain.lower())
-        number = {p: k for k, p in enumerate(dict.fromkeys(own + odd))}
-        number.pop("\n", None)
-        ids, length = self.merge(list(number))
-        number = {p: k for k, p in enumerate(number)}
-        entries = np.fromiter(map(number.get, own, repeat(-1)), np.int64, len(own))
+        # Numbered by Arrow, whose dictionary holds the distinct ones' bytes one after the other.
+        found = pa.array([*own, *odd], pa.string()).dictionary_encode()
+        pretokens, entries = found.dictionary, found.indices.to_numpy().astype(np.int64)
+        feed = pc.index(pretokens, "\n").as_py()
+        if feed >= 0:
+            entries = np.where(entries == feed, -1, entries - (entries > feed))
+            pretokens = pa.concat_arrays([pretokens[:feed], pretokens[feed + 1 :]])
+        ids, length = self.merge(pretokens)
+        entries, whole = entries[: len(own)], entries[len(own) :]
         gaps = np.flatnonzero(entries < 0)
         sizes = np.diff(np.concatenate([[-1], gaps, [len(own)]])) - 1 if own else np.zeros(0, np.int64)
-        entries = np.append(entries[entries >= 0], [number[w] for w in odd]).astype(np.int64)
+        entries = np.append(entries[entries >= 0], whole)
         sizes = np.append(sizes, np.ones(len(odd), np.int64))
         if odd:
             place = np.argsort(np.array(is_odd), kind="stable")
@@ -213,11 +226,13 @@ class Encoder:
                     text_of = byte_text()
                     yield [text_of(w) for w, _ in cut(self.library.normalizer.normalize_str(chunk))]
 
-    def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def merge(self, words: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all pre-tokens in one array, and the number of each one's."""
-        raw = [w.encode("utf-8") for w in words]
-        length = np.fromiter(map(len, raw), np.int64, len(raw))
-        flat = np.frombuffer(b"".join(raw), np.uint8)
+        raw = pa.array(words, pa.string()) if isinstance(words, list) else words
+        bounds, held = raw.buffers()[1:]
+        bounds = np.frombuffer(bounds, np.int32, len(raw) + 1, 4 * raw.offset).astype(np.int64) if bounds else np.zeros(1, np.int64)
+        length = np.diff(bounds)
+        flat = np.frombuffer(held or b"", np.uint8)[bounds[0] : bounds[-1]]
         ids = self.inner[flat]
         ends = np.cumsum(length)
         ids[ends - 1] = self.last[flat[ends - 1]]

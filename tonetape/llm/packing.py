@@ -151,29 +151,49 @@ class Index:
     def __init__(self, docs: list[np.ndarray], counts: Counts | None = None):
         n = len(docs)
         length = np.fromiter(map(len, docs), np.int64, n)
-        flat = np.concatenate(docs).astype(np.int64)
-        pair, count = np.unique(flat * n + np.repeat(np.arange(n), length), return_counts=True)
-        term, doc = pair // n, pair % n
+        # Pairs of a term and a document, sorted in place: of all that a task holds, this takes the most memory.
+        pair = np.concatenate(docs, dtype=np.int64)
+        pair *= n
+        pair += np.repeat(np.arange(n), length)
+        pair.sort()
+        starts = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])[: len(pair)])
+        count = np.diff(np.append(starts, len(pair))).astype(np.int32)
+        pair = pair[starts]
+        del starts
+        term = (pair // n).astype(np.int32)
+        pair -= term * np.int64(n)
+        doc = pair
         new = np.append(True, term[1:] != term[:-1])
-        number = np.cumsum(new) - 1
+        number = np.cumsum(new, dtype=np.int32) - 1
         df = np.bincount(number)
         total, mean, among = counts.docs if counts else n, counts.mean if counts else length.mean(), counts.df[term[new]] if counts else df
+        del pair, term, new
         idf = np.log(np.maximum((total - among + 0.5) / (among + 0.5), 1))
         norm = K1 * (1 - B + B * length / max(mean, 1))
         keep = (idf[number] > 0) & (df[number] > 1)
         number, doc, count = number[keep], doc[keep], count[keep]
         self.n, self.size, self.number, self.doc = n, len(df), number, doc
-        self.weight = idf[number] * count * (K1 + 1) / (count + norm[doc])
-        self.first = np.searchsorted(number, np.arange(self.size + 1))
-        order = np.argsort(doc, kind="stable")
+        self.weight = idf[number]
+        self.weight *= count
+        self.weight *= K1 + 1
+        below = norm[doc]
+        below += count
+        self.weight /= below
+        del below, count, keep
+        self.first = self.firsts()
+        # Numbers of 16 bits are sorted by digits.
+        order = np.argsort(doc.astype(np.uint16) if n <= 1 << 16 else doc, kind="stable")
         self.terms = number[order]
-        self.owned = np.searchsorted(doc[order], np.arange(n + 1))
+        self.owned = np.append(0, np.cumsum(np.bincount(doc, minlength=n)))
+
+    def firsts(self) -> np.ndarray:
+        return np.searchsorted(self.number, np.arange(self.size + 1, dtype=np.int32))
 
     def drop(self, unused: np.ndarray) -> None:
         """Postings of used documents leave the index; their own terms stay, for seeds."""
         keep = unused[self.doc]
         self.number, self.doc, self.weight = self.number[keep], self.doc[keep], self.weight[keep]
-        self.first = np.searchsorted(self.number, np.arange(self.size + 1))
+        self.first = self.firsts()
 
     def near(self, seed: int, unused: np.ndarray, most: int | None = None) -> np.ndarray:
         """Unused documents, the highest score first, ties in order of arrival; no more than most, if given."""
