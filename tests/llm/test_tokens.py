@@ -10,6 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tonetape.llm import bpe
+from tonetape.llm.common import watched
 from tonetape.llm.packing import Index, pack
 from tonetape.llm.tokencount import token_counts
 
@@ -140,6 +141,18 @@ def test_packing_of_the_given_documents(spark, library):
     check_packing(pack(docs, PATH).collect(), rows, library, 2048)
 
 
+def test_remainders_go_to_python_inside_packing(spark):
+    """The caller's write sent them 10,000 at a time, up to 80 MB: the pipeline took more than 3,000 MB of an executor."""
+    docs = spark.range(0, 300, 1, 2).selectExpr("id AS doc_id", "concat(repeat('one two three ', id % 9), id) AS text")
+    with watched() as tables:
+        packed = pack(docs, PATH, window=64)
+    plan = packed._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and "Exchange" not in plan
+    # What it was made from is gone, and it can still be read.
+    assert [t._llm_path.rpartition("/")[2] for t in tables if t._llm_path] == ["packed"]
+    assert packed.select("doc_id").distinct().count() == 300
+
+
 def test_an_index_is_built_in_little_memory():
     """The pairs of its terms and documents took 80 MB for a million tokens."""
     rng = np.random.default_rng(7)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tonetape.llm import words as W
 from tonetape.llm.bpe import encoder
-from tonetape.llm.common import discard, frugal, slices, written, written_texts
+from tonetape.llm.common import TEXTS, batches_of, discard, frugal, slices, written_texts
 
 SLICE = 1 << 20
 #: Bounds of a shard of the index: remainders and their tokens.
@@ -316,7 +316,8 @@ def counted(rest: DataFrame) -> Counts:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["term", "docs", "tokens"])
 
     found = rest.select("tokens").mapInArrow(frugal(run, encoder), "term long, docs long, tokens long")
-    found = {r.term: r for r in found.groupBy("term").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).collect()}
+    with batches_of(rest.sparkSession, TEXTS):
+        found = {r.term: r for r in found.groupBy("term").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).collect()}
     total = found.pop(-1, None)
     df = np.zeros(max(found, default=-1) + 1, np.int64)
     df[list(found)] = [r.docs for r in found.values()]
@@ -337,7 +338,7 @@ def sharded(rest: DataFrame, topic: np.ndarray, shard_docs: int) -> Shards:
     size = [F.count(F.lit(1)).alias("docs"), F.sum("tokens").alias("tokens")]
     again = [F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")]
     found = rest.select("tokens").mapInArrow(frugal(run, encoder), ", ".join(f"{c} long" for c in ("rank", *MARKS, "tokens")))
-    found = written(found.groupBy("rank", *MARKS).agg(*size), "paths")
+    found = written_texts(found.groupBy("rank", *MARKS).agg(*size), "paths")
     fits = (F.col("docs") <= shard_docs) & (F.col("tokens") <= SHARD_TOKENS)
     firsts = found.groupBy("rank").agg(*again).where(fits).collect()
     steps = [F.struct(F.lit(k).alias("k"), F.col(MARKS[k]).alias("mark"), F.col(MARKS[k - 1]).alias("before")) for k in range(1, DEPTH + 1)]
@@ -449,7 +450,9 @@ def pack(
 
     packed = routed.mapInArrow(frugal(fill, *stays), out)
     windows = pieces.where(F.col("sequence_id").isNotNull()).select("id", *fields, "sequence_id", F.lit(0).cast("long").alias("offset"), "tokens")
-    both = windows.unionByName(packed)
+    # A remainder takes up to 8 KB: written here, they go to Python TEXTS at a time, however the session has it.
+    both = written_texts(windows.unionByName(packed), "packed")
+    discard(pieces)
     if not with_ids:
         return both.drop("tokens").withColumnRenamed("id", id_col)
 
