@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tonetape.llm import words as W
 from tonetape.llm.calibration import calibrated, classes, constant, held_out, labelled, part
-from tonetape.llm.common import column, frugal, slices, written
+from tonetape.llm.common import column, frugal, slices, written, written_texts
 
 SLICE = 1 << 20
 #: Bounds: labelled rows that are learnt from, and entries of the learnt lexicon.
@@ -317,4 +317,6 @@ def drop_toxic(
     rows that repeat stay or go together.  An empty table gives an empty one.  Columns
     may have any names."""
     out = scored(docs, labels, id_col, text_col, label, folds, fold, most_rows, most_terms, docs.columns)
-    return out.where("predicted = 0").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
+    # Written here, whole rows go to Python and back TEXTS at a time, however the session has it.
+    kept = written_texts(out.where("predicted = 0").select(*(f"c{i}" for i in range(len(docs.columns)))), "civil")
+    return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
