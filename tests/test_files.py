@@ -1,6 +1,7 @@
 """Readers and writers on small folders."""
 
 import datetime as dt
+import math
 from pathlib import Path
 
 from conftest import rows
@@ -198,6 +199,43 @@ def test_filing_tree_written_by_tasks(spark, tmp_path):
     assert [spark.conf.get(n) for n in names] == before
 
 
+def test_filing_tree_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """Tasks list and read what Spark's own listing shows, whatever the names; roots may be patterns."""
+    root = tmp_path / "a tree%20"
+    shown = ["ticker=A/form=8-K/filing_id=1/b.txt", "B/8-K/2/x.txt", "deep/er/C/8-K/3/x y.txt", "ticker=A/form=8-K/filing_id=_4/_k=v.txt", "x=y=D/8-K/5/1.txt", "E=/8-K/6/1.txt"]
+    other = ["B/8-K/2/_x.txt", "B/8-K/2/.x.txt", "B/8-K/_2/x.txt", "B/8-K/2/a.csv", "B/8-K/2/w.txt._COPYING_", "B/10-K/2/x.txt", "B/x.txt", "x.txt"]
+    for i, name in enumerate(shown + other):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(b"t%d\r\nz\xff" % i)
+    # An empty file and a link to nothing are passed over, though their paths are less.
+    (root / "B/8-K/2/a.txt").touch()
+    (root / "B/8-K/2/b.txt").symlink_to(root / "none")
+    columns = ("ticker", "filing_id", "path", "text")
+    ours, many = (rows(readers.read_filing_tree(spark, str(at)), *columns) for at in (root, tmp_path / "a*"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(str(root))
+    found = readers._listed(spark, *readers._roots(spark, str(root)))
+    assert sorted(r.path for t in found for r in t.where("NOT folder").collect()) == sorted(r.path for r in listed.select("path").collect())
+    assert [(r[0], r[1], r[3]) for r in ours] == [("A", "1", "t0\nz"), ("A", "_4", "t3\nz"), ("B", "2", "t1\nz"), ("C", "3", "t2\nz"), ("D", "5", "t4\nz")]
+    monkeypatch.setattr(readers, "_roots", lambda *_: None)
+    assert ours == many == rows(readers.read_filing_tree(spark, str(root)), *columns)
+
+
+def test_filing_tree_in_batches(spark, tmp_path, monkeypatch):
+    """Small batches and many tasks read the same filings; tasks begin at different tickers."""
+    df = spark.createDataFrame([(f"T{i % 7}", i, f"text {i}") for i in range(300)], "ticker string, filing_id long, text string")
+    filings = df.repartition(3)
+    writers.write_filing_tree(filings, str(tmp_path / "tree"))
+    for name, value in (("FOLDERS", 40), ("FILES", 30), ("ROWS", 7), ("BYTES", 20)):
+        monkeypatch.setattr(readers, name, value)
+    got = rows(readers.read_filing_tree(spark, str(tmp_path / "tree")), "ticker", "filing_id", "text")
+    assert got == sorted((f"T{i % 7}", str(i), f"text {i}\n") for i in range(300))
+    parts = [{}, {}, {}]
+    for p in (tmp_path / "tree").rglob("*.txt"):
+        ticker, made = p.parts[-4], parts[int(p.stem[-5:])]
+        made[ticker] = min(made.get(ticker, math.inf), p.stat().st_mtime_ns)
+    assert len({tuple(sorted(made, key=made.get)) for made in parts}) > 1
+
+
 def test_filing_tree_is_read_once(spark, tmp_path):
     """Its rows come from a written table, also where a later path is passed over."""
     df = spark.createDataFrame([("A", i, f"t{i}") for i in range(40)], "ticker string, filing_id long, text string")

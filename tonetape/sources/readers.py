@@ -1,18 +1,24 @@
 """Readers: prices, event dates, filings, features, result files."""
 
+import os
+from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
+from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tonetape.schema import FEATURES
-from tonetape.session import materialised
+from tonetape.session import materialised, release
 
 _PATH = "path"
 #: Tasks per core that list the folders of a tree, and the bytes that opening a file of it counts for.
 LISTING_TASKS, OPEN_COST = 4, 1 << 19
+#: Folders that a task lists and files that it reads, about; rows and bytes of a batch that it gives back.
+FOLDERS, FILES, ROWS, BYTES = 10_000, 4_000, 10_000, 1 << 22
 
 
 def number(c) -> Column:
@@ -88,7 +94,8 @@ def between_dates(df: DataFrame, column: str, start: str, end: str) -> DataFrame
 
 
 def _clean_text(text: Column) -> Column:
-    return F.regexp_replace(text, "\r\n?", "\n")
+    # Most texts have none, and a plain search is much faster.
+    return F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, "\r\n?", "\n")).otherwise(text)
 
 
 def read_filings(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -127,30 +134,131 @@ def _small_files(spark: SparkSession):
             spark.conf.set(name, value)
 
 
+def _shown(name: str) -> bool:
+    """Whether Spark's own listings show a name: none that begins with "_" or ".", but name=value and metadata files."""
+    hidden = name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+    return not hidden or name.startswith(("_metadata", "_common_metadata"))
+
+
+def _inside(files: FileSystem, folder: str) -> Iterator[tuple[str, bool]]:
+    """(name, whether it is a folder) of the folders and text files that are not empty in a folder."""
+    if isinstance(files, LocalFileSystem):
+        # One after the other: a folder may hold millions.
+        with os.scandir(folder) as found:
+            for e in found:
+                if _shown(e.name):
+                    if e.is_dir():
+                        yield e.name, True
+                    elif e.name.endswith(".txt") and e.is_file() and e.stat().st_size:
+                        yield e.name, False
+        return
+    for i in files.get_file_info(FileSelector(folder)):
+        if _shown(i.base_name):
+            if i.type == FileType.Directory:
+                yield i.base_name, True
+            elif i.type == FileType.File and i.base_name.endswith(".txt") and i.size:
+                yield i.base_name, False
+
+
+def _roots(spark: SparkSession, root: str) -> tuple[list[str], str, str] | None:
+    """The folders that root names, as Spark writes them, a URI of one for Arrow, and what comes
+    before Arrow's own paths in them; None if there is none or Arrow does not know their store."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = list(store.globStatus(store.makeQualified(at)) or [])
+    if not found or not all(s.isDirectory() for s in found):
+        return None
+    paths, uri = [s.getPath().toString() for s in found], found[0].getPath().toUri().toString()
+    try:
+        files, own = FileSystem.from_uri(uri)
+        if files.get_file_info(own).type != FileType.Directory or not paths[0].endswith(own):
+            return None
+    except (pa.ArrowException, OSError):
+        return None
+    return paths, uri, paths[0].removesuffix(own)
+
+
+def _listed(spark: SparkSession, paths: list[str], uri: str, before: str) -> list[DataFrame]:
+    """(path, folder) of all folders and text files under paths, a written table for each level of folders.
+
+    Folders are listed by tasks, and no list of them or of files goes to the driver."""
+
+    def look(batches):
+        files, _ = FileSystem.from_uri(uri)
+        found, folders = [], []
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                for name, folder in _inside(files, path.removeprefix(before)):
+                    found.append(f"{path}/{name}")
+                    folders.append(folder)
+                    if len(found) == ROWS:
+                        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(folders, pa.bool_())], names=["path", "folder"])
+                        found, folders = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(folders, pa.bool_())], names=["path", "folder"])
+
+    level, n, out = spark.createDataFrame([(p,) for p in paths], "path string"), len(paths), []
+    while n:
+        tasks = max(n // FOLDERS, min(n, spark.sparkContext.defaultParallelism))
+        out.append(materialised(level.repartition(tasks).mapInArrow(look, "path string, folder boolean")))
+        level = out[-1].where("folder").select("path")
+        n = level.count()
+    return out
+
+
+def _contents(files: DataFrame, uri: str, before: str) -> DataFrame:
+    """files (with path) and the bytes of each as content, read by the tasks that hold their rows."""
+
+    def read(batches):
+        store, _ = FileSystem.from_uri(uri)
+        for batch in batches:
+            held, size, low = [], 0, 0
+            for i, path in enumerate(batch.column("path").to_pylist(), 1):
+                with store.open_input_stream(path.removeprefix(before), compression=None) as f:
+                    held.append(f.read())
+                size += len(held[-1])
+                if size >= BYTES or i == batch.num_rows:
+                    some = batch.slice(low, i - low)
+                    yield pa.RecordBatch.from_arrays([*some.columns, pa.array(held, pa.binary())], names=[*some.schema.names, "content"])
+                    held, size, low = [], 0, i
+
+    return files.mapInArrow(read, T.StructType([*files.schema.fields, T.StructField("content", T.BinaryType())]))
+
+
 def read_filing_tree(spark: SparkSession, root: str) -> DataFrame:
     """One text per filing folder `<root>/<ticker>/8-K/<filing_id>/*.txt`.
 
-    For trees that the driver can list; `read_filings` reads an archive as a table.
-    The files are read once, into such a table in the shared folder.  Of several files
-    the least path is taken, settled on path names alone by an anti join.  Bytes that
-    are not UTF-8 are dropped and line ends become newlines.
+    The files are read once, into a table like that of `read_filings` in the shared folder.
+    Of several files the least path is taken, settled on path names alone.  Bytes that
+    are not UTF-8 are dropped and line ends become newlines.  Tasks list the folders and
+    read the files; a store that Arrow does not know is listed by Spark's driver.
     """
     # plain folders, or the name=value folders of a partitioned write
-    parts = r"([^/=]+)/(?:[^/=]+=)?8-K/(?:[^/=]+=)?([^/=]+)/[^/]+\.txt$"
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
+    parts = r"^(?:[^/]*=)?([^/=]+)/(?:[^/=]+=)?8-K/(?:[^/=]+=)?([^/=]+)/[^/]+\.txt$"
+    last = F.substring_index("path", "/", -4)
+    names = {"ticker": F.regexp_extract(last, parts, 1), "filing_id": F.regexp_extract(last, parts, 2)}
     raw = F.col("content").cast("string")
     decoded = F.when(F.is_valid_utf8(raw), raw).otherwise(
         F.replace(F.make_valid_utf8(raw), F.lit("\ufffd"), F.lit(""))
     )
-    with _small_files(spark):
-        files = (
-            reader.load(root)
-            .withColumn("ticker", F.regexp_extract("path", parts, 1))
-            .withColumn("filing_id", F.regexp_extract("path", parts, 2))
-            .where(F.col("ticker") != "")
-        )
-        rows = materialised(files.select("ticker", "filing_id", "path", _clean_text(decoded).alias("text")))
-    return _least_paths(rows)
+    columns = ["ticker", "filing_id", "path", _clean_text(decoded).alias("text")]
+    found = _roots(spark, root)
+    if found is None:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
+        with _small_files(spark):
+            files = reader.load(root).withColumns(names).where(F.col("ticker") != "")
+            return _least_paths(materialised(files.select(*columns)))
+    paths, uri, before = found
+    levels = _listed(spark, paths, uri, before)
+    files = levels[0].where("NOT folder")
+    for level in levels[1:]:
+        files = files.unionByName(level.where("NOT folder"))
+    # One shuffle of path names, by which files are dealt to the tasks that read them.
+    tasks = max(files.count() // FILES, spark.sparkContext.defaultParallelism)
+    filings = files.withColumns(names).where(F.col("ticker") != "").repartition(tasks, "ticker", "filing_id")
+    least = filings.groupBy("ticker", "filing_id").agg(F.min("path").alias("path"))
+    out = materialised(_contents(least, uri, before).select(*columns))
+    release(*levels)
+    return out
 
 
 def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -87,17 +87,23 @@ def write_filing_tree(filings: DataFrame, root: str, form: str = "8-K") -> int:
     The files that `write.partitionBy("ticker", "form", "filing_id").text` leaves: a
     file ends its last line, filings of one name in one task share a file.  Tasks put
     each file where it belongs: the usual writer makes a file for a rename, and the
-    driver renames all of them one after the other."""
+    driver renames all of them one after the other.  A folder takes one new name at a
+    time, so each task goes through the tickers in an order of its own."""
     name = "filing_id"
 
     def put(batches):
         files, at = FileSystem.from_uri(root)
         part = f"part-{TaskContext.get().partitionId():05d}.txt"
         key, held, n = None, [], 0
+        made = set()
 
         def close():
-            folder = "/".join([at, _folder("ticker", key[0]), _folder("form", form), _folder(name, key[1])])
-            files.create_dir(folder)
+            above = "/".join([at, _folder("ticker", key[0]), _folder("form", form)])
+            if above not in made:
+                files.create_dir(above)
+                made.add(above)
+            folder = f"{above}/{_folder(name, key[1])}"
+            files.create_dir(folder, recursive=False)
             with files.open_output_stream(f"{folder}/{part}") as out:
                 out.write(b"".join(held))
 
@@ -115,5 +121,6 @@ def write_filing_tree(filings: DataFrame, root: str, form: str = "8-K") -> int:
             n += 1
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
-    rows = filings.select("ticker", name, "text").sortWithinPartitions("ticker", name)
-    return rows.mapInArrow(put, "n long").agg(F.sum("n")).first()[0] or 0
+    turn = F.xxhash64("ticker", F.spark_partition_id())
+    rows = filings.select(turn.alias("turn"), "ticker", name, "text").sortWithinPartitions("turn", "ticker", name)
+    return rows.drop("turn").mapInArrow(put, "n long").agg(F.sum("n")).first()[0] or 0
