@@ -245,6 +245,61 @@ def test_forest_search(spark, table):
     assert [a for p, f, a in found if p == point and f == 1] == [pytest.approx(want)]
 
 
+@pytest.fixture(scope="module")
+def many(spark):
+    """2,000 rows, few of them different, in uneven parts; more values than bins in one feature."""
+    draw = np.random.default_rng(8)
+    x = np.column_stack([draw.integers(0, 6, 2000), draw.integers(0, 4, 2000) * 0.25 - 0.5, draw.choice(np.arange(40), 2000, p=np.arange(40) / 780)])
+    y = (x[:, 0] > 2) + (x[:, 1] > 0) * (draw.random(2000) < 0.8)
+    data = [(a.tolist(), float(b), i % 3) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(data, "x array<double>, label double, fold int")
+    return df.withColumn("features", array_to_vector("x")).repartition(4, "fold").cache()
+
+
+@pytest.mark.parametrize("held", [fo.HELD, 50])
+def test_forest_by_points_is_the_librarys(spark, many, monkeypatch, held):
+    """Node by node, for two leaf sizes of one draw, however often sums are handed on; with draws and without."""
+    monkeypatch.setattr(fo, "HELD", held)
+    for estimator in (RandomForestClassifier(numTrees=12, maxDepth=9, seed=5, featureSubsetStrategy="sqrt", cacheNodeIds=True), RandomForestClassifier(numTrees=2, bootstrap=False, featureSubsetStrategy="all")):
+        drawn = fo.draw(estimator, many)
+        if held == fo.HELD:
+            assert drawn.points.count() <= many.select("label", "x").distinct().count() < 1800
+        for leaf in (1, 7):
+            want = estimator.fit(many, {estimator.minInstancesPerNode: leaf})
+            got = fo.grow(estimator, drawn, leaf)
+            assert got.toDebugString == want.toDebugString
+            assert got.getMinInstancesPerNode() == leaf and got.getNumTrees == want.getNumTrees
+            assert np.allclose(got.featureImportances.toArray(), want.featureImportances.toArray(), atol=0, rtol=0)
+        release(drawn.points)
+
+
+def test_forest_search_goes_over_rows_when_it_draws_them(spark, many, monkeypatch):
+    """No fit of the library over all rows; each fold is drawn once, and all rows once more."""
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda *_: pytest.fail("a fit over all rows"))
+    seen, kept = [], fo.draw
+    monkeypatch.setattr(fo, "draw", lambda e, df: seen.append(kept(e, df)) or seen[-1])
+    axes = {"numTrees": [2, 4], "maxDepth": [2, 6], "minSplitRows": [2, 30], "minInstancesPerNode": [1, 4]}
+    found, best, model = m.search(m.random_forest(), axes, many, "fold", 3, 2000)
+    assert len(seen) == 4 and len(found) == 16 * 3
+    assert model.getNumTrees == best["numTrees"] and model.getMinInstancesPerNode() == best["minInstancesPerNode"]
+
+
+def test_accuracies_by_bins_are_those_of_the_rows(spark, many):
+    """Rows that the forest cannot tell apart are counted; a missing value goes right."""
+    model = RandomForestClassifier(numTrees=5, maxDepth=6, seed=2).fit(many)
+    nodes = fo.node_table(spark, model)
+    forest = fo.arrays_of(nodes)
+    gap = spark.createDataFrame([([math.nan, 0.25, 3.0], 1.0), ([1.0, math.nan, math.nan], 0.0)], "x array<double>, label double").withColumn("features", array_to_vector("x"))
+    held = many.select("x", "label", "features").unionByName(gap)
+    rows = held.select("x", "label").collect()
+    x, y = np.array([r["x"] for r in rows]), np.array([r["label"] for r in rows])
+    cuts = [(2, 30), (40, 30), (2, 3)]
+    got = fo.accuracies(held, forest, [2, 5], cuts)
+    want = {(p, *cut): (fo.votes(x, forest, cut[0], [2, 5], cut[1])[p].argmax(1) == y).mean() for p in (2, 5) for cut in cuts}
+    assert got == pytest.approx(want, abs=1e-12)
+    release(nodes)
+
+
 def test_stump_scores_by_bin_are_their_sums():
     """What a row's bins look up is what stump after stump adds, for fits that stop splitting too."""
     r = np.random.default_rng(5)
